@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import mixing, sharding
+from barloom.llm import bpe, chat, mixing, sharding
 from barloom.session import ship_package
 
 
@@ -16,6 +16,8 @@ def _shipped(f):
 
 def queries():
     found = {
+        "op3_chat_formatting": chat.op3_chat_formatting,
+        "op4_byte_bpe": bpe.op4_byte_bpe,
         "op5_sharding": sharding.op5_sharding,
         "op8_mixing": mixing.op8_mixing,
     }
