@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, quality, sharding
+from barloom.llm import bpe, chat, mixing, quality, secrets, sharding
 from barloom.session import ship_package
 
 
@@ -19,6 +19,7 @@ def queries():
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_byte_bpe": bpe.op4_byte_bpe,
         "op5_sharding": sharding.op5_sharding,
+        "op6_secret_scan": secrets.op6_secret_scan,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_mixing": mixing.op8_mixing,
     }
