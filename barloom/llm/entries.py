@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, neardup, quality, secrets, sharding
+from barloom.llm import bpe, chat, mixing, neardup, quality, secrets, sharding, spans
 from barloom.session import ship_package
 
 
@@ -16,6 +16,7 @@ def _shipped(f):
 
 def queries():
     found = {
+        "op1_substring_dedup": spans.op1_substring_dedup,
         "op2_minhash_near_dedup": neardup.op2_minhash_near_dedup,
         "op3_chat_formatting": chat.op3_chat_formatting,
         "op4_byte_bpe": bpe.op4_byte_bpe,
