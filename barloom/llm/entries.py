@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, neardup, quality, secrets, sharding, spans
+from barloom.llm import bpe, chat, mixing, neardup, quality, secrets, sharding, spans, vectors
 from barloom.session import ship_package
 
 
@@ -24,6 +24,7 @@ def queries():
         "op6_secret_scan": secrets.op6_secret_scan,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_mixing": mixing.op8_mixing,
+        "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
     }
     return {name: _shipped(f) for name, f in found.items()}
 
