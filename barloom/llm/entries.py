@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, neardup, quality, secrets, sharding, spans, vectors
+from barloom.llm import bpe, chat, mixing, neardup, pages, quality, secrets, sharding, spans, vectors
 from barloom.session import ship_package
 
 
@@ -25,6 +25,7 @@ def queries():
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_mixing": mixing.op8_mixing,
         "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
+        "op10_html_extraction": pages.op10_html_extraction,
     }
     return {name: _shipped(f) for name, f in found.items()}
 
