@@ -34,7 +34,7 @@ RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch, and the share that must agree before full sets are compared: 4.7 deviations below.
 SKETCH, SKETCH_SHARE = 64, 0.64
 #: Records and shingles of a block; leaders that the blocks of a node share.
-BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 512, 1 << 20, 4
+BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 4096, 1 << 22, 4
 #: Levels after which the blocks of a node are compared two by two.
 MAX_DEPTH = 8
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,13 +131,12 @@ def _promising(share: float, percent: int):
     """Of each block, the records with a candidate in another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        out: list[pa.Table] = []
         for block in runs(batches, "block"):
             if block.num_rows > 1:
                 i, j, _ = _candidates(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), block["comp"].to_pylist(), share, percent)
                 if len(i):
-                    rows = block.take(pa.array(np.union1d(i, j)))
-                    out.append(rows.select(["block", "set_id", "comp", "rep"]))
+                    out.append(block.take(pa.array(np.union1d(i, j))))
             if len(out) > 500:
                 yield from pa.concat_tables(out).combine_chunks().to_batches()
                 out = []
@@ -147,8 +146,27 @@ def _promising(share: float, percent: int):
     return run
 
 
+def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets i and j; ``i`` ascends."""
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    has = np.zeros(code.max() + 1, bool)
+    out = np.empty(len(i), np.int64)
+    cuts = np.flatnonzero(np.diff(i)) + 1
+    for part in np.split(np.arange(len(i)), cuts):
+        mine = code[ends[i[part[0]]] - sizes[i[part[0]]] : ends[i[part[0]]]]
+        has[mine] = True
+        for k in range(0, len(part), 256):
+            other = j[part[k : k + 256]]
+            held = has[np.concatenate([code[ends[q] - sizes[q] : ends[q]] for q in other])]
+            out[part[k : k + 256]] = np.add.reduceat(held, np.concatenate([[0], np.cumsum(sizes[other])[:-1]]), dtype=np.int64)
+        has[mine] = False
+    return out
+
+
 def _confirm(share: float, percent: int, words: int):
-    """Links of each block on full sets: pairs in the order of their sketches' agreement, unless joined already."""
+    """Links of each block on full sets; of links inside a component only those that first joined it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -166,7 +184,12 @@ def _confirm(share: float, percent: int, words: int):
             sets = [records[k][1] for k in keys]
             comp = [records[k][0] for k in keys]
             sketch = np.stack([(minwise(s) >> np.uint64(32)).astype(np.uint32) for s in sets])
-            i, j, agree = _candidates(sketch, np.array([len(s) for s in sets]), comp, share, percent)
+            i, j, _ = _candidates(sketch, np.array([len(s) for s in sets]), comp, share, percent)
+            if not len(i):
+                continue
+            common = _common(sets, i, j)
+            size = np.array([len(s) for s in sets])
+            linked = 100 * common >= percent * (size[i] + size[j] - common)
             root: dict[bytes, bytes] = {}
 
             def find(c: bytes) -> bytes:
@@ -175,14 +198,11 @@ def _confirm(share: float, percent: int, words: int):
                     c = up
                 return c
 
-            for p in np.lexsort((j, i, -agree)):
-                a, b = i[p], j[p]
+            for a, b in zip(i[linked].tolist(), j[linked].tolist()):
                 x, y = find(comp[a]), find(comp[b])
                 if x != y:
-                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
-                        root[max(x, y)] = min(x, y)
-                        links.append((keys[a], keys[b]))
+                    root[max(x, y)] = min(x, y)
+                    links.append((keys[a], keys[b]))
             if len(links) > 50_000:
                 yield _link_batch(links)
                 links = []
@@ -197,54 +217,57 @@ def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, records: DataFrame, percent: int, words: int, share: float):
-        self.docs, self.records, self.percent, self.words, self.share = docs, records, percent, words, share
-        self.links: list[DataFrame] = []
+    """The components found so far and the steps that find more."""
+
+    def __init__(self, docs: DataFrame, records: DataFrame, percent: int, words: int):
+        self.docs, self.records, self.percent, self.words = docs, records, percent, words
+        self.share = SKETCH_SHARE * percent / PERCENT
         self.comp: DataFrame | None = None
+        self.texts: DataFrame | None = None
 
-    def labelled(self, nodes: DataFrame) -> DataFrame:
-        """node, set_id with the component so far and the set's size."""
-        rows = nodes.join(self.records.select("set_id", "n"), "set_id") if "n" not in nodes.columns else nodes
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of ``set_id`` so far."""
+        rows = rows.drop("comp")
         if self.comp is None:
             return rows.withColumn("comp", F.col("set_id"))
         return rows.join(self.comp.withColumnsRenamed({"u": "set_id", "v": "__root"}), "set_id", "left").withColumn("comp", F.coalesce("__root", "set_id")).drop("__root")
 
-    def open_nodes(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The members of nodes with several components, and those nodes with their blocks and leaders."""
+    def blocks(self, nodes: DataFrame, pairwise: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The promising records of the blocks of ``nodes`` (node, set_id, n, first), and the members of split nodes."""
         rows = self.labelled(nodes)
         lead = [F.min(F.struct(F.xxhash64(F.lit(k), "set_id").alias("h"), "set_id"))["set_id"].alias(f"l{k}") for k in range(LEADERS)]
         stats = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("a"), F.max("comp").alias("b"), *lead).where("size > 1 and a != b")
         parts = F.greatest(F.ceil(F.col("size") / BLOCK_RECORDS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
         stats = cut(stats.select("node", parts.alias("parts"), F.array_distinct(F.array(*(f"l{k}" for k in range(LEADERS)))).alias("leaders")), "nodes")
-        return rows.select("node", "set_id", "comp").join(stats.select("node", "parts"), "node"), stats
-
-    def link(self, nodes: DataFrame, pairwise: bool = False) -> DataFrame:
-        """Compares the blocks of ``nodes`` (node, set_id), renews the components, returns the members of split nodes."""
-        members, stats = self.open_nodes(nodes)
-        members = cut(members, "members")
+        members = cut(nodes.join(stats.select("node", "parts"), "node"), "members")
         part = F.pmod(F.xxhash64(F.lit(5), "set_id"), F.col("parts").cast("bigint")).cast("int")
         if pairwise:
             other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("__o")
-            split = members.withColumn("__p", part).select("*", other).withColumn("__b", F.least("__p", "__o") * F.col("parts") + F.greatest("__p", "__o"))
-            blocks = split.select("node", "set_id", "comp", F.col("__b").alias("part"))
+            blocks = members.withColumn("__p", part).select("*", other).select("node", "first", "set_id", (F.least("__p", "__o") * F.col("parts") + F.greatest("__p", "__o")).alias("part"))
         else:
-            blocks = members.select("node", "set_id", "comp", part.alias("part"))
-            lead = stats.where("parts > 1").select("node", F.explode("leaders").alias("set_id"), "parts")
-            lead = self.labelled(lead).select("node", "set_id", "comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-            blocks = blocks.unionByName(lead).distinct()
-        blocks = blocks.select(F.xxhash64("node", "part").alias("block"), "set_id", "comp")
-        rows = blocks.join(self.records.select("set_id", "n", "sketch", "rep"), "set_id").repartition("block").sortWithinPartitions("block", "set_id")
-        found = rows.mapInArrow(_promising(self.share, self.percent), "block bigint, set_id binary, comp binary, rep bigint")
-        found = cut(found, "promising")
-        texts = found.withColumnRenamed("rep", "__rep").join(self.docs, F.col("__rep").eqNullSafe(F.col("doc_id"))).select("block", "set_id", "comp", "text")
-        texts = texts.repartition("block").sortWithinPartitions("block", "set_id")
-        self.links.append(cut(texts.mapInArrow(_confirm(self.share, self.percent, self.words), "u binary, v binary"), "found"))
-        every = self.links[0]
-        for more in self.links[1:]:
-            every = every.unionByName(more)
-        self.comp = components(every)
-        self.links = [self.comp]
-        return members.where("parts > 1").select("node", "set_id")
+            shared = stats.where("parts > 1").select("node", F.lit(False).alias("first"), F.explode("leaders").alias("set_id"), "parts")
+            shared = shared.select("node", "first", "set_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+            blocks = members.select("node", "first", "set_id", part.alias("part")).unionByName(shared)
+        blocks = blocks.groupBy(F.xxhash64("node", "part").alias("block"), "set_id").agg(F.max("first").alias("first"))
+        rows = blocks.join(self.records.select("set_id", "n", "sketch", "rep"), "set_id")
+        return self.promising(rows), members.where("parts > 1").select("node", "set_id", "n", F.lit(False).alias("first"))
+
+    def promising(self, rows: DataFrame) -> DataFrame:
+        rows = self.labelled(rows).select("block", "first", "set_id", "n", "sketch", "rep", "comp")
+        rows = rows.repartition("block").sortWithinPartitions("block", "set_id")
+        return cut(rows.mapInArrow(_promising(self.share, self.percent), rows.schema), "promising")
+
+    def fetch(self, found: DataFrame, split: DataFrame) -> None:
+        """Reads the texts of all records that may be compared, in one pass over the documents."""
+        need = found.select("set_id", "rep").unionByName(split.join(self.records, "set_id").select("set_id", "rep")).distinct().withColumnRenamed("rep", "__rep")
+        texts = self.docs.hint("merge").join(need, F.col("doc_id").eqNullSafe(F.col("__rep"))).select("set_id", "text")
+        self.texts = cut(texts, "texts")
+
+    def confirm(self, found: DataFrame) -> None:
+        """Adds the links of ``found`` (block, set_id, comp) to the components."""
+        rows = found.select("block", "set_id", "comp").join(self.texts, "set_id").repartition("block").sortWithinPartitions("block", "set_id")
+        links = cut(rows.mapInArrow(_confirm(self.share, self.percent, self.words), "u binary, v binary"), "found")
+        self.comp = components(links if self.comp is None else links.unionByName(self.comp))
 
     def children(self, nodes: DataFrame) -> DataFrame:
         """The next level: each record follows the token that the node selects, and a second one in some nodes."""
@@ -255,7 +278,7 @@ class _Join:
 
         second = F.pmod(F.xxhash64(F.lit(99), "node"), F.lit(1000)) < int(1000 * (100 / self.percent - 1))
         rows = nodes.join(self.records.select("set_id", "sketch"), "set_id")
-        return rows.select(F.explode(F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))).alias("node"), "set_id")
+        return rows.select(F.explode(F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))).alias("node"), "set_id", "n", "first")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
@@ -272,16 +295,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     described = cut(described, "sets")
     records = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
     records = cut(records, "records")
-    join = _Join(docs, records, percent, words, SKETCH_SHARE * percent / PERCENT)
-    level = lambda a, b: records.select("set_id", "n", F.explode(F.slice("nodes", a, b)).alias("node"))
-    # the first tree joins most groups, so that the others find most of their nodes settled
-    split = [join.link(level(1, 1)), join.link(level(2, 2 * trees))]
-    rest, depth = split[0].unionByName(split[1]), 1
-    while not rest.isEmpty():
+    join = _Join(docs, records, percent, words)
+    found, split = join.blocks(records.select("set_id", "n", F.posexplode("nodes").alias("__tree", "node")).select("node", "set_id", "n", (F.col("__tree") == 0).alias("first")))
+    join.fetch(found, split)
+    # the first tree joins most groups, so that the others find most of their blocks settled
+    join.confirm(found.where("first"))
+    join.confirm(join.promising(found.where("not first")))
+    depth = 1
+    while depth < MAX_DEPTH and not split.isEmpty():
         depth += 1
-        rest = join.link(join.children(cut(join.open_nodes(rest)[0].select("node", "set_id"), "rest")) if depth < MAX_DEPTH else rest, pairwise=depth >= MAX_DEPTH)
-        if depth >= MAX_DEPTH:
-            break
+        # the last time whatever is still large is compared block by block
+        last = depth == MAX_DEPTH
+        found, split = join.blocks(split if last else cut(join.children(split), "children"), pairwise=last)
+        join.confirm(found)
     label = join.labelled(records.select("set_id", "rep", "n")).select("set_id", "rep", "comp")
     least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
     label = label.join(least, "comp").select("set_id", "component_id")
