@@ -19,62 +19,111 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.session import cut
-
 #: A run has at least so many sentences and words.
 SENTENCES, WORDS = 3, 20
-#: Inside a sentence, one of so many word pairs ends a piece.
+#: Inside a sentence, one of so many word pairs ends a piece (a power of two).
 CUT_RATE = 8
-#: A run in this share of the sampled documents, and so often at least, is hot; one document of SAMPLE is sampled.
-HOT_SHARE, HOT_LEAST, SAMPLE = 0.005, 40, 64
+#: Hashes that a task remembers before it passes them on.
+REMEMBERED = 40_000
 SEED = 3
-_WORD = re.compile(r"[^ \t\n\v\f\r]+")
+_TOKEN = re.compile(r"[^ \t\n\v\f\r]+[ \t\n\v\f\r]*")
+_SPACES = " \t\n\v\f\r"
 _ENDS = (".", "!", "?", "…", "。", "！", "？", '."', '!"', '?"', ".)", ".”")
-_ROW = "h1 bigint, h2 bigint, doc_id bigint, tie bigint, at int, n int"
-
+_BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+_ROW = "h1 bigint, h2 int, doc_id bigint, tie int, start int, end int, later boolean"
+
+
+class _Tokens(dict):
+    """64 bits of a word with the space after it: its hash, the lowest bit set where a sentence ends."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > 120_000:
+            self.clear()
+        word = token.rstrip(_SPACES)
+        ends = word.endswith(_ENDS) or "\n" in token
+        self[token] = code = xxhash.xxh3_64_intdigest(word) & ~1 | ends
+        return code
+
+
+def sentences(text: str, known: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes of the words, the number of the first word of each sentence with the end as last, where words start)."""
+    tokens = _TOKEN.findall(text)
+    n = len(tokens)
+    code = np.fromiter(map(known.__getitem__, tokens), np.uint64, n)
+    at = np.zeros(n + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, tokens), np.int64, n), out=at[1:])
+    at += len(text) - at[-1]  # white space before the first word
+    if not n:
+        return code, np.zeros(1, np.int64), at
+    word = code >> np.uint64(1)
+    pair = (word[:-1] * np.uint64(_BASES[0][0]) + word[1:]) * np.uint64(_BASES[1][0])
+    ends = (code & np.uint64(1)).astype(bool)
+    ends[:-1] |= (pair >> np.uint64(40)) % np.uint64(CUT_RATE) == 0
+    ends[-1] = True
+    return code, np.concatenate([[0], np.flatnonzero(ends) + 1]), at
+
+
+def run_ends(bounds: np.ndarray, least: int, words: int) -> np.ndarray:
+    """For each sentence, the sentence that follows the shortest run from there with enough of both; 0: none."""
+    n = len(bounds) - 1
+    after = np.maximum(np.searchsorted(bounds, bounds[:-1] + words, "left"), np.arange(n) + least)
+    return np.where(after <= n, after, 0)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def run_hashes(code: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of polynomial hashes of the words first..last - 1, whatever stands before them."""
+    out = []
+    word = code >> np.uint64(1)
+    for k, (base, inverse) in enumerate(_BASES):
+        x = word * np.uint64(0xD6E8FEB86659FD93) ^ (word >> np.uint64(29)) if k else word
+        sums = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(x * _powers(base, len(x)))])
+        out.append(((sums[last] - sums[first]) * _powers(inverse, len(x) + 1)[first] + (last - first).astype(np.uint64)).view(np.int64))
+    return out[0], (out[1] >> 32).astype(np.int32)
 
-def sentences(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The sentences' words joined with spaces, where each starts, with the text's end as last, and their words."""
-    found = list(_WORD.finditer(text))
-    words = [m[0] for m in found]
-    out, starts, sizes, begun = [], [], [], 0
-    for i, word in enumerate(words):
-        last = i + 1 == len(words)
-        if last or word.endswith(_ENDS) or "\n" in text[found[i].end() : found[i + 1].start()] or xxhash.xxh3_64_intdigest(f"{word} {words[i + 1]}") % CUT_RATE == 0:
-            out.append(" ".join(words[begun : i + 1]))
-            starts.append(found[begun].start())
-            sizes.append(i + 1 - begun)
-            begun = i + 1
-    return out, np.array([*starts, len(text)]), np.array(sizes, np.int64)
 
+def _runs(least: int, words: int):
+    """Runs by hash, combined in the task: of two places of a hash the later one is settled at once.
 
-def run_lengths(sizes: np.ndarray, least: int, words: int) -> np.ndarray:
-    """For each sentence, the length of the shortest run from there with enough sentences and words; 0: none."""
-    ends = np.cumsum(sizes)
-    begins = ends - sizes
-    n = np.maximum(np.searchsorted(ends, begins + words, "left") + 1 - np.arange(len(sizes)), least)
-    return np.where(np.arange(len(sizes)) + n <= len(sizes), n, 0)
+    A settled row gets a hash of its own, so that a hash that many documents share reaches the shuffle once for each
+    time that a task's memory fills.
+    """
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [[]] * 7
+        kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, pa.bool_()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["h1", "h2", "doc_id", "tie", "start", "end", "later"])
 
-def _runs(least: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Tokens()
+        seen: dict[tuple[int, int], tuple] = {}
+        done: list[tuple] = []
         for batch in batches:
-            doc, tie, at, length = [], [], [], []
-            digests = bytearray()
             for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                said, _, sizes = sentences(text.as_py() or "")
-                n = run_lengths(sizes, least, words)
-                places = np.flatnonzero(n)
-                for i in places.tolist():
-                    digests += xxhash.xxh3_128_digest("\n".join(said[i : i + n[i]]))
-                doc += [d] * len(places)
-                tie += [t] * len(places)
-                at.append(places)
-                length.append(n[places])
-            h = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
-            made = [pa.array(np.ascontiguousarray(h[:, k])) for k in (0, 1)] + [pa.array(doc, pa.int64()), pa.array(tie, pa.int64())]
-            made += [pa.array(np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)) for x in (at, length)]
-            yield pa.RecordBatch.from_arrays(made, names=["h1", "h2", "doc_id", "tie", "at", "n"])
+                code, bounds, at = sentences(text.as_py() or "", known)
+                after = run_ends(bounds, least, words)
+                places = np.flatnonzero(after)
+                if not len(places):
+                    continue
+                first, last = bounds[places], bounds[after[places]]
+                h1, h2 = run_hashes(code, first, last)
+                order = (d is None, d or 0, t)
+                for key, start, end in zip(zip(h1.tolist(), h2.tolist()), at[first].tolist(), at[last].tolist()):
+                    mine = (order, start, end)
+                    if (old := seen.setdefault(key, mine)) is not mine and old != mine:
+                        if mine < old:
+                            seen[key], mine = mine, old
+                        (none, doc, tie), start, end = mine
+                        done.append((tie << 32 ^ start, end, None if none else doc, tie, start, end, True))
+            if len(done) + len(seen) > REMEMBERED:
+                yield made(done + [(*k, None if o[0] else o[1], o[2], s, e, False) for k, (o, s, e) in seen.items()])
+                done, seen = [], {}
+        yield made(done + [(*k, None if o[0] else o[1], o[2], s, e, False) for k, (o, s, e) in seen.items()])
 
     return run
 
@@ -82,65 +131,47 @@ def _runs(least: int, words: int):
 def _remove(keep: list[str], schema: T.StructType, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, total, gone, chars, spans = [], [], [], [], []
-            for t, marks in zip(batch.column("__text").to_pylist(), batch.column("__marks")):
-                said, starts, _ = sentences(t or "")
-                cover = np.zeros(len(said) + 1, np.int64)
-                for m in marks.as_py() or ():
-                    cover[m["at"]] += 1
-                    cover[m["at"] + m["n"]] -= 1
-                out = np.cumsum(cover[:-1]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], out, [False]])))
-                cuts = [(int(starts[a]), int(starts[b])) for a, b in zip(edges[::2], edges[1::2])]
+            texts, chars, spans, counts = [], [], [], []
+            for t, marks in zip(batch.column("__text"), batch.column("__marks")):
+                t = t.as_py()
+                cuts: list[list[int]] = []
+                for m in sorted((m["start"], m["end"]) for m in marks.as_py() or ()):
+                    if cuts and m[0] <= cuts[-1][1]:
+                        cuts[-1][1] = max(cuts[-1][1], m[1])
+                    else:
+                        cuts.append([*m])
                 left, at = [], 0
                 for a, b in cuts:
                     left.append(t[at:a])
                     at = b
                 texts.append("".join(left) + t[at:] if cuts else t)
-                total.append(len(said))
-                gone.append(int(out.sum()))
+                counts.append(len(cuts))
                 chars.append(sum(b - a for a, b in cuts))
                 spans.append(",".join(f"{a}:{b}" for a, b in cuts))
-            made = {text: pa.array(texts, pa.string()), "n_sentences": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "removed_chars": pa.array(chars, pa.int64()), "removed_spans": pa.array(spans, pa.string())}
+            made = {text: pa.array(texts, pa.string()), "n_removed": pa.array(counts, pa.int64()), "removed_chars": pa.array(chars, pa.int64()), "removed_spans": pa.array(spans, pa.string())}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in schema.names], names=schema.names)
 
     return run
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """``df`` with repeated passages cut out of ``text``, and n_sentences, n_removed, removed_chars, removed_spans.
+    """``df`` with repeated passages cut out of ``text``, and n_removed (stretches cut), removed_chars, removed_spans.
 
     ``key`` is an integer column; null keys come last in the order. Null text stays null; texts too short for a run
     stay as they are. Rows that agree in key and text are one document, so repeated rows keep the same text. Spans
     (start:end in code points of the old text, comma-joined) run to the start of the next sentence. Columns of the
     added names and ``__*`` are replaced; an empty table gives an empty result.
 
-    Runs are dealt by their hash in one shuffle. Hashes that a sample of the documents shows to be hot are a bounded
-    list (their number is at most the runs of a document over HOT_SHARE); their first places come from a
-    pre-aggregated minimum instead, so that no task gets all rows of a hot one.
+    Runs are combined in each task and dealt by their hash in one shuffle, where a rank by place finds the later
+    ones; the stretches to cut then meet their texts.
     """
-    added = ("n_sentences", "n_removed", "removed_chars", "removed_spans")
+    added = ("n_removed", "removed_chars", "removed_spans")
     keep = [c for c in df.columns if c not in added and not c.startswith("__")]
-    rows = df.select(*keep, F.col(key).cast("bigint").alias("__id"), F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("__tie"))
+    rows = df.select(*keep, F.col(key).cast("bigint").alias("__id"), F.hash(F.lit(SEED), F.col(key), F.col(text)).alias("__tie"))
     runs = rows.select("__id", "__tie", text).mapInArrow(_runs(least, words), _ROW)
-    sampled = rows.where(F.pmod(F.xxhash64(F.lit(SEED + 1), "__id", "__tie"), F.lit(SAMPLE)) == 0)
-    seen = sampled.select("__id", "__tie", text).mapInArrow(_runs(least, words), _ROW).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c"))
-    hot = seen.where(F.col("c") >= HOT_LEAST).collect()  # a bounded list: at most the sampled runs over HOT_LEAST
-    if hot:
-        n = sampled.count()
-        hot = [(r.h1, r.h2) for r in hot if r.c >= HOT_SHARE * n]
-    place = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("tie"), F.col("at"))
-    rank = F.rank().over(W.partitionBy("h1", "h2").orderBy(F.col("doc_id").asc_nulls_last(), "tie", "at"))
-    if hot:
-        some = F.broadcast(df.sparkSession.createDataFrame(hot, "h1 bigint, h2 bigint"))
-        hot_runs = cut(runs.join(some, ["h1", "h2"]), "hot-runs")
-        first = hot_runs.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-        later = hot_runs.join(F.broadcast(first), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "tie", "at", "n")
-        cold = runs.join(some, ["h1", "h2"], "left_anti")
-        later = later.unionByName(cold.withColumn("r", rank).where("r > 1").select("doc_id", "tie", "at", "n"))
-    else:
-        later = runs.withColumn("r", rank).where("r > 1").select("doc_id", "tie", "at", "n")
-    marks = later.groupBy(F.col("doc_id").alias("__mid"), F.col("tie").alias("__mtie")).agg(F.collect_set(F.struct("at", "n")).alias("__marks"))
+    rank = F.rank().over(W.partitionBy("h1", "h2", "later").orderBy(F.col("doc_id").asc_nulls_last(), "tie", "start"))
+    later = runs.withColumn("r", rank).where("later or r > 1")
+    marks = later.groupBy(F.col("doc_id").alias("__mid"), F.col("tie").alias("__mtie")).agg(F.collect_set(F.struct("start", "end")).alias("__marks"))
     joined = rows.join(marks, F.col("__id").eqNullSafe(F.col("__mid")) & (F.col("__tie") == F.col("__mtie")), "left")
     joined = joined.select(*[c for c in keep if c != text], F.col(text).cast("string").alias("__text"), "__marks")
     schema = T.StructType([*(T.StructField(text, T.StringType()) if c == text else df.schema[c] for c in keep), *(T.StructField(c, T.StringType() if c == "removed_spans" else T.LongType(), False) for c in added)])
