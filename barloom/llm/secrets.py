@@ -27,6 +27,7 @@ ENCODINGS = (
     ("decimal", "^[0-9]+$", 10, None),
     ("hex", "^([0-9a-f]+|[0-9A-F]+)$", 16, 0.6),
     ("letters", "^([a-z]+|[A-Z]+)$", 26, 0.7),
+    ("joined words", "^([a-z+/_-]+|[A-Z+/_-]+)$", 30, 0.9),
     ("base32", "^[A-Z2-7]+$", 32, 1.1),
     ("base36", "^([a-z0-9]+|[A-Z0-9]+)$", 36, 1.35),
     ("base64", "^[A-Za-z0-9+/_-]+$", 64, 3.0),

@@ -28,9 +28,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text becomes ``[SECRET]``; n_chars follows. No document goes."""
     found = secrets.scan(docs)
-    text = secrets.redacted(F.col("text"), F.col("secret_spans"))
-    changed = F.size("secret_spans") > 0
-    made = {"text": text, "n_chars": F.when(changed, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
+    found = found.withColumn("__clean", secrets.redacted(F.col("text"), F.col("secret_spans")))
+    length = F.when(F.size("secret_spans") > 0, F.length("__clean")).otherwise(F.col("n_chars"))
+    made = {"text": F.col("__clean"), "n_chars": length.cast(docs.schema["n_chars"].dataType)}
     return found.select(*(made[c].alias(c) if c in made else F.col(c) for c in docs.columns))
 
 
