@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.chat import gather
-
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pieces whose ids a worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 48
+#: Pieces whose ids a worker remembers, twice so many at most, and the longest of them.
+REMEMBERED, REMEMBERED_CHARS = 250_000, 48
 #: Rows that are encoded, or tokens that are decoded, at a time.
 CHUNK_ROWS, CHUNK_TOKENS = 256, 1 << 20
 
@@ -34,13 +32,12 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     width = 1 << (n - 1).bit_length()
     none = 1 << 62  # above every rank joined with a position
     find = ranks.get
-    tree = [none] * (2 * width)
-    for i in range(n - 1):
-        if (r := find(piece[i : i + 2])) is not None:
-            tree[width + i] = r * width + i
-    for p in range(width - 1, 0, -1):
-        a, b = tree[2 * p], tree[2 * p + 1]
-        tree[p] = a if a < b else b
+    level = [none if (r := find(piece[i : i + 2])) is None else r * width + i for i in range(n - 1)] + [none] * (width - n + 1)
+    tree = level
+    while len(level) > 1:
+        level = [a if a < b else b for a, b in zip(level[::2], level[1::2])]
+        tree = level + tree
+    tree = [none, *tree]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
 
     def put(i: int, value: int) -> None:
@@ -73,16 +70,18 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Pieces(dict):
-    """Ids by piece; forgets everything when full."""
+    """Ids by piece; when full it starts anew, and takes over what is asked for again from before."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.before = ranks, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(merge_piece(piece.encode(), self.ranks))
+        if (ids := self.before.get(piece)) is None:
+            ids = tuple(merge_piece(piece.encode(), self.ranks))
         if len(piece) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -139,7 +138,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with ``decoded`` (binary), the bytes of its tokens joined. Null ids give null.
 
-    The vocabulary is one buffer with offsets; a batch is one gather from it. An id outside it raises.
+    The vocabulary is one Arrow array; some rows at a time are one gather from it, whose bytes are the rows'. An id outside it raises.
     """
     spark = df.sparkSession
     with open(vocabulary, "rb") as f:
@@ -149,10 +148,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_rank = {r: t for t, r in parse_ranks(shared.value).items()}
-        tokens = [by_rank.get(i) for i in range(max(by_rank) + 1)]
-        lengths = np.array([-1 if t is None else len(t) for t in tokens], np.int64)
-        blob = np.frombuffer(b"".join(t or b"" for t in tokens), np.uint8)
-        starts = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])[:-1]
+        tokens = pa.array([by_rank.get(i) for i in range(max(by_rank) + 1)], pa.binary())
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             sizes = np.diff(np.asarray(column.offsets))
@@ -161,13 +157,14 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "dec
             while k < batch.num_rows:
                 stop = max(k + 1, int(np.searchsorted(bounds, bounds[k] + CHUNK_TOKENS, "right")) - 1)
                 part = column.slice(k, stop - k)
-                flat = np.asarray(part.flatten()).astype(np.int64)
-                if len(flat) and (flat.min() < 0 or flat.max() >= len(tokens) or (lengths[flat] < 0).any()):
+                said = tokens.take(part.flatten())  # the tokens' bytes, one after another
+                if said.null_count:
                     raise ValueError("a token id is not in the vocabulary")
-                out, offsets = gather(blob, starts[flat], lengths[flat])
+                offsets = np.frombuffer(said.buffers()[1], np.int32, len(said) + 1) if len(said) else np.zeros(1, np.int32)
+                out = said.buffers()[2] or pa.py_buffer(b"")
                 ends = np.concatenate([[0], np.cumsum(sizes[k:stop])])
                 valid = None if not part.null_count else pa.py_buffer(np.packbits(part.is_valid().to_numpy(zero_copy_only=False), bitorder="little"))
-                made = pa.Array.from_buffers(pa.binary(), stop - k, [valid, pa.py_buffer(offsets[ends].astype(np.int32)), pa.py_buffer(out)])
+                made = pa.Array.from_buffers(pa.binary(), stop - k, [valid, pa.py_buffer(np.ascontiguousarray(offsets[ends])), out])
                 rest = batch.slice(k, stop - k)
                 yield pa.RecordBatch.from_arrays([*(rest.column(rest.schema.get_field_index(c)) for c in keep), made], names=[*keep, decoded])
                 k = stop
