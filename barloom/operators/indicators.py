@@ -2,76 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.series import ewm, ratio, rolling, series, span
 
-K = series("ticker")
+
+def by_time() -> WindowSpec:
+    return series("ticker")
 
 
 def change() -> Column:
-    return F.col("close") - F.lag("close").over(K)
+    return F.col("close") - F.lag("close").over(by_time())
 
 
 def pct_change(df: DataFrame) -> DataFrame:
-    return df.withColumn("ret", ratio(F.col("close"), F.lag("close").over(K)) - 1)
+    return df.withColumn("ret", ratio(F.col("close"), F.lag("close").over(by_time())) - 1)
 
 
 def sma(df: DataFrame, n: int) -> DataFrame:
-    return df.withColumn(f"sma_{n}", rolling(F.avg, F.col("close"), K, n, 1))
+    return df.withColumn(f"sma_{n}", rolling(F.avg, F.col("close"), by_time(), n, 1))
 
 
 def ema(df: DataFrame, n: int) -> DataFrame:
-    return df.withColumn(f"ema_{n}", ewm(F.col("close"), K, span(n)))
+    return df.withColumn(f"ema_{n}", ewm(F.col("close"), by_time(), span(n)))
 
 
 def rsi(df: DataFrame, n: int = 14) -> DataFrame:
     """Wilder's; no losses give null."""
     df = df.withColumn("__d", change())
-    gain, loss = ewm(F.greatest("__d", F.lit(0.0)) + F.col("__d") * 0, K, 1 / n), ewm(F.greatest(-F.col("__d"), F.lit(0.0)) + F.col("__d") * 0, K, 1 / n)
+    gain, loss = ewm(F.greatest("__d", F.lit(0.0)) + F.col("__d") * 0, by_time(), 1 / n), ewm(F.greatest(-F.col("__d"), F.lit(0.0)) + F.col("__d") * 0, by_time(), 1 / n)
     df = df.withColumns({"__g": gain, "__l": loss})
     return df.withColumn(f"rsi_{n}", 100 - 100 / (1 + ratio(F.col("__g"), F.col("__l")))).drop("__d", "__g", "__l")
 
 
 def volatility(df: DataFrame, n: int = 20) -> DataFrame:
-    return pct_change(df).withColumn(f"volatility_{n}", rolling(F.stddev_samp, F.col("ret"), K, n, 2)).drop("ret")
+    return pct_change(df).withColumn(f"volatility_{n}", rolling(F.stddev_samp, F.col("ret"), by_time(), n, 2)).drop("ret")
 
 
 def true_range(df: DataFrame) -> DataFrame:
-    before = F.lag("close").over(K)
+    before = F.lag("close").over(by_time())
     return df.withColumn("tr", F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)))
 
 
 def atr(df: DataFrame, n: int = 14) -> DataFrame:
-    return true_range(df).withColumn(f"atr_{n}", rolling(F.avg, F.col("tr"), K, n, 1)).drop("tr")
+    return true_range(df).withColumn(f"atr_{n}", rolling(F.avg, F.col("tr"), by_time(), n, 1)).drop("tr")
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    df = df.withColumns({"__f": ewm(F.col("close"), K, span(fast)), "__s": ewm(F.col("close"), K, span(slow))})
+    df = df.withColumns({"__f": ewm(F.col("close"), by_time(), span(fast)), "__s": ewm(F.col("close"), by_time(), span(slow))})
     df = df.withColumn("macd", F.col("__f") - F.col("__s")).drop("__f", "__s")
-    return df.withColumn("macd_signal", ewm(F.col("macd"), K, span(signal))).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return df.withColumn("macd_signal", ewm(F.col("macd"), by_time(), span(signal))).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
 def bollinger(df: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:
-    df = df.withColumns({f"bb_mid_{n}": rolling(F.avg, F.col("close"), K, n, n), "__sd": rolling(F.stddev_samp, F.col("close"), K, n, n)})
+    df = df.withColumns({f"bb_mid_{n}": rolling(F.avg, F.col("close"), by_time(), n, n), "__sd": rolling(F.stddev_samp, F.col("close"), by_time(), n, n)})
     mid, half = F.col(f"bb_mid_{n}"), width * F.col("__sd")
     df = df.withColumns({f"bb_up_{n}": mid + half, f"bb_dn_{n}": mid - half})
     return df.withColumn(f"bb_bw_{n}", ratio(F.col(f"bb_up_{n}") - F.col(f"bb_dn_{n}"), mid)).drop("__sd")
 
 
 def stochastic(df: DataFrame, n: int = 14, smooth: int = 3) -> DataFrame:
-    low, high = rolling(F.min, F.col("low"), K, n, n), rolling(F.max, F.col("high"), K, n, n)
+    low, high = rolling(F.min, F.col("low"), by_time(), n, n), rolling(F.max, F.col("high"), by_time(), n, n)
     df = df.withColumns({"__lo": low, "__hi": high})
     df = df.withColumn(f"stoch_k_{n}", ratio(100 * (F.col("close") - F.col("__lo")), F.col("__hi") - F.col("__lo"))).drop("__lo", "__hi")
-    return df.withColumn(f"stoch_d_{n}", rolling(F.avg, F.col(f"stoch_k_{n}"), K, smooth, 1))
+    return df.withColumn(f"stoch_d_{n}", rolling(F.avg, F.col(f"stoch_k_{n}"), by_time(), smooth, 1))
 
 
 def obv(df: DataFrame) -> DataFrame:
     """Volume added when the close rises, taken when it falls; a null volume counts as none."""
     df = df.withColumn("__v", F.coalesce(F.signum(change()) * F.col("volume"), F.lit(0.0)))
-    return df.withColumn("obv", F.sum("__v").over(K.rowsBetween(W.unboundedPreceding, 0))).drop("__v")
+    return df.withColumn("obv", F.sum("__v").over(by_time().rowsBetween(W.unboundedPreceding, 0))).drop("__v")
 
 
 def indicators(df: DataFrame) -> DataFrame:

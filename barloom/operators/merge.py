@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,11 +10,17 @@ from barloom.functions.series import backward_fill, forward_fill, positive_log,
 from barloom.operators import calendar
 from barloom.sources.tables import PRICES
 
-DAY = series("ticker", "day_id")
-WHOLE_DAY = W.partitionBy("ticker", "day_id")
 FILL, RETURN_FILL, RETURN_EXTRA, RETURN_VALID = 3, 1, 2, 0.70
 
 
+def in_day() -> WindowSpec:
+    return series("ticker", "day_id")
+
+
+def whole_day() -> WindowSpec:
+    return W.partitionBy("ticker", "day_id")
+
+
 def keep_last(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """Of the rows of a key, the last by ``seq``."""
     w = W.partitionBy(*keys).orderBy(F.col(seq).desc())
@@ -40,26 +46,26 @@ def gap_flag(df: DataFrame) -> DataFrame:
 def fill(df: DataFrame, limit: int = FILL) -> DataFrame:
     """Every numeric column filled from both sides inside its day; a limit of 0 fills nothing."""
     numeric = [c for c, t in df.dtypes if t in ("double", "bigint", "int", "float") and c != "is_gap"]
-    return df.withColumns({c: two_sided_fill(F.col(c).cast("double"), DAY, limit) for c in numeric}) if limit else df
+    return df.withColumns({c: two_sided_fill(F.col(c).cast("double"), in_day(), limit) for c in numeric}) if limit else df
 
 
 def fill_forward_backward(df: DataFrame, column: str, limit: int, out: str) -> DataFrame:
     """Forward, then backward over what that left."""
-    return df.withColumn(out, forward_fill(F.col(column), DAY, limit)).withColumn(out, backward_fill(F.col(out), DAY, limit))
+    return df.withColumn(out, forward_fill(F.col(column), in_day(), limit)).withColumn(out, backward_fill(F.col(out), in_day(), limit))
 
 
 def log_return(df: DataFrame, close: str = "close", out: str = "r") -> DataFrame:
     """The first bar of a day is 0; prices that are not positive count as missing."""
     p = positive_log(F.col(close))
-    return df.withColumn(out, F.when(F.row_number().over(DAY) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(DAY)))
+    return df.withColumn(out, F.when(F.row_number().over(in_day()) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(in_day())))
 
 
 def repaired_return(df: DataFrame, limit: int = RETURN_FILL, extra: int = RETURN_EXTRA, least: float = RETURN_VALID) -> DataFrame:
     """``r_close`` and ``rclose_limit_used``: a larger fill only for days short of values, and only where it adds some."""
     for k in (limit, extra):
         df = log_return(fill_forward_backward(df, "close", k, f"__c{k}"), f"__c{k}", f"__r{k}")
-    n = F.count(F.lit(1)).over(WHOLE_DAY)
-    df = df.withColumns({f"__v{k}": F.count(f"__r{k}").over(WHOLE_DAY) / n for k in (limit, extra)})
+    n = F.count(F.lit(1)).over(whole_day())
+    df = df.withColumns({f"__v{k}": F.count(f"__r{k}").over(whole_day()) / n for k in (limit, extra)})
     better = (F.col(f"__v{limit}") < least) & (F.col(f"__v{extra}") > F.col(f"__v{limit}")) & F.lit(extra > limit)
     df = df.withColumns({"r_close": F.when(better, F.col(f"__r{extra}")).otherwise(F.col(f"__r{limit}")), "rclose_limit_used": F.when(better, extra).otherwise(limit)})
     return df.drop(*[f"__{x}{k}" for k in (limit, extra) for x in "crv"])
@@ -77,7 +83,7 @@ def quality_summary(quality: DataFrame, least: float = RETURN_VALID) -> DataFram
 
 
 def position(df: DataFrame) -> DataFrame:
-    return df.withColumn("bar_index_since_open", (F.row_number().over(DAY) - 1).cast("int"))
+    return df.withColumn("bar_index_since_open", (F.row_number().over(in_day()) - 1).cast("int"))
 
 
 def volume_z(df: DataFrame) -> DataFrame:
@@ -88,7 +94,7 @@ def volume_z(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    df = df.withColumns({"spread_vwap": F.col("close") - F.col("vwap"), "ATR_14_day_mean": F.avg("atr_14").over(WHOLE_DAY)})
+    df = df.withColumns({"spread_vwap": F.col("close") - F.col("vwap"), "ATR_14_day_mean": F.avg("atr_14").over(whole_day())})
     return df.withColumn("spread_vwap_norm", ratio(F.col("spread_vwap"), F.col("ATR_14_day_mean")))
 
 
