@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, neardup, pages, quality, secrets, sharding, spans, vectors
+from barloom.llm import bpe, chat, mixing, neardup, oracles, pages, quality, secrets, sharding, spans, vectors
 from barloom.session import ship_package
 
 
@@ -31,4 +31,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return dict(oracles.SQL)
