@@ -289,13 +289,15 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
 def fit(df: DataFrame, html: str = "html", pages: int = FIT_PAGES) -> np.ndarray:
     """The classifier from the blocks with plain markup on the pages of the lowest seeded hashes.
 
-    At most ``pages`` pages with FIT_BLOCKS blocks each: the only thing that comes to the driver.
+    About ``pages`` pages at most, with FIT_BLOCKS blocks each: the only thing that comes to the driver. A page
+    counts once, however many copies it has.
     """
     n = df.count()
     h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(html)), 11)
     some = df.select(F.col(html).alias("html"), h.alias("h"))
     if n > pages:
         some = some.where(F.col("h") <= int(pages / n * (1 << 53)))
+    some = some.dropDuplicates(["html"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -168,12 +168,14 @@ def learn(x: pd.DataFrame, bad: np.ndarray) -> list[Rule]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, key: str = "doc_id", text: str = "text") -> list[Rule]:
     """Rules from the labelled documents that pass the base rule.
 
-    The labels of the ``rows`` lowest seeded hashes are the sample (a hash threshold, then a sort of at most about
+    The ids of the ``rows`` lowest seeded hashes are the sample (a hash threshold, then a sort of at most about
     that many); it is the one thing that comes to the driver, and the bound on the broadcast that picks its texts.
+    An id counts once, however often it repeats: with its lowest label, and with the least of its texts' statistics.
     Null labels and null ids are left out.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).select(F.col(key).alias("__id"), F.col("quality").cast("int").alias("__quality"))
+    known = known.groupBy("__id").agg(F.min("__quality").alias("__quality"))
     h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "__id"), 11)
     n = known.count()
     share = 1.0 if n <= rows else 1.02 * rows / n
@@ -182,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, key: str = "do
         return []
     sample = spark.createDataFrame([(i, q) for _, i, q in picked], known.schema)
     found = with_counts(docs.join(F.broadcast(sample), F.col(key) == F.col("__id")), ["__id", "__quality"], text).where(~base_failed())
-    table = found.select("__id", "__quality", *(feature(f).alias(f) for f in FEATURES)).limit(4 * rows).toPandas().sort_values(["__id", *FEATURES], ignore_index=True)
+    one = found.groupBy("__id", "__quality").agg(F.min(F.struct(*(feature(f).alias(f) for f in FEATURES))).alias("f"))
+    table = one.select("__id", "__quality", "f.*").toPandas().sort_values("__id", ignore_index=True)
     order = np.random.default_rng(SEED).permutation(len(table))
     table = table.iloc[order]
     return learn(table[list(FEATURES)], (table["__quality"] == 0).to_numpy())

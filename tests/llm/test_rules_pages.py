@@ -118,3 +118,13 @@ def test_pipeline_stages_on_the_small_table(spark):
         assert at.columns == docs.columns
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == at.count()
+
+
+def test_samples_count_copies_once(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60 + i))) for i in range(90)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, quality int")
+    hot = docs.where("doc_id = 7").crossJoin(spark.range(300).select()), labels.where("doc_id = 7").crossJoin(spark.range(300).select())
+    assert quality.fit(docs.unionByName(hot[0]), labels.unionByName(hot[1])) == quality.fit(docs, labels)
+    df = spark.createDataFrame([(PAGE.replace("Second", f"S{i}"),) for i in range(20)], "html string")
+    more = df.unionByName(df.limit(1).crossJoin(spark.range(300).select()))
+    assert np.allclose(pages.fit(more), pages.fit(df))
