@@ -83,10 +83,26 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def repeat_rows(df: DataFrame, taken: str = "taken", size: str = "size") -> DataFrame:
-    """Whole rows as often as the mix takes them: once per full epoch, once more where the cut takes at least half.
+def repeat_mixed(df: DataFrame, key: list[str], size: Column, source: str = "source", weights: tuple = (1, 2, 3), max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """Whole rows of ``df`` as often as the mix takes them: once per full epoch, once more before the cut of the source.
 
-    Rows of size 0 stay once.
+    The row at the cut is repeated if at least half of it is taken; rows of size 0 stay once. Only hashed keys and
+    sizes are sorted: they give each source its epochs and the hash of its last repeated row, against which the whole
+    rows are compared where they stand, so these never shuffle. Rows equal in all of ``key`` are taken alike, null
+    keys like any other; an empty table gives an empty result. Columns named ``__*`` are left out.
     """
-    times = F.when(F.col(size) > 0, F.floor(F.col(taken) / F.col(size) + 0.5)).otherwise(1).cast("int")
-    return df.withColumn("__i", F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))).where(times > 0).drop("__i")
+    keep = [c for c in df.columns if not c.startswith("__")]
+    row = F.xxhash64(F.lit(seed), *key)
+    narrow = cut(df.select(row.alias("row"), F.col(source).alias("source"), size.alias("size")), "mix-sizes")
+    mixed = mix(narrow, "row", "source", "size", weights, max_epochs, seed).where("size > 0")
+    epochs = F.floor(F.col("target") / F.col("source_size"))
+    once_more = F.floor(F.col("taken") / F.col("size") + 0.5) > epochs
+    order = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row"), 11).alias("h"), F.col("row"))
+    by = mixed.groupBy(F.col("source").alias("__source")).agg(F.min(epochs).cast("int").alias("__epochs"), F.max(F.when(once_more, order)).alias("__last"))
+    by = cut(by, "mix-cuts")
+    rows = df.select(*keep, row.alias("__row"), size.alias("__size"))
+    rows = rows.join(F.broadcast(by) if by.count() <= 10_000 else by, F.col(source).eqNullSafe(F.col("__source")), "left")
+    place = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__row"), 11).alias("h"), F.col("__row").alias("row"))
+    times = F.when(F.col("__size") > 0, F.col("__epochs") + F.coalesce(place <= F.col("__last"), F.lit(False)).cast("int")).otherwise(1)
+    rows = rows.withColumn("__times", times).where("__times > 0")
+    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*keep)

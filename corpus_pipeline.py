@@ -36,8 +36,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: sources weigh 1, 2, 3 in turn over all words."""
-    sized = docs.withColumn("__size", mixing.count_words(F.col("text")))
-    return mixing.repeat_rows(mixing.mix(cut(sized.withColumnRenamed("__size", "words_of_text"), "mix-docs"), size="words_of_text"), size="words_of_text").select(*docs.columns)
+    return mixing.repeat_mixed(docs, ["doc_id", "text"], mixing.count_words(F.col("text")))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import math
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from barloom.llm import mixing, sharding
 
@@ -117,3 +117,25 @@ def test_op8_contract(spark):
         sizes[by[r.doc_id][1]] += r["size"]
     goal = targets(sizes)
     assert all(abs(taken[s] - goal[s]) <= 1 for s in goal)
+
+
+def test_whole_rows_are_repeated_as_the_mix_takes_them(spark):
+    rnd = random.Random(9)
+    for sources in (["a"], ["b", None, "a", "Z"], [f"s{i}" for i in range(20)]):
+        rows = [(i if i % 40 else None, rnd.choice(sources + [sources[0]] * 9), "w " * rnd.choice([0, 1, 2, 30, 31]), "x") for i in range(500)] + [(1000, sources[0], None, "x")]
+        df = spark.createDataFrame(rows, "doc_id bigint, source string, text string, size string")
+        out = mixing.repeat_mixed(df.repartition(3), ["doc_id", "text"], mixing.count_words(df["text"]))
+        assert out.columns == df.columns
+        times = Counter(map(tuple, out.collect()))
+        assert all(times[r] == rows.count(r) for r in rows if not (r[2] or "").split())
+        sizes, taken = defaultdict(int), defaultdict(int)
+        for r in rows:
+            sizes[r[1]] += len((r[2] or "").split())
+        for r, n in times.items():
+            assert r in rows and n <= 3 * rows.count(r)
+            taken[r[1]] += n * len((r[2] or "").split())
+        goal = targets(sizes)
+        # half a row at the cut, and null ids with equal texts are taken alike
+        assert all(abs(taken[s] - goal[s]) <= 31 * 4 for s in goal)
+        assert Counter(map(tuple, mixing.repeat_mixed(df.repartition(5), ["doc_id", "text"], mixing.count_words(df["text"])).collect())) == times
+    assert mixing.repeat_mixed(df.limit(0), ["doc_id", "text"], mixing.count_words(df["text"])).count() == 0
