@@ -29,6 +29,8 @@ from barloom.session import cut
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
+#: The same for the pipeline, whose stages on word shingles link at 0.8 or more.
+STAGE_PERCENT = 80
 #: Wanted chance that a pair at the threshold meets.
 RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch, and the share that must agree before full sets are compared: 4.7 deviations below.
@@ -321,8 +323,8 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """The rows of ``docs`` with one document left of each group; rows without words all stay."""
-    found = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.max("n_shingles").alias("__n")).withColumnRenamed("doc_id", "__id")
+    found = near_duplicates(docs, percent=percent).groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.max("n_shingles").alias("__n")).withColumnRenamed("doc_id", "__id")
     rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id"))).where("__kept")
     return rows.drop("__id", "__kept", "__n")

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from barloom.llm import neardup, spans, vectors
 
 DOC = "doc_id bigint, text string, kept string"
@@ -67,6 +68,16 @@ def test_near_duplicates_with_null_ids_repeats_and_no_rows(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_the_stage_links_copies_from_0_8_on(spark):
+    # one word of w changes 5 of w - 4 shingles on each side: similarities 45 / 55 and 35 / 45
+    rows = []
+    for i, words in enumerate((54, 44)):
+        w = [f"t{i}w{k}" for k in range(words)]
+        rows += [(2 * i, " ".join(w), "x"), (2 * i + 1, " ".join([*w[:20], "other", *w[21:]]), "x")]
+    left = corpus_pipeline.minhash_near_dedup(spark, spark.createDataFrame(rows, DOC), "")
+    assert sorted(map(tuple, left.collect())) == [rows[0], rows[2], rows[3]]
+
+
 def test_repeated_passages_go_from_all_but_the_first(spark):
     rnd = random.Random(1)
     said = lambda n: " ".join(f"v{rnd.randrange(900)}" + ("." if rnd.random() < 0.1 else "") for _ in range(n)) + "."
