@@ -1,14 +1,15 @@
-"""Near-duplicates by a chosen-path set similarity join over minwise tokens.
+"""Near-duplicates by a set similarity join over trees of minwise tokens.
 
 A document's set has its distinct word shingles. Documents with equal sets are one record. In each of several
-independent trees a record goes from a node to the children named by a few of its minwise tokens, which the node's
-own seed selects: one token always and another in some nodes, 1 / similarity on average, so that similar records
-keep meeting. The records of a small node are compared exhaustively, first by sketches, then on full sets. A large
-node is split into blocks that share a few leaders; if its records are still in several components after that, it
-branches on. Nodes whose records are all in one component hold no news and go.
-
-A pair at the threshold meets in a tree's first level with the chance ``similarity``; the number of trees follows
-from the recall wanted.
+independent trees a record goes to the nodes named by a few of its minwise tokens: one token always and another in
+some trees, so that similar records meet. The records of a small node are compared exhaustively, first by sketches, then on full sets. A large
+node is split into blocks that share a few leaders, which joins most groups cheaply; if its records are still in
+several components after that, all pairs of records from different components are compared, block by block. Nodes
+whose records are all in one component hold no news and go.
+
+A pair at the threshold meets in a tree with the chance ``similarity``; the number of trees follows from the recall
+wanted, and so does the agreement of sketches that is asked for. So a pair is missed with at most twice the chance
+1 - recall, as far as minwise tokens behave like independent ones; the size of a node does not matter.
 """
 
 from __future__ import annotations
@@ -31,14 +32,14 @@ WORDS = 5
 PERCENT = 85
 #: The same for the pipeline, whose stages on word shingles link at 0.8 or more.
 STAGE_PERCENT = 80
-#: Wanted chance that a pair at the threshold meets.
+#: Wanted chance that a pair at the threshold meets, and that its sketches then agree enough to compare full sets.
 RECALL = 1 - 1e-6
-#: Minwise tokens of a sketch, and the share that must agree before full sets are compared: 4.7 deviations below.
-SKETCH, SKETCH_SHARE = 64, 0.64
+#: Minwise tokens of a sketch.
+SKETCH = 64
 #: Records and shingles of a block; leaders that the blocks of a node share.
 BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 4096, 1 << 22, 4
-#: Levels after which the blocks of a node are compared two by two.
-MAX_DEPTH = 8
+#: Most rounds in which large nodes are compared block by block: one tree in each, the last takes all other trees.
+MAX_DEPTH = 2
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 1 << 13
@@ -48,6 +49,16 @@ def trees_for(recall: float, similarity: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
 
 
+def agreement_for(recall: float, similarity: float) -> int:
+    """The most tokens of two sketches that agree with the chance ``recall`` at least, for sets of that similarity."""
+    less = 0.0
+    for k in range(SKETCH):
+        less += math.comb(SKETCH, k) * similarity**k * (1 - similarity) ** (SKETCH - k)
+        if less > 1 - recall:
+            return k
+    return SKETCH
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -115,28 +126,35 @@ def _describe(trees: int, words: int):
     return run
 
 
-def _candidates(sketch: np.ndarray, n: np.ndarray, comp: list[bytes], share: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j, agreement) of different components whose sketches and sizes allow a link."""
-    code = np.unique(np.frombuffer(b"".join(comp), "S16"), return_inverse=True)[1]
-    left, right, agree = [], [], []
-    for i in range(len(n) - 1):
-        same = (sketch[i + 1 :] == sketch[i]).sum(axis=1)
-        low, high = np.minimum(n[i + 1 :], n[i]), np.maximum(n[i + 1 :], n[i])
-        j = np.flatnonzero((same >= share * SKETCH) & (code[i + 1 :] != code[i]) & (100 * low >= percent * high))
+def _candidates(sketch: np.ndarray, n: np.ndarray, comp: list[bytes], agree: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of different components whose sketches and sizes allow a link; equal i stand together.
+
+    Components stand together, the largest last, so that its records are compared with those of the others only.
+    """
+    code, counts = np.unique(np.frombuffer(b"".join(comp), "S16"), return_inverse=True, return_counts=True)[1:]
+    order = np.lexsort((code, counts[code]))
+    code, sketch, n = code[order], sketch[order], n[order]
+    cuts = np.append(np.flatnonzero(np.diff(code)) + 1, len(code))
+    ends = np.repeat(cuts, np.diff(cuts, prepend=0))
+    left, right = [], []
+    for i in range(len(cuts) > 1 and cuts[-2]):
+        k = ends[i]
+        same = (sketch[k:] == sketch[i]).sum(axis=1)
+        low, high = np.minimum(n[k:], n[i]), np.maximum(n[k:], n[i])
+        j = np.flatnonzero((same >= agree) & (100 * low >= percent * high))
         left.append(np.full(len(j), i))
-        right.append(j + i + 1)
-        agree.append(same[j])
-    return tuple(np.concatenate(x) if x else np.zeros(0, int) for x in (left, right, agree))
+        right.append(j + k)
+    return tuple(order[np.concatenate(x)] if x else np.zeros(0, int) for x in (left, right))
 
 
-def _promising(share: float, percent: int):
+def _promising(agree: int, percent: int):
     """Of each block, the records with a candidate in another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[pa.Table] = []
         for block in runs(batches, "block"):
             if block.num_rows > 1:
-                i, j, _ = _candidates(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), block["comp"].to_pylist(), share, percent)
+                i, j = _candidates(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), block["comp"].to_pylist(), agree, percent)
                 if len(i):
                     out.append(block.take(pa.array(np.union1d(i, j))))
             if len(out) > 500:
@@ -149,7 +167,7 @@ def _promising(share: float, percent: int):
 
 
 def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets i and j; ``i`` ascends."""
+    """Sizes of the intersections of the sets i and j; equal i stand together."""
     sizes = np.array([len(s) for s in sets])
     ends = np.cumsum(sizes)
     code = np.unique(np.concatenate(sets), return_inverse=True)[1]
@@ -167,7 +185,7 @@ def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
-def _confirm(share: float, percent: int, words: int):
+def _confirm(agree: int, percent: int, words: int):
     """Links of each block on full sets; of links inside a component only those that first joined it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +204,7 @@ def _confirm(share: float, percent: int, words: int):
             sets = [records[k][1] for k in keys]
             comp = [records[k][0] for k in keys]
             sketch = np.stack([(minwise(s) >> np.uint64(32)).astype(np.uint32) for s in sets])
-            i, j, _ = _candidates(sketch, np.array([len(s) for s in sets]), comp, share, percent)
+            i, j = _candidates(sketch, np.array([len(s) for s in sets]), comp, agree, percent)
             if not len(i):
                 continue
             common = _common(sets, i, j)
@@ -221,9 +239,9 @@ def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 class _Join:
     """The components found so far and the steps that find more."""
 
-    def __init__(self, docs: DataFrame, records: DataFrame, percent: int, words: int):
+    def __init__(self, docs: DataFrame, records: DataFrame, percent: int, words: int, recall: float):
         self.docs, self.records, self.percent, self.words = docs, records, percent, words
-        self.share = SKETCH_SHARE * percent / PERCENT
+        self.agree = agreement_for(recall, percent / 100)
         self.comp: DataFrame | None = None
         self.texts: DataFrame | None = None
 
@@ -234,30 +252,51 @@ class _Join:
             return rows.withColumn("comp", F.col("set_id"))
         return rows.join(self.comp.withColumnsRenamed({"u": "set_id", "v": "__root"}), "set_id", "left").withColumn("comp", F.coalesce("__root", "set_id")).drop("__root")
 
-    def blocks(self, nodes: DataFrame, pairwise: bool = False) -> tuple[DataFrame, DataFrame]:
-        """The promising records of the blocks of ``nodes`` (node, set_id, n, first), and the members of split nodes."""
+    def blocks(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The promising records of the blocks of ``nodes`` (node, set_id, n, round), and the members of split nodes."""
         rows = self.labelled(nodes)
-        lead = [F.min(F.struct(F.xxhash64(F.lit(k), "set_id").alias("h"), "set_id"))["set_id"].alias(f"l{k}") for k in range(LEADERS)]
-        stats = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("a"), F.max("comp").alias("b"), *lead).where("size > 1 and a != b")
-        parts = F.greatest(F.ceil(F.col("size") / BLOCK_RECORDS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-        stats = cut(stats.select("node", parts.alias("parts"), F.array_distinct(F.array(*(f"l{k}" for k in range(LEADERS)))).alias("leaders")), "nodes")
+        lead = [F.min(F.struct(F.xxhash64(F.lit(k), "node", "set_id").alias("h"), "set_id"))["set_id"].alias(f"l{k}") for k in range(LEADERS)]
+        stats = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("round").alias("round"), *lead).where("size > 1 and a != b")
+        parts = _parts(F.col("size"), F.col("weight"), BLOCK_RECORDS, BLOCK_SHINGLES)
+        stats = cut(stats.select("node", "round", parts.alias("parts"), F.array_distinct(F.array(*(f"l{k}" for k in range(LEADERS)))).alias("leaders")), "nodes")
         members = cut(nodes.join(stats.select("node", "parts"), "node"), "members")
-        part = F.pmod(F.xxhash64(F.lit(5), "set_id"), F.col("parts").cast("bigint")).cast("int")
-        if pairwise:
-            other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("__o")
-            blocks = members.withColumn("__p", part).select("*", other).select("node", "first", "set_id", (F.least("__p", "__o") * F.col("parts") + F.greatest("__p", "__o")).alias("part"))
-        else:
-            shared = stats.where("parts > 1").select("node", F.lit(False).alias("first"), F.explode("leaders").alias("set_id"), "parts")
-            shared = shared.select("node", "first", "set_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-            blocks = members.select("node", "first", "set_id", part.alias("part")).unionByName(shared)
-        blocks = blocks.groupBy(F.xxhash64("node", "part").alias("block"), "set_id").agg(F.max("first").alias("first"))
-        rows = blocks.join(self.records.select("set_id", "n", "sketch", "rep"), "set_id")
-        return self.promising(rows), members.where("parts > 1").select("node", "set_id", "n", F.lit(False).alias("first"))
-
-    def promising(self, rows: DataFrame) -> DataFrame:
-        rows = self.labelled(rows).select("block", "first", "set_id", "n", "sketch", "rep", "comp")
+        shared = stats.where("parts > 1").select("node", "round", F.explode("leaders").alias("set_id"), "parts")
+        shared = shared.select("node", "round", "set_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        blocks = members.select("node", "round", "set_id", _part("parts").alias("part")).unionByName(shared)
+        blocks = blocks.groupBy(F.xxhash64("node", "part").alias("block"), "set_id").agg(F.min("round").alias("round"))
+        return self.promising(blocks), members.where("parts > 1").select("node", "set_id", "n", "round")
+
+    def pairs(self, split: DataFrame) -> DataFrame | None:
+        """The promising records of all pairs of blocks of ``split`` that may hold news; None where no node does.
+
+        The largest component of a node needs no comparison inside itself: each of its parts meets each part of the
+        other records once, and only those parts meet each other, too.
+        """
+        rows = self.labelled(split)
+        sizes = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+        stats = sizes.groupBy("node").agg(F.max(F.struct("size", "weight", "comp")).alias("m"), F.sum("size").alias("size"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        # half as much in a block, as two meet
+        limits = BLOCK_RECORDS // 2, BLOCK_SHINGLES // 2
+        others = _parts(F.col("size") - F.col("m.size"), F.col("weight") - F.col("m.weight"), *limits)
+        stats = cut(stats.select("node", F.col("m.comp").alias("main"), _parts(F.col("m.size"), F.col("m.weight"), *limits).alias("mains"), others.alias("others")), "nodes")
+        if stats.isEmpty():
+            return None
+        rows = rows.join(stats, "node").withColumn("in_main", F.col("comp") == F.col("main"))
+        rows = rows.withColumn("part", F.when(F.col("in_main"), _part("mains")).otherwise(_part("others")))
+        mains, others = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("mains", "others"))
+        meet = lambda kind, a, b: F.xxhash64("node", F.lit(kind), a, b)
+        part = F.col("part")
+        outside = F.transform(mains, lambda p: meet(0, p, part))
+        among = F.transform(F.filter(others, lambda p: p != part), lambda p: meet(1, F.least(p, part), F.greatest(p, part)))
+        block = F.when(F.col("in_main"), F.transform(others, lambda p: meet(0, part, p))).otherwise(F.concat(outside, among))
+        return self.promising(rows.select(F.explode(block).alias("block"), "set_id", "round"))
+
+    def promising(self, blocks: DataFrame) -> DataFrame:
+        """Of each block (block, set_id, round), the records with a candidate in another component."""
+        rows = blocks.select("block", "set_id", "round").join(self.records.select("set_id", "n", "sketch", "rep"), "set_id")
+        rows = self.labelled(rows).select("block", "round", "set_id", "n", "sketch", "rep", "comp")
         rows = rows.repartition("block").sortWithinPartitions("block", "set_id")
-        return cut(rows.mapInArrow(_promising(self.share, self.percent), rows.schema), "promising")
+        return cut(rows.mapInArrow(_promising(self.agree, self.percent), rows.schema), "promising")
 
     def fetch(self, found: DataFrame, split: DataFrame) -> None:
         """Reads the texts of all records that may be compared, in one pass over the documents."""
@@ -268,19 +307,18 @@ class _Join:
     def confirm(self, found: DataFrame) -> None:
         """Adds the links of ``found`` (block, set_id, comp) to the components."""
         rows = found.select("block", "set_id", "comp").join(self.texts, "set_id").repartition("block").sortWithinPartitions("block", "set_id")
-        links = cut(rows.mapInArrow(_confirm(self.share, self.percent, self.words), "u binary, v binary"), "found")
+        links = cut(rows.mapInArrow(_confirm(self.agree, self.percent, self.words), "u binary, v binary"), "found")
         self.comp = components(links if self.comp is None else links.unionByName(self.comp))
 
-    def children(self, nodes: DataFrame) -> DataFrame:
-        """The next level: each record follows the token that the node selects, and a second one in some nodes."""
 
-        def child(k: int) -> Column:
-            place = F.pmod(F.xxhash64(F.lit(100 + k), "node"), F.lit(SKETCH)).cast("int")
-            return F.xxhash64("node", F.lit(k), F.substring(F.col("sketch"), place * 4 + 1, F.lit(4)))
+def _parts(size: Column, weight: Column, records: int, shingles: int) -> Column:
+    """Parts of so many records and shingles."""
+    return F.greatest(F.ceil(size / records), F.ceil(weight / shingles), F.lit(1)).cast("int")
+
 
-        second = F.pmod(F.xxhash64(F.lit(99), "node"), F.lit(1000)) < int(1000 * (100 / self.percent - 1))
-        rows = nodes.join(self.records.select("set_id", "sketch"), "set_id")
-        return rows.select(F.explode(F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))).alias("node"), "set_id", "n", "first")
+def _part(parts: str) -> Column:
+    """The part of a record, by the node's own seed."""
+    return F.pmod(F.xxhash64(F.lit(5), "node", "set_id"), F.col(parts).cast("bigint")).cast("int")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
@@ -297,19 +335,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     described = cut(described, "sets")
     records = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
     records = cut(records, "records")
-    join = _Join(docs, records, percent, words)
-    found, split = join.blocks(records.select("set_id", "n", F.posexplode("nodes").alias("__tree", "node")).select("node", "set_id", "n", (F.col("__tree") == 0).alias("first")))
+    join = _Join(docs, records, percent, words, recall)
+    # the second tokens stand after those of all trees, in every sixth one
+    tree = F.when(F.col("__place") < trees, F.col("__place")).otherwise((F.col("__place") - trees) * 6 + 5)
+    nodes = records.select("set_id", "n", F.posexplode("nodes").alias("__place", "node"))
+    found, split = join.blocks(nodes.select("node", "set_id", "n", F.least(tree, F.lit(MAX_DEPTH - 1)).alias("round")))
     join.fetch(found, split)
     # the first tree joins most groups, so that the others find most of their blocks settled
-    join.confirm(found.where("first"))
-    join.confirm(join.promising(found.where("not first")))
-    depth = 1
-    while depth < MAX_DEPTH and not split.isEmpty():
-        depth += 1
-        # the last time whatever is still large is compared block by block
-        last = depth == MAX_DEPTH
-        found, split = join.blocks(split if last else cut(join.children(split), "children"), pairwise=last)
-        join.confirm(found)
+    join.confirm(found.where("round = 0"))
+    join.confirm(join.promising(found.where("round > 0")))
+    for k in range(MAX_DEPTH):
+        if (found := join.pairs(split.where(F.col("round") == k))) is not None:
+            join.confirm(found)
     label = join.labelled(records.select("set_id", "rep", "n")).select("set_id", "rep", "comp")
     least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
     label = label.join(least, "comp").select("set_id", "component_id")

@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -60,6 +61,32 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, records, depth)
     assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found} == {(i, len(sets[i]), of[i], of[i] == i) for i in sets}
 
 
+def test_copies_of_one_original_in_groups_over_the_block_size(spark, monkeypatch):
+    # a copy has two words changed: 150 / 170 shingles in common with the original, 140 / 180 with most other copies
+    monkeypatch.setattr(neardup, "BLOCK_RECORDS", 6)
+    rnd = random.Random(11)
+    rows = []
+    for g in range(4):
+        w = [f"g{g}w{k}" for k in range(164)]
+        rows.append((100 * g, " ".join(w), "x"))
+        for c in range(1, 70):
+            copy = list(w)
+            for k in rnd.sample(range(5, 159), 2):
+                copy[k] = f"c{c}k{k}"
+            rows.append((100 * g + c, " ".join(copy), "x"))
+    _, of = near_expected(rows)
+    assert len(set(of.values())) < 20
+    found = neardup.near_duplicates(spark.createDataFrame(rows, DOC).repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in found} == of
+
+
+def test_sketches_agree_with_the_recall_wanted():
+    for similarity in (0.8, 0.85):
+        k = neardup.agreement_for(1 - 1e-6, similarity)
+        short = lambda k: sum(math.comb(64, i) * similarity**i * (1 - similarity) ** (64 - i) for i in range(k))
+        assert short(k) <= 1e-6 < short(k + 1)
+
+
 def test_near_duplicates_with_null_ids_repeats_and_no_rows(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(None, text, ""), (5, text, ""), (5, text, ""), (9, "x", ""), (None, None, "")], DOC)
