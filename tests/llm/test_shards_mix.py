@@ -3,6 +3,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from barloom.llm import mixing, sharding
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +54,31 @@ def test_written_shards_hold_every_row(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in back.collect()) == sorted((r.doc_id, r.text) for r in docs.collect())
 
 
+def test_op5_writes_whole_rows_and_reads_them_back(spark, monkeypatch):
+    docs, paths, write = spark.read.parquet(f"{SF}/documents.parquet"), [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path: (paths.append(path), write(df, path)))
+    rows = sharding.op5_sharding(spark, SF)
+    held = spark.read.parquet(*paths)
+    assert sorted(map(tuple, held.select(docs.columns).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    assert {(r["shard"], r.slot, r.doc_id) for r in rows.collect()} == {(r["shard"], r.slot, r.doc_id) for r in held.collect()}
+
+
+def test_copies_of_a_row_spread_over_all_parts(spark):
+    columns = ("k", "w")
+    rows = [(i, 100) for i in range(500)] + [(7, 100)] * 400
+    df = spark.createDataFrame(rows, "k bigint, w bigint").repartition(3)
+    seen = sharding._deal_copies(df.select(*columns, F.lit(0).alias("__shard"), F.lit(3).cast("bigint").alias("__part")), [*columns], "w", 9, 1000)
+    assert Counter((r.k, r.w) for r in seen.collect()) == Counter(rows)
+    sizes = Counter(r["__part"] for r in seen.collect() if r.k == 7)
+    assert set(sizes) == set(range(9)) and max(sizes.values()) - min(sizes.values()) <= 1
+    out = sharding.assign_shards(df, "k", "w", shards=2, bucket_bytes=4000).collect()
+    assert Counter((r.k, r.w) for r in out) == Counter(rows)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def targets(sizes, weights=(1, 2, 3), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
