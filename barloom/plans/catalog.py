@@ -82,9 +82,11 @@ simple("stochastic", lambda s, d: indicators.stochastic(hour_bars(s, d)), [*KEY,
 # ---- grid, alignment, fills
 _inside = lambda s, d: calendar.rth(hour_bars(s, d))
 simple("grid_minute", lambda s, d: calendar.minute_grid(_inside(s, d).where("ticker = 'click'")), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m) WHERE ticker = 'click')")
+simple("grid_minute_whole", lambda s, d: calendar.minute_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m))")
 simple("grid_hour_adaptive", lambda s, d: calendar.hour_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["grid"], "grid")
 simple("align_left", lambda s, d: merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)), [*KEY, "day_id", "close"], ["aligned"], "aligned", ["close"])
 simple("align_outer", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d).where("transactions > 2")).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN (SELECT * FROM hour_bars WHERE transactions > 2) b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
+simple("align_outer_whole", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d)).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN hour_bars b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
 _aligned = lambda s, d: merge.gap_flag(merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)))
 simple("gap_flag", _aligned, [*KEY, "is_gap"], ["aligned"], "aligned")
 register("gap_runs", sql.query(["aligned"], sql.longest("aligned", "ticker, day_id", "CASE WHEN is_gap = 1 THEN 1 END", "max_gap")))(lambda s, d: longest_runs(_aligned(s, d), ["ticker", "day_id"], F.when(F.col("is_gap") == 1, 1), "max_gap"))
@@ -143,6 +145,17 @@ def agg_hour(spark: SparkSession, d: str) -> DataFrame:
     return rounded(r.groupBy("ticker", calendar.window_end(F.col("ts"), "hour").alias("win_end")).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("ret"), F.sum(F.col("r") * F.col("r")).alias("rv")))
 
 
+_returns = "CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r"
+
+
+@register("agg_hour_whole", sql.query(["minute_bars"], f"SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv FROM (SELECT *, {_returns} FROM minute_bars WHERE {sql.MINUTE} BETWEEN 570 AND 959) GROUP BY 1, 2", ["ret", "rv"]))
+def agg_hour_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Hour windows of the minute bars of the whole regular session, by their end."""
+    bars = calendar.rth(build_bars(tables.ticks(spark, d), "minute")).withColumn("day_id", F.to_date("ts"))
+    r = merge.log_return(bars)
+    return rounded(r.groupBy("ticker", calendar.window_end(F.col("ts"), "hour").alias("win_end")).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("ret"), F.sum(F.col("r") * F.col("r")).alias("rv")))
+
+
 def day_rows(spark: SparkSession, d: str) -> DataFrame:
     """A daily feature table over seven years, with a gap in ``volume`` now and then."""
     b = build_bars(tables.trades(spark, d), "day")
@@ -276,6 +289,13 @@ def auto_shift_align(spark: SparkSession, d: str) -> DataFrame:
     return moved.groupBy("ticker", "align", "overlap").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("auto_shift_align_whole", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))
+def auto_shift_align_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The shift of every hour bar, also of those outside the session."""
+    marks = calendar.hour_grid(_inside(spark, d)).select("ticker", (F.col("ts") + F.expr("interval 1 hour")).alias("end_ts"))
+    return documents.auto_shift(hour_bars(spark, d), marks).groupBy("ticker", "align", "overlap").agg(F.count(F.lit(1)).alias("n"))
+
+
 register("end_of_hour_key", sql.query(["hour_bars"], "SELECT ticker, ts + INTERVAL 1 HOUR AS end_ts, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour FROM hour_bars"))(lambda s, d: (lambda b: b.select("ticker", calendar.end_of_hour(b).alias("end_ts"), F.date_format(calendar.end_of_hour(b), "HH:mm").alias("hour")))(hour_bars(s, d).select("ticker", F.to_date("ts").alias("day_id"), F.date_format("ts", "HH:mm").alias("hour_label"))))
 register("dedup_best_of", "SELECT source, doc_id, n_chars FROM (SELECT source, CAST(doc_id AS BIGINT) AS doc_id, CAST(n_chars AS BIGINT) AS n_chars, row_number() OVER (PARTITION BY source, lang ORDER BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1")(lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id")).select("source", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars")))
 

@@ -38,6 +38,17 @@ def test_query_agrees_with_its_sql(spark, duck, name):
     assert sorted((tuple(plain(r[c]) for c in order) for r in df.collect()), key=repr) == want
 
 
+def test_whole_queries_leave_no_rows_out(spark):
+    ticks, q = tables.ticks(spark, SF), catalog.queries()
+    days = catalog._inside(spark, SF).select("ticker", F.to_date("ts")).distinct().count()
+    assert q["grid_minute_whole"](spark, SF).count() == 390 * days
+    bars = tables.build_bars(ticks, "hour").count()
+    assert sum(r.bars for r in q["align_outer_whole"](spark, SF).collect()) == bars
+    assert sum(r.n for r in q["auto_shift_align_whole"](spark, SF).collect()) == bars
+    minutes = tables.build_bars(ticks, "minute").where("hour(ts) * 60 + minute(ts) between 570 and 959").count()
+    assert sum(r.n for r in q["agg_hour_whole"](spark, SF).collect()) == minutes
+
+
 def test_a_tone_peaks_at_its_period():
     t = np.arange(256)
     x = np.sin(2 * np.pi * t / 32)
