@@ -40,12 +40,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, token ids and their number for every row of the mix."""
+    """doc_id, source, token ids and their number for every row of the mix, and whether they decode to its text."""
     import public_tokenizers
 
     ship_package(spark)
-    tokens = bpe.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
-    return tokens.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"))
+    vocabulary = public_tokenizers.path(bpe.VOCABULARY)
+    tokens = bpe.encode(docs.select("doc_id", "source", "text", F.sha2("text", 256).alias("sha256")), vocabulary, public_tokenizers.PATTERN)
+    # the mix's text ends here: its digest stands for it beside the decoded bytes
+    whole = bpe.decode(tokens.select("doc_id", "source", "sha256", "ids"), vocabulary)
+    same = F.sha2("decoded", 256) == F.coalesce("sha256", F.sha2(F.lit(""), 256))
+    return whole.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("decodes_to_text"))
 
 
 STAGES = [

@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barloom.llm import pages, quality, secrets
+from barloom.llm import bpe, pages, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -120,6 +121,14 @@ def test_pipeline_stages_on_the_small_table(spark):
     assert out.count() == at.count()
 
 
+def test_the_last_stage_decodes_its_tokens(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "s", "one \u00e9\u4e2d \n two"), (2, None, ""), (3, "s", None)], "doc_id bigint, source string, text string")
+    assert {r.doc_id: r.decodes_to_text for r in corpus_pipeline.byte_bpe(spark, docs, SF).collect()} == {1: True, 2: True, 3: True}
+    encode = bpe.encode
+    monkeypatch.setattr(bpe, "encode", lambda *a: encode(*a).withColumn("ids", F.slice("ids", 1, 1)))
+    assert {r.doc_id: r.decodes_to_text for r in corpus_pipeline.byte_bpe(spark, docs, SF).collect()} == {1: False, 2: True, 3: True}
+
+
 def test_samples_count_copies_once(spark):
     docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60 + i))) for i in range(90)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, quality int")
