@@ -37,12 +37,14 @@ RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch.
 SKETCH = 64
 #: Records and shingles of a block; leaders that the blocks of a node share.
-BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 4096, 1 << 22, 4
+BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 2048, 1 << 21, 4
 #: Most rounds in which large nodes are compared block by block: one tree in each, the last takes all other trees.
 MAX_DEPTH = 2
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 1 << 13
+#: Words whose hashes a task remembers.
+REMEMBERED = 100_000
 
 
 def trees_for(recall: float, similarity: float) -> int:
@@ -67,7 +69,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -121,30 +123,35 @@ def _describe(trees: int, words: int):
                 sketches.append((low >> np.uint64(32)).astype(np.uint32).tobytes())
                 nodes.append(_mix(low[picks] ^ names[owner] ^ _mix(picks.astype(np.uint64))).astype(np.int64))
             made = [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sketches, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], names=["doc_id", "n_shingles", "set_id", "sketch", "nodes"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *made], names=["doc_id", "row", "n_shingles", "set_id", "sketch", "nodes"])
 
     return run
 
 
-def _candidates(sketch: np.ndarray, n: np.ndarray, comp: list[bytes], agree: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of different components whose sketches and sizes allow a link; equal i stand together.
+def _rows(sketch: np.ndarray, n: np.ndarray, code: np.ndarray, agree: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): for one record after another, those of other components whose sketches and sizes allow a link.
 
-    Components stand together, the largest last, so that its records are compared with those of the others only.
+    ``code`` numbers the components and may change between two records. Components stand together, the largest last,
+    so that its records are compared with those of the others only. Only one record's candidates are held.
     """
-    code, counts = np.unique(np.frombuffer(b"".join(comp), "S16"), return_inverse=True, return_counts=True)[1:]
+    counts = np.bincount(code)
     order = np.lexsort((code, counts[code]))
-    code, sketch, n = code[order], sketch[order], n[order]
-    cuts = np.append(np.flatnonzero(np.diff(code)) + 1, len(code))
+    first, sketch, n = code[order], sketch[order], n[order]
+    cuts = np.append(np.flatnonzero(np.diff(first)) + 1, len(first))
     ends = np.repeat(cuts, np.diff(cuts, prepend=0))
-    left, right = [], []
-    for i in range(len(cuts) > 1 and cuts[-2]):
-        k = ends[i]
-        same = (sketch[k:] == sketch[i]).sum(axis=1)
-        low, high = np.minimum(n[k:], n[i]), np.maximum(n[k:], n[i])
-        j = np.flatnonzero((same >= agree) & (100 * low >= percent * high))
-        left.append(np.full(len(j), i))
-        right.append(j + k)
-    return tuple(order[np.concatenate(x)] if x else np.zeros(0, int) for x in (left, right))
+    for i in range(len(cuts) > 1 and int(cuts[-2])):
+        k = int(ends[i])
+        left = np.flatnonzero(code[order[k:]] != code[order[i]]) + k
+        small, large = np.minimum(n[left], n[i]), np.maximum(n[left], n[i])
+        left = left[100 * small >= percent * large]
+        if len(left):
+            left = left[(sketch[left] == sketch[i]).sum(axis=1) >= agree]
+        if len(left):
+            yield int(order[i]), order[left]
+
+
+def _codes(comp: list[bytes]) -> np.ndarray:
+    return np.unique(np.frombuffer(b"".join(comp), "S16"), return_inverse=True)[1]
 
 
 def _promising(agree: int, percent: int):
@@ -152,41 +159,44 @@ def _promising(agree: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[pa.Table] = []
+        held = 0
         for block in runs(batches, "block"):
             if block.num_rows > 1:
-                i, j = _candidates(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), block["comp"].to_pylist(), agree, percent)
-                if len(i):
-                    out.append(block.take(pa.array(np.union1d(i, j))))
-            if len(out) > 500:
+                hit = np.zeros(block.num_rows, bool)
+                for i, others in _rows(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), _codes(block["comp"].to_pylist()), agree, percent):
+                    hit[i] = hit[others] = True
+                if hit.any():
+                    out.append(block.filter(pa.array(hit)))
+                    held += int(hit.sum())
+            if held > BLOCK_RECORDS or len(out) > 500:
                 yield from pa.concat_tables(out).combine_chunks().to_batches()
-                out = []
+                out, held = [], 0
         if out:
             yield from pa.concat_tables(out).combine_chunks().to_batches()
 
     return run
 
 
-def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets i and j; equal i stand together."""
-    sizes = np.array([len(s) for s in sets])
-    ends = np.cumsum(sizes)
-    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    has = np.zeros(code.max() + 1, bool)
-    out = np.empty(len(i), np.int64)
-    cuts = np.flatnonzero(np.diff(i)) + 1
-    for part in np.split(np.arange(len(i)), cuts):
-        mine = code[ends[i[part[0]]] - sizes[i[part[0]]] : ends[i[part[0]]]]
-        has[mine] = True
-        for k in range(0, len(part), 256):
-            other = j[part[k : k + 256]]
-            held = has[np.concatenate([code[ends[q] - sizes[q] : ends[q]] for q in other])]
-            out[part[k : k + 256]] = np.add.reduceat(held, np.concatenate([[0], np.cumsum(sizes[other])[:-1]]), dtype=np.int64)
-        has[mine] = False
-    return out
+class _Sets:
+    """The sets of a block as one array of small numbers, and a mark for the set that others are compared with."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets])
+        self.at = np.concatenate([[0], np.cumsum(self.size)])
+        self.code = np.unique(np.concatenate(sets), return_inverse=True)[1].astype(np.int32)
+        self.has = np.zeros(int(self.code.max()) + 1, bool)
+
+    def common(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of set ``i`` with others."""
+        mine = self.code[self.at[i] : self.at[i + 1]]
+        self.has[mine] = True
+        out = np.array([np.count_nonzero(self.has[self.code[self.at[j] : self.at[j + 1]]]) for j in others.tolist()], np.int64)
+        self.has[mine] = False
+        return out
 
 
 def _confirm(agree: int, percent: int, words: int):
-    """Links of each block on full sets; of links inside a component only those that first joined it."""
+    """Links of each block on full sets; records that links have joined already are not compared again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -198,31 +208,11 @@ def _confirm(agree: int, percent: int, words: int):
                     s = shingles(text.as_py(), known, words)
                     if set_id(s) == k:  # else another text under the same doc_id
                         records[k] = (comp.as_py(), s)
+            del block
             keys = sorted(records)
             if len(keys) < 2:
                 continue
-            sets = [records[k][1] for k in keys]
-            comp = [records[k][0] for k in keys]
-            sketch = np.stack([(minwise(s) >> np.uint64(32)).astype(np.uint32) for s in sets])
-            i, j = _candidates(sketch, np.array([len(s) for s in sets]), comp, agree, percent)
-            if not len(i):
-                continue
-            common = _common(sets, i, j)
-            size = np.array([len(s) for s in sets])
-            linked = 100 * common >= percent * (size[i] + size[j] - common)
-            root: dict[bytes, bytes] = {}
-
-            def find(c: bytes) -> bytes:
-                while (up := root.get(c, c)) != c:
-                    root[c] = root.get(up, up)
-                    c = up
-                return c
-
-            for a, b in zip(i[linked].tolist(), j[linked].tolist()):
-                x, y = find(comp[a]), find(comp[b])
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    links.append((keys[a], keys[b]))
+            links += ((keys[a], keys[b]) for a, b in _joined(_codes([records[k][0] for k in keys]), [records[k][1] for k in keys], agree, percent))
             if len(links) > 50_000:
                 yield _link_batch(links)
                 links = []
@@ -232,6 +222,25 @@ def _confirm(agree: int, percent: int, words: int):
     return run
 
 
+def _joined(code: np.ndarray, sets: list[np.ndarray], agree: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Of the links between records of different components, those that join two components not joined before.
+
+    A record is compared with a few others at a time, because each link found spares the rest of what it joins.
+    """
+    sketch = np.stack([(minwise(s) >> np.uint64(32)).astype(np.uint32) for s in sets])
+    held = _Sets(sets)
+    for i, others in _rows(sketch, held.size, code, agree, percent):
+        step = 1
+        while len(others := others[code[others] != code[i]]):
+            part, others = others[:step], others[step:]
+            common = held.common(i, part)
+            for j in part[100 * common >= percent * (held.size[i] + held.size[part] - common)].tolist():
+                if code[j] != code[i]:
+                    code[code == code[j]] = code[i]
+                    yield i, j
+            step = min(2 * step, 256)
+
+
 def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["u", "v"])
 
@@ -293,16 +302,16 @@ class _Join:
 
     def promising(self, blocks: DataFrame) -> DataFrame:
         """Of each block (block, set_id, round), the records with a candidate in another component."""
-        rows = blocks.select("block", "set_id", "round").join(self.records.select("set_id", "n", "sketch", "rep"), "set_id")
-        rows = self.labelled(rows).select("block", "round", "set_id", "n", "sketch", "rep", "comp")
+        rows = blocks.select("block", "set_id", "round").join(self.records.select("set_id", "n", "sketch", "row"), "set_id")
+        rows = self.labelled(rows).select("block", "round", "set_id", "n", "sketch", "row", "comp")
         rows = rows.repartition("block").sortWithinPartitions("block", "set_id")
         return cut(rows.mapInArrow(_promising(self.agree, self.percent), rows.schema), "promising")
 
     def fetch(self, found: DataFrame, split: DataFrame) -> None:
         """Reads the texts of all records that may be compared, in one pass over the documents."""
-        need = found.select("set_id", "rep").unionByName(split.join(self.records, "set_id").select("set_id", "rep")).distinct().withColumnRenamed("rep", "__rep")
-        texts = self.docs.hint("merge").join(need, F.col("doc_id").eqNullSafe(F.col("__rep"))).select("set_id", "text")
-        self.texts = cut(texts, "texts")
+        need = found.select("set_id", "row").unionByName(split.join(self.records, "set_id").select("set_id", "row")).distinct()
+        # repeated rows bring their text once
+        self.texts = cut(self.docs.hint("merge").join(need, "row").select("set_id", "text").dropDuplicates(["set_id"]), "texts")
 
     def confirm(self, found: DataFrame) -> None:
         """Adds the links of ``found`` (block, set_id, comp) to the components."""
@@ -321,19 +330,15 @@ def _part(parts: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(5), "node", "set_id"), F.col(parts).cast("bigint")).cast("int")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; ``key`` is an integer column.
+def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Of ``docs`` (doc_id, text, row): (doc_id, row, n_shingles, set_id) of each row, and (set_id, comp, component_id).
 
-    The component is named by its smallest id. Texts without words, null or empty, have no shingles and are their
-    own component. Rows with a null id link like others; they keep a null component unless one of their group has
-    an id, and are kept only then not. Repeated rows get the same values. Other columns are left out; an empty
-    table gives an empty result.
+    ``row`` is a hash of the row: it finds the text of a set again, also where ids are null or repeat.
     """
     trees = trees_for(recall, percent / 100)
-    docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    described = docs.select("doc_id", F.col("text").alias("__text")).mapInArrow(_describe(trees, words), "doc_id bigint, n_shingles bigint, set_id binary, sketch binary, nodes array<bigint>")
+    described = docs.select("doc_id", "row", F.col("text").alias("__text")).mapInArrow(_describe(trees, words), "doc_id bigint, row bigint, n_shingles bigint, set_id binary, sketch binary, nodes array<bigint>")
     described = cut(described, "sets")
-    records = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
+    records = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
     records = cut(records, "records")
     join = _Join(docs, records, percent, words, recall)
     # the second tokens stand after those of all trees, in every sixth one
@@ -347,10 +352,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     for k in range(MAX_DEPTH):
         if (found := join.pairs(split.where(F.col("round") == k))) is not None:
             join.confirm(found)
-    label = join.labelled(records.select("set_id", "rep", "n")).select("set_id", "rep", "comp")
+    label = join.labelled(records.select("set_id", "rep")).select("set_id", "rep", "comp")
     least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    label = label.join(least, "comp").select("set_id", "component_id")
-    out = described.select("doc_id", "n_shingles", "set_id").join(label, "set_id", "left")
+    return described.select("doc_id", "row", "n_shingles", "set_id"), label.join(least, "comp").select("set_id", "comp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``; ``key`` is an integer column.
+
+    The component is named by its smallest id. Texts without words, null or empty, have no shingles and are their
+    own component. Rows with a null id link like others; they keep a null component unless one of their group has
+    an id, and are kept only then not. Repeated rows get the same values. Other columns are left out; an empty
+    table gives an empty result.
+    """
+    docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    described, label = _groups(docs.withColumn("row", F.xxhash64("doc_id", "text")), words, percent, recall)
+    out = described.join(label, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
@@ -360,8 +377,28 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
-def keep_one(docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
-    """The rows of ``docs`` with one document left of each group; rows without words all stay."""
-    found = near_duplicates(docs, percent=percent).groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.max("n_shingles").alias("__n")).withColumnRenamed("doc_id", "__id")
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id"))).where("__kept")
-    return rows.drop("__id", "__kept", "__n")
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = STAGE_PERCENT, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` with one row left of each group of near-duplicates.
+
+    The row with the smallest id stays (null ids last), of rows with that id the one with the least hash of all its
+    columns; of a row that repeats whole, one copy. Rows without words are in no group and all stay. An empty table
+    gives an empty result; columns named ``__*`` are left out.
+    """
+    keep = [c for c in docs.columns if not c.startswith("__")]
+    row = F.xxhash64(*(F.col(c) for c in keep))
+    narrow = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row"))
+    described, label = _groups(narrow, words, percent, recall)
+    rows = described.join(label.select("set_id", "comp"), "set_id", "left").groupBy("comp", "doc_id", "row").agg(F.count(F.lit(1)).alias("times"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"), F.col("times"))
+    best = rows.where("comp is not null").groupBy("comp").agg(F.min(first).alias("r")).select("r.doc_id", "r.row", "r.times")
+    best = best.unionByName(rows.where("comp is null").select("doc_id", "row", F.lit(1).cast("bigint").alias("times")))
+    best = cut(best.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "times"), "kept")
+
+    def of(chosen: DataFrame) -> DataFrame:
+        same = (F.col("__hash") == F.col("__row")) & F.col(key).cast("bigint").eqNullSafe(F.col("__id"))
+        return docs.select(*keep, row.alias("__hash")).join(chosen.select("__id", "__row"), same)
+
+    out = of(best.where("times = 1")).select(*keep)
+    if not (repeated := best.where("times > 1")).isEmpty():
+        out = out.unionByName(of(repeated).dropDuplicates(["__hash", key]).select(*keep))
+    return out
