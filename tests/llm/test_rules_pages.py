@@ -1,4 +1,3 @@
-import itertools
 import random
 import re
 from collections import Counter
@@ -8,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barloom.llm import bpe, pages, quality, secrets
+from barloom.llm import bpe, quality, secrets
 
 SF = "/root/testdata/sf0.001"
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -81,36 +80,6 @@ def test_redaction(spark):
     assert out == {1: ('a [SECRET]" b', 13), 2: (None, 0), 3: ("clean", 5)}
 
 
-PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var x="</p>";</script></head><body class="has-sidebar"><header><a href=/>Home</a></header>
-<nav><ul><li><a>One</a><li><a>Two</a></ul></nav><div class="cookie-notice">We use cookies &amp; more.</div><main><article><header><h1>A &lt;title&gt;</h1></header>
-<p>First   <b>bold</b> paragraph,<br>line&nbsp;two.<p>Second paragraph.<div class="ad-slot">Buy now!</div><ul><li>item one<li>item two</ul><form><label>Name</label><input></form>
-<section id="comments"><p>Reader says hi.</p></section></article></main><aside>Related things</aside><footer>&copy; 2024</footer>"""
-
-
-def test_page_text():
-    w = np.zeros(pages.FEATURES + 1)
-    assert pages.main_text(PAGE, w) == "A <title>\nFirst bold paragraph, line two.\nSecond paragraph.\nitem one\nitem two"
-    assert pages.main_text(None, w) == pages.main_text("", w) == pages.main_text("<p", w) == ""
-    assert pages.main_text("<article>" + "<p>x y." * 3000, w).count("\n") == 2999
-
-
-def test_minimum_cut_against_all_labellings():
-    rnd = random.Random(3)
-    for _ in range(60):
-        n = rnd.randint(1, 9)
-        score = np.array([rnd.uniform(-3, 3) for _ in range(n)])
-        edges = {(i, j): rnd.uniform(0, 2) for i in range(n) for j in range(i + 1, n) if rnd.random() < 0.5}
-        cost = lambda lab: sum(max(-s, 0) if x else max(s, 0) for s, x in zip(score, lab)) + sum(c for (i, j), c in edges.items() if lab[i] != lab[j])
-        assert abs(cost(pages.minimum_cut(score, edges)) - min(map(cost, itertools.product([False, True], repeat=n)))) < 1e-9
-
-
-def test_extraction_keeps_rows_and_columns(spark):
-    df = spark.createDataFrame([(1, "u", PAGE, "old"), (1, "u", PAGE, "old"), (2, None, None, "old"), (3, "v", "", None)], "page_id bigint, url string, html string, text string")
-    out = sorted((r.page_id, r.url, r.text) for r in pages.extract(df).collect() if r.page_id != 2)
-    assert len(out) == 3 and out[0] == out[1] and out[2] == (3, "v", "")
-    assert pages.extract(df.limit(0)).count() == 0
-
-
 def test_pipeline_stages_on_the_small_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at = docs
@@ -134,6 +103,3 @@ def test_samples_count_copies_once(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, quality int")
     hot = docs.where("doc_id = 7").crossJoin(spark.range(300).select()), labels.where("doc_id = 7").crossJoin(spark.range(300).select())
     assert quality.fit(docs.unionByName(hot[0]), labels.unionByName(hot[1])) == quality.fit(docs, labels)
-    df = spark.createDataFrame([(PAGE.replace("Second", f"S{i}"),) for i in range(20)], "html string")
-    more = df.unionByName(df.limit(1).crossJoin(spark.range(300).select()))
-    assert np.allclose(pages.fit(more), pages.fit(df))
