@@ -205,7 +205,7 @@ def _weigh(found: list[Block], elements: list[Element]) -> None:
 
 FEATURES = 8
 #: PLAIN counts as much as about so many marked blocks, so that a few pages of one kind do not settle all others.
-PRIOR_BLOCKS = 500
+PRIOR_BLOCKS = 100
 
 
 #: The classifier where no page says which of its blocks are which; one weight for each feature, the bias last.
@@ -377,7 +377,7 @@ def fit(df: DataFrame, html: str = "html", pages: int = FIT_PAGES) -> np.ndarray
 
     Its labels are the elements around a block, its features the block's text alone, so it carries what marked pages
     show over to those that say nothing. About ``pages`` pages at most, with FIT_BLOCKS blocks each: the only thing
-    that comes to the driver. A page counts once, however many copies it has.
+    that comes to the driver. A page counts once, however many copies it has, and so does a text on it.
     """
     n = df.count()
     h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(html)), 11)
@@ -391,8 +391,8 @@ def fit(df: DataFrame, html: str = "html", pages: int = FIT_PAGES) -> np.ndarray
             for page in batch.column(0):
                 found = blocks(page.as_py() or "")
                 x = features(found)
-                plain = [i for i, b in enumerate(found) if HIDDEN < b.evidence != 0]
-                plain = sorted(sorted(plain, key=lambda i: (zlib.crc32(found[i].text.encode()), i))[:FIT_BLOCKS])
+                once = {b.text: i for i, b in enumerate(found) if HIDDEN < b.evidence != 0}
+                plain = sorted(sorted(once.values(), key=lambda i: (zlib.crc32(found[i].text.encode()), i))[:FIT_BLOCKS])
                 if plain:
                     columns = [pa.array(np.ascontiguousarray(x[plain, k])) for k in range(FEATURES)]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array([found[i].evidence > 0 for i in plain])], names=[*(f"x{k}" for k in range(FEATURES)), "content"])
