@@ -1,11 +1,15 @@
 """Embedding near-dedup by cover trees and a dual traversal: exact threshold pairs.
 
 Unit vectors are compared by their chord: cosine >= c means distance <= r with r * r = 2 - 2c. A bounded set of
-pivots makes the top level; each cell with its covering radius is a node, large cells are several. Inside a node,
-nested levels with halving radii follow, each a greedy net. A vector takes part in a pair of cells only if the other
-cell's pivot is within that cell's radius plus r. The traversal of two nodes drops pairs of subtrees farther apart
-than their radii plus r, links pairs whole that are nearer than r less their radii, and opens the others down to
-the vectors.
+pivots deals the vectors into cells; the vectors of a cell (of large cells several parts) make one cover tree: its
+root covers the sphere with radius 2, and each next level is a greedy net of half the radius inside each subtree. A
+vector takes part in a pair of trees only if the other cell's pivot is within that cell's covering radius plus r.
+
+The dual traversal opens two subtrees level by level. It drops pairs of children that are farther apart than their
+covering radii plus r, links pairs whole that are nearer than r less their radii, and opens the others, down to the
+vectors. So vectors that lie in clusters are compared within them only. Vectors without structure, all about equally
+far from each other, have trees of one level under the root; no exact bound can tell them apart, and all pairs of
+them are compared, in tiles.
 """
 
 from __future__ import annotations
@@ -18,52 +22,59 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.llm.arrow import matrix, runs
 from barloom.llm.graph import components
 from barloom.session import cut
 
 COSINE = 0.95
-RADII = (0.5, 0.25, 0.125, 0.0625)
-#: Pivots at most, vectors of a node at most, vectors for each pivot.
-PIVOTS, NODE, CELL = 1024, 8192, 4096
-TILE = 1024
+RADII = (2.0, 1.0, 0.5, 0.25, 0.125, 0.0625)
+#: Pivots at most, vectors of a tree at most, vectors for each pivot.
+PIVOTS, NODE, CELL = 1024, 16384, 12288
+#: Children compared at a time, and pairs of vectors below which two subtrees are not opened further.
+TILE, SMALL = 1024, 4096
 #: Room for rounding in bounds; a pair of vectors itself is compared exactly.
 EPS = 1e-7
 
 
-def _units(dim: int | None):
-    """Row-wise: key and unit vector, null where a vector is null, zero or not finite."""
+def _units(kind: type):
+    """Row-wise: key of the unit vector and the vector itself, null where a vector is null, zero or not finite."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, units = [], []
+            keys, raw = [], []
             for v in batch.column(1):
-                x = None if not v.is_valid or v.values.null_count else np.asarray(v.values.to_numpy(zero_copy_only=False), np.float64)
+                x = None if not v.is_valid or v.values.null_count else np.asarray(v.values.to_numpy(zero_copy_only=False), kind)
                 if x is not None and len(x) and np.isfinite(x).all() and x.any():
-                    x = x / np.abs(x).max()
-                    u = x / math.sqrt(float(x @ x))
-                    keys.append(xxhash.xxh3_128_digest(u.tobytes()))
-                    units.append(u.tobytes())
+                    keys.append(xxhash.xxh3_128_digest(unit(x[None, :]).tobytes()))
+                    raw.append(x.tobytes())
                 else:
                     keys.append(None)
-                    units.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(units, pa.binary())], names=["vec_id", "key", "unit"])
+                    raw.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], names=["vec_id", "key", "raw"])
 
     return run
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """The rows at length one, in double precision."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (x @ y.T), 0))
 
 
-def _assign(pivots: np.ndarray):
+def _assign(pivots: np.ndarray, kind: type):
     """Row-wise: the nearest pivot and its distance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                d = _distance(matrix(pa.chunked_array([batch.column("unit")]), np.float64, pivots.shape[1]), pivots)
+                d = _distance(unit(matrix(pa.chunked_array([batch.column("raw")]), kind, pivots.shape[1])), pivots)
                 cell = d.argmin(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])], names=[*batch.schema.names, "cell", "far"])
 
@@ -97,12 +108,12 @@ def greedy_net(x: np.ndarray, radius: float) -> np.ndarray:
     return own
 
 
-def _grow(dim: int):
+def _grow(dim: int, kind: type):
     """Of each node, the rows with their centre on every level (a row's place in the node)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node in runs(batches, "node"):
-            x = matrix(node["unit"], np.float64, dim)
+            x = unit(matrix(node["raw"], kind, dim))
             levels = np.empty((len(x), len(RADII)), np.int32)
             groups = [np.arange(len(x))]
             for k, radius in enumerate(RADII):
@@ -120,29 +131,35 @@ def _grow(dim: int):
                 alone = np.concatenate([g for g in inner if len(g) == 1] or [np.zeros(0, np.int64)])
                 levels[alone, k:] = alone[:, None]
             batch = node.combine_chunks().to_batches()[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(len(x), dtype=np.int32)), pa.array([r.tobytes() for r in levels], pa.binary())], names=[*batch.schema.names, "place", "levels"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in levels], pa.binary())], names=[*batch.schema.names, "levels"])
 
     return run
 
 
-class _Tree:
-    """The levels of some rows of a node: on each, the groups of rows and the greatest distance to the group's first."""
+class Subtree:
+    """Some vectors of a tree on one level; the first is the centre that covers the others."""
 
-    def __init__(self, x: np.ndarray, levels: np.ndarray):
-        self.x, self.levels = x, levels
+    def __init__(self, x: np.ndarray, levels: np.ndarray, rows: np.ndarray, level: int = 0):
+        self.x, self.levels, self.rows, self.level = x, levels, rows, level
+        self.radius = float(_distance(x[rows[:1]], x[rows]).max()) if len(rows) > 1 else 0.0
+        self._children: list[Subtree] | None = None
 
-    def split(self, rows: np.ndarray, level: int) -> list[np.ndarray]:
-        own = self.levels[rows, level]
-        order = np.argsort(own, kind="stable")
-        return np.split(rows[order], np.flatnonzero(np.diff(own[order])) + 1)
-
-    def radius(self, rows: np.ndarray) -> float:
-        return float(_distance(self.x[rows[:1]], self.x[rows]).max()) if len(rows) > 1 else 0.0
+    def children(self) -> list[Subtree]:
+        if self._children is None:
+            own = self.levels[self.rows, self.level + 1]
+            order = np.argsort(own, kind="stable")
+            parts = np.split(self.rows[order], np.flatnonzero(np.diff(own[order])) + 1)
+            self._children = [Subtree(self.x, self.levels, g, self.level + 1) for g in parts]
+            self.heads = self.x[[g[0] for g in parts]]
+            self.radii = np.array([c.radius for c in self._children])
+            self.alone = np.array([len(g) == 1 for g in parts])
+        return self._children
 
 
 class _Links:
     def __init__(self, n: int, weight: np.ndarray):
         self.count, self.weight, self.root = np.zeros(n, np.int64), weight, np.arange(n)
+        self.compared = 0
 
     def find(self, i: int) -> int:
         root = self.root
@@ -173,68 +190,78 @@ class _Links:
             self.join(np.concatenate([a[label == c], b[by_col == c]]))
 
 
-def _traverse(t: _Tree, u: _Tree, off: tuple[int, int], same: bool, links: _Links, cosine: float) -> None:
-    """All links between the rows of ``t`` and those of ``u``; ``same``: they are one set."""
-    r = math.sqrt(2 - 2 * cosine)
-    tops = [s.split(np.arange(len(s.x)), 0) for s in ((t,) if same else (t, u))]
-    if same:
-        tops.append(tops[0])
-    radii = [np.array([s.radius(g) for g in top]) for s, top in zip((t, u), tops)]
-    heads = [s.x[[g[0] for g in top]] for s, top in zip((t, u), tops)]
-    for i0 in range(0, len(tops[0]), TILE):
-        for j0 in range(i0 if same else 0, len(tops[1]), TILE):
-            d = _distance(heads[0][i0 : i0 + TILE], heads[1][j0 : j0 + TILE])
-            near = d <= radii[0][i0 : i0 + TILE, None] + radii[1][None, j0 : j0 + TILE] + (r + EPS)
-            for i, j in np.argwhere(near):
-                i, j = i + i0, j + j0
-                if not same or i < j or i == j and len(tops[0][i]) > 1:
-                    _open(t, u, tops[0][i], tops[1][j], 0, off, same and i == j, links, cosine, r)
-
-
-def _open(t: _Tree, u: _Tree, a: np.ndarray, b: np.ndarray, level: int, off: tuple[int, int], same: bool, links: _Links, cosine: float, r: float) -> None:
-    if len(a) * len(b) <= TILE * 64 or level + 1 == len(RADII):
-        for i in range(0, len(a), TILE):
-            for j in range(i if same else 0, len(b), TILE):
-                mask = t.x[a[i : i + TILE]] @ u.x[b[j : j + TILE]].T >= cosine
-                if diagonal := same and i == j:
-                    np.fill_diagonal(mask, False)
-                if mask.any():
-                    links.add(a[i : i + TILE] + off[0], b[j : j + TILE] + off[1], mask, diagonal)
-        return
-    ra, rb = t.radius(a), u.radius(b)
-    d = 0.0 if same else float(_distance(t.x[a[:1]], u.x[b[:1]])[0, 0])
-    if d > ra + rb + r + EPS:
-        return
-    if d + ra + rb < r - EPS:
-        for i in range(0, len(a), TILE):
-            for j in range(i if same else 0, len(b), TILE):
-                mask = np.ones((len(a[i : i + TILE]), len(b[j : j + TILE])), bool)
-                if diagonal := same and i == j:
-                    np.fill_diagonal(mask, False)
-                links.add(a[i : i + TILE] + off[0], b[j : j + TILE] + off[1], mask, diagonal)
-        return
-    left, right = t.split(a, level + 1), u.split(b, level + 1)
-    for i, x in enumerate(left):
-        for j, y in enumerate(right):
-            if not same or i < j or i == j and len(x) > 1:
-                _open(t, u, x, y, level + 1, off, same and i == j, links, cosine, r)
-
-
-def _pairs(dim: int, cosine: float):
+class Traversal:
+    """All links between two trees whose rows stand at ``off`` in the whole."""
+
+    def __init__(self, links: _Links, off: tuple[int, int], cosine: float):
+        self.links, self.off, self.cosine, self.r = links, off, cosine, math.sqrt(2 - 2 * cosine)
+
+    def rows(self, t: Subtree, u: Subtree, same: bool, sure: bool = False) -> None:
+        """Compares all vectors of two subtrees, or links them all."""
+        for i in range(0, len(t.rows), TILE):
+            for j in range(i if same else 0, len(u.rows), TILE):
+                a, b = t.rows[i : i + TILE], u.rows[j : j + TILE]
+                mask = np.ones((len(a), len(b)), bool) if sure else self.close(t.x[a], u.x[b])
+                self.add(a, b, mask, same and i == j)
+
+    def close(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        self.links.compared += len(x) * len(y)
+        return x @ y.T >= self.cosine
+
+    def add(self, a: np.ndarray, b: np.ndarray, mask: np.ndarray, diagonal: bool) -> None:
+        if diagonal:
+            np.fill_diagonal(mask, False)
+        if mask.any():
+            self.links.add(a + self.off[0], b + self.off[1], mask, diagonal)
+
+    def open(self, t: Subtree, u: Subtree, same: bool) -> None:
+        """The links between two subtrees of one level; ``same``: they are one."""
+        if len(t.rows) * len(u.rows) <= SMALL or t.level + 1 == len(RADII):
+            self.rows(t, u, same)
+            return
+        left, right = t.children(), u.children()
+        for i in range(0, len(left), TILE):
+            for j in range(i if same else 0, len(right), TILE):
+                self.tile(t, u, i, j, same)
+
+    def tile(self, t: Subtree, u: Subtree, i0: int, j0: int, same: bool) -> None:
+        here, there = slice(i0, i0 + TILE), slice(j0, j0 + TILE)
+        left, right = t.children()[here], u.children()[there]
+        alone = t.alone[here][:, None] & u.alone[there][None, :]
+        dot = t.heads[here] @ u.heads[there].T
+        self.links.compared += dot.size
+        diagonal = same and i0 == j0
+        # single vectors: the heads are all there is
+        self.add(np.array([c.rows[0] for c in left]), np.array([c.rows[0] for c in right]), alone & (dot >= self.cosine), diagonal)
+        if alone.all():
+            return
+        d, reach = np.sqrt(np.maximum(2 - 2 * dot, 0)), t.radii[here][:, None] + u.radii[there][None, :]
+        for i, j in np.argwhere((d <= reach + (self.r + EPS)) & ~alone).tolist():
+            if diagonal and i > j:
+                continue
+            one = diagonal and i == j
+            if not one and d[i, j] + reach[i, j] < self.r - EPS or one and 2 * left[i].radius < self.r - EPS:
+                self.rows(left[i], right[j], one, sure=True)
+            else:
+                self.open(left[i], right[j], one)
+
+
+def _pairs(dim: int, cosine: float, kind: type):
     """Of each task, the links of every vector that has any, and a vector of its component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for task in runs(batches, "task"):
             node = task["node"].to_numpy()
-            keys, x = task["key"].to_pylist(), matrix(task["unit"], np.float64, dim)
+            keys, x = task["key"].to_pylist(), unit(matrix(task["raw"], kind, dim))
             levels, weight = matrix(task["levels"], np.int32, len(RADII)), task["w"].to_numpy()
             cutoff = int(np.searchsorted(node, node[-1]))
             links = _Links(len(x), weight)
-            alone = task["alone"][0].as_py()
-            if alone:
-                _traverse(tree := _Tree(x, levels), tree, (0, 0), True, links, cosine)
+            if task["alone"][0].as_py():
+                tree = Subtree(x, levels, np.arange(len(x)))
+                Traversal(links, (0, 0), cosine).open(tree, tree, True)
             elif cutoff:
-                _traverse(_Tree(x[:cutoff], levels[:cutoff]), _Tree(x[cutoff:], levels[cutoff:]), (0, cutoff), False, links, cosine)
+                one, other = Subtree(x[:cutoff], levels[:cutoff], np.arange(cutoff)), Subtree(x[cutoff:], levels[cutoff:], np.arange(len(x) - cutoff))
+                Traversal(links, (0, cutoff), cosine).open(one, other, False)
             hit = np.flatnonzero(links.count)
             if len(hit):
                 root = [keys[links.find(int(i))] for i in hit]
@@ -252,11 +279,14 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     empty table gives an empty result. Vectors of different lengths are never linked.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>"))
-    rows = cut(rows.mapInArrow(_units(None), "vec_id bigint, key binary, unit binary"), "units")
-    own = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("w"), F.first("unit").alias("unit"))
+    single = df.schema[vector].dataType == T.ArrayType(T.FloatType(), True) or df.schema[vector].dataType == T.ArrayType(T.FloatType(), False)
+    kind = np.float32 if single else np.float64  # no wider than the vectors come, as they are shuffled
+    rows = df.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<float>" if single else "array<double>"))
+    rows = cut(rows.mapInArrow(_units(kind), "vec_id bigint, key binary, raw binary"), "units")
+    own = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("w"), F.first("raw").alias("raw"))
     own = cut(own, "vectors")
-    found = [_links_of(own.where(F.octet_length("unit") == b), b // 8, cosine) for (b,) in own.select(F.octet_length("unit")).distinct().collect()]
+    size = F.octet_length("raw")
+    found = [_links_of(own.where(size == b), b // np.dtype(kind).itemsize, cosine, kind) for (b,) in own.select(size).distinct().collect()]  # one row for each length
     if not found:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     links = found[0]
@@ -272,12 +302,12 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"))
 
 
-def _links_of(own: DataFrame, dim: int, cosine: float) -> DataFrame:
+def _links_of(own: DataFrame, dim: int, cosine: float, kind: type) -> DataFrame:
     """(u, n, v): links that a task found of a vector, and a vector of its component."""
     n = own.count()
-    picked = own.select("key", "unit").orderBy(F.xxhash64(F.lit(9), "key"), "key").limit(min(PIVOTS, math.ceil(n / CELL))).collect()
-    pivots = np.stack([np.frombuffer(r.unit, np.float64) for r in picked])
-    cells = cut(own.select("key", "unit", "w").mapInArrow(_assign(pivots), "key binary, unit binary, w bigint, cell int, far double"), "cells")
+    picked = own.select("key", "raw").orderBy(F.xxhash64(F.lit(9), "key"), "key").limit(min(PIVOTS, math.ceil(n / CELL))).collect()
+    pivots = unit(np.stack([np.frombuffer(r.raw, kind) for r in picked]))
+    cells = cut(own.select("key", "raw", "w").mapInArrow(_assign(pivots, kind), "key binary, raw binary, w bigint, cell int, far double"), "cells")
     sizes = {r.cell: (r.n, r.far) for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}  # one row for each pivot
     parts = {c: math.ceil(k / NODE) for c, (k, _) in sizes.items()}
     first, at = {}, 0
@@ -285,8 +315,8 @@ def _links_of(own: DataFrame, dim: int, cosine: float) -> DataFrame:
         first[c], at = at, at + parts[c]
     of = lambda d: F.element_at(F.create_map(*[F.lit(x) for c in d for x in (c, d[c])]), F.col("cell"))
     node = (of(first) + F.pmod(F.xxhash64(F.lit(8), "key"), of(parts))).cast("bigint").alias("node")
-    grown = cells.select("key", "unit", "w", "cell", node).repartition("node").sortWithinPartitions("node", "key")
-    grown = cut(grown.mapInArrow(_grow(dim), "key binary, unit binary, w bigint, cell int, node bigint, place int, levels binary"), "trees")
+    grown = cells.select("key", "raw", "w", node).repartition("node").sortWithinPartitions("node", "key")
+    grown = cut(grown.mapInArrow(_grow(dim, kind), "key binary, raw binary, w bigint, node bigint, levels binary"), "trees")
     r = math.sqrt(2 - 2 * cosine)
     ids = sorted(parts)
     radius = np.array([sizes[c][1] for c in ids])
@@ -298,7 +328,7 @@ def _links_of(own: DataFrame, dim: int, cosine: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            near = _distance(matrix(pa.chunked_array([batch.column("unit")]), np.float64, dim), centre) <= radius + (r + EPS)
+            near = _distance(unit(matrix(pa.chunked_array([batch.column("raw")]), kind, dim)), centre) <= radius + (r + EPS)
             owner = batch.column("node").to_numpy()
             row, task = [], []
             for k in range(batch.num_rows):
@@ -306,14 +336,14 @@ def _links_of(own: DataFrame, dim: int, cosine: float) -> DataFrame:
                 to = {mine, *(x for c in np.flatnonzero(near[k]) for x in spans[c])}
                 row += [k] * len(to)
                 task += [min(mine, x) * total + max(mine, x) for x in to]
-            names = ["key", "unit", "w", "node", "levels"]
+            names = ["key", "raw", "w", "node", "levels"]
             taken = [batch.column(c).take(pa.array(row)) for c in names]
             t = np.array(task, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(t // total == t % total), *taken], names=["task", "alone", *names])
 
-    dealt = grown.mapInArrow(deal, "task bigint, alone boolean, key binary, unit binary, w bigint, node bigint, levels binary")
+    dealt = grown.mapInArrow(deal, "task bigint, alone boolean, key binary, raw binary, w bigint, node bigint, levels binary")
     dealt = dealt.repartition("task").sortWithinPartitions("task", "node", "key")
-    return dealt.mapInArrow(_pairs(dim, cosine), "u binary, n bigint, v binary")
+    return dealt.mapInArrow(_pairs(dim, cosine, kind), "u binary, n bigint, v binary")
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,7 +139,7 @@ def test_spans_against_brute_force_with_a_full_memory(spark, monkeypatch):
 
 
 def test_vectors_against_brute_force_with_small_nodes(spark, monkeypatch):
-    for name, value in (("NODE", 60), ("CELL", 25), ("TILE", 16)):
+    for name, value in (("NODE", 60), ("CELL", 25), ("TILE", 16), ("SMALL", 9)):
         monkeypatch.setattr(vectors, name, value)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 8))
@@ -155,3 +155,44 @@ def test_vectors_against_brute_force_with_small_nodes(spark, monkeypatch):
     found = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df.repartition(3)).collect()}
     assert found == {(r[0], int(near[r[0]].sum()) if r[0] < 400 else 0, of[r[0]], of[r[0]] == r[0]) for r in rows}
     assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_vectors_with_null_and_repeated_ids(spark):
+    a, b = [1.0, 0.0], [0.0, 1.0]
+    df = spark.createDataFrame([(None, a), (4, a), (4, a), (7, [2.0, 0.0]), (None, b), (9, None), (None, None)], "vec_id bigint, embedding array<float>")
+    found = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df).collect())
+    assert found == Counter({(None, 3, 4, False): 1, (4, 3, 4, True): 2, (7, 3, 4, False): 1, (None, 0, None, True): 2, (9, 0, 9, True): 1})
+
+
+def tree(x):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * len(x)), pa.array([v.tobytes() for v in x], pa.binary())], names=["node", "raw"])
+    (grown,) = vectors._grow(x.shape[1], np.float64)(iter([batch]))
+    levels = np.stack([np.frombuffer(v, np.int32) for v in grown.column("levels").to_pylist()])
+    return vectors.Subtree(vectors.unit(x), levels, np.arange(len(x)))
+
+
+def test_the_traversal_of_clusters_compares_few_pairs():
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(60, 32)), 50, axis=0) + 0.02 * rng.normal(size=(3000, 32))
+    t = tree(vectors.unit(x))
+    links = vectors._Links(len(x), np.ones(len(x), np.int64))
+    vectors.Traversal(links, (0, 0), 0.95).open(t, t, True)
+    near = t.x @ t.x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert (links.count == near.sum(axis=1)).all() and near.sum() >= 3000 * 40
+    assert links.compared < 0.05 * 3000 * 2999 / 2
+
+
+def test_levels_of_a_tree_are_nested_and_cover():
+    rng = np.random.default_rng(6)
+    x = vectors.unit(np.repeat(rng.normal(size=(20, 6)), 20, axis=0) + 0.3 * rng.normal(size=(400, 6)))
+    t = tree(x)
+    assert len({*t.levels[:, 0].tolist()}) == 1
+    sizes = [len({*t.levels[:, k].tolist()}) for k in range(len(vectors.RADII))]
+    assert sizes == sorted(sizes) and sizes[1] < sizes[2] < sizes[3]
+    for k, radius in enumerate(vectors.RADII):
+        own = t.levels[:, k]
+        assert (np.linalg.norm(x - x[own], axis=1) <= radius + 1e-9).all()
+        assert all(len({*t.levels[own == c, k - 1].tolist()}) == 1 for c in {*own.tolist()} if k)
