@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows an exponential mean looks back; what lies before weighs less than a double resolves.
-EWM_ROWS = 600
+#: Most that a weight of an exponential mean may grow inside a block, as a power of e: far from a double's limit.
+EWM_GROWTH = 300
 
 
 def series(*keys: str, ts: str = "ts") -> WindowSpec:
@@ -24,10 +26,28 @@ def rolling(agg, x: Column, w: WindowSpec, n: int, least: int) -> Column:
     return F.when(F.count(x).over(frame) >= least, agg(x).over(frame))
 
 
-def ewm(x: Column, w: WindowSpec, alpha: float) -> Column:
-    """y = y * (1 - alpha) + x * alpha from the first value on; nulls are left out."""
-    seen = F.collect_list(x).over(last_rows(w, EWM_ROWS))
-    return F.when(F.size(seen) > 0, F.aggregate(F.slice(seen, 2, EWM_ROWS), F.get(seen, F.lit(0)), lambda y, v: y * (1 - alpha) + v * alpha))
+def ewm(df: DataFrame, x: Column, out: str, alpha: float, keys: tuple[str, ...] = ("ticker",), ts: str = "ts") -> DataFrame:
+    """``df`` with ``out``: y = y * (1 - alpha) + x * alpha from the first value of ``keys`` on; nulls are left out.
+
+    The values are numbered and cut into blocks in which the weights stay inside a double's range. Inside a block the
+    recurrence is a prefix sum of weighted values; the last sums of the blocks before are folded into what they carry
+    over. So all values count, however long the series and the span.
+    """
+    q = 1 - alpha
+    if q <= 0:
+        return df.withColumn(out, F.last(x, ignorenulls=True).over(series(*keys, ts=ts).rowsBetween(W.unboundedPreceding, 0)))
+    rows = max(1, math.floor(EWM_GROWTH / -math.log(q)))
+    so_far = series(*keys, ts=ts).rowsBetween(W.unboundedPreceding, 0)
+    df = df.withColumn("__x", x.cast("double")).withColumn("__i", F.count("__x").over(so_far) - 1)
+    df = df.withColumn("__block", F.floor(F.greatest("__i", F.lit(0)) / rows)).withColumn("__at", F.greatest("__i", F.lit(0)) % rows)
+    weighted = F.col("__x") * F.when(F.col("__i") == 0, 1.0).otherwise(alpha) * F.pow(F.lit(q), -F.col("__at"))
+    in_block = series(*keys, "__block", ts=ts).rowsBetween(W.unboundedPreceding, 0)
+    df = df.withColumn("__y", F.sum(weighted).over(in_block) * F.pow(F.lit(q), F.col("__at")))
+    ends = F.collect_list(F.when((F.col("__at") == rows - 1) & F.col("__x").isNotNull(), F.col("__y"))).over(so_far)
+    df = df.withColumn("__ends", ends)
+    carried = F.aggregate(F.slice("__ends", F.lit(1), F.col("__block").cast("int")), F.lit(0.0), lambda y, e: y * q**rows + e)
+    y = F.col("__y") + F.when(F.col("__block") > 0, carried * F.pow(F.lit(q), F.col("__at") + 1)).otherwise(0.0)
+    return df.withColumn(out, F.when(F.col("__i") >= 0, y)).drop("__x", "__i", "__block", "__at", "__y", "__ends")
 
 
 def span(n: int) -> float:
@@ -56,17 +76,31 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 
 
+def number(x: Column) -> Column:
+    """``x`` as a double; what is no finite number is null."""
+    made = x.try_cast("double")
+    return F.when(finite(made), made)
+
+
 def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a, F.nullif(b, F.lit(0.0)))
 
 
+def run_lengths(df: DataFrame, keys: list[str], state: Column, name: str, ts: str = "ts") -> DataFrame:
+    """``df`` with ``name``: how many rows of the same non-null ``state`` end here, 0 where it is null.
+
+    All windows share the partitioning on ``keys``, so an aggregate by them needs no further shuffle.
+    """
+    w = series(*keys, ts=ts)
+    df = df.withColumn("__s", state).withColumn("__new", (~F.col("__s").eqNullSafe(F.lag("__s").over(w))).cast("int"))
+    df = df.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    length = F.count("__s").over(series(*keys, "__run", ts=ts).rowsBetween(W.unboundedPreceding, 0))
+    return df.withColumn(name, length).drop("__s", "__new", "__run")
+
+
 def longest_runs(df: DataFrame, keys: list[str], state: Column, name: str, ts: str = "ts") -> DataFrame:
     """By keys, the longest run of rows with one non-null ``state``; nulls break runs; none: 0."""
-    w = series(*keys, ts=ts)
-    marked = df.withColumn("__s", state).withColumn("__new", (~F.col("__s").eqNullSafe(F.lag("__s").over(w))).cast("int"))
-    marked = marked.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    counts = marked.groupBy(*keys, "__run").agg(F.count("__s").alias("__n"))
-    return counts.groupBy(*keys).agg(F.max("__n").cast("bigint").alias(name))
+    return run_lengths(df, keys, state, "__length", ts).groupBy(*keys).agg(F.max("__length").cast("bigint").alias(name))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -9,29 +9,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from barloom.functions.series import number
+
 # fixed values: features that the published documents leave out
 DROPPED = [
     "agg.reversal_score", "cwt.r_close_CWT_power_hi", "fft.bb_bw_20_pct_mid", "fft.r_close_pct_hi", "fft.spread_vwap_norm_pct_hi", "fft.volume_z_by_tod_pct_mid",
     "inter.close", "inter.ema_12", "inter.ema_26", "inter.low", "inter.macd", "inter.macd_hist", "inter.macd_signal", "inter.open", "inter.r_close", "inter.sma_20", "inter.sma_50", "inter.stoch_d_14", "inter.stoch_k_14",
 ]
 SHIFTS = {"treat_as_start": 1, "as_is": 0, "minus_1h": -1}
+#: Hours by the mode that a caller names.
+ALIGN = {"treat_as_start": 1, "treat_as_end": 0, "as_is": 0}
 
 
 def long_features(df: DataFrame, prefix: str, columns: list[str], source: int, at: str = "end_ts") -> DataFrame:
-    """(ticker, end_ts, key, value, source, seq): one row for each feature that is not null."""
-    pairs = F.array(*[F.struct(F.lit(f"{prefix}.{c}").alias("key"), F.col(c).cast("double").alias("value")) for c in columns if c in df.columns])
-    seq = F.col("seq") if "seq" in df.columns else F.lit(0)
-    return df.select("ticker", F.col(at).alias("end_ts"), F.lit(source).alias("source"), seq.alias("seq"), F.explode(pairs).alias("p")).select("ticker", "end_ts", F.col("p.key").alias("key"), F.col("p.value").alias("value"), "source", "seq").where("value is not null and not isnan(value)")
+    """(ticker, end_ts, key, value, source, seq): one row for each of ``columns`` that ``df`` has; no number: null."""
+    pairs = F.array(*[F.struct(F.lit(f"{prefix}.{c}").alias("key"), number(F.col(f"`{c}`")).alias("value")) for c in columns if c in df.columns])
+    seq = F.col("seq").cast("bigint") if "seq" in df.columns else F.lit(0).cast("bigint")
+    rows = df.where(F.col(at).isNotNull()).select("ticker", F.col(at).alias("end_ts"), F.lit(source).alias("source"), seq.alias("seq"), F.explode(pairs).alias("p"))
+    return rows.select("ticker", "end_ts", F.col("p.key").alias("key"), F.col("p.value").alias("value"), "source", "seq")
+
+
+def series_features(df: DataFrame, prefix: str, names: list[str], suffixes: list[str], source: int, at: str = "end_ts") -> DataFrame:
+    """long_features of every {series}_{suffix} column that ``df`` has."""
+    return long_features(df, prefix, [f"{n}_{s}" for n in names for s in suffixes], source, at)
 
 
 def latest(features: DataFrame) -> DataFrame:
-    """One value for each key of an hour: of clashing sources the later, of duplicate rows the last."""
-    return features.groupBy("ticker", "end_ts", "key").agg(F.max_by("value", F.struct("source", "seq")).alias("value"))
+    """One value for each key of an hour: of a source's rows the last, of clashing sources the later that has a value.
+
+    The last row counts as it is: where it has no value, an earlier row of the source does not stand in for it.
+    One shuffle on the day serves both aggregates and the document's.
+    """
+    day = features.withColumn("date", F.to_date("end_ts")).repartition("ticker", "date")
+    last = day.groupBy("ticker", "date", "end_ts", "key", "source").agg(F.max_by("value", "seq").alias("value")).where("value is not null")
+    return last.groupBy("ticker", "date", "end_ts", "key").agg(F.max_by("value", "source").alias("value"))
 
 
 def per_hour(features: DataFrame) -> DataFrame:
     """(ticker, date, per_hour_data): HH:mm -> key -> value, of days with a feature."""
-    hours = latest(features).groupBy("ticker", F.to_date("end_ts").alias("date"), F.date_format("end_ts", "HH:mm").alias("hour")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
+    hours = latest(features).groupBy("ticker", "date", F.date_format("end_ts", "HH:mm").alias("hour")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
     return hours.groupBy("ticker", "date").agg(F.map_from_entries(F.collect_list(F.struct("hour", "m"))).alias("per_hour_data"))
 
 
@@ -69,6 +85,15 @@ def auto_shift(inter: DataFrame, marks: DataFrame) -> DataFrame:
     return inter.join(best, "ticker").withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.col("s.h"))).withColumn("align", F.col("s.tag")).drop("s")
 
 
+def align_hours(inter: DataFrame, mode: str, marks: DataFrame | None = None) -> DataFrame:
+    """``inter`` with end_ts by a named mode, or by ``auto`` against ``marks``."""
+    if mode == "auto" and marks is not None:
+        return auto_shift(inter, marks)
+    if mode not in ALIGN:
+        raise ValueError(f"align mode {mode!r}")
+    return inter.withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.lit(ALIGN[mode]))).withColumn("align", F.lit(mode))
+
+
 def has_features(hours: Column) -> Column:
     return F.exists(F.map_values(hours), lambda m: F.cardinality(m) > 0)
 

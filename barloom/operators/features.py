@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.functions.series import longest_runs, ratio
+from barloom.functions.series import ratio, run_lengths
 from barloom.operators import calendar
 
 KEYS = ["ticker", "day_id"]
-SKIPPED = {"AGG_N", "valid_bars", "valid_ratio_day", "AGG_max_consecutive_gap", "AGG_gap_ratio", "open15_valid_ratio", "last10_valid_ratio", "reversal_valid_ratio"}
+#: Columns that say how much a row counts; they are summed or left out, never averaged.
+SKIPPED = {"AGG_N", "valid_bars", "expected_bars", "days", "cover_ratio"}
 
 
 def masked_corr(x: Column, y: Column, valid: Column) -> Column:
@@ -25,12 +26,16 @@ def gated_sum(r: Column, inside: Column, least: float) -> tuple[Column, Column]:
 
 
 def daily(df: DataFrame, keys: list[str] | None = None, least: float = 0.5, least_run: int = 5) -> DataFrame:
-    """One row a day (or of other ``keys``) with quality, return, trend, spread and volume features."""
+    """One row a day (or of other ``keys``) with quality, return, trend, spread and volume features.
+
+    The windows and the aggregate share one partitioning on the keys.
+    """
     keys = keys or KEYS
     tod, r, vol, svn, vz = (F.col(c) for c in ("minutes_since_open", "r_close", "volume", "spread_vwap_norm", "volume_z_by_tod"))
     first, last = tod.between(0, 14), tod.between(380, 389)
     cum = F.sum(F.coalesce(r, F.lit(0.0))).over(W.partitionBy(*keys).orderBy("ts").rowsBetween(W.unboundedPreceding, 0))
-    df = df.withColumn("__cum", cum)
+    df = run_lengths(df.withColumn("__cum", cum), keys, F.when(F.col("is_gap") == 1, 1), "__gap")
+    df = run_lengths(df, keys, F.when(r != 0, F.signum(r)), "__trend")
     n, valid = F.count(F.lit(1)), F.count(r)
     open15, open15_ratio = gated_sum(r, first, least)
     last10, last10_ratio = gated_sum(r, last, least)
@@ -41,15 +46,16 @@ def daily(df: DataFrame, keys: list[str] | None = None, least: float = 0.5, leas
         F.avg(F.abs(svn)).alias("mabs_svn"), F.max_by(svn, F.when(svn.isNotNull(), F.col("ts"))).alias("eod_svn"),
         F.when(F.sum(vol) > 0, F.sum(F.when(last, vol)) / F.sum(vol)).alias("vol_last10_frac"), F.avg(F.when(vz.isNotNull(), (vz > 2).cast("double"))).alias("hi2_frac"),
         open15_ratio.alias("open15_valid_ratio"), last10_ratio.alias("last10_valid_ratio"), (valid / n).alias("reversal_valid_ratio"),
+        F.max("__gap").cast("bigint").alias("AGG_max_consecutive_gap"), F.when(valid >= least_run, F.max("__trend").cast("bigint")).alias("trend_persistence"),
     )
-    gaps = longest_runs(df, keys, F.when(F.col("is_gap") == 1, 1), "AGG_max_consecutive_gap")
-    trend = longest_runs(df, keys, F.when(r != 0, F.signum(r)), "__run")
-    out = flat.join(gaps, keys).join(trend, keys)
-    return out.withColumn("trend_persistence", F.when(F.col("valid_bars") >= least_run, F.col("__run"))).drop("__run")
+    return flat
 
 
 def reduce_windows(days: DataFrame, cadence: str, reducer: str = "median", sampling: str = "day") -> DataFrame:
-    """Daily rows over windows: median, mean or mean weighted by valid_bars; nulls are left out."""
+    """Daily rows over windows: median, mean or mean weighted by valid_bars; nulls are left out.
+
+    Every numeric column is reduced but those that say how much a row counts (SKIPPED).
+    """
     numeric = [c for c, t in days.dtypes if t in ("double", "int", "bigint", "float") and c not in SKIPPED]
     valid, expected = F.sum("valid_bars"), calendar.expected_bars(F.count(F.lit(1)), sampling)
 
@@ -70,10 +76,9 @@ def window_quality(df: DataFrame, column: str, cadence: str, sampling: str, gap_
     """By window: values, gap share (below 0 where there are more bars than expected), longest gap, and whether they pass."""
     df = df.withColumn("win_end", calendar.window_end(F.col("ts"), cadence))
     keys = ["ticker", "win_end"]
-    days = F.countDistinct(F.to_date("ts"))
-    flat = df.groupBy(*keys).agg(F.min("ts").alias("win_start"), days.alias("days"), F.count(column).alias("n_valid"))
+    df = run_lengths(df, keys, F.when(F.col(column).isNull(), 1), "__gap")
+    flat = df.groupBy(*keys).agg(F.min("ts").alias("win_start"), F.size(F.collect_set(F.to_date("ts"))).cast("bigint").alias("days"), F.count(column).alias("n_valid"), F.max("__gap").cast("bigint").alias("max_gap_run"))
     flat = flat.withColumn("expected_bars", calendar.expected_bars(F.col("days"), sampling))
-    flat = flat.join(longest_runs(df, keys, F.when(F.col(column).isNull(), 1), "max_gap_run"), keys)
     share = F.col("n_valid") / F.col("expected_bars")
     flat = flat.withColumn("gap_ratio", 1 - share)
     passed = (share >= least_share) & (F.col("gap_ratio") <= gap_share) & (F.col("max_gap_run") <= gap_run) & (F.col("n_valid") >= least)

@@ -26,14 +26,14 @@ def sma(df: DataFrame, n: int) -> DataFrame:
 
 
 def ema(df: DataFrame, n: int) -> DataFrame:
-    return df.withColumn(f"ema_{n}", ewm(F.col("close"), by_time(), span(n)))
+    return ewm(df, F.col("close"), f"ema_{n}", span(n))
 
 
 def rsi(df: DataFrame, n: int = 14) -> DataFrame:
     """Wilder's; no losses give null."""
     df = df.withColumn("__d", change())
-    gain, loss = ewm(F.greatest("__d", F.lit(0.0)) + F.col("__d") * 0, by_time(), 1 / n), ewm(F.greatest(-F.col("__d"), F.lit(0.0)) + F.col("__d") * 0, by_time(), 1 / n)
-    df = df.withColumns({"__g": gain, "__l": loss})
+    for out, x in (("__g", F.greatest("__d", F.lit(0.0))), ("__l", F.greatest(-F.col("__d"), F.lit(0.0)))):
+        df = ewm(df, F.when(F.col("__d").isNotNull(), x), out, 1 / n)
     return df.withColumn(f"rsi_{n}", 100 - 100 / (1 + ratio(F.col("__g"), F.col("__l")))).drop("__d", "__g", "__l")
 
 
@@ -51,9 +51,9 @@ def atr(df: DataFrame, n: int = 14) -> DataFrame:
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    df = df.withColumns({"__f": ewm(F.col("close"), by_time(), span(fast)), "__s": ewm(F.col("close"), by_time(), span(slow))})
+    df = ewm(ewm(df, F.col("close"), "__f", span(fast)), F.col("close"), "__s", span(slow))
     df = df.withColumn("macd", F.col("__f") - F.col("__s")).drop("__f", "__s")
-    return df.withColumn("macd_signal", ewm(F.col("macd"), by_time(), span(signal))).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return ewm(df, F.col("macd"), "macd_signal", span(signal)).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
 
 
 def bollinger(df: DataFrame, n: int = 20, width: float = 2.0) -> DataFrame:

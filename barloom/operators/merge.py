@@ -101,8 +101,7 @@ def spread(df: DataFrame) -> DataFrame:
 def merged(bars: DataFrame, extra: list[str], sampling: str = "hour", half_bar: str = "drop") -> DataFrame:
     """Bars with indicators on the grid of their sampling, in the order: gaps marked, filled, then derived.
 
-    ``bars`` has PRICES and the ``extra`` indicator columns. One shuffle on the ticker serves the grid join and all
-    windows but volume_z's.
+    ``bars`` has PRICES and the ``extra`` indicator columns. Bars without a time go.
     """
     inside = calendar.rth(bars)
     grid = {"minute": calendar.minute_grid, "hour": lambda x: calendar.hour_grid(x, half_bar)}[sampling](inside)

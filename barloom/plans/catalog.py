@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,26 +9,14 @@ from pyspark.sql import functions as F
 from barloom.functions.series import longest_runs, positive_log, ratio, rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
 from barloom.plans import sql, steps
+from barloom.plans.registry import ORACLES, QUERIES, Query, register, simple
 from barloom.sources import tables
 from barloom.sources.tables import PRICES, build_bars
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 OHLC = ["open", "high", "low", "close", "volume", "vwap"]
 KEY = ["ticker", "ts"]
 
 
-def register(name: str, oracle: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if oracle:
-            ORACLES[name] = oracle
-        return f
-
-    return add
-
-
 def hour_bars(spark: SparkSession, d: str) -> DataFrame:
     return build_bars(tables.ticks(spark, d), "hour")
 
@@ -39,13 +25,6 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
     return merge.merged(indicators.bollinger(indicators.atr(hour_bars(spark, d))), ["atr_14", "bb_bw_20"])
 
 
-def simple(name: str, build: Callable[[SparkSession, str], DataFrame], columns: list[str], uses: list[str], source: str, round_: list[str] = (), where: str = "", exprs: dict[str, str] | None = None) -> None:
-    """A query that selects ``columns`` of what ``build`` gives, and the same of a subquery."""
-    exprs = exprs or {}
-    body = f"SELECT {', '.join(f'{exprs[c]} AS {c}' if c in exprs else c for c in columns)} FROM {source} {where}"
-    register(name, sql.query(uses, body, list(round_)))(lambda s, d: rounded(build(s, d).select(*columns)))
-
-
 # ---- bars, hours, clocks
 for unit in ("minute", "hour"):
     simple(f"bars_{unit}", lambda s, d, u=unit: build_bars(tables.ticks(s, d), u), [*KEY, *OHLC, "transactions"], [f"{unit}_bars"], f"{unit}_bars", OHLC)
@@ -81,12 +60,10 @@ simple("stochastic", lambda s, d: indicators.stochastic(hour_bars(s, d)), [*KEY,
 
 # ---- grid, alignment, fills
 _inside = lambda s, d: calendar.rth(hour_bars(s, d))
-simple("grid_minute", lambda s, d: calendar.minute_grid(_inside(s, d).where("ticker = 'click'")), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m) WHERE ticker = 'click')")
-simple("grid_minute_whole", lambda s, d: calendar.minute_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m))")
+simple("grid_minute", lambda s, d: calendar.minute_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m))")
 simple("grid_hour_adaptive", lambda s, d: calendar.hour_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["grid"], "grid")
 simple("align_left", lambda s, d: merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)), [*KEY, "day_id", "close"], ["aligned"], "aligned", ["close"])
-simple("align_outer", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d).where("transactions > 2")).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN (SELECT * FROM hour_bars WHERE transactions > 2) b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
-simple("align_outer_whole", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d)).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN hour_bars b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
+simple("align_outer", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d)).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN hour_bars b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
 _aligned = lambda s, d: merge.gap_flag(merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)))
 simple("gap_flag", _aligned, [*KEY, "is_gap"], ["aligned"], "aligned")
 register("gap_runs", sql.query(["aligned"], sql.longest("aligned", "ticker, day_id", "CASE WHEN is_gap = 1 THEN 1 END", "max_gap")))(lambda s, d: longest_runs(_aligned(s, d), ["ticker", "day_id"], F.when(F.col("is_gap") == 1, 1), "max_gap"))
@@ -137,19 +114,11 @@ for name, columns in {"ret_open15": ["ret_open15", "open15_valid_ratio"], "ret_l
     simple(name, lambda s, d: features.daily(merged(s, d)), ["ticker", "day_id", *columns], ["cumulated"], f"({_daily_sql()})", [c for c in columns if c != "trend_persistence"])
 
 
-@register("agg_hour", sql.query(["minute_bars"], "SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r FROM minute_bars WHERE hour(ts) BETWEEN 10 AND 15) GROUP BY 1, 2", ["ret", "rv"]))
-def agg_hour(spark: SparkSession, d: str) -> DataFrame:
-    """Hour windows [H, H + 1) of minute bars, by their end."""
-    bars = build_bars(tables.ticks(spark, d), "minute").where(F.hour("ts").between(10, 15)).withColumn("day_id", F.to_date("ts"))
-    r = merge.log_return(bars)
-    return rounded(r.groupBy("ticker", calendar.window_end(F.col("ts"), "hour").alias("win_end")).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("ret"), F.sum(F.col("r") * F.col("r")).alias("rv")))
-
-
 _returns = "CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r"
 
 
-@register("agg_hour_whole", sql.query(["minute_bars"], f"SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv FROM (SELECT *, {_returns} FROM minute_bars WHERE {sql.MINUTE} BETWEEN 570 AND 959) GROUP BY 1, 2", ["ret", "rv"]))
-def agg_hour_whole(spark: SparkSession, d: str) -> DataFrame:
+@register("agg_hour", sql.query(["minute_bars"], f"SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv FROM (SELECT *, {_returns} FROM minute_bars WHERE {sql.MINUTE} BETWEEN 570 AND 959) GROUP BY 1, 2", ["ret", "rv"]))
+def agg_hour(spark: SparkSession, d: str) -> DataFrame:
     """Hour windows of the minute bars of the whole regular session, by their end."""
     bars = calendar.rth(build_bars(tables.ticks(spark, d), "minute")).withColumn("day_id", F.to_date("ts"))
     r = merge.log_return(bars)
@@ -282,15 +251,8 @@ def doc_assemble(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("ticker", "date", F.cardinality("per_hour_data").cast("bigint").alias("hours"), cells.cast("bigint").alias("features"), F.size("news").cast("bigint").alias("n"))
 
 
-@register("auto_shift_align", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t WHERE hour(ts) BETWEEN 9 AND 15) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))
+@register("auto_shift_align", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))
 def auto_shift_align(spark: SparkSession, d: str) -> DataFrame:
-    marks = calendar.hour_grid(_inside(spark, d)).select("ticker", (F.col("ts") + F.expr("interval 1 hour")).alias("end_ts"))
-    moved = documents.auto_shift(hour_bars(spark, d).where(F.hour("ts").between(9, 15)), marks)
-    return moved.groupBy("ticker", "align", "overlap").agg(F.count(F.lit(1)).alias("n"))
-
-
-@register("auto_shift_align_whole", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))
-def auto_shift_align_whole(spark: SparkSession, d: str) -> DataFrame:
     """The shift of every hour bar, also of those outside the session."""
     marks = calendar.hour_grid(_inside(spark, d)).select("ticker", (F.col("ts") + F.expr("interval 1 hour")).alias("end_ts"))
     return documents.auto_shift(hour_bars(spark, d), marks).groupBy("ticker", "align", "overlap").agg(F.count(F.lit(1)).alias("n"))

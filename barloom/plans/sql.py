@@ -16,10 +16,10 @@ def bars(source: str, unit: str) -> str:
 
 
 def ema(x: str, name: str, source: str, alpha: str) -> str:
-    """``source`` with ``name``: the folded list of the last 600 non-null values."""
+    """``source`` with ``name``: the fold of all non-null values so far."""
     return (
         f"SELECT * EXCLUDE (__l), CASE WHEN len(__l) > 0 THEN list_reduce(__l, lambda a, v: a * (1 - {alpha}) + v * {alpha}) END AS {name} FROM "
-        f"(SELECT *, list({x}::DOUBLE) FILTER ({x} IS NOT NULL) OVER (PARTITION BY ticker ORDER BY ts ROWS 599 PRECEDING) AS __l FROM {source})"
+        f"(SELECT *, list({x}::DOUBLE) FILTER ({x} IS NOT NULL) OVER (PARTITION BY ticker ORDER BY ts ROWS UNBOUNDED PRECEDING) AS __l FROM {source})"
     )
 
 

@@ -41,12 +41,12 @@ def test_query_agrees_with_its_sql(spark, duck, name):
 def test_whole_queries_leave_no_rows_out(spark):
     ticks, q = tables.ticks(spark, SF), catalog.queries()
     days = catalog._inside(spark, SF).select("ticker", F.to_date("ts")).distinct().count()
-    assert q["grid_minute_whole"](spark, SF).count() == 390 * days
+    assert q["grid_minute"](spark, SF).count() == 390 * days
     bars = tables.build_bars(ticks, "hour").count()
-    assert sum(r.bars for r in q["align_outer_whole"](spark, SF).collect()) == bars
-    assert sum(r.n for r in q["auto_shift_align_whole"](spark, SF).collect()) == bars
+    assert sum(r.bars for r in q["align_outer"](spark, SF).collect()) == bars
+    assert sum(r.n for r in q["auto_shift_align"](spark, SF).collect()) == bars
     minutes = tables.build_bars(ticks, "minute").where("hour(ts) * 60 + minute(ts) between 570 and 959").count()
-    assert sum(r.n for r in q["agg_hour_whole"](spark, SF).collect()) == minutes
+    assert sum(r.n for r in q["agg_hour"](spark, SF).collect()) == minutes
 
 
 def test_a_tone_peaks_at_its_period():
@@ -99,3 +99,20 @@ def test_streamed_bars_match_batch_bars(spark, tmp_path):
     got = {(r.ticker, r.ts): r.close for r in spark.table("bars").collect()}
     want = {(r.ticker, r.ts): r.close for r in tables.build_bars(tables.ticks(spark, SF), "hour").collect()}
     assert got and all(want[k] == v for k, v in got.items())
+
+
+@pytest.mark.parametrize("growth", [300, 3, 0.01])
+def test_exponential_means_count_every_value(spark, monkeypatch, growth):
+    from barloom.functions import series
+
+    monkeypatch.setattr(series, "EWM_GROWTH", growth)
+    x = [None, None, *[1e6] * 3, None, *[float(k % 7) for k in range(1200)], None]
+    df = spark.createDataFrame([("a", k, v) for k, v in enumerate(x)] + [("b", 0, 5.0), ("c", 0, None)], "ticker string, ts int, x double")
+    for n in (1, 3, 200):
+        alpha, y, want = series.span(n), None, []
+        for v in x:
+            y = y if v is None else v if y is None else y * (1 - alpha) + v * alpha
+            want.append(y)
+        got = {(r.ticker, r.ts): r.y for r in series.ewm(df, F.col("x"), "y", alpha).collect()}
+        assert [got["a", k] for k in range(len(x))] == pytest.approx(want, rel=1e-9, abs=1e-9, nan_ok=True)
+        assert got["b", 0] == 5.0 and got["c", 0] is None
