@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
+#: Rows and bytes of an Arrow batch between Spark and Python: what a task holds of whole texts on either side.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -44,8 +46,17 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Small Arrow batches, where the session leaves their size open: long texts must not fill executors off the heap."""
+    set_already = spark.conf.getAll
+    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if (key := f"spark.sql.execution.arrow.{name}") not in set_already:
+            spark.conf.set(key, str(value))
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors unless their Python path or working folder has it already."""
+    """Send this package to the executors unless their Python path or working folder has it already; bound batches."""
+    bound_batches(spark)
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep) + [os.getcwd()]
     if any(p and Path(p).resolve() == ROOT for p in paths) or getattr(spark.sparkContext, "_barloom_shipped", False):
         return
