@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces whose ids a worker remembers, twice so many at most, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 48
+REMEMBERED, REMEMBERED_CHARS = 100_000, 48
 #: Rows that are encoded, or tokens that are decoded, at a time.
 CHUNK_ROWS, CHUNK_TOKENS = 256, 1 << 20
 

@@ -7,6 +7,7 @@ third, keep it if it is nearly pure, take away what it covers, repeat.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -55,24 +56,21 @@ def count_text(text: str | None) -> tuple[int, ...]:
     return n, chars, sum(map(text.count, SYMBOLS)), dup, int(repeated.sum()), lines, len(ids), sum(map(text.count, "0123456789"))
 
 
-COUNTED = T.StructType([T.StructField(c, T.LongType(), False) for c in COUNTS])
-
-
-@F.arrow_udf(COUNTED)
-def _counted(texts: pa.Array) -> pa.Array:
-    made = np.array([count_text(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS))
-    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(made[:, k])) for k in range(len(COUNTS))], names=list(COUNTS))
-
+def with_counts(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` and COUNTS of ``text``; columns of those names in ``df`` give way to the counts.
 
-#: One pass over the text, which goes to Python and does not come back. (Called nondeterministic so that Spark does not
-#: repeat it in every condition that reads it.)
-counted = _counted.asNondeterministic()
+    The text goes to Python once, whether it is kept or not.
+    """
+    keep = [c for c in dict.fromkeys(keep) if c not in COUNTS]
+    schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, T.LongType(), False) for c in COUNTS)])
+    read = [*keep] if text in keep else [*keep, text]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.array([count_text(t.as_py()) for t in batch.column(read.index(text))], np.int64).reshape(-1, len(COUNTS))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *(pa.array(made[:, k]) for k in range(len(COUNTS)))], names=[*keep, *COUNTS])
 
-def with_counts(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and COUNTS of ``text``; columns of those names in ``df`` give way to the counts."""
-    keep = [c for c in dict.fromkeys(keep) if c not in COUNTS]
-    return df.select(*keep, counted(F.col(text).cast("string")).alias("__counts")).select(*keep, "__counts.*")
+    return df.select(*read).mapInArrow(run, schema)
 
 
 def base_failed() -> Column:
@@ -225,6 +223,5 @@ def filter_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> D
     """
     rules = fit(docs, labels)
     named = {c: f"__in_{k}" for k, c in enumerate(docs.columns)}
-    rows = docs.withColumnsRenamed(named)
-    rows = rows.withColumn("__counts", counted(F.col(named["text"]).cast("string"))).select("*", "__counts.*")
+    rows = with_counts(docs.withColumnsRenamed(named), list(named.values()), named["text"])
     return rows.where(verdict(rules)).select(*(F.col(v).alias(k) for k, v in named.items()))
