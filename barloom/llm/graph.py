@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.session import cut
+from barloom.session import cut, discard
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -27,13 +27,15 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, v): every vertex that is not the least of its component, with the least. ``edges`` has u and v.
 
     Loops, repeats and both directions are allowed; null ends link nothing. Each round halves path lengths at
-    least; the rounds end when a round changes nothing. Each round is written to the shared folder.
+    least; the rounds end when a round changes nothing. Each round is written to the shared folder, and the one
+    before goes.
     """
     now = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = cut(now, "links")
     was = _signature(now)
     while was[0]:
-        now = cut(_star(_star(now, True), False), "links")
+        before, now = now, cut(_star(_star(now, True), False), "links")
+        discard(before)
         seen = _signature(now)
         if seen == was:
             break

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.arrow import matrix, runs
 from barloom.llm.graph import components
-from barloom.session import cut
+from barloom.session import cut, discard
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -37,7 +37,7 @@ RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch.
 SKETCH = 64
 #: Records and shingles of a block; leaders that the blocks of a node share.
-BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 2048, 1 << 21, 4
+BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 4096, 1 << 21, 4
 #: Most rounds in which large nodes are compared block by block: one tree in each, the last takes all other trees.
 MAX_DEPTH = 2
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,6 +96,11 @@ def minwise(elements: np.ndarray) -> np.ndarray:
     return low
 
 
+def sketch_of(low: np.ndarray) -> np.ndarray:
+    """One byte of each minwise token: tokens that differ agree in 1 of 256, tokens that agree always do."""
+    return (_mix(low) >> np.uint64(56)).astype(np.uint8)
+
+
 def set_id(elements: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(elements.tobytes())
 
@@ -120,7 +125,7 @@ def _describe(trees: int, words: int):
                     continue
                 low = minwise(s)
                 ids.append(set_id(s))
-                sketches.append((low >> np.uint64(32)).astype(np.uint32).tobytes())
+                sketches.append(sketch_of(low).tobytes())
                 nodes.append(_mix(low[picks] ^ names[owner] ^ _mix(picks.astype(np.uint64))).astype(np.int64))
             made = [pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sketches, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *made], names=["doc_id", "row", "n_shingles", "set_id", "sketch", "nodes"])
@@ -163,7 +168,7 @@ def _promising(agree: int, percent: int):
         for block in runs(batches, "block"):
             if block.num_rows > 1:
                 hit = np.zeros(block.num_rows, bool)
-                for i, others in _rows(matrix(block["sketch"], np.uint32, SKETCH), block["n"].to_numpy(), _codes(block["comp"].to_pylist()), agree, percent):
+                for i, others in _rows(matrix(block["sketch"], np.uint8, SKETCH), block["n"].to_numpy(), _codes(block["comp"].to_pylist()), agree, percent):
                     hit[i] = hit[others] = True
                 if hit.any():
                     out.append(block.filter(pa.array(hit)))
@@ -227,7 +232,7 @@ def _joined(code: np.ndarray, sets: list[np.ndarray], agree: int, percent: int)
 
     A record is compared with a few others at a time, because each link found spares the rest of what it joins.
     """
-    sketch = np.stack([(minwise(s) >> np.uint64(32)).astype(np.uint32) for s in sets])
+    sketch = np.stack([sketch_of(minwise(s)) for s in sets])
     held = _Sets(sets)
     for i, others in _rows(sketch, held.size, code, agree, percent):
         step = 1
@@ -317,7 +322,10 @@ class _Join:
         """Adds the links of ``found`` (block, set_id, comp) to the components."""
         rows = found.select("block", "set_id", "comp").join(self.texts, "set_id").repartition("block").sortWithinPartitions("block", "set_id")
         links = cut(rows.mapInArrow(_confirm(self.agree, self.percent, self.words), "u binary, v binary"), "found")
-        self.comp = components(links if self.comp is None else links.unionByName(self.comp))
+        before, self.comp = self.comp, components(links if self.comp is None else links.unionByName(self.comp))
+        for done in (links, before):
+            if done is not None:
+                discard(done)
 
 
 def _parts(size: Column, weight: Column, records: int, shingles: int) -> Column:
@@ -348,10 +356,14 @@ def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[D
     join.fetch(found, split)
     # the first tree joins most groups, so that the others find most of their blocks settled
     join.confirm(found.where("round = 0"))
-    join.confirm(join.promising(found.where("round > 0")))
+    rest = join.promising(found.where("round > 0"))
+    discard(found)
+    join.confirm(rest)
+    discard(rest)
     for k in range(MAX_DEPTH):
         if (found := join.pairs(split.where(F.col("round") == k))) is not None:
             join.confirm(found)
+            discard(found)
     label = join.labelled(records.select("set_id", "rep")).select("set_id", "rep", "comp")
     least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
     return described.select("doc_id", "row", "n_shingles", "set_id"), label.join(least, "comp").select("set_id", "comp", "component_id")

@@ -196,3 +196,48 @@ def test_levels_of_a_tree_are_nested_and_cover():
         own = t.levels[:, k]
         assert (np.linalg.norm(x - x[own], axis=1) <= radius + 1e-9).all()
         assert all(len({*t.levels[own == c, k - 1].tolist()}) == 1 for c in {*own.tolist()} if k)
+
+
+def test_a_block_of_thousands_of_near_copies_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.permutation(200)[:195]], rng.integers(0, 1 << 62, 4).astype(np.uint64)])) for _ in range(4000)]
+    sketch = np.stack([neardup.sketch_of(neardup.minwise(s)) for s in sets])
+    agree = neardup.agreement_for(neardup.RECALL, 0.85)
+    tracemalloc.start()
+    joined = list(neardup._joined(np.arange(len(sets)), sets, agree, 85))
+    hit = sum(len(others) for _, others in neardup._rows(sketch[:500], np.full(500, 199), np.arange(500), agree, 85))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(joined) == 3999 and hit > 400 * 499 / 2 * 0.9
+    assert peak < 100e6
+
+
+def test_one_row_of_a_group_stays(spark):
+    t, other = "a b c d e f g h", "q r s t u v"
+    rows = [(5, t, "x"), (5, t, "x"), (5, t, "y"), (None, t, "x"), (None, other, "x"), (7, t.upper(), "x"), (8, None, "x"), (8, None, "x"), (9, "", "x")]
+    left = Counter(map(tuple, neardup.keep_one(spark.createDataFrame(rows, DOC)).collect()))
+    assert left.pop((5, t, "x"), 0) + left.pop((5, t, "y"), 0) == 1
+    assert left == Counter({(None, other, "x"): 1, (8, None, "x"): 2, (9, "", "x"): 1})
+    assert neardup.keep_one(spark.createDataFrame(rows, DOC).limit(0)).count() == 0
+
+
+def test_recall_of_pairs_just_over_the_threshold(spark):
+    # 300 pairs of sets with 85 to 88 % in common, each pair apart from all others
+    rnd = random.Random(21)
+    rows, want = [], {}
+    for i in range(300):
+        w = [f"p{i}w{k}" for k in range(rnd.randint(120, 200))]
+        copy = list(w)
+        while True:
+            copy[rnd.randrange(len(w))] = f"p{i}n{rnd.random()}"
+            a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (w, copy))
+            if len(a & b) / len(a | b) < 0.89:
+                break
+        rows += [(2 * i, " ".join(w), ""), (2 * i + 1, " ".join(copy), "")]
+        want[2 * i + 1] = 2 * i if 100 * len(a & b) >= 85 * len(a | b) else 2 * i + 1
+    found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+    assert sum(v < k for k, v in want.items()) > 150
+    assert {k: found[k] for k in want} == want
