@@ -17,8 +17,8 @@ DROPPED = [
     "inter.close", "inter.ema_12", "inter.ema_26", "inter.low", "inter.macd", "inter.macd_hist", "inter.macd_signal", "inter.open", "inter.r_close", "inter.sma_20", "inter.sma_50", "inter.stoch_d_14", "inter.stoch_k_14",
 ]
 SHIFTS = {"treat_as_start": 1, "as_is": 0, "minus_1h": -1}
-#: Hours by the mode that a caller names.
-ALIGN = {"treat_as_start": 1, "treat_as_end": 0, "as_is": 0}
+#: Hours and tag by the mode that a caller names; any other name leaves times as they are.
+ALIGN = {"treat_as_start": (1, "treat_as_start"), "treat_as_end": (0, "treat_as_end"), "as_is": (0, "treat_as_end")}
 
 
 def long_features(df: DataFrame, prefix: str, columns: list[str], source: int, at: str = "end_ts") -> DataFrame:
@@ -89,9 +89,8 @@ def align_hours(inter: DataFrame, mode: str, marks: DataFrame | None = None) ->
     """``inter`` with end_ts by a named mode, or by ``auto`` against ``marks``."""
     if mode == "auto" and marks is not None:
         return auto_shift(inter, marks)
-    if mode not in ALIGN:
-        raise ValueError(f"align mode {mode!r}")
-    return inter.withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.lit(ALIGN[mode]))).withColumn("align", F.lit(mode))
+    hours, tag = ALIGN.get(mode, (0, "as_is"))
+    return inter.withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.lit(hours))).withColumn("align", F.lit(tag))
 
 
 def has_features(hours: Column) -> Column:

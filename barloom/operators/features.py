@@ -83,3 +83,16 @@ def window_quality(df: DataFrame, column: str, cadence: str, sampling: str, gap_
     flat = flat.withColumn("gap_ratio", 1 - share)
     passed = (share >= least_share) & (F.col("gap_ratio") <= gap_share) & (F.col("max_gap_run") <= gap_run) & (F.col("n_valid") >= least)
     return flat.withColumn("passed", passed)
+
+
+def low_confidence(df: DataFrame, column: str, cadence: str, gap: float = 0.10, run: int = 30, least: int = 300, flat: float = 1e-8) -> DataFrame:
+    """By window: rows, share and longest run of gaps, whether ``column`` is flat, and the older flag of low confidence.
+
+    A flat column has no features worth the name, so its window counts as low however few its gaps are.
+    """
+    keys = ["ticker", "win_end"]
+    df = df.withColumn("win_end", calendar.window_end(F.col("ts"), cadence))
+    df = run_lengths(df, keys, F.when(F.col("is_gap") == 1, 1), "__gap")
+    flag = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("is_gap").alias("gap_ratio"), F.max("__gap").cast("bigint").alias("max_gap_run"), F.coalesce(F.stddev_pop(column) < flat, F.lit(True)).alias("degenerate"))
+    low = (F.col("gap_ratio") > gap) | (F.col("max_gap_run") > run) | (F.col("n") < least) | F.col("degenerate")
+    return flag.withColumn("low_conf", low.cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import backward_fill, forward_fill, positive_log, ratio, series, two_sided_fill
 from barloom.operators import calendar
-from barloom.sources.tables import PRICES
+from barloom.sources.tables import PRICES, with_missing
 
 FILL, RETURN_FILL, RETURN_EXTRA, RETURN_VALID = 3, 1, 2, 0.70
 
@@ -98,19 +98,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.withColumn("spread_vwap_norm", ratio(F.col("spread_vwap"), F.col("ATR_14_day_mean")))
 
 
-def merged(bars: DataFrame, extra: list[str], sampling: str = "hour", half_bar: str = "drop") -> DataFrame:
+def merged(bars: DataFrame, extra: list[str], sampling: str = "hour", half_bar: str = "drop", fill_return: int = RETURN_FILL, fill_more: int = RETURN_EXTRA) -> DataFrame:
     """Bars with indicators on the grid of their sampling, in the order: gaps marked, filled, then derived.
 
     ``bars`` has PRICES and the ``extra`` indicator columns. Bars without a time go.
     """
-    inside = calendar.rth(bars)
+    inside = calendar.rth(bars.where(F.col("ts").isNotNull()))
     grid = {"minute": calendar.minute_grid, "hour": lambda x: calendar.hour_grid(x, half_bar)}[sampling](inside)
     df = fill(gap_flag(align(grid, inside.select("ticker", "ts", *PRICES, *extra))))
     df = position(df).withColumns({"session": F.lit("rth"), "minutes_since_open": calendar.minutes_since_open(F.col("ts"))})
-    return volume_z(spread(repaired_return(df)))
+    return volume_z(spread(repaired_return(df, fill_return, fill_more)))
 
 
 def merged_days(bars: DataFrame, extra: list[str]) -> DataFrame:
-    """Day sampling: no grid, no fill, session 'day', no intraday return."""
+    """Day sampling: no grid, no fill, session 'day', no intraday return; the day's range is its own mean."""
     df = gap_flag(bars.select("ticker", "ts", F.to_date("ts").alias("day_id"), *PRICES, *extra))
-    return df.withColumns({"session": F.lit("day"), "r_close": F.lit(None).cast("double")})
+    df = df.withColumns({"session": F.lit("day"), "bar_index_since_open": F.lit(0), "spread_vwap": F.col("close") - F.col("vwap"), "r_close": F.lit(None).cast("double")})
+    df = with_missing(df, ["atr_14", "minutes_since_open", "volume_z_by_tod"]).withColumn("ATR_14_day_mean", F.col("atr_14"))
+    return df.withColumn("spread_vwap_norm", ratio(F.col("spread_vwap"), F.col("ATR_14_day_mean")))

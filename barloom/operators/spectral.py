@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.series import ratio, series
+from barloom.functions.series import number, positive_log, ratio, series
 from barloom.operators import calendar
 from barloom.operators.features import window_quality
 
@@ -55,7 +55,7 @@ def welch_features(x: np.ndarray, nperseg: int, noverlap: int) -> list[float]:
     f, p = welch(x - x.mean(), nperseg, min(max(noverlap, 0), nperseg - 1))
     total = float(np.trapezoid(p, f))
     bands = [float(np.trapezoid(p[m], f[m])) for m in ((f >= a) & (f <= b) for a, b in BANDS.values())]
-    top = float(f[np.argmax(p)])
+    top = float(f[np.argmax(p >= p.max() * (1 - 1e-9))])  # the lowest of frequencies that differ by rounding
     centre = float((f * p).sum() / p.sum()) if p.sum() > 0 else 0.0
     return [total, *bands, *(b / total if total > 0 else 0.0 for b in bands), top, _inverse(top), centre, _inverse(centre)]
 
@@ -238,3 +238,14 @@ def dft_single(df: DataFrame, column: str, cadence: str) -> DataFrame:
         F.max_by("f", F.struct(F.round("p", 9), -F.col("f"))).alias("dom_freq_cpb"), ratio(F.sum(F.col("f") * F.col("p")), F.sum("p")).alias("centroid_freq_cpb"),
     )
     return out.withColumns({"dom_period_bars": ratio(F.lit(1.0), F.col("dom_freq_cpb")), **{f"pct_{b}": F.coalesce(ratio(F.col(f"power_{b}"), F.col("power_total")), F.lit(0.0)) for b in BANDS}})
+
+
+def with_series(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` and those of ``columns`` that it has; where it has none, ``r_close``, derived from ``close`` if need be."""
+    if found := [c for c in columns or ["r_close"] if c in df.columns]:
+        return df, found
+    if "close" not in df.columns:
+        raise ValueError("no series and no close to derive one from")
+    p = positive_log(number(F.col("close")))
+    w = series("ticker")
+    return df.withColumn("r_close", F.when(F.row_number().over(w) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(w))), ["r_close"]

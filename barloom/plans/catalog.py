@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import longest_runs, positive_log, ratio, rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
-from barloom.plans import sql, steps
+from barloom.plans import files, minute, spectra, sql, steps
 from barloom.plans.registry import ORACLES, QUERIES, Query, register, simple
 from barloom.sources import tables
 from barloom.sources.tables import PRICES, build_bars
 
+
+def minute_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Minute bars of the prints on the whole session's grid."""
+    bars = build_bars(tables.prints(spark, d), "minute")
+    return merge.merged(indicators.bollinger(indicators.atr(bars)), ["atr_14", "bb_bw_20"], "minute")
+
+
 OHLC = ["open", "high", "low", "close", "volume", "vwap"]
 KEY = ["ticker", "ts"]
 
@@ -75,10 +82,10 @@ simple("dedup_keep_last", lambda s, d: merge.keep_last(tables.ticks(s, d).withCo
 M = ["spread_vwap", "r_close", "ATR_14_day_mean", "spread_vwap_norm", "volume_z_by_tod"]
 simple("merged_hour", merged, [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *M], ["merged"], "merged", [*PRICES, *M])
 simple("log_return", lambda s, d: merge.log_return(merge.fill(_aligned(s, d))), [*KEY, "r"], ["filled"], "filled", ["r"], exprs={"r": f"CASE WHEN row_number() OVER ({sql.D}) = 1 THEN 0 ELSE CASE WHEN close > 0 THEN ln(close) END - lag(CASE WHEN close > 0 THEN ln(close) END) OVER ({sql.D}) END"})
-simple("rclose_repair", merged, [*KEY, "r_close", "rclose_limit_used"], ["chosen"], "chosen", ["r_close"])
-_qc = "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, count(*)::BIGINT AS N FROM chosen GROUP BY 1, 2)"
-simple("rclose_qc", lambda s, d: merge.return_quality(merged(s, d)), ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"], ["chosen"], _qc, ["rclose_valid_ratio"])
-simple("qc_summary", lambda s, d: merge.quality_summary(merge.return_quality(merged(s, d))), ["ticker", "median_valid", "min_valid", "days_below"], ["chosen"], f"(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio < 0.7)::BIGINT AS days_below FROM {_qc} GROUP BY 1)", ["median_valid", "min_valid"])
+simple("rclose_repair", minute_grid, [*KEY, "r_close", "rclose_limit_used"], ["m_chosen"], "m_chosen", ["r_close"])
+_qc = "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, count(*)::BIGINT AS N FROM m_chosen GROUP BY 1, 2)"
+simple("rclose_qc", lambda s, d: merge.return_quality(minute_grid(s, d)), ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"], ["m_chosen"], _qc, ["rclose_valid_ratio"])
+simple("qc_summary", lambda s, d: merge.quality_summary(merge.return_quality(minute_grid(s, d))), ["ticker", "median_valid", "min_valid", "days_below"], ["m_chosen"], f"(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio < 0.7)::BIGINT AS days_below FROM {_qc} GROUP BY 1)", ["median_valid", "min_valid"])
 for name, column in (("bar_index", "bar_index_since_open"), ("volume_z", "volume_z_by_tod"), ("atr_day_mean", "ATR_14_day_mean"), ("spread_norm", "spread_vwap_norm")):
     simple(name, merged, [*KEY, column], ["merged"], "merged", [column] if column != "bar_index_since_open" else [])
 
@@ -92,26 +99,26 @@ def _gate(low: int, high: int) -> tuple[str, str]:
     return f"CASE WHEN count(*) FILTER ({inside}) > 0 AND {share} >= 0.5 THEN coalesce(sum(r_close) FILTER ({inside}), 0) END", share
 
 
-def _daily_sql() -> str:
+def daily_sql(source: str = "cumulated", key: str = "day_id") -> str:
     first, first_share = _gate(0, 14)
     last, last_share = _gate(380, 389)
     x, y = "vt", "CASE WHEN r_close IS NOT NULL THEN cum END"
     corr = f"CASE WHEN count(vt) >= 2 THEN covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0) END"
     flat = (
-        f"SELECT ticker, day_id, avg(is_gap) AS AGG_gap_ratio, count(*)::BIGINT AS AGG_N, count(r_close)::BIGINT AS valid_bars, count(r_close)::DOUBLE / count(*) AS valid_ratio_day, sum(r_close) AS ret_oc, sum(r_close * r_close) AS rv, "
+        f"SELECT ticker, {key}, avg(is_gap) AS AGG_gap_ratio, count(*)::BIGINT AS AGG_N, count(r_close)::BIGINT AS valid_bars, count(r_close)::DOUBLE / count(*) AS valid_ratio_day, sum(r_close) AS ret_oc, sum(r_close * r_close) AS rv, "
         f"CASE WHEN count(r_close)::DOUBLE / count(*) >= 0.5 THEN {corr} END AS reversal_score, avg(abs(spread_vwap_norm)) AS mabs_svn, last(spread_vwap_norm ORDER BY ts) FILTER (spread_vwap_norm IS NOT NULL) AS eod_svn, "
         f"avg(CASE WHEN volume_z_by_tod > 2 THEN 1.0::DOUBLE ELSE 0 END) FILTER (volume_z_by_tod IS NOT NULL) AS hi2_frac, {first} AS ret_open15, {last} AS ret_last10, "
         f"CASE WHEN sum(volume) > 0 THEN sum(volume) FILTER (minutes_since_open BETWEEN 380 AND 389) / sum(volume) END AS vol_last10_frac, {first_share} AS open15_valid_ratio, {last_share} AS last10_valid_ratio, "
-        "count(r_close)::DOUBLE / count(*) AS reversal_valid_ratio FROM cumulated GROUP BY 1, 2"
+        f"count(r_close)::DOUBLE / count(*) AS reversal_valid_ratio FROM {source} GROUP BY 1, 2"
     )
-    gaps = sql.longest("cumulated", "ticker, day_id", "CASE WHEN is_gap = 1 THEN 1 END", "AGG_max_consecutive_gap")
-    runs = sql.longest("cumulated", "ticker, day_id", "CASE WHEN r_close <> 0 THEN sign(r_close) END", "run")
-    return f"SELECT a.*, AGG_max_consecutive_gap, CASE WHEN valid_bars >= 5 THEN run END AS trend_persistence FROM ({flat}) a JOIN ({gaps}) b ON a.ticker = b.ticker AND a.day_id = b.day_id JOIN ({runs}) c ON a.ticker = c.ticker AND a.day_id = c.day_id"
+    gaps = sql.longest(source, f"ticker, {key}", "CASE WHEN is_gap = 1 THEN 1 END", "AGG_max_consecutive_gap")
+    runs = sql.longest(source, f"ticker, {key}", "CASE WHEN r_close <> 0 THEN sign(r_close) END", "run")
+    return f"SELECT a.*, AGG_max_consecutive_gap, CASE WHEN valid_bars >= 5 THEN run END AS trend_persistence FROM ({flat}) a JOIN ({gaps}) b ON a.ticker = b.ticker AND a.{key} = b.{key} JOIN ({runs}) c ON a.ticker = c.ticker AND a.{key} = c.{key}"
 
 
-register("agg_daily", sql.query(["cumulated"], _daily_sql(), A))(lambda s, d: rounded(features.daily(merged(s, d)).select("ticker", "day_id", "AGG_N", "valid_bars", *A, "AGG_max_consecutive_gap", "trend_persistence")))
+register("agg_daily", sql.query(["cumulated"], daily_sql(), A))(lambda s, d: rounded(features.daily(merged(s, d)).select("ticker", "day_id", "AGG_N", "valid_bars", *A, "AGG_max_consecutive_gap", "trend_persistence")))
 for name, columns in {"ret_open15": ["ret_open15", "open15_valid_ratio"], "ret_last10": ["ret_last10", "last10_valid_ratio"], "reversal_score": ["reversal_score", "reversal_valid_ratio"], "trend_persistence": ["trend_persistence"], "vol_frac": ["vol_last10_frac", "hi2_frac"], "svn": ["mabs_svn", "eod_svn"]}.items():
-    simple(name, lambda s, d: features.daily(merged(s, d)), ["ticker", "day_id", *columns], ["cumulated"], f"({_daily_sql()})", [c for c in columns if c != "trend_persistence"])
+    simple(name, lambda s, d: features.daily(minute_grid(s, d)), ["ticker", "day_id", *columns], ["m_cumulated"], f"({daily_sql('m_cumulated')})", [c for c in columns if c != "trend_persistence"])
 
 
 _returns = "CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r"
@@ -146,12 +153,9 @@ for cadence in ("day", "week", "month", "quarter", "year"):
         register(f"agg_{cadence}_{reducer}", sql.query(["day_rows"], _reduce_sql(cadence, reducer), ["cover_ratio", *R]))(lambda s, d, c=cadence, r=reducer: rounded(features.reduce_windows(day_rows(s, d), c, r)))
 
 # ---- spectra
-_quality = (
-    f"SELECT a.ticker, a.win_end, win_start, days, n_valid, expected_bars, max_gap_run, 1 - n_valid::DOUBLE / expected_bars AS gap_ratio, (n_valid::DOUBLE / expected_bars >= 0.75 AND 1 - n_valid::DOUBLE / expected_bars <= 0.1 AND max_gap_run <= 30 AND n_valid >= 4) AS passed FROM "
-    f"(SELECT ticker, {sql.window_end('ts', 'week')} AS win_end, min(ts) AS win_start, count(DISTINCT CAST(ts AS DATE))::BIGINT AS days, count(r_close)::BIGINT AS n_valid, (count(DISTINCT CAST(ts AS DATE)) * 6)::BIGINT AS expected_bars FROM merged GROUP BY 1, 2) a "
-    f"JOIN ({sql.longest(f'(SELECT *, {sql.window_end("ts", "week")} AS win_end FROM merged)', 'ticker, win_end', 'CASE WHEN r_close IS NULL THEN 1 END', 'max_gap_run')}) b ON a.ticker = b.ticker AND a.win_end = b.win_end"
+register("fft_qc", sql.query(["m_merged"], spectra.quality("m_merged", "r_close", "day", 390, 0.10, 30, 0.75, 4), ["gap_ratio"]))(
+    lambda s, d: rounded(features.window_quality(minute_grid(s, d), "r_close", "day", "minute", 0.10, 30, 0.75, 4))
 )
-register("fft_qc", sql.query(["merged"], _quality, ["gap_ratio"]))(lambda s, d: rounded(features.window_quality(merged(s, d), "r_close", "week", "hour", 0.10, 30, 0.75, 4)))
 
 
 def _dft_sql() -> str:
@@ -168,25 +172,7 @@ def _dft_sql() -> str:
 
 _dft_columns = ["power_total", "power_lo", "power_mid", "power_hi", "dom_freq_cpb", "centroid_freq_cpb", "dom_period_bars", "pct_lo", "pct_mid", "pct_hi"]
 register("fft_dft_single", sql.query(["merged"], _dft_sql(), _dft_columns))(lambda s, d: rounded(spectral.dft_single(merged(s, d), "r_close", "week")))
-register("fft_welch_multi")(lambda s, d: rounded(spectral.fft_windows(merged(s, d), ["r_close", "spread_vwap_norm", "volume_z_by_tod", "bb_bw_20"], "month", "hour", 32, 16)))
-register("fft_wide")(lambda s, d: rounded(spectral.wide(spectral.fft_windows(merged(s, d), ["r_close", "volume_z_by_tod"], "week"), ["r_close", "volume_z_by_tod"], [*spectral.FFT_NAMES, "n_valid", "gap_ratio", "max_gap_run"])))
-register("fft_legacy")(lambda s, d: rounded(spectral.per_window(merged(s, d), ["r_close", "spread_vwap_norm"], "week", spectral.LEGACY_FFT_NAMES, spectral.legacy_fft_features)))
-register("cwt")(lambda s, d: rounded(spectral.cwt_windows(merged(s, d), ["r_close"], "month")))
-register("cwt_legacy")(lambda s, d: rounded(spectral.per_window(merged(s, d), ["r_close", "spread_vwap_norm"], "month", spectral.LEGACY_CWT_NAMES, spectral.legacy_cwt_features)))
-
-
-@register("cwt_ridges")
-def cwt_ridges(spark: SparkSession, d: str) -> DataFrame:
-    """One row for each ridge of each window."""
-    import pandas as pd
-
-    rows = merged(spark, d).withColumn("win_end", calendar.window_end(F.col("ts"), "month")).select("ticker", "win_end", "ts", "r_close")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = spectral.ridges(pdf.sort_values("ts")["r_close"].to_numpy(float))
-        return pd.DataFrame([(pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], *r) for r in found], columns=["ticker", "win_end", "t_start", "t_end", "avg_period", "max_power"])
-
-    return rounded(rows.groupBy("ticker", "win_end").applyInPandas(run, "ticker string, win_end timestamp_ntz, t_start int, t_end int, avg_period double, max_power double"))
+spectra.register_all(merged)
 
 
 @register("temporal_compactness", sql.query(["hour_bars"], "SELECT ticker, 1 - 2 * avg(cum) AS compactness FROM (SELECT ticker, sum(volume / total) OVER (PARTITION BY ticker ORDER BY volume, ts ROWS UNBOUNDED PRECEDING) AS cum FROM (SELECT *, sum(volume) OVER (PARTITION BY ticker) AS total FROM hour_bars)) GROUP BY 1", ["compactness"]))
@@ -290,14 +276,30 @@ register("safe_names", "SELECT CAST(page_id AS BIGINT) AS page_id, replace(repla
 register("positive_log", "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, round(CASE WHEN l_quantity - 10 > 0 THEN ln(l_quantity - 10) END, 6) + 0.0 AS x FROM lineitem")(lambda s, d: rounded(tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), positive_log(F.col("l_quantity") - 10).alias("x"))))
 
 
-@register("steps_week")
+_made = [*A, "AGG_max_consecutive_gap", "trend_persistence"]
+
+
+def _steps_sql() -> str:
+    days = spectra.reduced(daily_sql(), "week", "median", _made, 6)
+    fft = spectra.wide(spectra.fft_windows("merged", ["r_close", "bb_bw_20"], "week", 6), ["r_close", "bb_bw_20"], ["pct_hi", "dom_period_bars"])
+    return f"SELECT a.*, f.* EXCLUDE (ticker, win_end) FROM ({days}) a LEFT JOIN ({fft}) f ON a.ticker = f.ticker AND a.win_end = f.win_end"
+
+
+_fft_made = [f"{c}_{n}" for c in ("r_close", "bb_bw_20") for n in ("pct_hi", "dom_period_bars")]
+
+
+@register("steps_week", sql.query(["cumulated"], _steps_sql(), ["cover_ratio", *_made, *_fft_made]))
 def steps_week(spark: SparkSession, d: str) -> DataFrame:
-    """All steps on hour bars with weekly windows; the joined feature row of each window."""
-    made = steps.run_steps(tables.ticks(spark, d), config=steps.Config(checks=False))
+    """All steps on hour bars with weekly windows, checks included; the joined feature row of each window."""
+    made = steps.run_steps(tables.ticks(spark, d))
     fft = spectral.wide(made["fft_week"], ["r_close", "bb_bw_20"], ["pct_hi", "dom_period_bars"])
     return rounded(made["agg_week"].join(fft, ["ticker", "win_end"], "left"))
 
 
+minute.register_all()
+files.register_all()
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     return rounded(indicators.custom_indicators(indicators.indicators(hour_bars(spark, d))))
 

@@ -6,8 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from barloom.operators import features, indicators, merge, spectral
+from barloom.operators import calendar, features, indicators, merge, spectral
+from barloom.operators.calendar import CADENCES
+from barloom.session import cut
 from barloom.sources.tables import build_bars
 
 ORDER = ("load", "merge", "agg", "fft", "cwt")
@@ -22,15 +25,19 @@ class Config:
     fft_series: tuple[str, ...] = ("r_close", "bb_bw_20")
     cwt_series: tuple[str, ...] = ("r_close",)
     extra: tuple[str, ...] = ("atr_14", "bb_bw_20")
+    fill: int = 1
+    fill_extra: int = 2
     nperseg: int = 256
     noverlap: int = 128
     checks: bool = True
 
     def __post_init__(self):
-        if self.sampling not in ("minute", "hour"):
+        if self.sampling not in ("minute", "hour", "day"):
             raise ValueError(f"sampling {self.sampling!r}")
-        if bad := [c for c in self.cadences if c not in ("day", "week", "month", "quarter", "year")]:
+        if bad := [c for c in self.cadences if c not in CADENCES]:
             raise ValueError(f"cadences {bad}")
+        if self.fill_extra < self.fill:
+            raise ValueError("the extra fill is below the fill")
         if not self.fft_series or not self.cwt_series:
             raise ValueError("a series list is empty")
         if self.reducer not in ("median", "mean", "weighted_mean"):
@@ -48,31 +55,41 @@ def _load(s: State, c: Config) -> None:
 
 
 def _merge(s: State, c: Config) -> None:
-    s.tables["merged"] = merge.merged(s.tables["bars"], list(c.extra), c.sampling, c.half_bar)
+    bars = s.tables["bars"]
+    made = merge.merged_days(bars, list(c.extra)) if c.sampling == "day" else merge.merged(bars, list(c.extra), c.sampling, c.half_bar, c.fill, c.fill_extra)
+    s.tables["merged"] = cut(made, "merged")
 
 
 def _agg(s: State, c: Config) -> None:
     s.tables["agg_day"] = features.daily(s.tables["merged"])
     for cadence in c.cadences:
-        if cadence != "day":
+        if cadence == "hour":
+            hours = s.tables["merged"].withColumn("win_end", calendar.window_end(F.col("ts"), "hour"))
+            s.tables["agg_hour"] = features.daily(hours, ["ticker", "win_end"])
+        elif cadence != "day":
             s.tables[f"agg_{cadence}"] = features.reduce_windows(s.tables["agg_day"], cadence, c.reducer, c.sampling)
 
 
 def _fft(s: State, c: Config) -> None:
     for cadence in c.cadences:
-        s.tables[f"fft_{cadence}"] = spectral.fft_windows(s.tables["merged"], list(c.fft_series), cadence, c.sampling, c.nperseg, c.noverlap)
+        df, found = spectral.with_series(s.tables["merged"], list(c.fft_series))
+        s.tables[f"fft_{cadence}"] = spectral.fft_windows(df, found, cadence, c.sampling, c.nperseg, c.noverlap)
 
 
 def _cwt(s: State, c: Config) -> None:
     for cadence in c.cadences:
-        s.tables[f"cwt_{cadence}"] = spectral.cwt_windows(s.tables["merged"], list(c.cwt_series), cadence, c.sampling)
+        df, found = spectral.with_series(s.tables["merged"], list(c.cwt_series))
+        s.tables[f"cwt_{cadence}"] = spectral.cwt_windows(df, found, cadence, c.sampling)
 
 
 STEPS: dict[str, Callable[[State, Config], None]] = {"load": _load, "merge": _merge, "agg": _agg, "fft": _fft, "cwt": _cwt}
 
 
 def run_steps(ticks: DataFrame, steps: tuple[str, ...] = ORDER, config: Config | None = None) -> dict[str, DataFrame]:
-    """The tables of the steps, in the order given; with ``checks`` a step that leaves an empty table raises."""
+    """The tables of the steps, in the order given; with ``checks`` a step that leaves an empty table raises.
+
+    The merged grid, which three steps read, is written once in the shared folder.
+    """
     config = config or Config()
     if unknown := [x for x in steps if x not in STEPS]:
         raise ValueError(f"unknown steps: {unknown}")

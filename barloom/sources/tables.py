@@ -35,6 +35,18 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ticker"), F.col("l_shipdate").alias("ts"), seq.alias("seq"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("size"))
 
 
+def prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as prints inside the regular session of twenty days, few on the first and ever more later.
+
+    The days pass the change to summer time; late days fill nearly every minute, early ones leave long gaps.
+    """
+    day = F.floor(F.sqrt(F.col("l_orderkey") % 400)).cast("int")
+    minute = ((F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber") * 101) % 390).cast("int")
+    ts = F.lit("2024-03-04 09:30:00").cast("timestamp_ntz") + F.make_dt_interval(days=day, mins=minute)
+    seq = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ticker"), ts.alias("ts"), seq.alias("seq"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("size"))
+
+
 def build_bars(ticks: DataFrame, unit: str, multiplier: int = 1) -> DataFrame:
     """OHLCV bars: one partial aggregate and one shuffle on (ticker, bucket)."""
     unit = granularity(unit)

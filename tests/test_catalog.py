@@ -66,7 +66,7 @@ def test_compactness_of_even_and_single_energy():
 def test_steps_reject_what_they_do_not_know(spark):
     with pytest.raises(ValueError):
         steps.run_steps(tables.ticks(spark, SF), ("load", "nothing"))
-    for bad in ({"cadences": ("hourly",)}, {"fft_series": ()}, {"reducer": "mode"}, {"sampling": "day"}):
+    for bad in ({"cadences": ("hourly",)}, {"fft_series": ()}, {"reducer": "mode"}, {"sampling": "week"}, {"fill": 3}):
         with pytest.raises(ValueError):
             steps.Config(**bad)
 
