@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,3 +115,15 @@ def date_spine(df: DataFrame) -> DataFrame:
     """Every day from the first to the last, by ticker."""
     ends = df.groupBy("ticker").agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b"))
     return ends.select("ticker", F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("day_id"))
+
+
+def day_bounds(day: str) -> tuple[str, str]:
+    """The start of a UTC day and of the next one, as RFC 3339 times."""
+    start = datetime.fromisoformat(day).replace(tzinfo=timezone.utc)
+    return tuple(t.isoformat().replace("+00:00", "Z") for t in (start, start + timedelta(days=1)))
+
+
+def between_days(df: DataFrame, first: str, last: str, ts: str = "ts") -> DataFrame:
+    """The rows from the start of ``first`` to the end of ``last``, on UTC wall-clock times."""
+    low, high = (F.lit(x).cast("timestamp_ntz") for x in (day_bounds(first)[0][:-1], day_bounds(last)[1][:-1]))
+    return df.where((F.col(ts) >= low) & (F.col(ts) < high))

@@ -120,6 +120,11 @@ def document_date(file: Column, inner: Column) -> Column:
     return F.coalesce(name, F.when(inner.rlike(r"^\d{4}-\d{2}-\d{2}$"), inner))
 
 
+def comma_list(text: Column) -> Column:
+    """The parts between commas, trimmed and in lower case, without empty ones."""
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.lower(F.trim(x))), lambda x: x != "")
+
+
 def parse_label(output: Column) -> Column:
     return F.when(F.substring(F.trim(output), 1, 1) == "1", 1).otherwise(0)
 
@@ -142,10 +147,23 @@ def classify_prompt(text: Column, template: str) -> Column:
     return F.concat(F.lit(head), F.replace(F.trim(text), F.lit('"'), F.lit('\\"')), F.lit(tail))
 
 
+def indented(hours: Column) -> Column:
+    """An hour map as JSON, keys sorted on both levels, two spaces a level."""
+    quoted = lambda k: F.concat(F.lit('"'), k, F.lit('": '))
+    block = lambda cells, pad: F.when(F.size(cells) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(cells, ",\n"), F.lit(f"\n{pad}}}")))
+    inner = lambda m: F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(F.lit("    "), quoted(e["key"]), F.coalesce(e["value"].cast("string"), F.lit("null"))))
+    outer = F.transform(F.array_sort(F.map_keys(hours)), lambda k: F.concat(F.lit("  "), quoted(k), block(inner(F.element_at(hours, k)), "  ")))
+    return block(outer, "")
+
+
+def commentary(answer: Column, prompt: Column) -> Column:
+    """What a model said, without the prompt that it may repeat first."""
+    return F.trim(F.when(answer.startswith(prompt), F.substring(answer, F.length(prompt) + 1, F.length(answer))).otherwise(answer))
+
+
 def commentary_prompt(ticker: Column, date: Column, hours: Column) -> Column:
-    """The commentary prompt over an hour map whose keys are sorted."""
-    keys = F.array_sort(F.map_keys(hours))
-    data = F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(hours, k))))
+    """The commentary prompt over an hour map, as indented JSON with sorted keys."""
+    data = indented(hours)
     # fixed values: the prompt's wording
     return F.concat(
         F.lit("You are a financial market analyst.\nWrite a concise market commentary for "), ticker, F.lit(" on "), date,

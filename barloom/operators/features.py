@@ -96,3 +96,14 @@ def low_confidence(df: DataFrame, column: str, cadence: str, gap: float = 0.10,
     flag = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("is_gap").alias("gap_ratio"), F.max("__gap").cast("bigint").alias("max_gap_run"), F.coalesce(F.stddev_pop(column) < flat, F.lit(True)).alias("degenerate"))
     low = (F.col("gap_ratio") > gap) | (F.col("max_gap_run") > run) | (F.col("n") < least) | F.col("degenerate")
     return flag.withColumn("low_conf", low.cast("int"))
+
+
+def open_close(ticks: DataFrame) -> DataFrame:
+    """One row a day: prices of the regular session, all volume, the first price before it and the last after it."""
+    minute = calendar.minute_of_day(F.col("ts"))
+    inside, at, price = minute.between(calendar.OPEN, calendar.CLOSE - 1), F.struct("ts", "seq"), F.col("price")
+    return ticks.groupBy("ticker", F.to_date("ts").alias("day_id")).agg(
+        F.min_by(price, F.when(inside, at)).alias("open"), F.max_by(price, F.when(inside, at)).alias("close"),
+        F.max(F.when(inside, price)).alias("high"), F.min(F.when(inside, price)).alias("low"), F.sum("size").alias("volume"),
+        F.max_by(price, F.when(minute >= calendar.CLOSE, at)).alias("afterHours"), F.min_by(price, F.when(minute < calendar.OPEN, at)).alias("preMarket"),
+    )

@@ -83,9 +83,9 @@ M = ["spread_vwap", "r_close", "ATR_14_day_mean", "spread_vwap_norm", "volume_z_
 simple("merged_hour", merged, [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *M], ["merged"], "merged", [*PRICES, *M])
 simple("log_return", lambda s, d: merge.log_return(merge.fill(_aligned(s, d))), [*KEY, "r"], ["filled"], "filled", ["r"], exprs={"r": f"CASE WHEN row_number() OVER ({sql.D}) = 1 THEN 0 ELSE CASE WHEN close > 0 THEN ln(close) END - lag(CASE WHEN close > 0 THEN ln(close) END) OVER ({sql.D}) END"})
 simple("rclose_repair", minute_grid, [*KEY, "r_close", "rclose_limit_used"], ["m_chosen"], "m_chosen", ["r_close"])
-_qc = "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, count(*)::BIGINT AS N FROM m_chosen GROUP BY 1, 2)"
-simple("rclose_qc", lambda s, d: merge.return_quality(minute_grid(s, d)), ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"], ["m_chosen"], _qc, ["rclose_valid_ratio"])
-simple("qc_summary", lambda s, d: merge.quality_summary(merge.return_quality(minute_grid(s, d))), ["ticker", "median_valid", "min_valid", "days_below"], ["m_chosen"], f"(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio < 0.7)::BIGINT AS days_below FROM {_qc} GROUP BY 1)", ["median_valid", "min_valid"])
+qc_sql = "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, count(*)::BIGINT AS N FROM m_chosen GROUP BY 1, 2)"
+simple("rclose_qc", lambda s, d: merge.return_quality(minute_grid(s, d)), ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"], ["m_chosen"], qc_sql, ["rclose_valid_ratio"])
+simple("qc_summary", lambda s, d: merge.quality_summary(merge.return_quality(minute_grid(s, d))), ["ticker", "median_valid", "min_valid", "days_below"], ["m_chosen"], f"(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio < 0.7)::BIGINT AS days_below FROM {qc_sql} GROUP BY 1)", ["median_valid", "min_valid"])
 for name, column in (("bar_index", "bar_index_since_open"), ("volume_z", "volume_z_by_tod"), ("atr_day_mean", "ATR_14_day_mean"), ("spread_norm", "spread_vwap_norm")):
     simple(name, merged, [*KEY, column], ["merged"], "merged", [column] if column != "bar_index_since_open" else [])
 
@@ -215,7 +215,7 @@ def _long(spark: SparkSession, d: str) -> DataFrame:
     return inter.unionByName(agg).unionByName(clash)
 
 
-_flat = "SELECT ticker, CAST(ts + INTERVAL 1 HOUR AS DATE)::VARCHAR AS date, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour, unnest(['agg.ret_oc', 'agg.rv', 'inter.close', 'inter.r_close', 'inter.volume']) AS key, unnest([r_close, r_close * r_close, close + 1, r_close, volume]) AS value FROM merged"
+flat_sql = "SELECT ticker, CAST(ts + INTERVAL 1 HOUR AS DATE)::VARCHAR AS date, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour, unnest(['agg.ret_oc', 'agg.rv', 'inter.close', 'inter.r_close', 'inter.volume']) AS key, unnest([r_close, r_close * r_close, close + 1, r_close, volume]) AS value FROM merged"
 
 
 def _flatten(df: DataFrame) -> DataFrame:
@@ -223,18 +223,22 @@ def _flatten(df: DataFrame) -> DataFrame:
     return rounded(hours.select("ticker", "date", "hour", F.explode("m").alias("key", "value")))
 
 
-register("doc_per_hour_flat", sql.query(["merged"], f"SELECT * FROM ({_flat}) WHERE value IS NOT NULL", ["value"]))(lambda s, d: _flatten(documents.per_hour(_long(s, d))))
-register("drop_features", sql.query(["merged"], f"SELECT * FROM ({_flat}) WHERE value IS NOT NULL AND key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(lambda s, d: _flatten(documents.drop_empty(documents.drop_features(documents.per_hour(_long(s, d))))))
+register("doc_per_hour_flat", sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL", ["value"]))(lambda s, d: _flatten(documents.per_hour(_long(s, d))))
+register("drop_features", sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL AND key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(lambda s, d: _flatten(documents.drop_empty(documents.drop_features(documents.per_hour(_long(s, d))))))
 
 
-@register("doc_assemble", sql.query(["merged", "news"], f"SELECT f.ticker, f.date, hours, features, n FROM (SELECT ticker, date, count(DISTINCT hour)::BIGINT AS hours, count(*)::BIGINT AS features FROM ({_flat}) WHERE value IS NOT NULL GROUP BY 1, 2) f JOIN (SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2) w ON f.ticker = w.ticker AND f.date = w.date"))
+@register("doc_assemble", sql.query(["merged", "news"], f"SELECT f.ticker, f.date, hours, features, n FROM (SELECT ticker, date, count(DISTINCT hour)::BIGINT AS hours, count(*)::BIGINT AS features FROM ({flat_sql}) WHERE value IS NOT NULL GROUP BY 1, 2) f JOIN (SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2) w ON f.ticker = w.ticker AND f.date = w.date"))
 def doc_assemble(spark: SparkSession, d: str) -> DataFrame:
+    docs = assembled(spark, d)
+    cells = F.aggregate(F.map_values("per_hour_data"), F.lit(0), lambda a, m: a + F.cardinality(m))
+    return docs.select("ticker", "date", F.cardinality("per_hour_data").cast("bigint").alias("hours"), cells.cast("bigint").alias("features"), F.size("news").cast("bigint").alias("n"))
+
+
+def assembled(spark: SparkSession, d: str) -> DataFrame:
     """Documents of (event type, day) with the news of the sources that stand for the type."""
     names = F.array(*map(F.lit, ("click", "view", "purchase", "cart", "login", "search", "error", "logout", "signup")))
     told = news(spark, d).withColumn("ticker", F.element_at(names, F.substring("ticker", 4, 9).cast("int") % 9 + 1))
-    docs = documents.assemble(_long(spark, d), told)
-    cells = F.aggregate(F.map_values("per_hour_data"), F.lit(0), lambda a, m: a + F.cardinality(m))
-    return docs.select("ticker", "date", F.cardinality("per_hour_data").cast("bigint").alias("hours"), cells.cast("bigint").alias("features"), F.size("news").cast("bigint").alias("n"))
+    return documents.assemble(_long(spark, d), told)
 
 
 @register("auto_shift_align", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))

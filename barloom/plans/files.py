@@ -1,5 +1,220 @@
-"""Queries that write files and read them back."""
+"""Queries that write files and read them back, and queries of the tolerant readers and projections."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barloom.functions.series import number, rounded
+from barloom.operators import calendar, documents, features, merge, spectral
+from barloom.plans import spectra, sql
+from barloom.plans.registry import register, simple
+from barloom.session import shared_dir
+from barloom.sources import tables
+
+KEY = ["ticker", "ts"]
+OHLC = ["open", "high", "low", "close", "volume", "vwap"]
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/barloom/{name}-{uuid.uuid4().hex}"
+
+
+def csv_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Hour bars, written as one CSV for each ticker and scanned; the ticker is the file's name."""
+    from barloom.plans.catalog import hour_bars
+
+    root = folder(spark, "bars")
+    bars = hour_bars(spark, d)
+    tables.write_csv_by_name(bars.withColumnRenamed("ts", "timestamp").select("ticker", "timestamp", *OHLC, "transactions"), root, order="timestamp")
+    return tables.read_bars(spark, root)
+
+
+def news_lines(spark: SparkSession, d: str) -> DataFrame:
+    """(source, line): news as comma-separated lines, every third one quoted, with line feeds, the others as they are."""
+    docs = tables.table(spark, d, "documents").where("text is not null")
+    url = F.concat(F.lit("doc:"), "doc_id")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    bare = F.translate("text", '"\n\r', "   ")
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat_ws(",", F.lit("2024-01-02T03:04:05Z"), F.concat(F.lit('"'), url, F.lit('"')), quoted)).otherwise(F.concat_ws(",", F.lit(" 2024-01-02"), url, bare))
+    head = docs.select("source", F.lit("timestamp,url,text").alias("line")).distinct()
+    return head.unionByName(docs.select("source", line.alias("line")))
+
+
+def csv_news(spark: SparkSession, d: str) -> DataFrame:
+    """News lines of every source, written and scanned with quoting; commas of the text are kept."""
+    root = folder(spark, "news")
+    news_lines(spark, d).withColumn("folder", tables.safe_path(F.col("source"))).drop("source").write.partitionBy("folder").text(root)
+    return tables.read_news(spark, root, multiline=True).select("timestamp", "url", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def round_trip(write, read):
+    """A query that writes what it has built under a new folder and reads it back."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        root = folder(spark, "files")
+        write(spark, d, root)
+        return read(spark, root)
+
+    return run
+
+
+def end_times(spark: SparkSession, d: str) -> DataFrame:
+    """The end of the hour by each set of columns that says it."""
+    from barloom.plans.catalog import hour_bars
+
+    b = hour_bars(spark, d).select("ticker", F.col("ts").alias("t"))
+    kinds = {c: b.select("ticker", F.col("t").alias(c)) for c in ("hour_end_ts", "win_end", "end_ts", "feature_ts", "timestamp", "time", "ts", "win_start", "hour_start_ts")}
+    kinds["day_and_label"] = b.select("ticker", F.to_date("t").alias("day_id"), F.date_format("t", " H : mm").alias("hour_label"))
+    out = None
+    for kind, df in kinds.items():
+        part = df.select("ticker", F.lit(kind).alias("kind"), calendar.end_of_hour(df).alias("end_ts"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("ticker", "kind").agg(F.min("end_ts").alias("first"), F.max("end_ts").alias("last"), F.count("end_ts").alias("n"))
 
 
 def register_all() -> None:
-    pass
+    from barloom.plans import catalog
+
+    # ---- scans
+    simple("csv_bars", csv_bars, [*KEY, *OHLC, "transactions"], ["hour_bars"], "hour_bars", OHLC)
+    said = "md5(CASE WHEN doc_id % 3 = 0 THEN trim(text, ' ') ELSE trim(translate(text, chr(34) || chr(10) || chr(13), '   '), ' ') END)"
+    register("csv_news", f"SELECT CASE WHEN doc_id % 3 = 0 THEN '2024-01-02T03:04:05Z' ELSE '2024-01-02' END AS timestamp, 'doc:' || doc_id AS url, {said} AS text_md5 FROM documents WHERE text IS NOT NULL")(csv_news)
+    loose = lambda s, d: catalog.hour_bars(s, d).withColumnsRenamed({"open": "o", "vwap": "vw"})
+    simple("loose_fields", lambda s, d: (lambda b: b.select(*KEY, *[tables.first_present(b, *c).alias(c[0]) for c in (("open", "o"), ("close", "c"), ("vwap", "vw"), ("extra", "x"))]))(loose(s, d)), [*KEY, "open", "close", "vwap", "extra"], ["hour_bars"], "hour_bars", ["open", "close", "vwap"], exprs={"extra": "NULL::DOUBLE"})
+    simple("present_columns", lambda s, d: tables.require(tables.keep_present(tables.with_missing(catalog.hour_bars(s, d), ["atr_14", "close"]), [*KEY, "not_there", "close", "atr_14"]), ["atr_14"]), [*KEY, "close", "atr_14"], ["hour_bars"], "hour_bars", ["close"], exprs={"atr_14": "NULL::DOUBLE"})
+    dirty = "CASE l_linenumber % 4 WHEN 0 THEN 'n/a' WHEN 1 THEN 'inf' WHEN 2 THEN '' ELSE CAST(l_quantity AS {}) END"
+    register("number_or_null", f"SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, CASE WHEN isfinite(TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE)) THEN TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE) END AS x FROM lineitem")(
+        lambda s, d: tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), "l_linenumber", number(F.expr(dirty.format("STRING"))).alias("x"))
+    )
+    parts = "trim(concat_ws(' ', nullif(source, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END, ''), nullif(trim(left(text, 40), ' '), '')), ' ')"
+    register("news_between", sql.query(["news"], f"SELECT CAST(doc_id AS BIGINT) AS doc_id, {parts} AS said FROM documents WHERE doc_id IN (SELECT doc_id FROM news WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-03')"))(
+        lambda s, d: calendar.between_days(catalog.news(s, d), "2024-01-01", "2024-01-02").join(tables.table(s, d, "documents").select("doc_id", "source", "lang"), "doc_id")
+        .select("doc_id", documents.news_text(F.col("source"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang")), F.trim(F.left(F.col("text"), F.lit(40)))).alias("said"))
+    )
+    one = "SELECT event_type AS ticker, max(ts) AS ts, arg_max(value, (ts, event_id)) AS price FROM events WHERE event_type IN ('click', 'view') GROUP BY 1"
+    register("snapshot_list", f"SELECT ticker, ts, round(price, 6) + 0.0 AS price FROM ({one})")(
+        round_trip(
+            lambda s, d, root: tables.write_series(tables.latest_of(tables.ticks(s, d).select("ticker", "ts", "seq", "price"), "ticker", ["ts", "seq"], ["click", "view"]), root, "ticker"),
+            lambda s, root: rounded(s.read.parquet(root).select("ticker", "ts", "price")),
+        )
+    )
+    extended = (
+        "SELECT ticker, CAST(ts AS DATE) AS day_id, first(price ORDER BY ts, seq) FILTER (m BETWEEN 570 AND 959) AS open, last(price ORDER BY ts, seq) FILTER (m BETWEEN 570 AND 959) AS close, "
+        "max(price) FILTER (m BETWEEN 570 AND 959) AS high, min(price) FILTER (m BETWEEN 570 AND 959) AS low, sum(size) AS volume, last(price ORDER BY ts, seq) FILTER (m >= 960) AS afterHours, "
+        f"first(price ORDER BY ts, seq) FILTER (m < 570) AS preMarket FROM (SELECT *, {sql.MINUTE} AS m FROM ticks) GROUP BY 1, 2"
+    )
+    prices = ["open", "close", "high", "low", "volume", "afterHours", "preMarket"]
+    register("open_close_extended", sql.query(["ticks"], extended, prices))(lambda s, d: rounded(features.open_close(tables.ticks(s, d))))
+    paid = "SELECT o_totalprice AS cash_amount, 'USD' AS currency, CAST(o_orderdate AS DATE) AS ex_dividend_date, CASE WHEN o_orderkey % 2 = 0 THEN 'CD' ELSE 'SC' END AS dividend_type, 4 AS frequency, 'E' || o_orderkey AS id, 'T' || o_custkey % 20 AS ticker FROM orders"
+    pick = ["cash_amount", "currency", "ex_dividend_date", "dividend_type", "frequency", "id", "ticker"]
+    made = lambda s, d: tables.table(s, d, "orders").selectExpr("o_totalprice AS cash_amount", "'USD' AS currency", "CAST(o_orderdate AS DATE) AS ex_dividend_date", "IF(o_orderkey % 2 = 0, 'CD', 'SC') AS dividend_type", "4 AS frequency", "concat('E', o_orderkey) AS id", "concat('T', o_custkey % 20) AS ticker")
+    every = [c.split()[0] for c in tables.DIVIDENDS.split(", ")]
+    register("dividends", f"SELECT * REPLACE (round(cash_amount, 6) + 0.0 AS cash_amount) FROM ({paid})")(
+        round_trip(
+            lambda s, d, root: (lambda m: m.select(*[F.col(c) if c in pick else F.lit(None).cast("date").alias(c) for c in every]).write.csv(root, header=True))(made(s, d)),
+            lambda s, root: rounded(tables.read_listing(s, root, tables.DIVIDENDS).select(*pick)),
+        )
+    )
+    register("dividends_first", f"SELECT id, ticker FROM ({paid}) ORDER BY id LIMIT 1000")(
+        round_trip(
+            lambda s, d, root: (lambda m: m.select(*[F.col(c) if c in pick else F.lit(None).cast("date").alias(c) for c in every]).write.csv(root, header=True))(made(s, d)),
+            lambda s, root: tables.read_listing(s, root, tables.DIVIDENDS, 1000).select("id", "ticker"),
+        )
+    )
+    register("market_status", "SELECT false AS after_hours, true AS early_hours, 'extended-hours' AS market, '2025-10-17 08:00:00' AS at")(
+        lambda s, d: tables.market_status(s, "extended-hours", "2025-10-17T04:00:00-04:00", early_hours=True).select("after_hours", "early_hours", "market", F.date_format("server_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    )
+    simple("end_times", end_times, ["ticker", "kind", "first", "last", "n"], ["hour_bars"], (
+        "(SELECT ticker, kind, min(ts + to_hours(more)) AS first, max(ts + to_hours(more)) AS last, count(*)::BIGINT AS n FROM hour_bars, (VALUES ('hour_end_ts', 0), ('win_end', 0), ('end_ts', 0), ('feature_ts', 0), "
+        "('timestamp', 0), ('time', 0), ('ts', 0), ('win_start', 1), ('hour_start_ts', 1), ('day_and_label', 1)) k(kind, more) GROUP BY 1, 2)"
+    ))
+    name = "CASE doc_id % 3 WHEN 0 THEN 'a/b/2024-01-05_' || source || '.json' WHEN 1 THEN 'a/2024-01-06/' || source || '.json' ELSE '2024-1-07_x.json' END"
+    inner = "CASE WHEN doc_id % 2 = 0 THEN '2024-02-03' ELSE 'on 2024-02-04' END"
+    register("document_dates", f"SELECT CAST(doc_id AS BIGINT) AS doc_id, coalesce(nullif(regexp_extract(split_part({name}, '/', -1), '^(\\d{{4}}-\\d{{2}}-\\d{{2}})_', 1), ''), CASE WHEN regexp_full_match({inner}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN {inner} END) AS date FROM documents")(
+        lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), documents.document_date(F.expr(name), F.expr(inner)).alias("date"))
+    )
+
+    # ---- sinks
+    simple("write_series", round_trip(lambda s, d, root: tables.write_series(catalog.hour_bars(s, d), root, "ticker"), lambda s, root: s.read.parquet(root)), [*KEY, "close"], ["hour_bars"], "hour_bars", ["close"])
+    days = spectra.reduced(catalog.daily_sql("m_cumulated"), "week", "median", ["rv"], 390)
+    register("write_features", sql.query(["m_cumulated"], f"SELECT ticker, 'agg_minute' AS kind, 'week' AS cadence, win_end, days, rv FROM ({days})", ["rv"]))(
+        round_trip(
+            lambda s, d, root: tables.write_features(features.reduce_windows(features.daily(catalog.minute_grid(s, d)), "week", "median", "minute"), root, "agg", "minute", "week"),
+            lambda s, root: rounded(s.read.parquet(root).select("ticker", "kind", "cadence", "win_end", "days", "rv")),
+        )
+    )
+    register("write_quality", sql.query(["m_chosen"], f"SELECT * FROM {catalog.qc_sql}", ["rclose_valid_ratio"]))(
+        round_trip(lambda s, d, root: tables.write_quality(merge.return_quality(catalog.minute_grid(s, d)), root), lambda s, root: rounded(s.read.parquet(f"{root}/_qc")))
+    )
+    best = "SELECT source, lang, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1"
+    winners = lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id"))
+    register("write_winners", best)(round_trip(lambda s, d, root: tables.write_series(winners(s, d).select("source", "lang", F.col("doc_id").cast("bigint").alias("doc_id")), root, "source"), lambda s, root: s.read.parquet(root).select("source", "lang", "doc_id")))
+
+    # ---- documents
+    told = "(SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2)"
+    flat = f"SELECT f.ticker, f.date, hour, key, value, n FROM ({catalog.flat_sql}) f JOIN {told} w ON f.ticker = w.ticker AND f.date = w.date WHERE value IS NOT NULL"
+    cells = lambda df: rounded(df.select("ticker", "date", F.size("news").cast("bigint").alias("n"), F.explode("per_hour_data").alias("hour", "m")).select("ticker", "date", "n", "hour", F.explode("m").alias("key", "value")))
+    register("doc_assemble_flat", sql.query(["merged", "news"], flat, ["value"]))(lambda s, d: cells(catalog.assembled(s, d)))
+    register("write_documents", sql.query(["merged", "news"], flat, ["value"]))(
+        round_trip(lambda s, d, root: tables.write_documents(catalog.assembled(s, d), root), lambda s, root: cells(tables.read_documents(s, root)))
+    )
+
+    def mirrored(s: SparkSession, d: str) -> DataFrame:
+        a, b = folder(s, "documents"), folder(s, "mirrored")
+        tables.write_documents(catalog.assembled(s, d), a)
+        left = documents.drop_empty(documents.drop_features(tables.read_documents(s, a)))
+        tables.write_mirrored(left, b)
+        made = tables.read_documents(s, b)
+        where = F.regexp_extract("file", "folder=([^/]*)/day=([^/]*)/", 1)
+        return cells(made.where(where == tables.safe_name(F.col("ticker"))))
+
+    register("write_mirrored", sql.query(["merged", "news"], f"SELECT * FROM ({flat}) WHERE key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(mirrored)
+    twice = lambda s, d: catalog.merged(s, d).withColumn("end_ts", F.col("ts"))
+
+    def last_rows(s: SparkSession, d: str) -> DataFrame:
+        m = twice(s, d)
+        first = m.select("ticker", "end_ts", F.lit(1).alias("seq"), F.col("close").alias("a"), F.col("volume").alias("b"))
+        second = m.where("bar_index_since_open % 2 = 0").select("ticker", "end_ts", F.lit(2).alias("seq"), F.lit(None).cast("double").alias("a"), (F.col("volume") + 1).alias("b"))
+        later = m.where("bar_index_since_open % 3 = 0").select("ticker", "end_ts", F.lit(1).alias("seq"), F.lit(7.0).alias("a"), F.lit(None).cast("double").alias("b"))
+        rows = documents.long_features(first.unionByName(second), "x", ["a", "b"], 1).unionByName(documents.long_features(later, "x", ["a", "b"], 2))
+        return rounded(documents.latest(rows).select("ticker", "end_ts", "key", "value"))
+
+    kept = (
+        "SELECT ticker, ts AS end_ts, unnest(['x.a', 'x.b']) AS key, unnest([CASE WHEN bar_index_since_open % 3 = 0 THEN 7.0 WHEN bar_index_since_open % 2 = 0 THEN NULL ELSE close END, "
+        "CASE WHEN bar_index_since_open % 2 = 0 THEN volume + 1 ELSE volume END]) AS value FROM merged"
+    )
+    register("doc_last_rows", sql.query(["merged"], f"SELECT * FROM ({kept}) WHERE value IS NOT NULL", ["value"]))(last_rows)
+    names, suffixes = ["r_close", "bb_bw_20", "absent"], ["pct_hi", "dom_period_bars", "nothing"]
+    wide = spectra.wide(spectra.fft_windows("merged", ["r_close", "bb_bw_20"], "week", 6), ["r_close", "bb_bw_20"], suffixes[:2])
+    columns = [f"{c}_{x}" for c in names[:2] for x in suffixes[:2]]
+    long = f"SELECT ticker, win_end AS end_ts, unnest([{', '.join(repr('fft.' + c) for c in columns)}]) AS key, unnest([{', '.join(columns)}]) AS value FROM ({wide})"
+    register("series_features", sql.query(["merged"], long, ["value"]))(
+        lambda s, d: rounded(documents.series_features(spectral.wide(spectral.fft_windows(catalog.merged(s, d), names[:2], "week"), names[:2], suffixes[:2]), "fft", names, suffixes, 1, "win_end").select("ticker", "end_ts", "key", "value"))
+    )
+    hour = "'  \"' || strftime(ts, '%H:%M') || '\": {\n    \"inter.transactions\": ' || transactions::DOUBLE || '\n  }'"
+    prompt = (
+        "'You are a financial market analyst.\nWrite a concise market commentary for ' || ticker || ' on ' || CAST(ts AS DATE)::VARCHAR || ' based on the intraday technical indicators below.\n\n<INTRADAY_DATA>\n{\n' "
+        f"|| string_agg({hour}, ',\n' ORDER BY ts) || '\n}}\n</INTRADAY_DATA>\n\nCommentary:\n'"
+    )
+    register("commentary_prompts", sql.query(["hour_bars"], f"SELECT ticker, CAST(ts AS DATE)::VARCHAR AS date, md5({prompt}) AS prompt_md5 FROM hour_bars GROUP BY ticker, CAST(ts AS DATE)"))(
+        lambda s, d: documents.per_hour(documents.long_features(catalog.hour_bars(s, d), "inter", ["transactions"], 1, "ts"))
+        .select("ticker", F.col("date").cast("string").alias("date"), F.md5(documents.commentary_prompt(F.col("ticker"), F.col("date").cast("string"), F.col("per_hour_data")).cast("binary")).alias("prompt_md5"))
+    )
+
+    def answers(s: SparkSession, d: str) -> DataFrame:
+        rows = tables.table(s, d, "documents").where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.concat(F.lit("P"), "doc_id").alias("prompt"))
+        said = documents.run_model(rows, "prompt", "answer", lambda prompts: [f"{p}  says {len(p)} " if len(p) % 2 else f" only {p} " for p in prompts])
+        return said.select("doc_id", documents.commentary(F.col("answer"), F.col("prompt")).alias("said"))
+
+    register("commentary_answers", "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN len('P' || doc_id) % 2 = 1 THEN 'says ' || len('P' || doc_id) ELSE 'only P' || doc_id END AS said FROM documents WHERE text IS NOT NULL")(answers)
+    offset = "ts - timezone('UTC', timezone('America/New_York', ts))"
+    at = "TIMESTAMP '2024-03-01' + to_minutes(CAST(doc_id * 97 AS BIGINT))"
+    register("summer_time", f"SELECT CAST(doc_id AS BIGINT) AS doc_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {offset} = INTERVAL (-4) HOUR THEN '-04:00' ELSE '-05:00' END AS at FROM (SELECT doc_id, {at} AS ts FROM documents)")(
+        lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), documents.iso_with_offset(F.lit("2024-03-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("doc_id") * 97).cast("int"))).alias("at"))
+    )
+    register("tags", "SELECT CAST(page_id AS BIGINT) AS page_id, lower(trim(x, ' ')) AS tag FROM (SELECT page_id, unnest(string_split(' ' || replace(url, '/', ' , ') || ' ', ',')) AS x FROM pages) WHERE trim(x, ' ') <> ''")(
+        lambda s, d: tables.table(s, d, "pages").select(F.col("page_id").cast("bigint").alias("page_id"), F.explode(documents.comma_list(F.concat(F.lit(" "), F.replace("url", F.lit("/"), F.lit(" , ")), F.lit(" ")))).alias("tag"))
+    )

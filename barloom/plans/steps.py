@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,26 @@ class Config:
             raise ValueError(f"reducer {self.reducer!r}")
 
 
+def load_config(path: str) -> Config:
+    """A Config from a JSON file, or from YAML where a parser for it is installed; unknown keys raise."""
+    text = Path(path).read_text(encoding="utf-8-sig")
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise RuntimeError("YAML needs a parser that is not installed; use JSON") from e
+        found = yaml.safe_load(text)
+    else:
+        found = json.loads(text)
+    if unknown := set(found) - {f.name for f in fields(Config)}:
+        raise ValueError(f"unknown keys: {sorted(unknown)}")
+    return Config(**{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})
+
+
+def cadence_path(template: str, cadence: str) -> str:
+    return template.replace("{cad}", cadence)
+
+
 @dataclass
 class State:
     ticks: DataFrame

@@ -78,18 +78,64 @@ def read_bars(spark: SparkSession, path: str, schema: str = BAR) -> DataFrame:
     return rows.select(file_stem().alias("ticker"), F.col("timestamp").alias("ts"), *[c for c in rows.columns if c != "timestamp"])
 
 
-def read_news(spark: SparkSession, path: str) -> DataFrame:
-    """timestamp, url, text lines; commas after the second belong to the text; blank lines and a header go."""
-    parts = F.split("line", ",")
-    rows = spark.read.text(path).select(F.regexp_replace("value", "^﻿", "").alias("line"), file_stem().alias("ticker")).where(F.trim("line") != "")
-    rows = rows.where(~F.lower(F.trim(F.get(parts, F.lit(0)))).isin("timestamp", "time", "date"))
-    text = F.array_join(F.slice(parts, 3, F.greatest(F.size(parts), F.lit(1))), ",")
-    return rows.select("ticker", F.trim(F.get(parts, F.lit(0))).alias("timestamp"), F.trim(F.get(parts, F.lit(1))).alias("url"), F.trim(F.regexp_replace(text, '^"|"$', "")).alias("text"))
+def locate(spark: SparkSession, root: str, ticker: str) -> str:
+    """The file ``ticker``.csv under ``root``, else the first whose name starts with the ticker."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"{ticker}*.csv").load(root).select("path")
+    exact = F.col("path").endswith(f"/{ticker}.csv")
+    first = found.orderBy(exact.desc(), "path").first()
+    if first is None:
+        raise FileNotFoundError(f"{root}/{ticker}*.csv")
+    return first.path
+
+
+#: One field of a line: quoted, with doubled quotes inside, or plain. Unrolled, so that long fields need no deep stack.
+_FIELD = r'(?:"[^"]*(?:""[^"]*)*"[^,\n]*|[^,\n]*)'
+
+
+def read_news(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """timestamp, url, text of comma-separated files; commas after the second belong to the text.
+
+    Quoted fields may hold commas and doubled quotes, with ``multiline`` also line feeds (each file is then one row of
+    the scan). A leading mark of byte order, blank lines and header lines go; bytes that are no UTF-8 are replaced.
+    """
+    content = F.regexp_replace("value", "^\ufeff", "")
+    record = F.regexp_extract_all(content, F.lit(rf"(?:^|\n)({_FIELD}(?:,{_FIELD})*)"), F.lit(1)) if multiline else F.array(content)
+    rows = spark.read.text(path, wholetext=multiline).select(file_stem().alias("ticker"), F.explode(record).alias("line"))
+    plain = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"([^"]*(?:""[^"]*)*)"([^,\n]*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(c)
+    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(f",({_FIELD})"), F.lit(1)), plain)
+    rows = rows.where(F.trim("line") != "").select("ticker", cells.alias("c"))
+    rest = F.array_join(F.slice("c", 3, F.greatest(F.size("c"), F.lit(1))), ",")
+    rows = rows.select("ticker", F.trim(F.get("c", F.lit(0))).alias("timestamp"), F.trim(F.coalesce(F.get("c", F.lit(1)), F.lit(""))).alias("url"), F.trim(rest).alias("text"))
+    header = F.contains(F.lower("timestamp"), F.lit("timestamp")) & F.contains(F.lower(F.concat_ws(" ", "url", "text")), F.lit("url"))
+    return rows.where(~header & (F.concat("timestamp", "url", "text") != ""))
+
+
+DIVIDENDS = "cash_amount double, currency string, declaration_date date, dividend_type string, ex_dividend_date date, frequency int, id string, pay_date date, record_date date, ticker string"
+SPLITS = "execution_date date, id string, split_from double, split_to double, ticker string"
+
+
+def read_listing(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
+    """A table of corporate events (DIVIDENDS, SPLITS) from CSV files, the first ``limit`` by id where one is given."""
+    rows = spark.read.schema(schema).csv(path, header=True, pathGlobFilter="*.csv")
+    return rows.orderBy("id").limit(limit) if limit else rows
+
+
+def market_status(spark: SparkSession, market: str, server_time: str, after_hours: bool = False, early_hours: bool = False) -> DataFrame:
+    """The one row that says whether the market is open."""
+    row = spark.createDataFrame([(after_hours, early_hours, market, server_time)], "after_hours boolean, early_hours boolean, market string, server_time string")
+    return row.withColumn("server_time", F.to_timestamp("server_time"))
+
+
+def latest_of(df: DataFrame, key: str, order: list[str], keys: list[str] | None = None) -> DataFrame:
+    """The last row of each key by ``order``, of a list of keys where one is given."""
+    rows = df.where(F.col(key).isin(keys)) if keys else df
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c != key]), F.struct(*order)).alias("r"))
+    return best.select(key, "r.*")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """JSON documents of a tree with their size and time; what cannot be parsed keeps nulls."""
-    rows = spark.read.schema(DOCUMENT).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json", mode="PERMISSIVE")
+    rows = spark.read.schema(DOCUMENT).json(path, multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.{json,txt}", mode="PERMISSIVE")
     return rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("mtime"))
 
 
@@ -99,14 +145,56 @@ def write_series(df: DataFrame, path: str, *parts: str) -> None:
     df.repartition(*parts).sortWithinPartitions(*parts, *order).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
+def write_features(df: DataFrame, root: str, kind: str, sampling: str, cadence: str) -> None:
+    """Feature rows of each ticker under kind (agg, fft or cwt) and sampling, then cadence, in time order."""
+    made = df.withColumns({"kind": F.lit(f"{kind}_{sampling}"), "cadence": F.lit(cadence)})
+    write_series(made, root, "ticker", "kind", "cadence")
+
+
+def write_quality(df: DataFrame, root: str) -> None:
+    """What return_quality gives, beside the merged grid."""
+    write_series(df, f"{root.rstrip('/')}/_qc", "ticker")
+
+
+def write_csv_by_name(df: DataFrame, root: str, key: str = "ticker", order: str = "ts") -> None:
+    """<root>/<key>.csv with a header for each key, rows in ``order``.
+
+    Spark writes a folder for each key; then each file takes its name, one rename for each key.
+    """
+    spark = df.sparkSession
+    made = f"{root.rstrip('/')}/_made"
+    df.withColumn("__folder", safe_path(F.col(key))).drop(key).repartition("__folder").sortWithinPartitions("__folder", order).write.partitionBy("__folder").csv(made, header=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(made).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(made)):
+        name = folder.getPath().getName()
+        if folder.isDirectory() and name.startswith("__folder="):
+            for file in fs.listStatus(folder.getPath()):
+                if file.getPath().getName().endswith(".csv"):
+                    fs.rename(file.getPath(), path(f"{root}/{name.removeprefix('__folder=')}.csv"))
+    fs.delete(path(made), True)
+
+
+def safe_path(name: Column) -> Column:
+    return F.translate(name, "/\\ ", "__")
+
+
 def safe_name(ticker: Column) -> Column:
     return F.replace(F.translate(ticker, "/\\.", "___"), F.lit(" "), F.lit(""))
 
 
 def write_documents(df: DataFrame, path: str) -> None:
-    """One JSON line per document, in a folder for each ticker whose name is safe in a path."""
-    body = F.to_json(F.struct("ticker", "date", "news", "per_hour_data"))
-    df.select(safe_name(F.col("ticker")).alias("folder"), body.alias("value")).write.mode("overwrite").partitionBy("folder").text(path)
+    """One indented JSON document for each (ticker, day), in a folder of its own whose name is safe in a path."""
+    body = F.to_json(F.struct("ticker", "date", "news", "per_hour_data"), {"pretty": "true"})
+    rows = df.select(safe_name(F.col("ticker")).alias("folder"), F.col("date").alias("day"), body.alias("value"))
+    rows.repartition("folder", "day").write.mode("overwrite").partitionBy("folder", "day").text(path)
+
+
+def write_mirrored(df: DataFrame, path: str) -> None:
+    """Documents of read_documents under ``path``, in the two folders (ticker, then day) that their ``file`` stands in."""
+    body = F.to_json(F.struct("ticker", "date", "news", "per_hour_data"), {"pretty": "true"})
+    level = lambda k: F.element_at(F.split(F.regexp_extract("file", "([^/]*)/([^/]*)/[^/]*$", k), "="), -1)
+    df.select(level(1).alias("folder"), level(2).alias("day"), body.alias("value")).write.mode("overwrite").partitionBy("folder", "day").text(path)
 
 
 def with_missing(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -86,7 +86,13 @@ def test_csv_news_and_documents_round_trip(spark, tmp_path):
     assert [tuple(r) for r in tables.read_news(spark, str(tmp_path / "news")).collect()] == [("A", "2024-01-02", "http://x", "one, two, three")]
     df = spark.createDataFrame([("B.C", "2024-01-02", [("t", "x", "u")], {"10:00": {"agg.rv": 1.0}, "11:00": {}})], tables.DOCUMENT)
     tables.write_documents(df, str(tmp_path / "docs"))
-    assert [p.name for p in (tmp_path / "docs").glob("folder=*")] == ["folder=B_C"]
+    assert [str(p.relative_to(tmp_path / "docs")) for p in (tmp_path / "docs").glob("folder=*/day=*")] == ["folder=B_C/day=2024-01-02"]
+    assert tables.read_documents(spark, str(tmp_path / "docs")).first().news[0].text == "x"
+    for name in ("A.B.csv", "B.csv", "BX.csv"):
+        (tmp_path / "bars" / name).write_text("timestamp\n")
+    assert tables.locate(spark, str(tmp_path / "bars"), "B").endswith("/B.csv") and tables.locate(spark, str(tmp_path / "bars"), "A").endswith("/A.B.csv")
+    with pytest.raises(FileNotFoundError):
+        tables.locate(spark, str(tmp_path / "bars"), "Z")
     assert documents.drop_empty(df).first().per_hour_data == {"10:00": {"agg.rv": 1.0}}
 
 
@@ -117,3 +123,37 @@ def test_exponential_means_count_every_value(spark, monkeypatch, growth):
         have = [got["a", k] for k in range(len(x))]
         assert have[:2] == want[:2] == [None, None] and have[2:] == pytest.approx(want[2:], rel=1e-9, abs=1e-9)
         assert got["b", 0] == 5.0 and got["c", 0] is None
+
+
+def test_quoted_news_against_the_csv_module(spark, tmp_path):
+    import csv
+
+    lines = ["Timestamp,URL,text", "2024-01-02,http://x,one, two, three", '2024-01-03,"http://y,z","said ""so"", twice', 'and more",tail', "", ',,', '2024-01-04,u,5" wide', "2024-01-05", '2024-01-06,v,"' + "long, " * 9000 + '"']
+    (tmp_path / "T.csv").write_text("\ufeff" + "\n".join(lines) + "\n")
+    with open(tmp_path / "T.csv", encoding="utf-8-sig", newline="") as f:
+        want = [("T", r[0].strip(), r[1].strip() if len(r) > 1 else "", ",".join(r[2:]).strip()) for r in list(csv.reader(f))[1:] if any(c.strip() for c in r)]
+    assert sorted(map(tuple, tables.read_news(spark, str(tmp_path), multiline=True).collect())) == sorted(want)
+
+
+def test_granularity_names():
+    assert [tables.granularity(x) for x in (" Min", "m", "HR", "hourly", "d", "weekly", "mo", "quarterly", "annually")] == ["minute", "minute", "hour", "hour", "day", "week", "month", "quarter", "year"]
+    with pytest.raises(ValueError):
+        tables.granularity("fortnight")
+
+
+def test_configuration_files_and_cadence_paths(tmp_path):
+    (tmp_path / "c.json").write_text("\ufeff" + '{"sampling": "minute", "cadences": ["week", "month"]}')
+    made = steps.load_config(str(tmp_path / "c.json"))
+    assert made == steps.Config(sampling="minute", cadences=("week", "month"))
+    assert steps.cadence_path("root/{cad}/x_{cad}.csv", "week") == "root/week/x_week.csv"
+    (tmp_path / "bad.json").write_text('{"nothing": 1}')
+    with pytest.raises(ValueError):
+        steps.load_config(str(tmp_path / "bad.json"))
+
+
+def test_steps_by_minute_hour_and_day(spark):
+    ticks = tables.prints(spark, SF)
+    made = steps.run_steps(ticks, ("load", "merge", "agg"), steps.Config(sampling="minute", cadences=("hour", "week"), checks=True))
+    assert made["agg_hour"].count() == 3 * 20 * 7 and made["agg_week"].count() == 12
+    days = steps.run_steps(tables.trades(spark, SF), ("load", "merge", "agg"), steps.Config(sampling="day", cadences=("month",)))
+    assert days["merged"].where("session <> 'day' or r_close is not null").isEmpty() and days["agg_month"].count() > 12
