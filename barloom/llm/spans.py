@@ -1,9 +1,13 @@
 """Substring dedup on sliding sentence spans.
 
-A text is cut into sentences: after words that end one, at line feeds, and inside long sentences after word pairs
-whose hash says so, so that a passage is cut alike wherever it stands. Every run of several consecutive sentences
-is hashed; the first place of a hash in the corpus (by id, then position) keeps it, and every sentence that another
-place's run covers is removed.
+A text is cut into sentences: after words that end one, at line feeds, and after word pairs whose hash says so (one
+in CUT_RATE), so that text without full stops is cut too, and a passage alike wherever it stands. Every run of several
+consecutive sentences is hashed; the first place of a hash in the corpus (by id, then position) keeps it, and every
+sentence that another place's run covers is removed.
+
+Limits: a passage is found if a run fits between its cuts, so a few words at its edges stay where it starts or ends
+inside a sentence, and one of hardly over 50 words without any full stop can be missed. Words end at white space, so
+text written without spaces has too few words for a run.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ _TOKEN = re.compile(r"[^ \t\n\v\f\r]+[ \t\n\v\f\r]*")
 _SPACES = " \t\n\v\f\r"
 _ENDS = (".", "!", "?", "…", "。", "！", "？", '."', '!"', '?"', ".)", ".”")
 _BASES = [(b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-_ROW = "h1 bigint, h2 int, doc_id bigint, tie int, start int, end int, later boolean"
+_ROW = "h1 bigint, h2 int, doc_id bigint, tie bigint, start int, end int, later boolean"
 
 
 class _Tokens(dict):
@@ -96,7 +100,7 @@ def _runs(least: int, words: int):
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [[]] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, pa.bool_()]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 2, pa.bool_()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["h1", "h2", "doc_id", "tie", "start", "end", "later"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +123,7 @@ def _runs(least: int, words: int):
                         if mine < old:
                             seen[key], mine = mine, old
                         (none, doc, tie), start, end = mine
-                        done.append((tie << 32 ^ start, end, None if none else doc, tie, start, end, True))
+                        done.append((tie ^ start, end, None if none else doc, tie, start, end, True))
             if len(done) + len(seen) > REMEMBERED:
                 yield made(done + [(*k, None if o[0] else o[1], o[2], s, e, False) for k, (o, s, e) in seen.items()])
                 done, seen = [], {}
@@ -167,7 +171,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least
     """
     added = ("n_removed", "removed_chars", "removed_spans")
     keep = [c for c in df.columns if c not in added and not c.startswith("__")]
-    rows = df.select(*keep, F.col(key).cast("bigint").alias("__id"), F.hash(F.lit(SEED), F.col(key), F.col(text)).alias("__tie"))
+    # tells rows of one id apart; rows without an id have nothing else
+    tie = F.when(F.col(key).isNull(), F.xxhash64(F.lit(SEED), F.col(text))).otherwise(F.hash(F.lit(SEED), F.col(key), F.col(text)).cast("bigint"))
+    rows = df.select(*keep, F.col(key).cast("bigint").alias("__id"), tie.alias("__tie"))
     runs = rows.select("__id", "__tie", text).mapInArrow(_runs(least, words), _ROW)
     rank = F.rank().over(W.partitionBy("h1", "h2", "later").orderBy(F.col("doc_id").asc_nulls_last(), "tie", "start"))
     later = runs.withColumn("r", rank).where("later or r > 1")
