@@ -91,6 +91,8 @@ def assemble(conv: pa.Array, role: pa.Array, text: pa.Array) -> pa.RecordBatch:
     starts[:, 4], lengths[:, 4] = len(START) + len(MIDDLE), len(END)
     out, offsets = gather(source, starts.ravel(), lengths.ravel())
 
+    if offsets[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("the conversations of one batch take more than 2 GiB, which no string column holds")
     first = np.flatnonzero(_begins(conv))
     heads = offsets[:-1].reshape(n, 5)
     bounds = np.concatenate([heads[first, 0], offsets[-1:]]).astype(np.int32)
@@ -134,8 +136,9 @@ def _assemble_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_start and loss_end (byte spans of assistant texts).
 
-    Rows stand by turn (null first), ties by role, then text. Null roles and texts are empty; rows with a null
-    conversation form one; an empty table gives an empty result; other columns are left out. A conversation is
+    Rows stand by turn (null first), ties by role, then text; repeated rows are turns of their own. Null roles and
+    texts are empty; rows with a null conversation form one; an empty table gives an empty result; other columns,
+    whatever their names, are left out. A conversation is
     one output string, so its turns meet in one task; all others stream through in Arrow batches.
     """
     rows = df.select(F.col(conv).cast("bigint").alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))

@@ -12,15 +12,23 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Links every neighbour that is larger (large) or not larger (small) than u to the least of u and its neighbours."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("c"), F.least("u", "w").alias("m"))
-    near = both.join(least, F.col("u") == F.col("c"))
-    out = near.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if not large:
-        out = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("c").alias("u"), F.col("m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).distinct()
+def _least(edges: DataFrame) -> DataFrame:
+    """(c, m): every vertex with a smaller neighbour and the least of them."""
+    return edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+
+
+def _round(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """One large and one small star over links (u, v) with u > v; ``least`` is their _least, written.
+
+    Large: every neighbour above a vertex is linked to the least vertex at or below that one. A root has no entry in
+    ``least``, so its many links meet nothing; both sides of that join are files, so where one vertex holds a large
+    share of all links, Spark splits its partition. Small: every neighbour below a vertex, and the vertex itself, is
+    linked to the least of them.
+    """
+    large = edges.join(least, F.col("v") == F.col("c"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+    below = _least(large)
+    small = large.join(below, F.col("u") == F.col("c")).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return small.unionByName(below.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,8 +42,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(now, "links")
     was = _signature(now)
     while was[0]:
-        before, now = now, cut(_star(_star(now, True), False), "links")
+        least = cut(_least(now), "least")
+        before, now = now, cut(_round(now, least), "links")
         discard(before)
+        discard(least)
         seen = _signature(now)
         if seen == was:
             break

@@ -21,6 +21,8 @@ SHARDS = 24
 SEED = 20_240_117
 #: Bytes of a bucket in pass 2: what one task holds at a time.
 BUCKET_BYTES = 16 << 20
+#: Tasks of pass 2 at most.
+MOST_TASKS = 100_000
 
 
 def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
@@ -39,8 +41,8 @@ def assign_shards(df: DataFrame, key: str, weight: str, shards: int = SHARDS, se
     A bucket is (shard, part); parts come from a second seeded hash over the whole row, so rows that share a key
     and differ elsewhere still spread over all parts. Copies of a row that would fill a quarter of a bucket are
     counted and dealt over all parts in turn. One pass over ``weight`` sizes the parts: their number grows with the
-    input, and no bucket does. The hashes fix the order inside a bucket before it is shuffled, so a task that runs
-    again gives the same rows the same slots.
+    input, and no bucket does, unless one row outgrows it. The hashes fix the order inside a bucket before it is
+    shuffled, and rows and sizes alone fix the tasks, so another run, also on another cluster, gives the same slots.
     """
     row = [c for c in df.columns if c not in ("shard", "slot") and not c.startswith("__")]
     df = df.select(*row)
@@ -51,7 +53,9 @@ def assign_shards(df: DataFrame, key: str, weight: str, shards: int = SHARDS, se
     scattered = df.withColumn("__shard", shard_of(F.col(key), shards, seed)).withColumn("__part", spread)
     if parts > 1:
         scattered = _deal_copies(scattered, row, weight, parts, bucket_bytes // 4)
-    buckets = scattered.groupBy("__shard", "__part").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *row).alias("__h"), *row))).alias("__rows"))
+    # as many partitions as the bytes ask for, whatever the cluster's setting: with them the shuffle's seeds repeat
+    tasks = min(max(shards, math.ceil(need / (8 * bucket_bytes))), MOST_TASKS)
+    buckets = scattered.repartition(tasks, "__shard", "__part").groupBy("__shard", "__part").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *row).alias("__h"), *row))).alias("__rows"))
     shuffled = buckets.sortWithinPartitions("__shard", "__part").withColumn("__rows", F.shuffle("__rows", seed))
     counts = scattered.groupBy("__shard", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.withColumn("__before", F.sum("__n").over(W.partitionBy("__shard").orderBy("__part").rowsBetween(W.unboundedPreceding, -1))).drop("__n")

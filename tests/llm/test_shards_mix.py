@@ -40,8 +40,11 @@ def test_shards_with_nulls_repeats_and_many_buckets(spark):
 
 def test_the_order_inside_a_shard_is_shuffled_and_repeats(spark):
     df = spark.createDataFrame([(i, 10) for i in range(3000)], "k bigint, w bigint").repartition(3)
-    runs = [{r.k: (r["shard"], r.slot) for r in sharding.assign_shards(df, "k", "w", shards=2).collect()} for _ in range(2)]
-    assert runs[0] == runs[1]
+    runs = []
+    for partitions in ("2", "7", "4"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        runs.append({r.k: (r["shard"], r.slot) for r in sharding.assign_shards(df.repartition(int(partitions)), "k", "w", shards=2, bucket_bytes=20_000).collect()})
+    assert runs[0] == runs[1] == runs[2]
     order = [k for k, v in sorted(runs[0].items(), key=lambda x: x[1]) if v[0] == 0]
     ups = sum(a < b for a, b in zip(order, order[1:])) / len(order)
     assert 0.4 < ups < 0.6
