@@ -84,27 +84,29 @@ def _assign(pivots: np.ndarray, kind: type):
 def greedy_net(x: np.ndarray, radius: float) -> np.ndarray:
     """For each row, the place of a centre within ``radius``; centres are their own and farther apart than that."""
     own = np.empty(len(x), np.int64)
-    centres: list[int] = []
+    least = 1 - radius * radius / 2  # product of two vectors at that distance
+    places = np.empty(len(x), np.int64)
     held = np.empty_like(x)
+    n = 0
     for k in range(0, len(x), 256):
         part = x[k : k + 256]
         left = np.arange(len(part))
-        if centres:
-            d = _distance(part, held[: len(centres)])
-            best = d.argmin(axis=1)
-            near = d[np.arange(len(part)), best] <= radius
-            own[k + left[near]] = np.array(centres)[best[near]]
+        if n:
+            dot = part @ held[:n].T
+            best = dot.argmax(axis=1)
+            near = dot[left, best] >= least
+            own[k + left[near]] = places[best[near]]
             left = left[~near]
-        d = _distance(part[left], part[left])
+        within = part[left] @ part[left].T >= least
         open_ = np.ones(len(left), bool)
         for i in range(len(left)):
             if open_[i]:
-                take = open_ & (d[i] <= radius)
-                own[k + left[take]] = own[k + left[i]] = k + left[i]
+                take = open_ & within[i]
+                take[i] = True
+                own[k + left[take]] = k + left[i]
                 open_ &= ~take
-                open_[i] = False
-                held[len(centres)] = part[left[i]]
-                centres.append(k + int(left[i]))
+                held[n], places[n] = part[left[i]], k + left[i]
+                n += 1
     return own
 
 
@@ -137,23 +139,32 @@ def _grow(dim: int, kind: type):
 
 
 class Subtree:
-    """Some vectors of a tree on one level; the first is the centre that covers the others."""
+    """Some vectors of a tree on one level; the first is the centre that covers the others within ``radius``."""
 
-    def __init__(self, x: np.ndarray, levels: np.ndarray, rows: np.ndarray, level: int = 0):
-        self.x, self.levels, self.rows, self.level = x, levels, rows, level
-        self.radius = float(_distance(x[rows[:1]], x[rows]).max()) if len(rows) > 1 else 0.0
-        self._children: list[Subtree] | None = None
+    def __init__(self, x: np.ndarray, levels: np.ndarray, rows: np.ndarray, radius: float = 2.0, level: int = 0):
+        self.x, self.levels, self.rows, self.radius, self.level = x, levels, rows, radius, level
+        self.sizes: np.ndarray | None = None
 
-    def children(self) -> list[Subtree]:
-        if self._children is None:
+    def split(self) -> None:
+        """The children as arrays: bounds in ``sorted``, sizes, centres and covering radii."""
+        if self.sizes is None:
             own = self.levels[self.rows, self.level + 1]
             order = np.argsort(own, kind="stable")
-            parts = np.split(self.rows[order], np.flatnonzero(np.diff(own[order])) + 1)
-            self._children = [Subtree(self.x, self.levels, g, self.level + 1) for g in parts]
-            self.heads = self.x[[g[0] for g in parts]]
-            self.radii = np.array([c.radius for c in self._children])
-            self.alone = np.array([len(g) == 1 for g in parts])
-        return self._children
+            self.sorted, own = self.rows[order], own[order]
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            self.bounds = np.append(first, len(own))
+            self.sizes = np.diff(self.bounds)
+            centre = self.sorted[first]
+            self.heads = self.x[centre]
+            far = np.einsum("ij,ij->i", self.x[self.sorted], np.repeat(self.heads, self.sizes, axis=0))
+            self.radii = np.where(self.sizes > 1, np.sqrt(np.maximum(2 - 2 * np.minimum.reduceat(far, first), 0)), 0.0)
+            self.made: dict[int, Subtree] = {}
+
+    def child(self, k: int) -> Subtree:
+        if k not in self.made:
+            rows = self.sorted[self.bounds[k] : self.bounds[k + 1]]
+            self.made[k] = Subtree(self.x, self.levels, rows, float(self.radii[k]), self.level + 1)
+        return self.made[k]
 
 
 class _Links:
@@ -219,31 +230,45 @@ class Traversal:
         if len(t.rows) * len(u.rows) <= SMALL or t.level + 1 == len(RADII):
             self.rows(t, u, same)
             return
-        left, right = t.children(), u.children()
-        for i in range(0, len(left), TILE):
-            for j in range(i if same else 0, len(right), TILE):
-                self.tile(t, u, i, j, same)
+        t.split()
+        u.split()
+        tiles = [(i, j) for i in range(0, len(t.sizes), TILE) for j in range(i if same else 0, len(u.sizes), TILE)]
+        # opening pays only where it leaves fewer pairs than there are, each opened pair counting as SMALL of them
+        left = 0
+        for i, j in tiles:
+            near, _, _ = self.near(t, u, i, j)
+            left += int((near * (t.sizes[i : i + TILE, None] * u.sizes[None, j : j + TILE] + SMALL)).sum())
+            if left >= len(t.rows) * len(u.rows):
+                self.rows(t, u, same)
+                return
+        for i, j in tiles:
+            self.tile(t, u, i, j, same)
+
+    def near(self, t: Subtree, u: Subtree, i0: int, j0: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pairs of children that may hold a link and are not two single vectors, products of centres, sums of radii)."""
+        here, there = slice(i0, i0 + TILE), slice(j0, j0 + TILE)
+        dot, reach = t.heads[here] @ u.heads[there].T, t.radii[here][:, None] + u.radii[there][None, :]
+        alone = (t.sizes[here] == 1)[:, None] & (u.sizes[there] == 1)[None, :]
+        # distance <= reach + r, in terms of the product
+        return (dot >= 1 - (reach + (self.r + EPS)) ** 2 / 2) & ~alone, dot, reach
 
     def tile(self, t: Subtree, u: Subtree, i0: int, j0: int, same: bool) -> None:
-        here, there = slice(i0, i0 + TILE), slice(j0, j0 + TILE)
-        left, right = t.children()[here], u.children()[there]
-        alone = t.alone[here][:, None] & u.alone[there][None, :]
-        dot = t.heads[here] @ u.heads[there].T
+        near, dot, reach = self.near(t, u, i0, j0)
         self.links.compared += dot.size
         diagonal = same and i0 == j0
-        # single vectors: the heads are all there is
-        self.add(np.array([c.rows[0] for c in left]), np.array([c.rows[0] for c in right]), alone & (dot >= self.cosine), diagonal)
-        if alone.all():
-            return
-        d, reach = np.sqrt(np.maximum(2 - 2 * dot, 0)), t.radii[here][:, None] + u.radii[there][None, :]
-        for i, j in np.argwhere((d <= reach + (self.r + EPS)) & ~alone).tolist():
+        # single vectors: the centres are all there is
+        alone = (t.sizes[i0 : i0 + TILE] == 1)[:, None] & (u.sizes[j0 : j0 + TILE] == 1)[None, :]
+        a, b = (v.sorted[v.bounds[k : min(k + TILE, len(v.sizes))]] for v, k in ((t, i0), (u, j0)))
+        self.add(a, b, alone & (dot >= self.cosine), diagonal)
+        for i, j in np.argwhere(near).tolist():
             if diagonal and i > j:
                 continue
-            one = diagonal and i == j
-            if not one and d[i, j] + reach[i, j] < self.r - EPS or one and 2 * left[i].radius < self.r - EPS:
-                self.rows(left[i], right[j], one, sure=True)
+            one, k = diagonal and i == j, i + i0
+            inside = 2 * t.radii[k] if one else math.sqrt(max(2 - 2 * dot[i, j], 0)) + reach[i, j]
+            if inside < self.r - EPS:
+                self.rows(t.child(k), u.child(j + j0), one, sure=True)
             else:
-                self.open(left[i], right[j], one)
+                self.open(t.child(k), u.child(j + j0), one)
 
 
 def _pairs(dim: int, cosine: float, kind: type):
