@@ -74,11 +74,19 @@ def reduce_windows(days: DataFrame, cadence: str, reducer: str = "median", sampl
 
 def window_quality(df: DataFrame, column: str, cadence: str, sampling: str, gap_share: float, gap_run: int, least_share: float, least: int) -> DataFrame:
     """By window: values, gap share (below 0 where there are more bars than expected), longest gap, and whether they pass."""
+    return window_qualities(df, [column], cadence, sampling, gap_share, gap_run, least_share, least).drop("series")
+
+
+def window_qualities(df: DataFrame, columns: list[str], cadence: str, sampling: str, gap_share: float, gap_run: int, least_share: float, least: int) -> DataFrame:
+    """window_quality of every column, named by ``series``: one pass over the bars and one aggregate for all of them."""
     df = df.withColumn("win_end", calendar.window_end(F.col("ts"), cadence))
     keys = ["ticker", "win_end"]
-    df = run_lengths(df, keys, F.when(F.col(column).isNull(), 1), "__gap")
-    flat = df.groupBy(*keys).agg(F.min("ts").alias("win_start"), F.size(F.collect_set(F.to_date("ts"))).cast("bigint").alias("days"), F.count(column).alias("n_valid"), F.max("__gap").cast("bigint").alias("max_gap_run"))
-    flat = flat.withColumn("expected_bars", calendar.expected_bars(F.col("days"), sampling))
+    for k, c in enumerate(columns):
+        df = run_lengths(df, keys, F.when(F.col(c).isNull(), 1), f"__gap{k}")
+    days = F.size(F.collect_set(F.to_date("ts"))).cast("bigint")
+    each = F.array(*[F.struct(F.lit(c).alias("series"), F.count(c).alias("n_valid"), F.max(f"__gap{k}").cast("bigint").alias("max_gap_run")) for k, c in enumerate(columns)])
+    flat = df.groupBy(*keys).agg(F.min("ts").alias("win_start"), days.alias("days"), each.alias("__each"))
+    flat = flat.select(*keys, "win_start", "days", F.inline("__each")).withColumn("expected_bars", calendar.expected_bars(F.col("days"), sampling))
     share = F.col("n_valid") / F.col("expected_bars")
     flat = flat.withColumn("gap_ratio", 1 - share)
     passed = (share >= least_share) & (F.col("gap_ratio") <= gap_share) & (F.col("max_gap_run") <= gap_run) & (F.col("n_valid") >= least)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import number, positive_log, ratio, series
 from barloom.operators import calendar
-from barloom.operators.features import window_quality
+from barloom.operators.features import window_qualities
 
 BANDS = {"lo": (1e-12, 1 / 60), "mid": (1 / 60, 1 / 15), "hi": (1 / 15, 0.5)}
 FFT_NAMES = ["power_total", "power_lo", "power_mid", "power_hi", "pct_lo", "pct_mid", "pct_hi", "dom_freq_cpb", "dom_period_bars", "centroid_freq_cpb", "centroid_period_bars"]
@@ -198,10 +198,7 @@ def cwt_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str =
 
 
 def _with_quality(df: DataFrame, made: DataFrame, columns: list[str], cadence: str, sampling: str, names: list[str], gap: float, run: int, share: float, least: int) -> DataFrame:
-    parts = [window_quality(df, c, cadence, sampling, gap, run, share, least).withColumn("series", F.lit(c)) for c in columns]
-    quality = parts[0]
-    for more in parts[1:]:
-        quality = quality.unionByName(more)
+    quality = window_qualities(df, columns, cadence, sampling, gap, run, share, least)
     out = quality.join(made, ["ticker", "win_end", "series"], "left")
     return out.withColumns({n: F.when(F.col("passed"), F.col(n)) for n in names})
 
