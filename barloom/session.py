@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -26,9 +27,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that setting is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one on a local master, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-barloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

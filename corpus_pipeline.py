@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages from raw documents to tokens.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-next stage's ``docs``. All stages but the last return the columns of ``documents``.
+next stage's ``docs``. All stages but the last return the columns of ``documents``, and any others that came with them,
+whatever their names. An empty table gives an empty result in each; what becomes of null texts and repeated rows is
+said at the stage.
 """
 
 from __future__ import annotations
@@ -14,19 +16,25 @@ from barloom.session import cut, ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go. The rules are learned from the labels of the documents at hand."""
+    """Rejected documents go. The rules are learned from the labels of the documents at hand.
+
+    Null and empty texts go; each copy of a repeated row stays or goes like the others.
+    """
     ship_package(spark)
     return quality.filter_quality(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id.
+
+    Of a row that repeats whole, one copy stays; texts without words, null ones too, are in no group and all stay.
+    """
     ship_package(spark)
     return neardup.keep_one(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret in a text becomes ``[SECRET]``; n_chars follows. No document goes."""
+    """Every secret in a text becomes ``[SECRET]``; n_chars follows. No document goes; null texts and repeats stay as they are."""
     found = secrets.scan(docs)
     found = found.withColumn("__clean", secrets.redacted(F.col("text"), F.col("secret_spans")))
     length = F.when(F.size("secret_spans") > 0, F.length("__clean")).otherwise(F.col("n_chars"))
@@ -35,12 +43,18 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: sources weigh 1, 2, 3 in turn over all words."""
+    """Documents as often as the mix takes them: sources weigh 1, 2, 3 in turn over all words.
+
+    Texts without words, null ones too, stay once; rows that repeat whole are taken alike.
+    """
     return mixing.repeat_mixed(docs, ["doc_id", "text"], mixing.count_words(F.col("text")))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, token ids and their number for every row of the mix, and whether they decode to its text."""
+    """doc_id, source, token ids and their number for every row of the mix, and whether they decode to its text.
+
+    Null texts have no tokens; each copy of a repeated row gets the same.
+    """
     import public_tokenizers
 
     ship_package(spark)
@@ -60,7 +74,7 @@ STAGES = [
     ("byte_bpe", byte_bpe),
 ]
 
-#: SQL cannot express the learned rules, the set join or the tokens; tests hold run() against a brute-force version.
+#: SQL cannot express the learned rules, the set join or the tokens; tests/llm/test_queries.py holds run() against plain loops.
 ORACLE_SQL = None
 
 
