@@ -53,12 +53,13 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: str =
     A source with a target of e whole epochs and a rest takes every row e times, then rows in hash order until
     the rest is used up; the row at the cut gives only the words still missing, so the words taken of a source
     equal its target rounded down. Null sources form one source; null or zero sizes take nothing; rows that
-    repeat a key sort by their other columns. The order depends on key and seed alone, so reruns agree.
+    repeat a key sort by size. The order depends on key, size and seed alone, so reruns agree; sizes are part of the
+    hash so that rows without a key, however many, spread over the ranges too.
     """
     keep = [c for c in df.columns if c not in ("source_size", "target", "taken") and not c.startswith("__")]
     rows = df.select(*keep)
     targets = source_targets(rows, source, size, weights, max_epochs).withColumnsRenamed({"source": "__source"})
-    h = F.xxhash64(F.lit(seed), F.col(key))
+    h = F.xxhash64(F.lit(seed), F.col(key), F.col(size).cast("bigint"))
     rows = rows.withColumn("__key", h).join(F.broadcast(targets) if targets.count() <= 10_000 else targets, F.col(source).eqNullSafe(F.col("__source")))
     # the unsigned position of the key in [0, 1), cut into as many ranges as the source needs
     place = (F.shiftrightunsigned(F.col("__key"), 11).cast("double")) / float(1 << 53)
@@ -97,12 +98,12 @@ def repeat_mixed(df: DataFrame, key: list[str], size: Column, source: str = "sou
     mixed = mix(narrow, "row", "source", "size", weights, max_epochs, seed).where("size > 0")
     epochs = F.floor(F.col("target") / F.col("source_size"))
     once_more = F.floor(F.col("taken") / F.col("size") + 0.5) > epochs
-    order = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row"), 11).alias("h"), F.col("row"))
+    order = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row", F.col("size").cast("bigint")), 11).alias("h"), F.col("row"))
     by = mixed.groupBy(F.col("source").alias("__source")).agg(F.min(epochs).cast("int").alias("__epochs"), F.max(F.when(once_more, order)).alias("__last"))
     by = cut(by, "mix-cuts")
     rows = df.select(*keep, row.alias("__row"), size.alias("__size"))
     rows = rows.join(F.broadcast(by) if by.count() <= 10_000 else by, F.col(source).eqNullSafe(F.col("__source")), "left")
-    place = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__row"), 11).alias("h"), F.col("__row").alias("row"))
+    place = F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__row", F.col("__size").cast("bigint")), 11).alias("h"), F.col("__row").alias("row"))
     times = F.when(F.col("__size") > 0, F.col("__epochs") + F.coalesce(place <= F.col("__last"), F.lit(False)).cast("int")).otherwise(1)
     rows = rows.withColumn("__times", times).where("__times > 0")
     return rows.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*keep)

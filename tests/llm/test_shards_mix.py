@@ -169,3 +169,13 @@ def test_whole_rows_are_repeated_as_the_mix_takes_them(spark):
         assert all(abs(taken[s] - goal[s]) <= 31 * 4 for s in goal)
         assert Counter(map(tuple, mixing.repeat_mixed(df.repartition(5), ["doc_id", "text"], mixing.count_words(df["text"])).collect())) == times
     assert mixing.repeat_mixed(df.limit(0), ["doc_id", "text"], mixing.count_words(df["text"])).count() == 0
+
+
+def test_mixing_replaces_columns_of_its_names_and_spreads_rows_without_a_key(spark):
+    rows = [(None, "s", 10 + i, 1.0) for i in range(400)] + [(i, "t", 5, 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, target double")
+    out = mixing.mix(df).collect()
+    assert len(out) == 440 and set(out[0].asDict()) == {"doc_id", "source", "size", "source_size", "target", "taken"}
+    for s in ("s", "t"):
+        mine = [r for r in out if r.source == s]
+        assert sum(r.taken for r in mine) == int(mine[0].target) and all(r.taken <= 3 * r["size"] for r in mine)
