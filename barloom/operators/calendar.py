@@ -65,7 +65,11 @@ def hour_grid(df: DataFrame, half_bar: str = "drop") -> DataFrame:
     first = F.when(half, 570).otherwise(600)
     last = F.when(half, 930 if half_bar != "drop" else 870).otherwise(900)
     slots = F.explode(F.sequence(first, last, F.lit(60))).alias("__at")
-    return days_of(df).join(mode, "ticker").select("ticker", "day_id", slots).select("ticker", "day_id", (midnight(F.col("day_id")) + F.make_dt_interval(mins=F.col("__at"))).alias("ts"))
+    return days_of(df).join(mode, "ticker").select("ticker", "day_id", slots).select(
+        "ticker",
+        "day_id",
+        (midnight(F.col("day_id")) + F.make_dt_interval(mins=F.col("__at"))).alias("ts"),
+    )
 
 
 def window_end(ts: Column, cadence: str) -> Column:

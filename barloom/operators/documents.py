@@ -25,7 +25,13 @@ def long_features(df: DataFrame, prefix: str, columns: list[str], source: int, a
     """(ticker, end_ts, key, value, source, seq): one row for each of ``columns`` that ``df`` has; no number: null."""
     pairs = F.array(*[F.struct(F.lit(f"{prefix}.{c}").alias("key"), number(F.col(f"`{c}`")).alias("value")) for c in columns if c in df.columns])
     seq = F.col("seq").cast("bigint") if "seq" in df.columns else F.lit(0).cast("bigint")
-    rows = df.where(F.col(at).isNotNull()).select("ticker", F.col(at).alias("end_ts"), F.lit(source).alias("source"), seq.alias("seq"), F.explode(pairs).alias("p"))
+    rows = df.where(F.col(at).isNotNull()).select(
+        "ticker",
+        F.col(at).alias("end_ts"),
+        F.lit(source).alias("source"),
+        seq.alias("seq"),
+        F.explode(pairs).alias("p"),
+    )
     return rows.select("ticker", "end_ts", F.col("p.key").alias("key"), F.col("p.value").alias("value"), "source", "seq")
 
 
@@ -47,7 +53,9 @@ def latest(features: DataFrame) -> DataFrame:
 
 def per_hour(features: DataFrame) -> DataFrame:
     """(ticker, date, per_hour_data): HH:mm -> key -> value, of days with a feature."""
-    hours = latest(features).groupBy("ticker", "date", F.date_format("end_ts", "HH:mm").alias("hour")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
+    hours = latest(features).groupBy("ticker", "date", F.date_format("end_ts", "HH:mm").alias("hour")).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"),
+    )
     return hours.groupBy("ticker", "date").agg(F.map_from_entries(F.collect_list(F.struct("hour", "m"))).alias("per_hour_data"))
 
 
@@ -67,12 +75,23 @@ def news_per_day(news: DataFrame) -> DataFrame:
     """(ticker, date, news): items in time order. A day's items of one ticker are one row by definition."""
     item = F.struct(F.col("ts"), F.col("url"), F.col("text"))
     days = news.where("ts is not null").groupBy("ticker", F.to_date("ts").alias("date")).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    return days.select("ticker", "date", F.transform("items", lambda x: F.struct(iso_with_offset(x["ts"]).alias("timestamp_et"), x["text"].alias("text"), x["url"].alias("url"))).alias("news"))
+    return days.select(
+        "ticker",
+        "date",
+        F.transform("items", lambda x: F.struct(iso_with_offset(x["ts"]).alias("timestamp_et"), x["text"].alias("text"), x["url"].alias("url"))).alias(
+            "news",
+        ),
+    )
 
 
 def assemble(features: DataFrame, news: DataFrame) -> DataFrame:
     """Documents of the days that have both a featured hour and news."""
-    return per_hour(features).join(news_per_day(news), ["ticker", "date"]).select("ticker", F.col("date").cast("string").alias("date"), "news", "per_hour_data")
+    return per_hour(features).join(news_per_day(news), ["ticker", "date"]).select(
+        "ticker",
+        F.col("date").cast("string").alias("date"),
+        "news",
+        "per_hour_data",
+    )
 
 
 def auto_shift(inter: DataFrame, marks: DataFrame) -> DataFrame:
@@ -82,7 +101,9 @@ def auto_shift(inter: DataFrame, marks: DataFrame) -> DataFrame:
     hits = moved.join(marks.select("ticker", "end_ts").distinct().withColumn("hit", F.lit(1)), ["ticker", "end_ts"], "left")
     score = hits.groupBy("ticker", "s").agg(F.count("hit").alias("n"))
     best = score.groupBy("ticker").agg(F.min_by("s", F.struct(-F.col("n"), F.col("s.pref"))).alias("s"), F.max("n").alias("overlap"))
-    return inter.join(best, "ticker").withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.col("s.h"))).withColumn("align", F.col("s.tag")).drop("s")
+    return inter.join(best, "ticker").withColumn("end_ts", F.col("ts") + F.make_dt_interval(hours=F.col("s.h"))).withColumn("align", F.col("s.tag")).drop(
+        "s",
+    )
 
 
 def align_hours(inter: DataFrame, mode: str, marks: DataFrame | None = None) -> DataFrame:

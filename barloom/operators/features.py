@@ -84,7 +84,9 @@ def window_qualities(df: DataFrame, columns: list[str], cadence: str, sampling:
     for k, c in enumerate(columns):
         df = run_lengths(df, keys, F.when(F.col(c).isNull(), 1), f"__gap{k}")
     days = F.size(F.collect_set(F.to_date("ts"))).cast("bigint")
-    each = F.array(*[F.struct(F.lit(c).alias("series"), F.count(c).alias("n_valid"), F.max(f"__gap{k}").cast("bigint").alias("max_gap_run")) for k, c in enumerate(columns)])
+    each = F.array(
+        *[F.struct(F.lit(c).alias("series"), F.count(c).alias("n_valid"), F.max(f"__gap{k}").cast("bigint").alias("max_gap_run")) for k, c in enumerate(columns)],
+    )
     flat = df.groupBy(*keys).agg(F.min("ts").alias("win_start"), days.alias("days"), each.alias("__each"))
     flat = flat.select(*keys, "win_start", "days", F.inline("__each")).withColumn("expected_bars", calendar.expected_bars(F.col("days"), sampling))
     share = F.col("n_valid") / F.col("expected_bars")
@@ -101,7 +103,12 @@ def low_confidence(df: DataFrame, column: str, cadence: str, gap: float = 0.10,
     keys = ["ticker", "win_end"]
     df = df.withColumn("win_end", calendar.window_end(F.col("ts"), cadence))
     df = run_lengths(df, keys, F.when(F.col("is_gap") == 1, 1), "__gap")
-    flag = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("is_gap").alias("gap_ratio"), F.max("__gap").cast("bigint").alias("max_gap_run"), F.coalesce(F.stddev_pop(column) < flat, F.lit(True)).alias("degenerate"))
+    flag = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg("is_gap").alias("gap_ratio"),
+        F.max("__gap").cast("bigint").alias("max_gap_run"),
+        F.coalesce(F.stddev_pop(column) < flat, F.lit(True)).alias("degenerate"),
+    )
     low = (F.col("gap_ratio") > gap) | (F.col("max_gap_run") > run) | (F.col("n") < least) | F.col("degenerate")
     return flag.withColumn("low_conf", low.cast("int"))
 

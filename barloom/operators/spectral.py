@@ -18,10 +18,33 @@ from barloom.operators import calendar
 from barloom.operators.features import window_qualities
 
 BANDS = {"lo": (1e-12, 1 / 60), "mid": (1 / 60, 1 / 15), "hi": (1 / 15, 0.5)}
-FFT_NAMES = ["power_total", "power_lo", "power_mid", "power_hi", "pct_lo", "pct_mid", "pct_hi", "dom_freq_cpb", "dom_period_bars", "centroid_freq_cpb", "centroid_period_bars"]
+FFT_NAMES = [
+    "power_total",
+    "power_lo",
+    "power_mid",
+    "power_hi",
+    "pct_lo",
+    "pct_mid",
+    "pct_hi",
+    "dom_freq_cpb",
+    "dom_period_bars",
+    "centroid_freq_cpb",
+    "centroid_period_bars",
+]
 CWT_NAMES = ["power_lo", "power_mid", "power_hi", "centroid_period_bars", "peak_period_bars", "peak_ratio", "temporal_compactness"]
 LEGACY_FFT_NAMES = ["power_lo", "power_mid", "power_hi", "centroid", "flatness", "peak_freq", "peak_ratio", "centroid_period", "peak_period"]
-LEGACY_CWT_NAMES = [*CWT_NAMES, "flatness", "peak_time", "energy_open", "energy_mid", "energy_late", "ridge_count", "ridge_avg_period", "ridge_period_std", "cover_ratio"]
+LEGACY_CWT_NAMES = [
+    *CWT_NAMES,
+    "flatness",
+    "peak_time",
+    "energy_open",
+    "energy_mid",
+    "energy_late",
+    "ridge_count",
+    "ridge_avg_period",
+    "ridge_period_std",
+    "cover_ratio",
+]
 PERIODS = np.geomspace(5, 120, 36)
 CENTRE = 13 / 16  # of the Morlet wavelet, in cycles per unit of scale
 
@@ -160,7 +183,16 @@ def legacy_cwt_features(x: np.ndarray, periods: np.ndarray = PERIODS) -> list[fl
     thirds = [energy[i:j].sum() / energy.sum() for i, j in ((0, a), (a, b), (b, n))]
     mean = [r[2] for r in ridges(x, periods)]
     k = np.unravel_index(np.argmax(p), p.shape)
-    return [*base, flat, float(k[1]), *thirds, float(len(mean)), float(np.mean(mean)) if mean else np.nan, float(np.std(mean)) if mean else np.nan, float(influence(CENTRE * periods, n).mean())]
+    return [
+        *base,
+        flat,
+        float(k[1]),
+        *thirds,
+        float(len(mean)),
+        float(np.mean(mean)) if mean else np.nan,
+        float(np.std(mean)) if mean else np.nan,
+        float(influence(CENTRE * periods, n).mean()),
+    ]
 
 
 def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str], f: Callable[[np.ndarray], list[float]]) -> DataFrame:
@@ -217,11 +249,29 @@ def dft_single(df: DataFrame, column: str, cadence: str) -> DataFrame:
     rows = rows.join(stats, ["ticker", "win_end"])
     turn = 2 * F.pi() * F.col("i") / F.col("n")
     taper = 0.5 - 0.5 * F.cos(turn)
-    rows = rows.select("ticker", "win_end", "n", "i", (taper * (F.col("x") - F.col("m"))).alias("y"), (taper * taper).alias("w2"), F.explode(F.sequence(F.lit(1), F.floor(F.col("n") / 2).cast("int"))).alias("k"))
+    rows = rows.select(
+        "ticker",
+        "win_end",
+        "n",
+        "i",
+        (taper * (F.col("x") - F.col("m"))).alias("y"),
+        (taper * taper).alias("w2"),
+        F.explode(F.sequence(F.lit(1), F.floor(F.col("n") / 2).cast("int"))).alias("k"),
+    )
     angle = 2 * F.pi() * F.col("k") * F.col("i") / F.col("n")
-    bins = rows.groupBy("ticker", "win_end", "n", "k").agg(F.sum(F.col("y") * F.cos(angle)).alias("re"), F.sum(F.col("y") * F.sin(angle)).alias("im"), F.sum("w2").alias("w2"))
+    bins = rows.groupBy("ticker", "win_end", "n", "k").agg(
+        F.sum(F.col("y") * F.cos(angle)).alias("re"),
+        F.sum(F.col("y") * F.sin(angle)).alias("im"),
+        F.sum("w2").alias("w2"),
+    )
     twice = F.when(2 * F.col("k") == F.col("n"), 1.0).otherwise(2.0)
-    bins = bins.select("ticker", "win_end", "n", (F.col("k") / F.col("n")).alias("f"), (twice * (F.col("re") * F.col("re") + F.col("im") * F.col("im")) / F.col("w2")).alias("p"))
+    bins = bins.select(
+        "ticker",
+        "win_end",
+        "n",
+        (F.col("k") / F.col("n")).alias("f"),
+        (twice * (F.col("re") * F.col("re") + F.col("im") * F.col("im")) / F.col("w2")).alias("p"),
+    )
     order = series("ticker", "win_end", ts="f")
     bins = bins.withColumns({"pf": F.lag("f").over(order), "pp": F.lag("p").over(order)})
     piece = (F.col("f") - F.col("pf")) * (F.col("p") + F.col("pp")) / 2
@@ -234,7 +284,9 @@ def dft_single(df: DataFrame, column: str, cadence: str) -> DataFrame:
         F.coalesce(F.sum(piece), F.lit(0.0)).alias("power_total"), *[band(b).alias(f"power_{b}") for b in BANDS],
         F.max_by("f", F.struct(F.round("p", 9), -F.col("f"))).alias("dom_freq_cpb"), ratio(F.sum(F.col("f") * F.col("p")), F.sum("p")).alias("centroid_freq_cpb"),
     )
-    return out.withColumns({"dom_period_bars": ratio(F.lit(1.0), F.col("dom_freq_cpb")), **{f"pct_{b}": F.coalesce(ratio(F.col(f"power_{b}"), F.col("power_total")), F.lit(0.0)) for b in BANDS}})
+    return out.withColumns(
+        {"dom_period_bars": ratio(F.lit(1.0), F.col("dom_freq_cpb")), **{f"pct_{b}": F.coalesce(ratio(F.col(f"power_{b}"), F.col("power_total")), F.lit(0.0)) for b in BANDS}},
+    )
 
 
 def with_series(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, list[str]]:

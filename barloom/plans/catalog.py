@@ -34,17 +34,87 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- bars, hours, clocks
 for unit in ("minute", "hour"):
-    simple(f"bars_{unit}", lambda s, d, u=unit: build_bars(tables.ticks(s, d), u), [*KEY, *OHLC, "transactions"], [f"{unit}_bars"], f"{unit}_bars", OHLC)
+    simple(
+        f"bars_{unit}",
+        lambda s, d, u=unit: build_bars(tables.ticks(s, d), u),
+        [*KEY, *OHLC, "transactions"],
+        [f"{unit}_bars"],
+        f"{unit}_bars",
+        OHLC,
+    )
 simple("bars_day", lambda s, d: build_bars(tables.trades(s, d), "day"), [*KEY, *OHLC, "transactions"], ["day_bars"], "day_bars", OHLC)
-simple("rth_filter", lambda s, d: calendar.rth(tables.ticks(s, d)), [*KEY, "seq", "price"], ["ticks"], "ticks", ["price"], f"WHERE {sql.MINUTE} BETWEEN 570 AND 959")
-simple("rth_filter_closed", lambda s, d: calendar.rth_closed(tables.ticks(s, d)), [*KEY, "seq", "price"], ["ticks"], "ticks", ["price"], "WHERE strftime(ts, '%H:%M:%S') BETWEEN '09:30:00' AND '16:00:00'")
-simple("floor_bars", lambda s, d: tables.ticks(s, d).withColumns({u: F.date_trunc(u, "ts").cast("timestamp_ntz") for u in ("minute", "hour", "day")}), ["seq", "minute", "hour", "day"], ["ticks"], "ticks", exprs={u: f"date_trunc('{u}', ts)::TIMESTAMP" for u in ("minute", "hour", "day")})
-simple("tz_convert", lambda s, d: tables.ticks(s, d).withColumn("et", calendar.to_exchange(F.col("ts"))), ["seq", "ts", "et"], ["ticks"], "ticks", exprs={"et": "timezone('America/New_York', timezone('UTC', ts))"})
-simple("minutes_since_open", lambda s, d: tables.ticks(s, d).withColumn("m", calendar.minutes_since_open(F.col("ts"))), ["seq", "m"], ["ticks"], "ticks", exprs={"m": f"CAST({sql.MINUTE} - 570 AS INTEGER)"})
+simple(
+    "rth_filter",
+    lambda s, d: calendar.rth(tables.ticks(s, d)),
+    [*KEY, "seq", "price"],
+    ["ticks"],
+    "ticks",
+    ["price"],
+    f"WHERE {sql.MINUTE} BETWEEN 570 AND 959",
+)
+simple(
+    "rth_filter_closed",
+    lambda s, d: calendar.rth_closed(tables.ticks(s, d)),
+    [*KEY, "seq", "price"],
+    ["ticks"],
+    "ticks",
+    ["price"],
+    "WHERE strftime(ts, '%H:%M:%S') BETWEEN '09:30:00' AND '16:00:00'",
+)
+simple(
+    "floor_bars",
+    lambda s, d: tables.ticks(s, d).withColumns({u: F.date_trunc(u, "ts").cast("timestamp_ntz") for u in ("minute", "hour", "day")}),
+    ["seq", "minute", "hour", "day"],
+    ["ticks"],
+    "ticks",
+    exprs={u: f"date_trunc('{u}', ts)::TIMESTAMP" for u in ("minute", "hour", "day")},
+)
+simple(
+    "tz_convert",
+    lambda s, d: tables.ticks(s, d).withColumn("et", calendar.to_exchange(F.col("ts"))),
+    ["seq", "ts", "et"],
+    ["ticks"],
+    "ticks",
+    exprs={"et": "timezone('America/New_York', timezone('UTC', ts))"},
+)
+simple(
+    "minutes_since_open",
+    lambda s, d: tables.ticks(s, d).withColumn("m", calendar.minutes_since_open(F.col("ts"))),
+    ["seq", "m"],
+    ["ticks"],
+    "ticks",
+    exprs={"m": f"CAST({sql.MINUTE} - 570 AS INTEGER)"},
+)
 for cadence in ("hour", "day", "week", "month", "quarter", "year"):
-    simple(f"window_end_{cadence}", lambda s, d, c=cadence: tables.ticks(s, d).withColumn("win_end", calendar.window_end(F.col("ts"), c)), ["seq", "win_end"], ["ticks"], "ticks", exprs={"win_end": sql.window_end("ts", cadence)})
-simple("date_spine", lambda s, d: calendar.date_spine(tables.trades(s, d)), ["ticker", "day_id"], ["trades"], "(SELECT ticker, CAST(unnest(generate_series(CAST(min(ts) AS DATE)::TIMESTAMP, CAST(max(ts) AS DATE)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS day_id FROM trades GROUP BY ticker)")
-simple("trades_by_day", lambda s, d: tables.ticks(s, d).where("ts >= timestamp_ntz'2024-01-05 00:00:00' and ts < timestamp_ntz'2024-01-08 00:00:00'").groupBy("ticker", F.to_date("ts").alias("day_id")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")), ["ticker", "day_id", "n", "size"], ["ticks"], "(SELECT ticker, CAST(ts AS DATE) AS day_id, count(*)::BIGINT AS n, sum(size) AS size FROM ticks WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08' GROUP BY 1, 2)", ["size"])
+    simple(
+        f"window_end_{cadence}",
+        lambda s, d, c=cadence: tables.ticks(s, d).withColumn("win_end", calendar.window_end(F.col("ts"), c)),
+        ["seq", "win_end"],
+        ["ticks"],
+        "ticks",
+        exprs={"win_end": sql.window_end("ts", cadence)},
+    )
+simple(
+    "date_spine",
+    lambda s, d: calendar.date_spine(tables.trades(s, d)),
+    ["ticker", "day_id"],
+    ["trades"],
+    (
+        "(SELECT ticker, CAST(unnest(generate_series(CAST(min(ts) AS DATE)::TIMESTAMP, CAST(max(ts) AS DATE)::TIMESTAMP, INTERVAL "
+        "1 DAY)) AS DATE) AS day_id FROM trades GROUP BY ticker)"
+    ),
+)
+simple(
+    "trades_by_day",
+    lambda s, d: tables.ticks(s, d).where("ts >= timestamp_ntz'2024-01-05 00:00:00' and ts < timestamp_ntz'2024-01-08 00:00:00'").groupBy("ticker", F.to_date("ts").alias("day_id")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")),
+    ["ticker", "day_id", "n", "size"],
+    ["ticks"],
+    (
+        "(SELECT ticker, CAST(ts AS DATE) AS day_id, count(*)::BIGINT AS n, sum(size) AS size FROM ticks WHERE ts >= TIMESTAMP '2024-01-05' "
+        "AND ts < TIMESTAMP '2024-01-08' GROUP BY 1, 2)"
+    ),
+    ["size"],
+)
 
 # ---- indicators on hour bars
 I = {  # noqa: E741
@@ -63,34 +133,139 @@ for name, (build, columns, uses, exprs) in I.items():
     simple(name, lambda s, d, b=build: b(hour_bars(s, d)), [*KEY, *columns], uses, uses[-1], columns, exprs=exprs)
 _lo, _hi = sql.rolling("min", "low", 14, 14), sql.rolling("max", "high", 14, 14)
 _stoch = f"(SELECT *, 100 * (close - lo) / nullif(hi - lo, 0) AS stoch_k_14 FROM (SELECT *, {_lo} AS lo, {_hi} AS hi FROM hour_bars))"
-simple("stochastic", lambda s, d: indicators.stochastic(hour_bars(s, d)), [*KEY, "stoch_k_14", "stoch_d_14"], ["hour_bars"], _stoch, ["stoch_k_14", "stoch_d_14"], exprs={"stoch_d_14": sql.rolling("avg", "stoch_k_14", 3, 1)})
+simple(
+    "stochastic",
+    lambda s, d: indicators.stochastic(hour_bars(s, d)),
+    [*KEY, "stoch_k_14", "stoch_d_14"],
+    ["hour_bars"],
+    _stoch,
+    ["stoch_k_14", "stoch_d_14"],
+    exprs={"stoch_d_14": sql.rolling("avg", "stoch_k_14", 3, 1)},
+)
 
 # ---- grid, alignment, fills
 _inside = lambda s, d: calendar.rth(hour_bars(s, d))
-simple("grid_minute", lambda s, d: calendar.minute_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["days"], "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m))")
+simple(
+    "grid_minute",
+    lambda s, d: calendar.minute_grid(_inside(s, d)),
+    ["ticker", "day_id", "ts"],
+    ["days"],
+    "(SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m))",
+)
 simple("grid_hour_adaptive", lambda s, d: calendar.hour_grid(_inside(s, d)), ["ticker", "day_id", "ts"], ["grid"], "grid")
-simple("align_left", lambda s, d: merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)), [*KEY, "day_id", "close"], ["aligned"], "aligned", ["close"])
-simple("align_outer", lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d)).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")), ["ticker", "on_grid", "bars", "n"], ["grid", "hour_bars"], "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid g FULL OUTER JOIN hour_bars b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)")
+simple(
+    "align_left",
+    lambda s, d: merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)),
+    [*KEY, "day_id", "close"],
+    ["aligned"],
+    "aligned",
+    ["close"],
+)
+simple(
+    "align_outer",
+    lambda s, d: merge.align_outer(calendar.hour_grid(_inside(s, d)), hour_bars(s, d)).groupBy("ticker").agg(F.count("day_id").alias("on_grid"), F.count("close").alias("bars"), F.count(F.lit(1)).alias("n")),
+    ["ticker", "on_grid", "bars", "n"],
+    ["grid", "hour_bars"],
+    (
+        "(SELECT coalesce(g.ticker, b.ticker) AS ticker, count(g.day_id) AS on_grid, count(b.close) AS bars, count(*) AS n FROM grid "
+        "g FULL OUTER JOIN hour_bars b ON g.ticker = b.ticker AND g.ts = b.ts GROUP BY 1)"
+    ),
+)
 _aligned = lambda s, d: merge.gap_flag(merge.align(calendar.hour_grid(_inside(s, d)), _inside(s, d)))
 simple("gap_flag", _aligned, [*KEY, "is_gap"], ["aligned"], "aligned")
-register("gap_runs", sql.query(["aligned"], sql.longest("aligned", "ticker, day_id", "CASE WHEN is_gap = 1 THEN 1 END", "max_gap")))(lambda s, d: longest_runs(_aligned(s, d), ["ticker", "day_id"], F.when(F.col("is_gap") == 1, 1), "max_gap"))
-simple("fill_two_sided", lambda s, d: merge.fill(_aligned(s, d), 1), [*KEY, "close", "vwap"], ["aligned"], "aligned", ["close", "vwap"], exprs={c: sql.two_sided(c, 1) for c in ("close", "vwap")})
-simple("fill_ff_bf", lambda s, d: merge.fill_forward_backward(_aligned(s, d), "close", 1, "c"), [*KEY, "c"], ["aligned"], f"(SELECT *, {sql.ffill('close', 1)} AS f FROM aligned)", ["c"], exprs={"c": sql.bfill("f", 1)})
-simple("dedup_keep_last", lambda s, d: merge.keep_last(tables.ticks(s, d).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz")), KEY, "seq"), [*KEY, "seq", "price"], ["ticks"], "(SELECT ticker, date_trunc('hour', ts)::TIMESTAMP AS ts, arg_max(price, seq) AS price, max(seq) AS seq FROM ticks GROUP BY 1, 2)", ["price"])
+register("gap_runs", sql.query(["aligned"], sql.longest("aligned", "ticker, day_id", "CASE WHEN is_gap = 1 THEN 1 END", "max_gap")))(
+    lambda s, d: longest_runs(_aligned(s, d), ["ticker", "day_id"], F.when(F.col("is_gap") == 1, 1), "max_gap"),
+)
+simple(
+    "fill_two_sided",
+    lambda s, d: merge.fill(_aligned(s, d), 1),
+    [*KEY, "close", "vwap"],
+    ["aligned"],
+    "aligned",
+    ["close", "vwap"],
+    exprs={c: sql.two_sided(c, 1) for c in ("close", "vwap")},
+)
+simple(
+    "fill_ff_bf",
+    lambda s, d: merge.fill_forward_backward(_aligned(s, d), "close", 1, "c"),
+    [*KEY, "c"],
+    ["aligned"],
+    f"(SELECT *, {sql.ffill('close', 1)} AS f FROM aligned)",
+    ["c"],
+    exprs={"c": sql.bfill("f", 1)},
+)
+simple(
+    "dedup_keep_last",
+    lambda s, d: merge.keep_last(tables.ticks(s, d).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz")), KEY, "seq"),
+    [*KEY, "seq", "price"],
+    ["ticks"],
+    "(SELECT ticker, date_trunc('hour', ts)::TIMESTAMP AS ts, arg_max(price, seq) AS price, max(seq) AS seq FROM ticks GROUP BY 1, 2)",
+    ["price"],
+)
 
 # ---- the merged grid
 M = ["spread_vwap", "r_close", "ATR_14_day_mean", "spread_vwap_norm", "volume_z_by_tod"]
-simple("merged_hour", merged, [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *M], ["merged"], "merged", [*PRICES, *M])
-simple("log_return", lambda s, d: merge.log_return(merge.fill(_aligned(s, d))), [*KEY, "r"], ["filled"], "filled", ["r"], exprs={"r": f"CASE WHEN row_number() OVER ({sql.D}) = 1 THEN 0 ELSE CASE WHEN close > 0 THEN ln(close) END - lag(CASE WHEN close > 0 THEN ln(close) END) OVER ({sql.D}) END"})
+simple(
+    "merged_hour",
+    merged,
+    [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *M],
+    ["merged"],
+    "merged",
+    [*PRICES, *M],
+)
+simple(
+    "log_return",
+    lambda s, d: merge.log_return(merge.fill(_aligned(s, d))),
+    [*KEY, "r"],
+    ["filled"],
+    "filled",
+    ["r"],
+    exprs={"r": f"CASE WHEN row_number() OVER ({sql.D}) = 1 THEN 0 ELSE CASE WHEN close > 0 THEN ln(close) END - lag(CASE WHEN close > 0 THEN ln(close) END) OVER ({sql.D}) END"},
+)
 simple("rclose_repair", minute_grid, [*KEY, "r_close", "rclose_limit_used"], ["m_chosen"], "m_chosen", ["r_close"])
-qc_sql = "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, count(*)::BIGINT AS N FROM m_chosen GROUP BY 1, 2)"
-simple("rclose_qc", lambda s, d: merge.return_quality(minute_grid(s, d)), ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"], ["m_chosen"], qc_sql, ["rclose_valid_ratio"])
-simple("qc_summary", lambda s, d: merge.quality_summary(merge.return_quality(minute_grid(s, d))), ["ticker", "median_valid", "min_valid", "days_below"], ["m_chosen"], f"(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio < 0.7)::BIGINT AS days_below FROM {qc_sql} GROUP BY 1)", ["median_valid", "min_valid"])
+qc_sql = (
+    "(SELECT ticker, day_id, count(r_close)::DOUBLE / count(*) AS rclose_valid_ratio, max(rclose_limit_used) AS rclose_limit_used, "
+    "count(*)::BIGINT AS N FROM m_chosen GROUP BY 1, 2)"
+)
+simple(
+    "rclose_qc",
+    lambda s, d: merge.return_quality(minute_grid(s, d)),
+    ["ticker", "day_id", "rclose_valid_ratio", "rclose_limit_used", "N"],
+    ["m_chosen"],
+    qc_sql,
+    ["rclose_valid_ratio"],
+)
+simple(
+    "qc_summary",
+    lambda s, d: merge.quality_summary(merge.return_quality(minute_grid(s, d))),
+    ["ticker", "median_valid", "min_valid", "days_below"],
+    ["m_chosen"],
+    (
+        "(SELECT ticker, median(rclose_valid_ratio) AS median_valid, min(rclose_valid_ratio) AS min_valid, count(*) FILTER (rclose_valid_ratio "
+        f"< 0.7)::BIGINT AS days_below FROM {qc_sql} GROUP BY 1)"
+    ),
+    ["median_valid", "min_valid"],
+)
 for name, column in (("bar_index", "bar_index_since_open"), ("volume_z", "volume_z_by_tod"), ("atr_day_mean", "ATR_14_day_mean"), ("spread_norm", "spread_vwap_norm")):
     simple(name, merged, [*KEY, column], ["merged"], "merged", [column] if column != "bar_index_since_open" else [])
 
 # ---- daily features and reducers
-A = ["AGG_gap_ratio", "valid_ratio_day", "ret_oc", "rv", "reversal_score", "mabs_svn", "eod_svn", "hi2_frac", "ret_open15", "ret_last10", "vol_last10_frac", "open15_valid_ratio", "last10_valid_ratio", "reversal_valid_ratio"]
+A = [
+    "AGG_gap_ratio",
+    "valid_ratio_day",
+    "ret_oc",
+    "rv",
+    "reversal_score",
+    "mabs_svn",
+    "eod_svn",
+    "hi2_frac",
+    "ret_open15",
+    "ret_last10",
+    "vol_last10_frac",
+    "open15_valid_ratio",
+    "last10_valid_ratio",
+    "reversal_valid_ratio",
+]
 
 
 def _gate(low: int, high: int) -> tuple[str, str]:
@@ -113,30 +288,69 @@ def daily_sql(source: str = "cumulated", key: str = "day_id") -> str:
     )
     gaps = sql.longest(source, f"ticker, {key}", "CASE WHEN is_gap = 1 THEN 1 END", "AGG_max_consecutive_gap")
     runs = sql.longest(source, f"ticker, {key}", "CASE WHEN r_close <> 0 THEN sign(r_close) END", "run")
-    return f"SELECT a.*, AGG_max_consecutive_gap, CASE WHEN valid_bars >= 5 THEN run END AS trend_persistence FROM ({flat}) a JOIN ({gaps}) b ON a.ticker = b.ticker AND a.{key} = b.{key} JOIN ({runs}) c ON a.ticker = c.ticker AND a.{key} = c.{key}"
+    return (
+        f"SELECT a.*, AGG_max_consecutive_gap, CASE WHEN valid_bars >= 5 THEN run END AS trend_persistence FROM ({flat}) a JOIN ({gaps}) "
+        f"b ON a.ticker = b.ticker AND a.{key} = b.{key} JOIN ({runs}) c ON a.ticker = c.ticker AND a.{key} = c.{key}"
+    )
 
 
-register("agg_daily", sql.query(["cumulated"], daily_sql(), A))(lambda s, d: rounded(features.daily(merged(s, d)).select("ticker", "day_id", "AGG_N", "valid_bars", *A, "AGG_max_consecutive_gap", "trend_persistence")))
+register("agg_daily", sql.query(["cumulated"], daily_sql(), A))(
+    lambda s, d: rounded(features.daily(merged(s, d)).select("ticker", "day_id", "AGG_N", "valid_bars", *A, "AGG_max_consecutive_gap", "trend_persistence")),
+)
 for name, columns in {"ret_open15": ["ret_open15", "open15_valid_ratio"], "ret_last10": ["ret_last10", "last10_valid_ratio"], "reversal_score": ["reversal_score", "reversal_valid_ratio"], "trend_persistence": ["trend_persistence"], "vol_frac": ["vol_last10_frac", "hi2_frac"], "svn": ["mabs_svn", "eod_svn"]}.items():
-    simple(name, lambda s, d: features.daily(minute_grid(s, d)), ["ticker", "day_id", *columns], ["m_cumulated"], f"({daily_sql('m_cumulated')})", [c for c in columns if c != "trend_persistence"])
+    simple(
+        name,
+        lambda s, d: features.daily(minute_grid(s, d)),
+        ["ticker", "day_id", *columns],
+        ["m_cumulated"],
+        f"({daily_sql('m_cumulated')})",
+        [c for c in columns if c != "trend_persistence"],
+    )
 
 
-_returns = "CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r"
+_returns = (
+    "CASE WHEN row_number() OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) "
+    "OVER (PARTITION BY ticker, CAST(ts AS DATE) ORDER BY ts) END AS r"
+)
 
 
-@register("agg_hour", sql.query(["minute_bars"], f"SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv FROM (SELECT *, {_returns} FROM minute_bars WHERE {sql.MINUTE} BETWEEN 570 AND 959) GROUP BY 1, 2", ["ret", "rv"]))
+@register(
+    "agg_hour",
+    sql.query(
+        ["minute_bars"],
+        (
+            "SELECT ticker, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end, count(*)::BIGINT AS n, sum(r) AS ret, sum(r * r) AS rv "
+            f"FROM (SELECT *, {_returns} FROM minute_bars WHERE {sql.MINUTE} BETWEEN 570 AND 959) GROUP BY 1, 2"
+        ),
+        ["ret", "rv"],
+    ),
+)
 def agg_hour(spark: SparkSession, d: str) -> DataFrame:
     """Hour windows of the minute bars of the whole regular session, by their end."""
     bars = calendar.rth(build_bars(tables.ticks(spark, d), "minute")).withColumn("day_id", F.to_date("ts"))
     r = merge.log_return(bars)
-    return rounded(r.groupBy("ticker", calendar.window_end(F.col("ts"), "hour").alias("win_end")).agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("ret"), F.sum(F.col("r") * F.col("r")).alias("rv")))
+    return rounded(
+        r.groupBy("ticker", calendar.window_end(F.col("ts"), "hour").alias("win_end")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("r").alias("ret"),
+            F.sum(F.col("r") * F.col("r")).alias("rv"),
+        ),
+    )
 
 
 def day_rows(spark: SparkSession, d: str) -> DataFrame:
     """A daily feature table over seven years, with a gap in ``volume`` now and then."""
     b = build_bars(tables.trades(spark, d), "day")
     move = F.ln(F.col("close") / F.col("open"))
-    return b.select("ticker", F.to_date("ts").alias("day_id"), move.alias("ret_oc"), (move * move).alias("rv"), ratio(F.col("high") - F.col("low"), F.col("vwap")).alias("range_share"), F.when(F.col("transactions") % 5 != 0, F.col("volume")).alias("volume"), F.col("transactions").alias("valid_bars"))
+    return b.select(
+        "ticker",
+        F.to_date("ts").alias("day_id"),
+        move.alias("ret_oc"),
+        (move * move).alias("rv"),
+        ratio(F.col("high") - F.col("low"), F.col("vwap")).alias("range_share"),
+        F.when(F.col("transactions") % 5 != 0, F.col("volume")).alias("volume"),
+        F.col("transactions").alias("valid_bars"),
+    )
 
 
 R = ["ret_oc", "rv", "range_share", "volume"]
@@ -145,12 +359,18 @@ R = ["ret_oc", "rv", "range_share", "volume"]
 def _reduce_sql(cadence: str, reducer: str) -> str:
     one = {"median": "median({c})", "mean": "avg({c})", "weighted_mean": "sum({c} * valid_bars::DOUBLE) / nullif(sum(valid_bars::DOUBLE) FILTER ({c} IS NOT NULL), 0)"}[reducer]
     end = sql.window_end("(day_id::TIMESTAMP + INTERVAL 1 MICROSECOND)", cadence)
-    return f"SELECT ticker, '{cadence}' AS window_cadence, {end} AS win_end, min(day_id)::TIMESTAMP AS win_start, count(*)::BIGINT AS days, count(*)::BIGINT AS expected_bars, sum(valid_bars)::BIGINT AS valid_bars, sum(valid_bars)::DOUBLE / count(*) AS cover_ratio, {', '.join(f'{one.format(c=c)} AS {c}' for c in R)} FROM day_rows GROUP BY 1, 2, 3"
+    return (
+        f"SELECT ticker, '{cadence}' AS window_cadence, {end} AS win_end, min(day_id)::TIMESTAMP AS win_start, count(*)::BIGINT AS "
+        "days, count(*)::BIGINT AS expected_bars, sum(valid_bars)::BIGINT AS valid_bars, sum(valid_bars)::DOUBLE / count(*) AS cover_ratio, "
+        f"{', '.join(f'{one.format(c=c)} AS {c}' for c in R)} FROM day_rows GROUP BY 1, 2, 3"
+    )
 
 
 for cadence in ("day", "week", "month", "quarter", "year"):
     for reducer in ("median", "mean", "weighted_mean"):
-        register(f"agg_{cadence}_{reducer}", sql.query(["day_rows"], _reduce_sql(cadence, reducer), ["cover_ratio", *R]))(lambda s, d, c=cadence, r=reducer: rounded(features.reduce_windows(day_rows(s, d), c, r)))
+        register(f"agg_{cadence}_{reducer}", sql.query(["day_rows"], _reduce_sql(cadence, reducer), ["cover_ratio", *R]))(
+            lambda s, d, c=cadence, r=reducer: rounded(features.reduce_windows(day_rows(s, d), c, r)),
+        )
 
 # ---- spectra
 register("fft_qc", sql.query(["m_merged"], spectra.quality("m_merged", "r_close", "day", 390, 0.10, 30, 0.75, 4), ["gap_ratio"]))(
@@ -162,20 +382,46 @@ def _dft_sql() -> str:
     n = "FROM (SELECT ticker, win_end, r_close AS x, (row_number() OVER (PARTITION BY ticker, win_end ORDER BY ts) - 1)::DOUBLE AS i, count(*) OVER (PARTITION BY ticker, win_end) AS n, avg(r_close) OVER (PARTITION BY ticker, win_end) AS m FROM " + f"(SELECT *, {sql.window_end('ts', 'week')} AS win_end FROM merged) WHERE r_close IS NOT NULL)"
     taper = "(0.5::DOUBLE - 0.5::DOUBLE * cos(2 * pi() * i / n))"
     rows = f"SELECT ticker, win_end, n, i, {taper} * (x - m) AS y, {taper} * {taper} AS w2, unnest(range(1, n // 2 + 1)) AS k {n} WHERE n >= 4"
-    bins = f"SELECT ticker, win_end, n, k, sum(y * cos(2 * pi() * k * i / n)) AS re, sum(y * sin(2 * pi() * k * i / n)) AS im, sum(w2) AS w2 FROM ({rows}) GROUP BY 1, 2, 3, 4"
+    bins = (
+        "SELECT ticker, win_end, n, k, sum(y * cos(2 * pi() * k * i / n)) AS re, sum(y * sin(2 * pi() * k * i / n)) AS im, sum(w2) "
+        f"AS w2 FROM ({rows}) GROUP BY 1, 2, 3, 4"
+    )
     power = f"SELECT ticker, win_end, n, k::DOUBLE / n AS f, CASE WHEN 2 * k = n THEN 1 ELSE 2 END * (re * re + im * im) / w2 AS p FROM ({bins})"
-    pieces = f"SELECT *, lag(f) OVER (PARTITION BY ticker, win_end ORDER BY f) AS pf, (f - lag(f) OVER (PARTITION BY ticker, win_end ORDER BY f)) * (p + lag(p) OVER (PARTITION BY ticker, win_end ORDER BY f)) / 2 AS a FROM ({power})"
+    pieces = (
+        "SELECT *, lag(f) OVER (PARTITION BY ticker, win_end ORDER BY f) AS pf, (f - lag(f) OVER (PARTITION BY ticker, win_end ORDER "
+        f"BY f)) * (p + lag(p) OVER (PARTITION BY ticker, win_end ORDER BY f)) / 2 AS a FROM ({power})"
+    )
     edges = {"lo": ("1e-12::DOUBLE", "1.0::DOUBLE / 60"), "mid": ("1.0::DOUBLE / 60", "1.0::DOUBLE / 15"), "hi": ("1.0::DOUBLE / 15", "0.5::DOUBLE")}
-    sums = f"SELECT ticker, win_end, n::BIGINT AS FFT_N, coalesce(sum(a), 0) AS power_total, {', '.join(f'coalesce(sum(a) FILTER (pf >= {x} AND f <= {y}), 0) AS power_{b}' for b, (x, y) in edges.items())}, first(f ORDER BY round(p, 9) DESC, f) AS dom_freq_cpb, sum(f * p) / nullif(sum(p), 0) AS centroid_freq_cpb FROM ({pieces}) GROUP BY 1, 2, 3"
-    return f"SELECT *, 1 / nullif(dom_freq_cpb, 0) AS dom_period_bars, {', '.join(f'coalesce(power_{b} / nullif(power_total, 0), 0) AS pct_{b}' for b in edges)} FROM ({sums})"
+    sums = (
+        f"SELECT ticker, win_end, n::BIGINT AS FFT_N, coalesce(sum(a), 0) AS power_total, {', '.join(f'coalesce(sum(a) FILTER (pf >= {x} AND f <= {y}), 0) AS power_{b}' for b, (x, y) in edges.items())}, "
+        f"first(f ORDER BY round(p, 9) DESC, f) AS dom_freq_cpb, sum(f * p) / nullif(sum(p), 0) AS centroid_freq_cpb FROM ({pieces}) "
+        "GROUP BY 1, 2, 3"
+    )
+    return (
+        f"SELECT *, 1 / nullif(dom_freq_cpb, 0) AS dom_period_bars, {', '.join(f'coalesce(power_{b} / nullif(power_total, 0), 0) AS pct_{b}' for b in edges)} "
+        f"FROM ({sums})"
+    )
 
 
 _dft_columns = ["power_total", "power_lo", "power_mid", "power_hi", "dom_freq_cpb", "centroid_freq_cpb", "dom_period_bars", "pct_lo", "pct_mid", "pct_hi"]
-register("fft_dft_single", sql.query(["merged"], _dft_sql(), _dft_columns))(lambda s, d: rounded(spectral.dft_single(merged(s, d), "r_close", "week")))
+register("fft_dft_single", sql.query(["merged"], _dft_sql(), _dft_columns))(
+    lambda s, d: rounded(spectral.dft_single(merged(s, d), "r_close", "week")),
+)
 spectra.register_all(merged)
 
 
-@register("temporal_compactness", sql.query(["hour_bars"], "SELECT ticker, 1 - 2 * avg(cum) AS compactness FROM (SELECT ticker, sum(volume / total) OVER (PARTITION BY ticker ORDER BY volume, ts ROWS UNBOUNDED PRECEDING) AS cum FROM (SELECT *, sum(volume) OVER (PARTITION BY ticker) AS total FROM hour_bars)) GROUP BY 1", ["compactness"]))
+@register(
+    "temporal_compactness",
+    sql.query(
+        ["hour_bars"],
+        (
+            "SELECT ticker, 1 - 2 * avg(cum) AS compactness FROM (SELECT ticker, sum(volume / total) OVER (PARTITION BY ticker ORDER BY "
+            "volume, ts ROWS UNBOUNDED PRECEDING) AS cum FROM (SELECT *, sum(volume) OVER (PARTITION BY ticker) AS total FROM hour_bars)) "
+            "GROUP BY 1"
+        ),
+        ["compactness"],
+    ),
+)
 def temporal_compactness(spark: SparkSession, d: str) -> DataFrame:
     """One less twice the mean of the cumulated sorted shares of volume."""
     b = hour_bars(spark, d)
@@ -185,37 +431,101 @@ def temporal_compactness(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---- snapshots, closes, universes
-simple("prev_close", lambda s, d: build_bars(tables.trades(s, d), "day").groupBy("ticker").agg(F.max("ts").alias("ts"), F.max_by("close", "ts").alias("close")), [*KEY, "close"], ["day_bars"], "(SELECT ticker, max(ts) AS ts, arg_max(close, ts) AS close FROM day_bars GROUP BY 1)", ["close"])
-simple("daily_open_close", lambda s, d: build_bars(tables.ticks(s, d), "day").where("ts = timestamp_ntz'2024-01-10 00:00:00'"), [*KEY, "open", "close"], ["ticks"], f"({sql.bars('ticks', 'day')})", ["open", "close"], "WHERE ts = TIMESTAMP '2024-01-10'")
-register("snapshot_latest", "SELECT o_custkey AS key, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1")(lambda s, d: tables.table(s, d, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"), F.max("o_orderdate").alias("o_orderdate")))
-register("ticker_details", "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")(lambda s, d: tables.table(s, d, "supplier").join(tables.table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(tables.table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name", "n_name", "r_name"))
+simple(
+    "prev_close",
+    lambda s, d: build_bars(tables.trades(s, d), "day").groupBy("ticker").agg(F.max("ts").alias("ts"), F.max_by("close", "ts").alias("close")),
+    [*KEY, "close"],
+    ["day_bars"],
+    "(SELECT ticker, max(ts) AS ts, arg_max(close, ts) AS close FROM day_bars GROUP BY 1)",
+    ["close"],
+)
+simple(
+    "daily_open_close",
+    lambda s, d: build_bars(tables.ticks(s, d), "day").where("ts = timestamp_ntz'2024-01-10 00:00:00'"),
+    [*KEY, "open", "close"],
+    ["ticks"],
+    f"({sql.bars('ticks', 'day')})",
+    ["open", "close"],
+    "WHERE ts = TIMESTAMP '2024-01-10'",
+)
+register(
+    "snapshot_latest",
+    "SELECT o_custkey AS key, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1",
+)(
+    lambda s, d: tables.table(s, d, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"), F.max("o_orderdate").alias("o_orderdate")),
+)
+register(
+    "ticker_details",
+    (
+        "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+        "JOIN region ON n_regionkey = r_regionkey"
+    ),
+)(
+    lambda s, d: tables.table(s, d, "supplier").join(tables.table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(tables.table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name", "n_name", "r_name"),
+)
 _docs = lambda s, d: tables.table(s, d, "documents").select(F.col("source").alias("ticker"))
-register("ticker_union", "SELECT event_type AS ticker FROM events UNION SELECT l_returnflag FROM lineitem UNION SELECT source FROM documents")(lambda s, d: documents.universe(tables.ticks(s, d), tables.trades(s, d), _docs(s, d)))
-register("ticker_intersection", "SELECT source AS ticker FROM documents WHERE lang = 'en' INTERSECT SELECT source FROM documents WHERE lang = 'de'")(lambda s, d: documents.common(*(tables.table(s, d, "documents").where(F.col("lang") == x).select(F.col("source").alias("ticker")) for x in ("en", "de"))))
+register("ticker_union", "SELECT event_type AS ticker FROM events UNION SELECT l_returnflag FROM lineitem UNION SELECT source FROM documents")(
+    lambda s, d: documents.universe(tables.ticks(s, d), tables.trades(s, d), _docs(s, d)),
+)
+register("ticker_intersection", "SELECT source AS ticker FROM documents WHERE lang = 'en' INTERSECT SELECT source FROM documents WHERE lang = 'de'")(
+    lambda s, d: documents.common(*(tables.table(s, d, "documents").where(F.col("lang") == x).select(F.col("source").alias("ticker")) for x in ("en", "de"))),
+)
 
 
 # ---- news and documents
 def news(spark: SparkSession, d: str) -> DataFrame:
     at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("doc_id").cast("int"))
-    return tables.table(spark, d, "documents").select(F.col("source").alias("ticker"), at.alias("ts"), F.col("doc_id").cast("bigint").alias("doc_id"), F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"), "text")
+    return tables.table(spark, d, "documents").select(
+        F.col("source").alias("ticker"),
+        at.alias("ts"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.concat(F.lit("doc:"), F.col("doc_id")).alias("url"),
+        "text",
+    )
 
 
-@register("news_per_day", sql.query(["news"], "SELECT ticker, CAST(ts AS DATE) AS date, count(*)::BIGINT AS n, string_agg('doc:' || doc_id, ',' ORDER BY ts, doc_id) AS urls, sum(length(text))::BIGINT AS chars, min(strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-05:00') AS first_et FROM news GROUP BY 1, 2"))
+@register(
+    "news_per_day",
+    sql.query(
+        ["news"],
+        (
+            "SELECT ticker, CAST(ts AS DATE) AS date, count(*)::BIGINT AS n, string_agg('doc:' || doc_id, ',' ORDER BY ts, doc_id) AS "
+            "urls, sum(length(text))::BIGINT AS chars, min(strftime(ts, '%Y-%m-%dT%H:%M:%S') || '-05:00') AS first_et FROM news GROUP "
+            "BY 1, 2"
+        ),
+    ),
+)
 def news_query(spark: SparkSession, d: str) -> DataFrame:
     rows = documents.news_per_day(news(spark, d))
-    return rows.select("ticker", "date", F.size("news").cast("bigint").alias("n"), F.array_join(F.transform("news", lambda x: x["url"]), ",").alias("urls"), F.aggregate("news", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x["text"])).alias("chars"), F.get("news", F.lit(0))["timestamp_et"].alias("first_et"))
+    return rows.select(
+        "ticker",
+        "date",
+        F.size("news").cast("bigint").alias("n"),
+        F.array_join(F.transform("news", lambda x: x["url"]), ",").alias("urls"),
+        F.aggregate("news", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x["text"])).alias("chars"),
+        F.get("news", F.lit(0))["timestamp_et"].alias("first_et"),
+    )
 
 
 def _long(spark: SparkSession, d: str) -> DataFrame:
     m = merged(spark, d)
     end = m.withColumn("end_ts", F.col("ts") + F.expr("interval 1 hour"))
     inter = documents.long_features(end, "inter", ["close", "r_close", "volume"], 2)
-    agg = documents.long_features(end.select("ticker", "end_ts", F.col("r_close").alias("ret_oc"), (F.col("r_close") * F.col("r_close")).alias("rv")), "agg", ["ret_oc", "rv", "absent"], 1)
+    agg = documents.long_features(
+        end.select("ticker", "end_ts", F.col("r_close").alias("ret_oc"), (F.col("r_close") * F.col("r_close")).alias("rv")),
+        "agg",
+        ["ret_oc", "rv", "absent"],
+        1,
+    )
     clash = documents.long_features(end.select("ticker", "end_ts", (F.col("close") + 1).alias("close")), "inter", ["close"], 3)
     return inter.unionByName(agg).unionByName(clash)
 
 
-flat_sql = "SELECT ticker, CAST(ts + INTERVAL 1 HOUR AS DATE)::VARCHAR AS date, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour, unnest(['agg.ret_oc', 'agg.rv', 'inter.close', 'inter.r_close', 'inter.volume']) AS key, unnest([r_close, r_close * r_close, close + 1, r_close, volume]) AS value FROM merged"
+flat_sql = (
+    "SELECT ticker, CAST(ts + INTERVAL 1 HOUR AS DATE)::VARCHAR AS date, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour, unnest(['agg.ret_oc', "
+    "'agg.rv', 'inter.close', 'inter.r_close', 'inter.volume']) AS key, unnest([r_close, r_close * r_close, close + 1, r_close, "
+    "volume]) AS value FROM merged"
+)
 
 
 def _flatten(df: DataFrame) -> DataFrame:
@@ -223,15 +533,39 @@ def _flatten(df: DataFrame) -> DataFrame:
     return rounded(hours.select("ticker", "date", "hour", F.explode("m").alias("key", "value")))
 
 
-register("doc_per_hour_flat", sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL", ["value"]))(lambda s, d: _flatten(documents.per_hour(_long(s, d))))
-register("drop_features", sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL AND key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(lambda s, d: _flatten(documents.drop_empty(documents.drop_features(documents.per_hour(_long(s, d))))))
+register("doc_per_hour_flat", sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL", ["value"]))(
+    lambda s, d: _flatten(documents.per_hour(_long(s, d))),
+)
+register(
+    "drop_features",
+    sql.query(["merged"], f"SELECT * FROM ({flat_sql}) WHERE value IS NOT NULL AND key NOT IN ('inter.close', 'inter.r_close')", ["value"]),
+)(
+    lambda s, d: _flatten(documents.drop_empty(documents.drop_features(documents.per_hour(_long(s, d))))),
+)
 
 
-@register("doc_assemble", sql.query(["merged", "news"], f"SELECT f.ticker, f.date, hours, features, n FROM (SELECT ticker, date, count(DISTINCT hour)::BIGINT AS hours, count(*)::BIGINT AS features FROM ({flat_sql}) WHERE value IS NOT NULL GROUP BY 1, 2) f JOIN (SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2) w ON f.ticker = w.ticker AND f.date = w.date"))
+@register(
+    "doc_assemble",
+    sql.query(
+        ["merged", "news"],
+        (
+            "SELECT f.ticker, f.date, hours, features, n FROM (SELECT ticker, date, count(DISTINCT hour)::BIGINT AS hours, count(*)::BIGINT "
+            f"AS features FROM ({flat_sql}) WHERE value IS NOT NULL GROUP BY 1, 2) f JOIN (SELECT ['click', 'view', 'purchase', 'cart', "
+            "'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR "
+            "AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2) w ON f.ticker = w.ticker AND f.date = w.date"
+        ),
+    ),
+)
 def doc_assemble(spark: SparkSession, d: str) -> DataFrame:
     docs = assembled(spark, d)
     cells = F.aggregate(F.map_values("per_hour_data"), F.lit(0), lambda a, m: a + F.cardinality(m))
-    return docs.select("ticker", "date", F.cardinality("per_hour_data").cast("bigint").alias("hours"), cells.cast("bigint").alias("features"), F.size("news").cast("bigint").alias("n"))
+    return docs.select(
+        "ticker",
+        "date",
+        F.cardinality("per_hour_data").cast("bigint").alias("hours"),
+        cells.cast("bigint").alias("features"),
+        F.size("news").cast("bigint").alias("n"),
+    )
 
 
 def assembled(spark: SparkSession, d: str) -> DataFrame:
@@ -241,15 +575,41 @@ def assembled(spark: SparkSession, d: str) -> DataFrame:
     return documents.assemble(_long(spark, d), told)
 
 
-@register("auto_shift_align", sql.query(["hour_bars", "grid"], "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP BY 1, 2)) WHERE rn = 1"))
+@register(
+    "auto_shift_align",
+    sql.query(
+        ["hour_bars", "grid"],
+        (
+            "SELECT ticker, align, overlap, n FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY overlap DESC, h DESC) AS "
+            "rn FROM (SELECT b.ticker, h, CASE h WHEN 1 THEN 'treat_as_start' WHEN 0 THEN 'as_is' ELSE 'minus_1h' END AS align, count(g.ts)::BIGINT "
+            "AS overlap, count(*)::BIGINT AS n FROM (SELECT * FROM hour_bars, (SELECT unnest([1, 0, -1]) AS h) t) b LEFT JOIN (SELECT "
+            "ticker, ts + INTERVAL 1 HOUR AS ts FROM grid) g ON b.ticker = g.ticker AND b.ts + to_hours(CAST(h AS INTEGER)) = g.ts GROUP "
+            "BY 1, 2)) WHERE rn = 1"
+        ),
+    ),
+)
 def auto_shift_align(spark: SparkSession, d: str) -> DataFrame:
     """The shift of every hour bar, also of those outside the session."""
     marks = calendar.hour_grid(_inside(spark, d)).select("ticker", (F.col("ts") + F.expr("interval 1 hour")).alias("end_ts"))
     return documents.auto_shift(hour_bars(spark, d), marks).groupBy("ticker", "align", "overlap").agg(F.count(F.lit(1)).alias("n"))
 
 
-register("end_of_hour_key", sql.query(["hour_bars"], "SELECT ticker, ts + INTERVAL 1 HOUR AS end_ts, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour FROM hour_bars"))(lambda s, d: (lambda b: b.select("ticker", calendar.end_of_hour(b).alias("end_ts"), F.date_format(calendar.end_of_hour(b), "HH:mm").alias("hour")))(hour_bars(s, d).select("ticker", F.to_date("ts").alias("day_id"), F.date_format("ts", "HH:mm").alias("hour_label"))))
-register("dedup_best_of", "SELECT source, doc_id, n_chars FROM (SELECT source, CAST(doc_id AS BIGINT) AS doc_id, CAST(n_chars AS BIGINT) AS n_chars, row_number() OVER (PARTITION BY source, lang ORDER BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1")(lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id")).select("source", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars")))
+register(
+    "end_of_hour_key",
+    sql.query(["hour_bars"], "SELECT ticker, ts + INTERVAL 1 HOUR AS end_ts, strftime(ts + INTERVAL 1 HOUR, '%H:%M') AS hour FROM hour_bars"),
+)(
+    lambda s, d: (lambda b: b.select("ticker", calendar.end_of_hour(b).alias("end_ts"), F.date_format(calendar.end_of_hour(b), "HH:mm").alias("hour")))(hour_bars(s, d).select("ticker", F.to_date("ts").alias("day_id"), F.date_format("ts", "HH:mm").alias("hour_label"))),
+)
+register(
+    "dedup_best_of",
+    (
+        "SELECT source, doc_id, n_chars FROM (SELECT source, CAST(doc_id AS BIGINT) AS doc_id, CAST(n_chars AS BIGINT) AS n_chars, "
+        "row_number() OVER (PARTITION BY source, lang ORDER BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn "
+        "FROM documents) WHERE rn = 1"
+    ),
+)(
+    lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id")).select("source", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars")),
+)
 
 
 # ---- labels and prompts
@@ -264,20 +624,60 @@ def _numbered(spark: SparkSession, d: str) -> DataFrame:
     return items(spark, d).withColumn("idx", (F.row_number().over(W.partitionBy("file").orderBy("ts", "doc_id")) - 1).cast("bigint"))
 
 
-register("label_report", sql.query(["items"], "SELECT file, string_agg(idx::VARCHAR, ',' ORDER BY idx) FILTER (label = 0) AS places, count(*)::BIGINT AS num_news FROM items GROUP BY 1 HAVING count(*) FILTER (label = 0) > 0"))(lambda s, d: documents.label_report(_numbered(s, d)).select("file", F.array_join(F.col("non_meaningful").cast("array<string>"), ",").alias("places"), "num_news"))
+register(
+    "label_report",
+    sql.query(
+        ["items"],
+        (
+            "SELECT file, string_agg(idx::VARCHAR, ',' ORDER BY idx) FILTER (label = 0) AS places, count(*)::BIGINT AS num_news FROM items "
+            "GROUP BY 1 HAVING count(*) FILTER (label = 0) > 0"
+        ),
+    ),
+)(
+    lambda s, d: documents.label_report(_numbered(s, d)).select("file", F.array_join(F.col("non_meaningful").cast("array<string>"), ",").alias("places"), "num_news"),
+)
 
 
-@register("label_filter", sql.query(["items"], "SELECT file, string_agg(doc_id::VARCHAR, ',' ORDER BY idx) AS kept FROM items WHERE label = 1 GROUP BY 1"))
+@register(
+    "label_filter",
+    sql.query(["items"], "SELECT file, string_agg(doc_id::VARCHAR, ',' ORDER BY idx) AS kept FROM items WHERE label = 1 GROUP BY 1"),
+)
 def label_filter(spark: SparkSession, d: str) -> DataFrame:
     rows = _numbered(spark, d)
     docs = rows.groupBy("file").agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "doc_id"))), lambda x: x["doc_id"]).alias("news"))
-    return documents.keep_labelled(docs, rows.select("file", "idx", "label")).select("file", F.array_join(F.col("news").cast("array<string>"), ",").alias("kept"))
+    return documents.keep_labelled(docs, rows.select("file", "idx", "label")).select(
+        "file",
+        F.array_join(F.col("news").cast("array<string>"), ",").alias("kept"),
+    )
 
 
-register("label_parse", "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN substr(trim(text, ' '), 1, 1) = '1' THEN 1 ELSE 0 END AS label FROM documents")(lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), documents.parse_label(F.col("text")).alias("label")))
-register("prompt_build", "SELECT CAST(doc_id AS BIGINT) AS doc_id, md5('Is this news item meaningful? \"' || replace(trim(text, ' '), '\"', '\\\"') || '\" Answer 0 or 1:') AS prompt_md5 FROM documents")(lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(documents.classify_prompt(F.col("text"), 'Is this news item meaningful? "{text}" Answer 0 or 1:').cast("binary")).alias("prompt_md5")))
-register("safe_names", "SELECT CAST(page_id AS BIGINT) AS page_id, replace(replace(replace(replace(url, '/', '_'), '\\', '_'), '.', '_'), ' ', '') AS name FROM pages")(lambda s, d: tables.table(s, d, "pages").select(F.col("page_id").cast("bigint").alias("page_id"), tables.safe_name(F.col("url")).alias("name")))
-register("positive_log", "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, round(CASE WHEN l_quantity - 10 > 0 THEN ln(l_quantity - 10) END, 6) + 0.0 AS x FROM lineitem")(lambda s, d: rounded(tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), positive_log(F.col("l_quantity") - 10).alias("x"))))
+register(
+    "label_parse",
+    "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN substr(trim(text, ' '), 1, 1) = '1' THEN 1 ELSE 0 END AS label FROM documents",
+)(
+    lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), documents.parse_label(F.col("text")).alias("label")),
+)
+register(
+    "prompt_build",
+    (
+        "SELECT CAST(doc_id AS BIGINT) AS doc_id, md5('Is this news item meaningful? \"' || replace(trim(text, ' '), '\"', '\\\"') "
+        "|| '\" Answer 0 or 1:') AS prompt_md5 FROM documents"
+    ),
+)(
+    lambda s, d: tables.table(s, d, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(documents.classify_prompt(F.col("text"), 'Is this news item meaningful? "{text}" Answer 0 or 1:').cast("binary")).alias("prompt_md5")),
+)
+register(
+    "safe_names",
+    "SELECT CAST(page_id AS BIGINT) AS page_id, replace(replace(replace(replace(url, '/', '_'), '\\', '_'), '.', '_'), ' ', '') AS name FROM pages",
+)(
+    lambda s, d: tables.table(s, d, "pages").select(F.col("page_id").cast("bigint").alias("page_id"), tables.safe_name(F.col("url")).alias("name")),
+)
+register(
+    "positive_log",
+    "SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, round(CASE WHEN l_quantity - 10 > 0 THEN ln(l_quantity - 10) END, 6) + 0.0 AS x FROM lineitem",
+)(
+    lambda s, d: rounded(tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), positive_log(F.col("l_quantity") - 10).alias("x"))),
+)
 
 
 _made = [*A, "AGG_max_consecutive_gap", "trend_persistence"]

@@ -38,7 +38,9 @@ def news_lines(spark: SparkSession, d: str) -> DataFrame:
     url = F.concat(F.lit("doc:"), "doc_id")
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
     bare = F.translate("text", '"\n\r', "   ")
-    line = F.when(F.col("doc_id") % 3 == 0, F.concat_ws(",", F.lit("2024-01-02T03:04:05Z"), F.concat(F.lit('"'), url, F.lit('"')), quoted)).otherwise(F.concat_ws(",", F.lit(" 2024-01-02"), url, bare))
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat_ws(",", F.lit("2024-01-02T03:04:05Z"), F.concat(F.lit('"'), url, F.lit('"')), quoted)).otherwise(
+        F.concat_ws(",", F.lit(" 2024-01-02"), url, bare),
+    )
     head = docs.select("source", F.lit("timestamp,url,text").alias("line")).distinct()
     return head.unionByName(docs.select("source", line.alias("line")))
 
@@ -81,10 +83,34 @@ def register_all() -> None:
     # ---- scans
     simple("csv_bars", csv_bars, [*KEY, *OHLC, "transactions"], ["hour_bars"], "hour_bars", OHLC)
     said = "md5(CASE WHEN doc_id % 3 = 0 THEN trim(text, ' ') ELSE trim(translate(text, chr(34) || chr(10) || chr(13), '   '), ' ') END)"
-    register("csv_news", f"SELECT CASE WHEN doc_id % 3 = 0 THEN '2024-01-02T03:04:05Z' ELSE '2024-01-02' END AS timestamp, 'doc:' || doc_id AS url, {said} AS text_md5 FROM documents WHERE text IS NOT NULL")(csv_news)
+    register(
+        "csv_news",
+        (
+            "SELECT CASE WHEN doc_id % 3 = 0 THEN '2024-01-02T03:04:05Z' ELSE '2024-01-02' END AS timestamp, 'doc:' || doc_id AS url, "
+            f"{said} AS text_md5 FROM documents WHERE text IS NOT NULL"
+        ),
+    )(
+        csv_news,
+    )
     loose = lambda s, d: catalog.hour_bars(s, d).withColumnsRenamed({"open": "o", "vwap": "vw"})
-    simple("loose_fields", lambda s, d: (lambda b: b.select(*KEY, *[tables.first_present(b, *c).alias(c[0]) for c in (("open", "o"), ("close", "c"), ("vwap", "vw"), ("extra", "x"))]))(loose(s, d)), [*KEY, "open", "close", "vwap", "extra"], ["hour_bars"], "hour_bars", ["open", "close", "vwap"], exprs={"extra": "NULL::DOUBLE"})
-    simple("present_columns", lambda s, d: tables.require(tables.keep_present(tables.with_missing(catalog.hour_bars(s, d), ["atr_14", "close"]), [*KEY, "not_there", "close", "atr_14"]), ["atr_14"]), [*KEY, "close", "atr_14"], ["hour_bars"], "hour_bars", ["close"], exprs={"atr_14": "NULL::DOUBLE"})
+    simple(
+        "loose_fields",
+        lambda s, d: (lambda b: b.select(*KEY, *[tables.first_present(b, *c).alias(c[0]) for c in (("open", "o"), ("close", "c"), ("vwap", "vw"), ("extra", "x"))]))(loose(s, d)),
+        [*KEY, "open", "close", "vwap", "extra"],
+        ["hour_bars"],
+        "hour_bars",
+        ["open", "close", "vwap"],
+        exprs={"extra": "NULL::DOUBLE"},
+    )
+    simple(
+        "present_columns",
+        lambda s, d: tables.require(tables.keep_present(tables.with_missing(catalog.hour_bars(s, d), ["atr_14", "close"]), [*KEY, "not_there", "close", "atr_14"]), ["atr_14"]),
+        [*KEY, "close", "atr_14"],
+        ["hour_bars"],
+        "hour_bars",
+        ["close"],
+        exprs={"atr_14": "NULL::DOUBLE"},
+    )
     dirty = "CASE l_linenumber % 4 WHEN 0 THEN 'n/a' WHEN 1 THEN 'inf' WHEN 2 THEN '' ELSE CAST(l_quantity AS {}) END"
     register("number_or_null", f"SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, CASE WHEN isfinite(TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE)) THEN TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE) END AS x FROM lineitem")(
         lambda s, d: tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), "l_linenumber", number(F.expr(dirty.format("STRING"))).alias("x"))
@@ -108,7 +134,11 @@ def register_all() -> None:
     )
     prices = ["open", "close", "high", "low", "volume", "afterHours", "preMarket"]
     register("open_close_extended", sql.query(["ticks"], extended, prices))(lambda s, d: rounded(features.open_close(tables.ticks(s, d))))
-    paid = "SELECT o_totalprice AS cash_amount, 'USD' AS currency, CAST(o_orderdate AS DATE) AS ex_dividend_date, CASE WHEN o_orderkey % 2 = 0 THEN 'CD' ELSE 'SC' END AS dividend_type, 4 AS frequency, 'E' || o_orderkey AS id, 'T' || o_custkey % 20 AS ticker FROM orders"
+    paid = (
+        "SELECT o_totalprice AS cash_amount, 'USD' AS currency, CAST(o_orderdate AS DATE) AS ex_dividend_date, CASE WHEN o_orderkey "
+        "% 2 = 0 THEN 'CD' ELSE 'SC' END AS dividend_type, 4 AS frequency, 'E' || o_orderkey AS id, 'T' || o_custkey % 20 AS ticker "
+        "FROM orders"
+    )
     pick = ["cash_amount", "currency", "ex_dividend_date", "dividend_type", "frequency", "id", "ticker"]
     made = lambda s, d: tables.table(s, d, "orders").selectExpr("o_totalprice AS cash_amount", "'USD' AS currency", "CAST(o_orderdate AS DATE) AS ex_dividend_date", "IF(o_orderkey % 2 = 0, 'CD', 'SC') AS dividend_type", "4 AS frequency", "concat('E', o_orderkey) AS id", "concat('T', o_custkey % 20) AS ticker")
     every = [c.split()[0] for c in tables.DIVIDENDS.split(", ")]
@@ -138,7 +168,14 @@ def register_all() -> None:
     )
 
     # ---- sinks
-    simple("write_series", round_trip(lambda s, d, root: tables.write_series(catalog.hour_bars(s, d), root, "ticker"), lambda s, root: s.read.parquet(root)), [*KEY, "close"], ["hour_bars"], "hour_bars", ["close"])
+    simple(
+        "write_series",
+        round_trip(lambda s, d, root: tables.write_series(catalog.hour_bars(s, d), root, "ticker"), lambda s, root: s.read.parquet(root)),
+        [*KEY, "close"],
+        ["hour_bars"],
+        "hour_bars",
+        ["close"],
+    )
     days = spectra.reduced(catalog.daily_sql("m_cumulated"), "week", "median", ["rv"], 390)
     register("write_features", sql.query(["m_cumulated"], f"SELECT ticker, 'agg_minute' AS kind, 'week' AS cadence, win_end, days, rv FROM ({days})", ["rv"]))(
         round_trip(
@@ -149,13 +186,27 @@ def register_all() -> None:
     register("write_quality", sql.query(["m_chosen"], f"SELECT * FROM {catalog.qc_sql}", ["rclose_valid_ratio"]))(
         round_trip(lambda s, d, root: tables.write_quality(merge.return_quality(catalog.minute_grid(s, d)), root), lambda s, root: rounded(s.read.parquet(f"{root}/_qc")))
     )
-    best = "SELECT source, lang, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1"
+    best = (
+        "SELECT source, lang, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER "
+        "BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1"
+    )
     winners = lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id"))
-    register("write_winners", best)(round_trip(lambda s, d, root: tables.write_series(winners(s, d).select("source", "lang", F.col("doc_id").cast("bigint").alias("doc_id")), root, "source"), lambda s, root: s.read.parquet(root).select("source", "lang", "doc_id")))
+    register("write_winners", best)(
+        round_trip(
+            lambda s, d, root: tables.write_series(winners(s, d).select("source", "lang", F.col("doc_id").cast("bigint").alias("doc_id")), root, "source"),
+            lambda s, root: s.read.parquet(root).select("source", "lang", "doc_id"),
+        ),
+    )
 
     # ---- documents
-    told = "(SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2)"
-    flat = f"SELECT f.ticker, f.date, hour, key, value, n FROM ({catalog.flat_sql}) f JOIN {told} w ON f.ticker = w.ticker AND f.date = w.date WHERE value IS NOT NULL"
+    told = (
+        "(SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) "
+        "AS INTEGER) % 9] AS ticker, CAST(ts AS DATE)::VARCHAR AS date, count(*)::BIGINT AS n FROM news GROUP BY 1, 2)"
+    )
+    flat = (
+        f"SELECT f.ticker, f.date, hour, key, value, n FROM ({catalog.flat_sql}) f JOIN {told} w ON f.ticker = w.ticker AND f.date "
+        "= w.date WHERE value IS NOT NULL"
+    )
     cells = lambda df: rounded(df.select("ticker", "date", F.size("news").cast("bigint").alias("n"), F.explode("per_hour_data").alias("hour", "m")).select("ticker", "date", "n", "hour", F.explode("m").alias("key", "value")))
     register("doc_assemble_flat", sql.query(["merged", "news"], flat, ["value"]))(lambda s, d: cells(catalog.assembled(s, d)))
     register("write_documents", sql.query(["merged", "news"], flat, ["value"]))(
@@ -171,14 +222,28 @@ def register_all() -> None:
         where = F.regexp_extract("file", "folder=([^/]*)/day=([^/]*)/", 1)
         return cells(made.where(where == tables.safe_name(F.col("ticker"))))
 
-    register("write_mirrored", sql.query(["merged", "news"], f"SELECT * FROM ({flat}) WHERE key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(mirrored)
+    register("write_mirrored", sql.query(["merged", "news"], f"SELECT * FROM ({flat}) WHERE key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(
+        mirrored,
+    )
     twice = lambda s, d: catalog.merged(s, d).withColumn("end_ts", F.col("ts"))
 
     def last_rows(s: SparkSession, d: str) -> DataFrame:
         m = twice(s, d)
         first = m.select("ticker", "end_ts", F.lit(1).alias("seq"), F.col("close").alias("a"), F.col("volume").alias("b"))
-        second = m.where("bar_index_since_open % 2 = 0").select("ticker", "end_ts", F.lit(2).alias("seq"), F.lit(None).cast("double").alias("a"), (F.col("volume") + 1).alias("b"))
-        later = m.where("bar_index_since_open % 3 = 0").select("ticker", "end_ts", F.lit(1).alias("seq"), F.lit(7.0).alias("a"), F.lit(None).cast("double").alias("b"))
+        second = m.where("bar_index_since_open % 2 = 0").select(
+            "ticker",
+            "end_ts",
+            F.lit(2).alias("seq"),
+            F.lit(None).cast("double").alias("a"),
+            (F.col("volume") + 1).alias("b"),
+        )
+        later = m.where("bar_index_since_open % 3 = 0").select(
+            "ticker",
+            "end_ts",
+            F.lit(1).alias("seq"),
+            F.lit(7.0).alias("a"),
+            F.lit(None).cast("double").alias("b"),
+        )
         rows = documents.long_features(first.unionByName(second), "x", ["a", "b"], 1).unionByName(documents.long_features(later, "x", ["a", "b"], 2))
         return rounded(documents.latest(rows).select("ticker", "end_ts", "key", "value"))
 
@@ -190,7 +255,10 @@ def register_all() -> None:
     names, suffixes = ["r_close", "bb_bw_20", "absent"], ["pct_hi", "dom_period_bars", "nothing"]
     wide = spectra.wide(spectra.fft_windows("merged", ["r_close", "bb_bw_20"], "week", 6), ["r_close", "bb_bw_20"], suffixes[:2])
     columns = [f"{c}_{x}" for c in names[:2] for x in suffixes[:2]]
-    long = f"SELECT ticker, win_end AS end_ts, unnest([{', '.join(repr('fft.' + c) for c in columns)}]) AS key, unnest([{', '.join(columns)}]) AS value FROM ({wide})"
+    long = (
+        f"SELECT ticker, win_end AS end_ts, unnest([{', '.join(repr('fft.' + c) for c in columns)}]) AS key, unnest([{', '.join(columns)}]) "
+        f"AS value FROM ({wide})"
+    )
     register("series_features", sql.query(["merged"], long, ["value"]))(
         lambda s, d: rounded(documents.series_features(spectral.wide(spectral.fft_windows(catalog.merged(s, d), names[:2], "week"), names[:2], suffixes[:2]), "fft", names, suffixes, 1, "win_end").select("ticker", "end_ts", "key", "value"))
     )
@@ -205,11 +273,22 @@ def register_all() -> None:
     )
 
     def answers(s: SparkSession, d: str) -> DataFrame:
-        rows = tables.table(s, d, "documents").where("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.concat(F.lit("P"), "doc_id").alias("prompt"))
+        rows = tables.table(s, d, "documents").where("text is not null").select(
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.concat(F.lit("P"), "doc_id").alias("prompt"),
+        )
         said = documents.run_model(rows, "prompt", "answer", lambda prompts: [f"{p}  says {len(p)} " if len(p) % 2 else f" only {p} " for p in prompts])
         return said.select("doc_id", documents.commentary(F.col("answer"), F.col("prompt")).alias("said"))
 
-    register("commentary_answers", "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN len('P' || doc_id) % 2 = 1 THEN 'says ' || len('P' || doc_id) ELSE 'only P' || doc_id END AS said FROM documents WHERE text IS NOT NULL")(answers)
+    register(
+        "commentary_answers",
+        (
+            "SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN len('P' || doc_id) % 2 = 1 THEN 'says ' || len('P' || doc_id) ELSE 'only "
+            "P' || doc_id END AS said FROM documents WHERE text IS NOT NULL"
+        ),
+    )(
+        answers,
+    )
     offset = "ts - timezone('UTC', timezone('America/New_York', ts))"
     at = "TIMESTAMP '2024-03-01' + to_minutes(CAST(doc_id * 97 AS BIGINT))"
     register("summer_time", f"SELECT CAST(doc_id AS BIGINT) AS doc_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {offset} = INTERVAL (-4) HOUR THEN '-04:00' ELSE '-05:00' END AS at FROM (SELECT doc_id, {at} AS ts FROM documents)")(

@@ -35,10 +35,27 @@ def register_all() -> None:
     made = [*catalog.A, "AGG_max_consecutive_gap", "trend_persistence"]
     columns = ["AGG_N", "valid_bars", *made]
 
-    simple("merged_minute", grid, [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *m], ["m_merged"], "m_merged", [*PRICES, *m])
-    simple("agg_daily_minute", lambda s, d: features.daily(grid(s, d)), ["ticker", "day_id", *columns], ["m_cumulated"], f"({catalog.daily_sql('m_cumulated')})", catalog.A)
+    simple(
+        "merged_minute",
+        grid,
+        [*KEY, "day_id", "is_gap", *PRICES, "bar_index_since_open", "minutes_since_open", *m],
+        ["m_merged"],
+        "m_merged",
+        [*PRICES, *m],
+    )
+    simple(
+        "agg_daily_minute",
+        lambda s, d: features.daily(grid(s, d)),
+        ["ticker", "day_id", *columns],
+        ["m_cumulated"],
+        f"({catalog.daily_sql('m_cumulated')})",
+        catalog.A,
+    )
 
-    hours = "(SELECT * EXCLUDE (cum), sum(coalesce(r_close, 0)) OVER (PARTITION BY ticker, win_end ORDER BY ts) AS cum FROM (SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end FROM m_cumulated))"
+    hours = (
+        "(SELECT * EXCLUDE (cum), sum(coalesce(r_close, 0)) OVER (PARTITION BY ticker, win_end ORDER BY ts) AS cum FROM (SELECT *, "
+        "date_trunc('hour', ts) + INTERVAL 1 HOUR AS win_end FROM m_cumulated))"
+    )
     simple(
         "agg_hour_minute", lambda s, d: features.daily(grid(s, d).withColumn("win_end", calendar.window_end(F.col("ts"), "hour")), ["ticker", "win_end"]),
         ["ticker", "win_end", *columns], ["m_cumulated"], f"({catalog.daily_sql(hours, 'win_end')})", catalog.A,
@@ -61,9 +78,16 @@ def register_all() -> None:
         "CAST(avg(is_gap) > 0.1 OR max_gap_run > 30 OR count(*) < 300 OR coalesce(stddev_pop(r_close) < 1e-8, true) AS INTEGER) AS low_conf "
         f"FROM {spectra.in_windows('m_merged', 'day')} JOIN ({sql.longest(spectra.in_windows('m_merged', 'day'), 'ticker, win_end', 'CASE WHEN is_gap = 1 THEN 1 END', 'max_gap_run')}) USING (ticker, win_end) GROUP BY ticker, win_end, max_gap_run"
     )
-    register("low_confidence", sql.query(["m_merged"], low, ["gap_ratio"]))(lambda s, d: rounded(features.low_confidence(grid(s, d), "r_close", "day")))
-    derived = "SELECT ticker, ts, CASE WHEN row_number() OVER (PARTITION BY ticker ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) OVER (PARTITION BY ticker ORDER BY ts) END AS r_close FROM hour_bars"
-    register("default_series", sql.query(["hour_bars"], derived, ["r_close"]))(lambda s, d: rounded(spectral.with_series(catalog.hour_bars(s, d))[0].select(*KEY, "r_close")))
+    register("low_confidence", sql.query(["m_merged"], low, ["gap_ratio"]))(
+        lambda s, d: rounded(features.low_confidence(grid(s, d), "r_close", "day")),
+    )
+    derived = (
+        "SELECT ticker, ts, CASE WHEN row_number() OVER (PARTITION BY ticker ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) "
+        "OVER (PARTITION BY ticker ORDER BY ts) END AS r_close FROM hour_bars"
+    )
+    register("default_series", sql.query(["hour_bars"], derived, ["r_close"]))(
+        lambda s, d: rounded(spectral.with_series(catalog.hour_bars(s, d))[0].select(*KEY, "r_close")),
+    )
 
     quarter = sql.bars("ticks", "minute").replace("date_trunc('minute', ts)::TIMESTAMP", "time_bucket(INTERVAL 15 MINUTE, ts)")
     simple("bars_15_minutes", lambda s, d: build_bars(tables.ticks(s, d), "min", 15), [*KEY, *OHLC, "transactions"], ["ticks"], f"({quarter})", OHLC)
@@ -71,11 +95,31 @@ def register_all() -> None:
     simple("grid_half_hour", lambda s, d: calendar.hour_grid(inside(s, d)), ["ticker", "day_id", "ts"], ["h_grid"], "h_grid")
     kept = "(SELECT * FROM h_grid UNION ALL SELECT ticker, day_id, day_id::TIMESTAMP + INTERVAL 930 MINUTE FROM h_days WHERE ticker = 'A')"
     for half_bar in ("keep_half_bar", "pad_to_full_hour"):
-        simple(f"grid_half_hour_{half_bar}", lambda s, d, h=half_bar: calendar.hour_grid(inside(s, d), h), ["ticker", "day_id", "ts"], ["h_grid"], kept)
-    simple("merged_half_hour", lambda s, d: merge.merged(indicators.bollinger(indicators.atr(half_hour_bars(s, d))), ["atr_14", "bb_bw_20"]), [*KEY, "is_gap", "close", "minutes_since_open", *m], ["h_merged"], "h_merged", ["close", *m])
+        simple(
+            f"grid_half_hour_{half_bar}",
+            lambda s, d, h=half_bar: calendar.hour_grid(inside(s, d), h),
+            ["ticker", "day_id", "ts"],
+            ["h_grid"],
+            kept,
+        )
+    simple(
+        "merged_half_hour",
+        lambda s, d: merge.merged(indicators.bollinger(indicators.atr(half_hour_bars(s, d))), ["atr_14", "bb_bw_20"]),
+        [*KEY, "is_gap", "close", "minutes_since_open", *m],
+        ["h_merged"],
+        "h_merged",
+        ["close", *m],
+    )
 
     session = "CASE WHEN transactions % 3 = 0 THEN 'RTH' WHEN transactions % 3 = 1 THEN 'rth' ELSE 'pre' END"
-    simple("session_filter", lambda s, d: calendar.rth(catalog.hour_bars(s, d).withColumn("session", F.expr(session))), [*KEY, "session"], ["hour_bars"], f"(SELECT *, {session} AS session FROM hour_bars)", where="WHERE lower(session) = 'rth'")
+    simple(
+        "session_filter",
+        lambda s, d: calendar.rth(catalog.hour_bars(s, d).withColumn("session", F.expr(session))),
+        [*KEY, "session"],
+        ["hour_bars"],
+        f"(SELECT *, {session} AS session FROM hour_bars)",
+        where="WHERE lower(session) = 'rth'",
+    )
     day = (
         "SELECT ticker, ts, CAST(ts AS DATE) AS day_id, close, 0 AS is_gap, 'day' AS session, 0 AS bar_index_since_open, close - vwap AS spread_vwap, NULL::DOUBLE AS r_close, atr_14 AS ATR_14_day_mean, "
         f"(close - vwap) / nullif(atr_14, 0) AS spread_vwap_norm FROM (SELECT *, {sql.rolling('avg', 'tr', 14, 1)} AS atr_14 FROM (SELECT *, greatest(high - low, abs(high - lag(close) OVER ({sql.K})), abs(low - lag(close) OVER ({sql.K}))) AS tr FROM day_bars))"
@@ -85,7 +129,14 @@ def register_all() -> None:
         ["day_bars"], f"({day})", ["close", "spread_vwap", "r_close", "ATR_14_day_mean", "spread_vwap_norm"],
     )
     bars = "count(*)::BIGINT AS AGG_N, avg(abs(spread_vwap_norm)) AS mabs_svn, first(spread_vwap_norm) AS eod_svn, 0::BIGINT AS valid_bars"
-    simple("agg_day_of_days", lambda s, d: features.daily(day_grid(s, d)), ["ticker", "day_id", "AGG_N", "mabs_svn", "eod_svn", "valid_bars"], ["day_bars"], f"(SELECT ticker, day_id, {bars} FROM ({day}) GROUP BY 1, 2)", ["mabs_svn", "eod_svn"])
+    simple(
+        "agg_day_of_days",
+        lambda s, d: features.daily(day_grid(s, d)),
+        ["ticker", "day_id", "AGG_N", "mabs_svn", "eod_svn", "valid_bars"],
+        ["day_bars"],
+        f"(SELECT ticker, day_id, {bars} FROM ({day}) GROUP BY 1, 2)",
+        ["mabs_svn", "eod_svn"],
+    )
     for mode, hours_more, tag in (("treat_as_start", 1, "treat_as_start"), ("treat_as_end", 0, "treat_as_end"), ("as_is", 0, "treat_as_end")):
         simple(
             f"align_{mode}", lambda s, d, k=mode: documents.align_hours(catalog.hour_bars(s, d), k), [*KEY, "end_ts", "align"], ["hour_bars"], "hour_bars",

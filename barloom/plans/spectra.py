@@ -22,7 +22,10 @@ def in_windows(source: str, cadence: str) -> str:
 def quality(source: str, column: str, cadence: str, bars: int, gap: float, run: int, share: float, least: int) -> str:
     """One row a window: values, gap share, longest gap and whether they pass."""
     days = "count(DISTINCT CAST(ts AS DATE))"
-    flat = f"SELECT ticker, win_end, min(ts) AS win_start, {days}::BIGINT AS days, count({column})::BIGINT AS n_valid, ({days} * {bars})::BIGINT AS expected_bars FROM {in_windows(source, cadence)} GROUP BY 1, 2"
+    flat = (
+        f"SELECT ticker, win_end, min(ts) AS win_start, {days}::BIGINT AS days, count({column})::BIGINT AS n_valid, ({days} * {bars})::BIGINT "
+        f"AS expected_bars FROM {in_windows(source, cadence)} GROUP BY 1, 2"
+    )
     runs = sql.longest(in_windows(source, cadence), "ticker, win_end", f"CASE WHEN {column} IS NULL THEN 1 END", "max_gap_run")
     valid = "n_valid::DOUBLE / expected_bars"
     return (
@@ -45,7 +48,10 @@ def spectrum(samples: str, seg: str, overlap: str, centre: bool, density: bool)
         f"SELECT ticker, win_end, n, l, s, k, (power(sum(w * x * cos(2 * pi() * k * t / l)), 2) + power(sum(w * x * sin(2 * pi() * k * t / l)), 2)) / ({weight}) AS p "
         f"FROM ({bins}) GROUP BY ALL"
     )
-    return f"SELECT ticker, win_end, n, k::DOUBLE / l AS f, CASE WHEN 2 * k = l THEN 1 ELSE 2 END * avg(p) AS p FROM ({one}) GROUP BY ticker, win_end, n, l, k"
+    return (
+        f"SELECT ticker, win_end, n, k::DOUBLE / l AS f, CASE WHEN 2 * k = l THEN 1 ELSE 2 END * avg(p) AS p FROM ({one}) GROUP BY "
+        "ticker, win_end, n, l, k"
+    )
 
 
 def welch(source: str, column: str, cadence: str, nperseg: int, noverlap: int) -> str:
@@ -59,14 +65,20 @@ def welch(source: str, column: str, cadence: str, nperseg: int, noverlap: int) -
     order = f"OVER ({WIN} ORDER BY f)"
     pieces = f"SELECT *, lag(f) {order} AS pf, (f - lag(f) {order}) * (p + lag(p) {order}) / 2 AS a, max(p) OVER ({WIN}) AS top FROM ({power})"
     bands = ", ".join(f"coalesce(sum(a) FILTER (pf >= {x} AND f <= {y}), 0) AS power_{b}" for b, (x, y) in BANDS.items())
-    sums = f"SELECT ticker, win_end, coalesce(sum(a), 0) AS power_total, {bands}, min(f) FILTER (p >= top * (1 - 1e-9)) AS dom_freq_cpb, coalesce(sum(f * p) / nullif(sum(p), 0), 0) AS centroid_freq_cpb FROM ({pieces}) GROUP BY 1, 2"
+    sums = (
+        f"SELECT ticker, win_end, coalesce(sum(a), 0) AS power_total, {bands}, min(f) FILTER (p >= top * (1 - 1e-9)) AS dom_freq_cpb, "
+        f"coalesce(sum(f * p) / nullif(sum(p), 0), 0) AS centroid_freq_cpb FROM ({pieces}) GROUP BY 1, 2"
+    )
     shares = ", ".join(f"coalesce(power_{b} / nullif(power_total, 0), 0) AS pct_{b}" for b in BANDS)
     return f"SELECT *, {shares}, 1 / nullif(dom_freq_cpb, 0) AS dom_period_bars, 1 / nullif(centroid_freq_cpb, 0) AS centroid_period_bars FROM ({sums})"
 
 
 def with_quality(kept: str, made: str, names: list[str], column: str) -> str:
     gated = ", ".join(f"CASE WHEN passed THEN m.{n} END AS {n}" for n in names)
-    return f"SELECT q.*, '{column}' AS series, {gated}, NULL::VARCHAR AS error FROM ({kept}) q LEFT JOIN ({made}) m ON q.ticker = m.ticker AND q.win_end = m.win_end"
+    return (
+        f"SELECT q.*, '{column}' AS series, {gated}, NULL::VARCHAR AS error FROM ({kept}) q LEFT JOIN ({made}) m ON q.ticker = m.ticker "
+        "AND q.win_end = m.win_end"
+    )
 
 
 def fft_windows(source: str, columns: list[str], cadence: str, bars: int, nperseg: int = 256, noverlap: int = 128, gap: float = 0.10, share: float = 0.75) -> str:
@@ -82,7 +94,10 @@ def wide(long: str, columns: list[str], names: list[str]) -> str:
 
 def legacy_fft(source: str, column: str, cadence: str) -> str:
     rows = f"SELECT ticker, win_end, ts, coalesce({column}::DOUBLE - avg({column}::DOUBLE) OVER ({WIN}), 0) AS x FROM {in_windows(source, cadence)}"
-    samples = f"SELECT ticker, win_end, count(*) OVER ({WIN}) AS n, row_number() OVER ({WIN} ORDER BY ts) - 1 AS i, x / nullif(stddev_pop(x) OVER ({WIN}), 0) AS x FROM ({rows})"
+    samples = (
+        f"SELECT ticker, win_end, count(*) OVER ({WIN}) AS n, row_number() OVER ({WIN} ORDER BY ts) - 1 AS i, x / nullif(stddev_pop(x) "
+        f"OVER ({WIN}), 0) AS x FROM ({rows})"
+    )
     samples = f"SELECT * FROM ({samples}) WHERE n >= 8 AND x IS NOT NULL"
     seg = "greatest(8, least(128, n))"
     power = spectrum(samples, seg, f"greatest(0, least(64, {seg} - 1))", False, False)
@@ -94,18 +109,30 @@ def legacy_fft(source: str, column: str, cadence: str) -> str:
     )
     names = ", ".join(f"m.{n}" for n in spectral.LEGACY_FFT_NAMES)
     windows = f"SELECT ticker, win_end, count(*) AS n FROM {in_windows(source, cadence)} GROUP BY 1, 2"
-    return f"SELECT w.ticker, w.win_end, '{column}' AS series, {names}, NULL::VARCHAR AS error FROM ({windows}) w LEFT JOIN ({features}) m ON w.ticker = m.ticker AND w.win_end = m.win_end"
+    return (
+        f"SELECT w.ticker, w.win_end, '{column}' AS series, {names}, NULL::VARCHAR AS error FROM ({windows}) w LEFT JOIN ({features}) "
+        "m ON w.ticker = m.ticker AND w.win_end = m.win_end"
+    )
 
 
 def scalogram(source: str, column: str, cadence: str) -> str:
     """(ticker, win_end, n, j, period, t, p): squared Morlet coefficients outside the cone of influence, others 0."""
     rows = f"SELECT ticker, win_end, ts, coalesce({column}::DOUBLE - avg({column}::DOUBLE) OVER ({WIN}), 0) AS x FROM {in_windows(source, cadence)}"
-    samples = f"SELECT ticker, win_end, count(*) OVER ({WIN}) AS n, row_number() OVER ({WIN} ORDER BY ts) - 1 AS i, x / nullif(stddev_pop(x) OVER ({WIN}), 0) AS x FROM ({rows})"
+    samples = (
+        f"SELECT ticker, win_end, count(*) OVER ({WIN}) AS n, row_number() OVER ({WIN} ORDER BY ts) - 1 AS i, x / nullif(stddev_pop(x) "
+        f"OVER ({WIN}), 0) AS x FROM ({rows})"
+    )
     samples = f"SELECT * FROM ({samples}) WHERE n >= 16 AND x IS NOT NULL"
     step = "(16.0::DOUBLE / 4095)"
-    psi = f"SELECT g, sum(exp(-t * t / 2) * cos(5 * t)) OVER (ORDER BY g ROWS UNBOUNDED PRECEDING) * {step} AS v FROM (SELECT g, -8 + g * {step} AS t FROM range(0, 4096) r(g))"
+    psi = (
+        f"SELECT g, sum(exp(-t * t / 2) * cos(5 * t)) OVER (ORDER BY g ROWS UNBOUNDED PRECEDING) * {step} AS v FROM (SELECT g, -8 + "
+        f"g * {step} AS t FROM range(0, 4096) r(g))"
+    )
     scales = "SELECT j, 5 * power(24.0::DOUBLE, j / 35.0::DOUBLE) AS period, 13.0::DOUBLE / 16 * period AS s FROM range(0, 36) r(j)"
-    taps = f"SELECT j, s, h, CAST(floor(h / (s * {step})) AS BIGINT) AS g FROM (SELECT *, unnest(range(0, CAST(ceil(16 * s + 1) AS BIGINT))) AS h FROM ({scales}))"
+    taps = (
+        f"SELECT j, s, h, CAST(floor(h / (s * {step})) AS BIGINT) AS g FROM (SELECT *, unnest(range(0, CAST(ceil(16 * s + 1) AS BIGINT))) "
+        f"AS h FROM ({scales}))"
+    )
     kernel = f"SELECT j, s, count(*) OVER (PARTITION BY j) AS len, len - 1 - h AS u, v FROM ({taps}) JOIN ({psi}) USING (g)"
     # the differences of neighbouring taps, also over both ends
     edges = f"SELECT j, s, len, unnest([u - 1, u]) AS u, unnest([v, -v]) AS d FROM ({kernel})"
@@ -151,8 +178,14 @@ def ridge_table(grid: str) -> str:
     """One row for each stretch in which the strongest scale passes the 95th percentile of the window."""
     best = f"SELECT ticker, win_end, t, max(p) AS power, first(period ORDER BY p DESC, j) AS period FROM ({grid}) GROUP BY 1, 2, 3"
     edge = f"SELECT ticker, win_end, quantile_cont(p, 0.95) FILTER (p > 0) AS least FROM ({grid}) GROUP BY 1, 2"
-    high = f"SELECT b.*, t - row_number() OVER (PARTITION BY b.ticker, b.win_end ORDER BY t) AS run FROM ({best}) b JOIN ({edge}) e ON b.ticker = e.ticker AND b.win_end = e.win_end WHERE power >= least"
-    return f"SELECT ticker, win_end, min(t)::INTEGER AS t_start, max(t)::INTEGER AS t_end, avg(period) AS avg_period, max(power) AS max_power FROM ({high}) GROUP BY ticker, win_end, run"
+    high = (
+        f"SELECT b.*, t - row_number() OVER (PARTITION BY b.ticker, b.win_end ORDER BY t) AS run FROM ({best}) b JOIN ({edge}) e ON "
+        "b.ticker = e.ticker AND b.win_end = e.win_end WHERE power >= least"
+    )
+    return (
+        "SELECT ticker, win_end, min(t)::INTEGER AS t_start, max(t)::INTEGER AS t_end, avg(period) AS avg_period, max(power) AS max_power "
+        f"FROM ({high}) GROUP BY ticker, win_end, run"
+    )
 
 
 def legacy_cwt(source: str, column: str, cadence: str) -> str:
@@ -163,7 +196,10 @@ def legacy_cwt(source: str, column: str, cadence: str) -> str:
         f"{energy('t < 60')} AS energy_open, {energy('t >= 60 AND t < 300')} AS energy_mid, {energy('t >= 300')} AS energy_late, "
         f"avg(CASE WHEN t >= half AND t < n - half THEN 1.0::DOUBLE ELSE 0 END) AS cover_ratio FROM ({grid}) GROUP BY 1, 2"
     )
-    ridges = f"SELECT ticker, win_end, count(*)::DOUBLE AS ridge_count, avg(avg_period) AS ridge_avg_period, stddev_pop(avg_period) AS ridge_period_std FROM ({ridge_table(grid)}) GROUP BY 1, 2"
+    ridges = (
+        "SELECT ticker, win_end, count(*)::DOUBLE AS ridge_count, avg(avg_period) AS ridge_avg_period, stddev_pop(avg_period) AS ridge_period_std "
+        f"FROM ({ridge_table(grid)}) GROUP BY 1, 2"
+    )
     names = ", ".join(f"CASE WHEN a.ticker IS NOT NULL THEN {n} END AS {n}" for n in spectral.LEGACY_CWT_NAMES)
     return (
         f"SELECT w.ticker, w.win_end, '{column}' AS series, {names}, NULL::VARCHAR AS error FROM (SELECT DISTINCT ticker, win_end FROM {in_windows(source, cadence)}) w "
@@ -203,13 +239,17 @@ def register_all(merged) -> None:
         lambda s, d: rounded(spectral.per_window(merged(s, d), legacy, "month", spectral.LEGACY_FFT_NAMES, spectral.legacy_fft_features))
     )
     grids, body = cwt_windows("merged", ["r_close"], "month", 6)
-    register("cwt", over_grids(grids, body, "merged", ["gap_ratio", *spectral.CWT_NAMES]))(lambda s, d: rounded(spectral.cwt_windows(merged(s, d), ["r_close"], "month")))
+    register("cwt", over_grids(grids, body, "merged", ["gap_ratio", *spectral.CWT_NAMES]))(
+        lambda s, d: rounded(spectral.cwt_windows(merged(s, d), ["r_close"], "month")),
+    )
     grids, _ = cwt_windows("merged", legacy, "month", 6)
     register("cwt_legacy", over_grids(grids, " UNION ALL ".join(f"({legacy_cwt('merged', c, 'month')})" for c in legacy), "merged", spectral.LEGACY_CWT_NAMES))(
         lambda s, d: rounded(spectral.per_window(merged(s, d), legacy, "month", spectral.LEGACY_CWT_NAMES, spectral.legacy_cwt_features))
     )
     grids, _ = cwt_windows("merged", ["r_close"], "month", 6)
-    register("cwt_ridges", over_grids(grids, ridge_table("SELECT * FROM grid_r_close"), "merged", ["avg_period", "max_power"]))(lambda s, d: rounded(ridges(merged(s, d))))
+    register("cwt_ridges", over_grids(grids, ridge_table("SELECT * FROM grid_r_close"), "merged", ["avg_period", "max_power"]))(
+        lambda s, d: rounded(ridges(merged(s, d))),
+    )
 
 
 def ridges(merged: DataFrame, column: str = "r_close", cadence: str = "month") -> DataFrame:
@@ -218,6 +258,12 @@ def ridges(merged: DataFrame, column: str = "r_close", cadence: str = "month") -
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = spectral.ridges(pdf.sort_values("ts")[column].to_numpy(float))
-        return pd.DataFrame([(pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], *r) for r in found], columns=["ticker", "win_end", "t_start", "t_end", "avg_period", "max_power"])
-
-    return rows.groupBy("ticker", "win_end").applyInPandas(run, "ticker string, win_end timestamp_ntz, t_start int, t_end int, avg_period double, max_power double")
+        return pd.DataFrame(
+            [(pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], *r) for r in found],
+            columns=["ticker", "win_end", "t_start", "t_end", "avg_period", "max_power"],
+        )
+
+    return rows.groupBy("ticker", "win_end").applyInPandas(
+        run,
+        "ticker string, win_end timestamp_ntz, t_start int, t_end int, avg_period double, max_power double",
+    )

@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 
 TICKS = "SELECT event_type AS ticker, ts, event_id AS seq, value AS price, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS size FROM events"
-TRADES = "SELECT l_returnflag AS ticker, l_shipdate AS ts, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, l_extendedprice / l_quantity AS price, l_quantity AS size FROM lineitem"
+TRADES = (
+    "SELECT l_returnflag AS ticker, l_shipdate AS ts, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, "
+    "l_extendedprice / l_quantity AS price, l_quantity AS size FROM lineitem"
+)
 PRINTS = (
     "SELECT l_returnflag AS ticker, TIMESTAMP '2024-03-04 09:30:00' + to_days(CAST(floor(sqrt(l_orderkey % 400)) AS INTEGER)) + to_minutes(CAST((l_partkey * 31 + l_suppkey * 7 + l_linenumber * 101) % 390 AS BIGINT)) AS ts, "
     "(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS seq, l_extendedprice / l_quantity AS price, l_quantity AS size FROM lineitem"
@@ -114,7 +117,25 @@ STEPS["day_rows"] = (["day_bars"], STEPS["day_rows"][1])
 
 
 #: The steps from bars to daily features, which can start from other bars too.
-FROM_BARS = ("changes", "ranges", "atrs", "bands", "banded", "rth", "days", "grid", "aligned", "filled", "forward", "backfilled", "returned", "valid", "chosen", "merged", "cumulated")
+FROM_BARS = (
+    "changes",
+    "ranges",
+    "atrs",
+    "bands",
+    "banded",
+    "rth",
+    "days",
+    "grid",
+    "aligned",
+    "filled",
+    "forward",
+    "backfilled",
+    "returned",
+    "valid",
+    "chosen",
+    "merged",
+    "cumulated",
+)
 
 
 def derive(prefix: str, bars: str, grid: str, day: str = "day_id") -> None:
@@ -129,9 +150,19 @@ def derive(prefix: str, bars: str, grid: str, day: str = "day_id") -> None:
 STEPS["prints"] = ([], PRINTS)
 STEPS["print_bars"] = (["prints"], bars("prints", "minute"))
 STEPS["half_ticks"] = (["prints"], "SELECT ticker, ts - CASE WHEN ticker = 'A' THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS ts, seq, price, size FROM prints")
-STEPS["half_bars"] = (["half_ticks"], f"SELECT * REPLACE (ts + CASE WHEN ticker = 'A' THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS ts) FROM ({bars('half_ticks', 'hour')})")
+STEPS["half_bars"] = (
+    ["half_ticks"],
+    f"SELECT * REPLACE (ts + CASE WHEN ticker = 'A' THEN INTERVAL 30 MINUTE ELSE INTERVAL 0 MINUTE END AS ts) FROM ({bars('half_ticks', 'hour')})",
+)
 derive("m_", "print_bars", "SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(570 + m AS BIGINT)) AS ts FROM days, range(0, 390) AS t(m)")
-derive("h_", "half_bars", "SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(CASE WHEN ticker = 'A' THEN 570 ELSE 600 END + 60 * h AS BIGINT)) AS ts FROM days, range(0, 6) AS t(h)")
+derive(
+    "h_",
+    "half_bars",
+    (
+        "SELECT ticker, day_id, day_id::TIMESTAMP + to_minutes(CAST(CASE WHEN ticker = 'A' THEN 570 ELSE 600 END + 60 * h AS BIGINT)) "
+        "AS ts FROM days, range(0, 6) AS t(h)"
+    ),
+)
 
 
 def needs(names: list[str], seen: dict[str, None] | None = None) -> dict[str, None]:
