@@ -182,6 +182,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(VOCABULARY)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     tokens = encode(docs, vocabulary, public_tokenizers.PATTERN).select("doc_id", "ids")
-    tokens = tokens.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"))
+    tokens = tokens.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+    )
     whole = decode(tokens, vocabulary)
     return whole.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -141,7 +141,12 @@ def format_chat(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     whatever their names, are left out. A conversation is
     one output string, so its turns meet in one task; all others stream through in Arrow batches.
     """
-    rows = df.select(F.col(conv).cast("bigint").alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
+    rows = df.select(
+        F.col(conv).cast("bigint").alias("conv_id"),
+        F.col(turn).alias("turn"),
+        F.col(role).cast("string").alias("role"),
+        F.col(text).cast("string").alias("text"),
+    )
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     return rows.mapInArrow(_assemble_sorted, "conv_id bigint, formatted string, loss_start array<bigint>, loss_end array<bigint>")
 
@@ -166,7 +171,13 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chars += len(said.decode())
             for out, x in zip(rows, (conv, n, turns.hexdigest(), chars, loss.hexdigest())):
                 out.append(x)
-        arrays = [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.string()), pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.string())]
+        arrays = [
+            pa.array(rows[0], pa.int64()),
+            pa.array(rows[1], pa.int64()),
+            pa.array(rows[2], pa.string()),
+            pa.array(rows[3], pa.int64()),
+            pa.array(rows[4], pa.string()),
+        ]
         yield pa.RecordBatch.from_arrays([*arrays, pc.utf8_length(batch.column(1)).cast(pa.int64())], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
 

@@ -68,7 +68,10 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", size: str =
     ahead = sums.withColumn("__ahead", F.sum("__s").over(W.partitionBy("__source").orderBy("__range").rowsBetween(W.unboundedPreceding, -1))).drop("__s")
     ahead = ahead.withColumnsRenamed({"__source": "__asource", "__range": "__arange"})
     rows = rows.join(ahead, F.col("__source").eqNullSafe(F.col("__asource")) & (F.col("__range") == F.col("__arange")))
-    inner = W.partitionBy("__source", "__range").orderBy(F.shiftrightunsigned(F.col("__key"), 11), F.col(key), F.col(size)).rowsBetween(W.unboundedPreceding, -1)
+    inner = W.partitionBy("__source", "__range").orderBy(F.shiftrightunsigned(F.col("__key"), 11), F.col(key), F.col(size)).rowsBetween(
+        W.unboundedPreceding,
+        -1,
+    )
     rows = rows.withColumn("__before", F.coalesce("__ahead", F.lit(0)) + F.coalesce(F.sum(size).over(inner), F.lit(0)))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     rest = F.floor(F.col("target")).cast("bigint") - epochs * F.col("source_size")

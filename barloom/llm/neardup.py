@@ -344,9 +344,18 @@ def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[D
     ``row`` is a hash of the row: it finds the text of a set again, also where ids are null or repeat.
     """
     trees = trees_for(recall, percent / 100)
-    described = docs.select("doc_id", "row", F.col("text").alias("__text")).mapInArrow(_describe(trees, words), "doc_id bigint, row bigint, n_shingles bigint, set_id binary, sketch binary, nodes array<bigint>")
+    described = docs.select("doc_id", "row", F.col("text").alias("__text")).mapInArrow(
+        _describe(trees, words),
+        "doc_id bigint, row bigint, n_shingles bigint, set_id binary, sketch binary, nodes array<bigint>",
+    )
     described = cut(described, "sets")
-    records = described.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
+    records = described.where("set_id is not null").groupBy("set_id").agg(
+        F.min("doc_id").alias("rep"),
+        F.min("row").alias("row"),
+        F.first("n_shingles").alias("n"),
+        F.first("sketch").alias("sketch"),
+        F.first("nodes").alias("nodes"),
+    )
     records = cut(records, "records")
     join = _Join(docs, records, percent, words, recall)
     # the second tokens stand after those of all trees, in every sixth one

@@ -40,7 +40,9 @@ WRAPPER = 0.5
 # fixed values: element names and words of class, id and role
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template svg iframe object textarea title head math canvas video audio select option datalist".split())
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split(),
+)
 BAD_TAGS = set("nav footer aside form button fieldset label dialog menu".split())
 HEADINGS = {"h1", "main", "article"}
 GOOD_TAGS = {"article", "main"}
@@ -164,7 +166,9 @@ def blocks(page: str) -> list[Block]:
                 continue
             found = _attributes(m[3])
             in_article = any(elements[k].evidence > 0 for k in stack)
-            elements.append(Element(name, f"{found.get('class', '')} {found.get('id', '')}", stack[-1] if stack else -1, _evidence(name, found, in_article)))
+            elements.append(
+                Element(name, f"{found.get('class', '')} {found.get('id', '')}", stack[-1] if stack else -1, _evidence(name, found, in_article)),
+            )
             stack.append(len(elements) - 1)
             in_link += name == "a"
         else:
@@ -398,7 +402,10 @@ def fit(df: DataFrame, html: str = "html", pages: int = FIT_PAGES) -> np.ndarray
                     yield pa.RecordBatch.from_arrays([*columns, pa.array([found[i].evidence > 0 for i in plain])], names=[*(f"x{k}" for k in range(FEATURES)), "content"])
 
     names = [f"x{k}" for k in range(FEATURES)]
-    table = some.select("html").mapInArrow(run, ", ".join([f"{c} double" for c in names] + ["content boolean"])).toPandas().sort_values([*names, "content"], ignore_index=True)
+    table = some.select("html").mapInArrow(run, ", ".join([f"{c} double" for c in names] + ["content boolean"])).toPandas().sort_values(
+        [*names, "content"],
+        ignore_index=True,
+    )
     return fit_classifier(table[names].to_numpy(float), table["content"].to_numpy(bool)) if len(table) else PLAIN
 
 

@@ -178,7 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, key: str = "do
     Null labels and null ids are left out.
     """
     spark = docs.sparkSession
-    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).select(F.col(key).alias("__id"), F.col("quality").cast("int").alias("__quality"))
+    known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).select(
+        F.col(key).alias("__id"),
+        F.col("quality").cast("int").alias("__quality"),
+    )
     known = known.groupBy("__id").agg(F.min("__quality").alias("__quality"))
     h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "__id"), 11)
     n = known.count()

@@ -61,7 +61,11 @@ def matches(text: Column, pattern: str, keep=lambda m: F.lit(True)) -> Column:
     def step(acc: Column, part: Column) -> Column:
         end = acc["at"] + F.length(part)
         one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), part.alias("token")))
-        return F.struct(end.alias("at"), (~acc["hit"]).alias("hit"), F.when(acc["hit"] & keep(part), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+        return F.struct(
+            end.alias("at"),
+            (~acc["hit"]).alias("hit"),
+            F.when(acc["hit"] & keep(part), F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"),
+        )
 
     def fold(at: Column, some: Column) -> Column:
         return F.aggregate(some, F.struct(at.alias("at"), F.lit(False).alias("hit"), empty.alias("out")), step, lambda acc: acc["out"])
@@ -71,7 +75,12 @@ def matches(text: Column, pattern: str, keep=lambda m: F.lit(True)) -> Column:
         some = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / FOLD).cast("int")), lambda i: F.slice(parts, i * FOLD + 1, F.lit(FOLD)))
         first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
         width = lambda some: F.aggregate(some, F.lit(0), lambda n, p: n + F.length(p))
-        starts = F.aggregate(some, first, lambda acc, p: F.struct((acc["at"] + width(p)).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")), lambda acc: acc["starts"])
+        starts = F.aggregate(
+            some,
+            first,
+            lambda acc, p: F.struct((acc["at"] + width(p)).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
+            lambda acc: acc["starts"],
+        )
         return F.zip_with(starts, some, lambda at, p: fold(at, p))
 
     return F.when(F.size(parts) > FOLD, F.flatten(folds(parts))).when(F.size(parts) > 1, fold(F.lit(0), parts)).otherwise(empty)
@@ -111,11 +120,19 @@ def battery(token: Column) -> Column:
         mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
         high = F.transform(x, lambda v: v > mean)
         ups = F.size(F.filter(high, lambda b: b)).cast("double")
-        changes = F.aggregate(F.zip_with(F.slice(high, 1, F.size(x) - 1), F.slice(high, 2, F.size(x) - 1), lambda a, b: (a != b).cast("double")), F.lit(1.0), lambda s, v: s + v)
+        changes = F.aggregate(
+            F.zip_with(F.slice(high, 1, F.size(x) - 1), F.slice(high, 2, F.size(x) - 1), lambda a, b: (a != b).cast("double")),
+            F.lit(1.0),
+            lambda s, v: s + v,
+        )
         spread = 2 * ups * (n - ups)
         runs_z = F.try_divide(changes - spread / n - 1, F.sqrt(F.greatest(F.lit(0.0), spread * (spread - n) / (n * n * (n - 1)))))
         var = F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
-        lag = F.aggregate(F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - mean) * (b - mean)), F.lit(0.0), lambda s, v: s + v)
+        lag = F.aggregate(
+            F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - mean) * (b - mean)),
+            F.lit(0.0),
+            lambda s, v: s + v,
+        )
         serial_z = (F.try_divide(lag, var) + 1 / n) * F.sqrt(n)
         word = m["lam"] * n
         p = _lower_tail((chi - word - (k - 1)) / F.sqrt(2 * (k - 1) + 4 * word))
@@ -138,12 +155,17 @@ def with_candidates(df: DataFrame, text: Column) -> DataFrame:
     )
     df = df.withColumn("__base", F.array_sort(base)).withColumn("__tokens", matches(text, TOKEN))
     apart = F.filter("__tokens", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return df.withColumn("__tokens", F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), battery(t["token"]).alias("b"))))
+    return df.withColumn(
+        "__tokens",
+        F.transform(apart, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), battery(t["token"]).alias("b"))),
+    )
 
 
 def thresholds(found: DataFrame, fdr: float = FDR) -> dict[int, int]:
     """By class of lengths, the lowest bin called secret: at most one number for each power of two of lengths."""
-    cells = found.select(F.explode("__tokens").alias("t")).groupBy(F.col("t.b.len_class").alias("c"), F.col("t.b.bin").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    cells = found.select(F.explode("__tokens").alias("t")).groupBy(F.col("t.b.len_class").alias("c"), F.col("t.b.bin").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"),
+    )
     by: dict[int, dict[int, int]] = {}
     for c, b, n in cells.collect():  # at most 31 classes times BINS + 1 bins
         by.setdefault(c, {})[b] = n
@@ -176,7 +198,10 @@ def scan(df: DataFrame, text: str = "text", drop_text: bool = False, fdr: float
 def written(spans: Column) -> Column:
     """kind:start:end of every span, joined with commas."""
     names = F.array(*map(F.lit, KINDS))
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))),
+        ",",
+    )
 
 
 def redacted(text: Column, spans: Column, instead: str = "[SECRET]") -> Column:
@@ -187,7 +212,10 @@ def redacted(text: Column, spans: Column, instead: str = "[SECRET]") -> Column:
         fresh = s["start"] >= acc["at"]
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         first = fresh & ((s["start"] > acc["at"]) | (acc["out"] == ""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(first, F.concat(acc["out"], gap, F.lit(instead))).otherwise(acc["out"]).alias("out"))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(first, F.concat(acc["out"], gap, F.lit(instead))).otherwise(acc["out"]).alias("out"),
+        )
 
     whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)

@@ -55,12 +55,18 @@ def assign_shards(df: DataFrame, key: str, weight: str, shards: int = SHARDS, se
         scattered = _deal_copies(scattered, row, weight, parts, bucket_bytes // 4)
     # as many partitions as the bytes ask for, whatever the cluster's setting: with them the shuffle's seeds repeat
     tasks = min(max(shards, math.ceil(need / (8 * bucket_bytes))), MOST_TASKS)
-    buckets = scattered.repartition(tasks, "__shard", "__part").groupBy("__shard", "__part").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *row).alias("__h"), *row))).alias("__rows"))
+    buckets = scattered.repartition(tasks, "__shard", "__part").groupBy("__shard", "__part").agg(
+        F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *row).alias("__h"), *row))).alias("__rows"),
+    )
     shuffled = buckets.sortWithinPartitions("__shard", "__part").withColumn("__rows", F.shuffle("__rows", seed))
     counts = scattered.groupBy("__shard", "__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.withColumn("__before", F.sum("__n").over(W.partitionBy("__shard").orderBy("__part").rowsBetween(W.unboundedPreceding, -1))).drop("__n")
     placed = shuffled.join(before, ["__shard", "__part"]).select("__shard", "__before", F.posexplode("__rows").alias("__pos", "__row"))
-    return placed.select(*[F.col("__row")[c].alias(c) for c in row], F.col("__shard").alias("shard"), (F.coalesce("__before", F.lit(0)) + F.col("__pos")).cast("bigint").alias("slot"))
+    return placed.select(
+        *[F.col("__row")[c].alias(c) for c in row],
+        F.col("__shard").alias("shard"),
+        (F.coalesce("__before", F.lit(0)) + F.col("__pos")).cast("bigint").alias("slot"),
+    )
 
 
 def _deal_copies(scattered: DataFrame, row: list[str], weight: str, parts: int, most: int) -> DataFrame:

@@ -180,7 +180,12 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", least
     marks = later.groupBy(F.col("doc_id").alias("__mid"), F.col("tie").alias("__mtie")).agg(F.collect_set(F.struct("start", "end")).alias("__marks"))
     joined = rows.join(marks, F.col("__id").eqNullSafe(F.col("__mid")) & (F.col("__tie") == F.col("__mtie")), "left")
     joined = joined.select(*[c for c in keep if c != text], F.col(text).cast("string").alias("__text"), "__marks")
-    schema = T.StructType([*(T.StructField(text, T.StringType()) if c == text else df.schema[c] for c in keep), *(T.StructField(c, T.StringType() if c == "removed_spans" else T.LongType(), False) for c in added)])
+    schema = T.StructType(
+        [
+            *(T.StructField(text, T.StringType()) if c == text else df.schema[c] for c in keep),
+            *(T.StructField(c, T.StringType() if c == "removed_spans" else T.LongType(), False) for c in added),
+        ],
+    )
     return joined.mapInArrow(_remove(keep, schema, text), schema)
 
 

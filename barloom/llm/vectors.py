@@ -319,12 +319,20 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         links = links.unionByName(more)
     links = cut(links, "vector-links")
     counts = links.groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("n"))
-    label = own.select("key", "low", "w").join(components(links.select("u", "v")).withColumnsRenamed({"u": "key", "v": "root"}), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    label = own.select("key", "low", "w").join(components(links.select("u", "v")).withColumnsRenamed({"u": "key", "v": "root"}), "key", "left").withColumn(
+        "root",
+        F.coalesce("root", "key"),
+    )
     label = label.join(label.groupBy("root").agg(F.min("low").alias("component_id")), "root").join(counts, "key", "left")
     label = label.select("key", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), "component_id")
     out = rows.select("vec_id", "key").join(label, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"))
+    return out.select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
+    )
 
 
 def _links_of(own: DataFrame, dim: int, cosine: float, kind: type) -> DataFrame:
