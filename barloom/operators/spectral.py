@@ -7,6 +7,7 @@ tasks. For windows of one segment ``dft_single`` gives the same features with jo
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import number, positive_log, ratio, series
 from barloom.operators import calendar
-from barloom.operators.features import window_qualities
+from barloom.operators.features import low_confidence, window_qualities
 
 BANDS = {"lo": (1e-12, 1 / 60), "mid": (1 / 60, 1 / 15), "hi": (1 / 15, 0.5)}
 FFT_NAMES = [
@@ -195,8 +196,8 @@ def legacy_cwt_features(x: np.ndarray, periods: np.ndarray = PERIODS) -> list[fl
     ]
 
 
-def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str], f: Callable[[np.ndarray], list[float]]) -> DataFrame:
-    """Long rows (ticker, win_end, series, names...): ``f`` of each column's samples in time order.
+def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str], f: Callable[[np.ndarray], list[float]] | dict[str, Callable[[np.ndarray], list[float]]]) -> DataFrame:
+    """Long rows (ticker, win_end, series, names...): ``f`` (or the column's own) of each column's samples in time order.
 
     A window whose features fail has the message in ``error`` and null features; the others go on.
     """
@@ -209,7 +210,7 @@ def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str]
         for c in columns:
             error = None
             try:
-                made = f(pdf[c].to_numpy(float))
+                made = (f[c] if isinstance(f, dict) else f)(pdf[c].to_numpy(float))
             except (ValueError, FloatingPointError, IndexError) as e:
                 made, error = [np.nan] * len(names), str(e)
             out.append([pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], c, *(None if not np.isfinite(v) else v for v in made), error])
@@ -298,3 +299,15 @@ def with_series(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFr
     p = positive_log(number(F.col("close")))
     w = series("ticker")
     return df.withColumn("r_close", F.when(F.row_number().over(w) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(w))), ["r_close"]
+
+
+def legacy_windows(df: DataFrame, columns: list[str], cadence: str) -> DataFrame:
+    """The older spectral features of each series with the flag of low confidence.
+
+    Only the spread is detrended; where the returns are flat their features are null and the confidence is low.
+    """
+    each = {c: partial(legacy_fft_features, detrend=c == "spread_vwap_norm") for c in columns}
+    flags = low_confidence(df, "r_close", cadence).drop("n")
+    out = per_window(df, columns, cadence, LEGACY_FFT_NAMES, each).join(flags, ["ticker", "win_end"])
+    lost = (F.col("series") == "r_close") & F.col("degenerate")
+    return out.withColumns({n: F.when(~lost, F.col(n)) for n in LEGACY_FFT_NAMES})

@@ -198,6 +198,14 @@ def register_all() -> None:
         ),
     )
 
+    fixed = ["AGG_N", "valid_bars", "rv", "trend_persistence"]
+    register("write_named_csv", sql.query(["m_cumulated"], f"SELECT ticker, day_id, {', '.join(fixed)} FROM ({catalog.daily_sql('m_cumulated')})", ["rv"]))(
+        round_trip(
+            lambda s, d, root: tables.write_csv_named(rounded(features.daily(catalog.minute_grid(s, d)).select("ticker", "day_id", *fixed)), root, "agg_daily", "day_id"),
+            lambda s, root: s.read.schema("ticker string, day_id date, AGG_N bigint, valid_bars bigint, rv double, trend_persistence bigint").csv(f"{root}/agg_daily.csv", header=True),
+        )
+    )
+
     # ---- documents
     told = (
         "(SELECT ['click', 'view', 'purchase', 'cart', 'login', 'search', 'error', 'logout', 'signup'][1 + CAST(substr(ticker, 4) "

@@ -81,6 +81,11 @@ def register_all() -> None:
     register("low_confidence", sql.query(["m_merged"], low, ["gap_ratio"]))(
         lambda s, d: rounded(features.low_confidence(grid(s, d), "r_close", "day")),
     )
+    flagged = spectral.LEGACY_FFT_NAMES
+    older = " UNION ALL ".join(f"({spectra.legacy_fft('m_merged', c, 'day')})" for c in ("r_close", "spread_vwap_norm"))
+    cells = ", ".join(f"CASE WHEN NOT (series = 'r_close' AND degenerate) THEN o.{n} END AS {n}" for n in flagged)
+    body = f"SELECT o.ticker, o.win_end, series, {cells}, error, gap_ratio, max_gap_run, degenerate, low_conf FROM ({older}) o JOIN ({low}) f ON o.ticker = f.ticker AND o.win_end = f.win_end"
+    register("fft_legacy_flags", sql.query(["m_merged"], body, ["gap_ratio", *flagged]))(lambda s, d: rounded(spectral.legacy_windows(grid(s, d), ["r_close", "spread_vwap_norm"], "day")))
     derived = (
         "SELECT ticker, ts, CASE WHEN row_number() OVER (PARTITION BY ticker ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) "
         "OVER (PARTITION BY ticker ORDER BY ts) END AS r_close FROM hour_bars"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,7 +95,15 @@ def wide(long: str, columns: list[str], names: list[str]) -> str:
 
 
 def legacy_fft(source: str, column: str, cadence: str) -> str:
-    rows = f"SELECT ticker, win_end, ts, coalesce({column}::DOUBLE - avg({column}::DOUBLE) OVER ({WIN}), 0) AS x FROM {in_windows(source, cadence)}"
+    """The older features; the spread loses its linear trend first."""
+    x, i = f"{column}::DOUBLE", f"row_number() OVER ({WIN} ORDER BY ts) - 1"
+    rows = f"SELECT ticker, win_end, ts, {x} - avg({x}) OVER ({WIN}) AS x, {i} AS i FROM {in_windows(source, cadence)}"
+    if column == "spread_vwap_norm":
+        known = "CASE WHEN x IS NOT NULL THEN i END"
+        line = f"regr_slope(x, i) OVER ({WIN}) * (i - avg({known}) OVER ({WIN})) + avg(x) OVER ({WIN})"
+        enough = f"count(x) OVER ({WIN}) >= 3 AND stddev_pop(x) OVER ({WIN}) >= 1e-12"
+        rows = f"SELECT ticker, win_end, ts, CASE WHEN {enough} THEN x - ({line}) ELSE x END AS x FROM ({rows})"
+    rows = f"SELECT ticker, win_end, ts, coalesce(x, 0) AS x FROM ({rows})"
     samples = (
         f"SELECT ticker, win_end, count(*) OVER ({WIN}) AS n, row_number() OVER ({WIN} ORDER BY ts) - 1 AS i, x / nullif(stddev_pop(x) "
         f"OVER ({WIN}), 0) AS x FROM ({rows})"
@@ -108,7 +118,7 @@ def legacy_fft(source: str, column: str, cadence: str) -> str:
         f"sum(p) / sum(f * p) AS centroid_period, 1 / arg_max(f, p) AS peak_period FROM ({power}) GROUP BY 1, 2 HAVING sum(p) > 1e-12"
     )
     names = ", ".join(f"m.{n}" for n in spectral.LEGACY_FFT_NAMES)
-    windows = f"SELECT ticker, win_end, count(*) AS n FROM {in_windows(source, cadence)} GROUP BY 1, 2"
+    windows = f"SELECT DISTINCT ticker, win_end FROM {in_windows(source, cadence)}"
     return (
         f"SELECT w.ticker, w.win_end, '{column}' AS series, {names}, NULL::VARCHAR AS error FROM ({windows}) w LEFT JOIN ({features}) "
         "m ON w.ticker = m.ticker AND w.win_end = m.win_end"
@@ -236,7 +246,7 @@ def register_all(merged) -> None:
         lambda s, d: rounded(spectral.wide(spectral.fft_windows(merged(s, d), wide_columns, "week"), wide_columns, wide_names))
     )
     register("fft_legacy", sql.query(["merged"], " UNION ALL ".join(f"({legacy_fft('merged', c, 'month')})" for c in legacy), spectral.LEGACY_FFT_NAMES))(
-        lambda s, d: rounded(spectral.per_window(merged(s, d), legacy, "month", spectral.LEGACY_FFT_NAMES, spectral.legacy_fft_features))
+        lambda s, d: rounded(spectral.per_window(merged(s, d), legacy, "month", spectral.LEGACY_FFT_NAMES, {c: partial(spectral.legacy_fft_features, detrend=c == "spread_vwap_norm") for c in legacy}))
     )
     grids, body = cwt_windows("merged", ["r_close"], "month", 6)
     register("cwt", over_grids(grids, body, "merged", ["gap_ratio", *spectral.CWT_NAMES]))(

@@ -175,6 +175,11 @@ def write_csv_by_name(df: DataFrame, root: str, key: str = "ticker", order: str
     fs.delete(path(made), True)
 
 
+def write_csv_named(df: DataFrame, root: str, name: str, order: str) -> None:
+    """<root>/<name>.csv, the fixed file of a small summary: all rows in one file, so in one task."""
+    write_csv_by_name(df.withColumn("__name", F.lit(name)), root, "__name", order)
+
+
 def safe_path(name: Column) -> Column:
     return F.translate(name, "/\\ ", "__")
 
