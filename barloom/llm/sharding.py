@@ -53,8 +53,8 @@ def assign_shards(df: DataFrame, key: str, weight: str, shards: int = SHARDS, se
     scattered = df.withColumn("__shard", shard_of(F.col(key), shards, seed)).withColumn("__part", spread)
     if parts > 1:
         scattered = _deal_copies(scattered, row, weight, parts, bucket_bytes // 4)
-    # as many partitions as the bytes ask for, whatever the cluster's setting: with them the shuffle's seeds repeat
-    tasks = min(max(shards, math.ceil(need / (8 * bucket_bytes))), MOST_TASKS)
+    # as many tasks as buckets, whatever the cluster's setting: with them the shuffle's seeds repeat
+    tasks = min(shards * parts, MOST_TASKS)
     buckets = scattered.repartition(tasks, "__shard", "__part").groupBy("__shard", "__part").agg(
         F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *row).alias("__h"), *row))).alias("__rows"),
     )
