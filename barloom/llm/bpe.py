@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces whose ids a worker remembers, twice so many at most, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 48
+REMEMBERED, REMEMBERED_CHARS = 200_000, 48
 #: Rows that are encoded, or tokens that are decoded, at a time.
 CHUNK_ROWS, CHUNK_TOKENS = 256, 1 << 20
 
@@ -31,36 +31,47 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     width = 1 << (n - 1).bit_length()
     none = 1 << 62  # above every rank joined with a position
     find = ranks.get
-    level = [none if (r := find(piece[i : i + 2])) is None else r * width + i for i in range(n - 1)] + [none] * (width - n + 1)
-    tree = level
-    while len(level) > 1:
-        level = [a if a < b else b for a, b in zip(level[::2], level[1::2])]
-        tree = level + tree
-    tree = [none, *tree]
+    tree = [none] * (2 * width)
+    for i in range(n - 1):
+        if (r := find(piece[i : i + 2])) is not None:
+            tree[width + i] = r * width + i
+    for p in range(width - 1, 0, -1):
+        x, y = tree[2 * p], tree[2 * p + 1]
+        tree[p] = x if x < y else y
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-    def put(i: int, value: int) -> None:
-        p = width + i
-        tree[p] = value
-        while p > 1:
-            a, b = tree[p], tree[p ^ 1]
-            p >>= 1
-            if tree[p] == (low := a if a < b else b):
-                break
-            tree[p] = low
-
-    while tree[1] != none:
-        i = tree[1] % width
+    low = width - 1
+    while (least := tree[1]) != none:
+        i = least & low
         gone = after[i]
         end = after[i] = after[gone]
+        r = None
         if end < n:
             before[end] = i
-        put(gone, none)
-        r = find(piece[i : after[end]]) if end < n else None
-        put(i, none if r is None else r * width + i)
+            r = find(piece[i : after[end]])
+        tree[width + gone] = none
+        tree[width + i] = none if r is None else r * width + i
         if (left := before[i]) >= 0:
             r = find(piece[left:end])
-            put(left, none if r is None else r * width + left)
+            tree[width + left] = none if r is None else r * width + left
+        else:
+            left = i
+        # the three leaves stand in order, and so do their parents, which soon are one
+        p, q, s = (width + left) >> 1, (width + i) >> 1, (width + gone) >> 1
+        while p != s:
+            x, y = tree[2 * p], tree[2 * p + 1]
+            tree[p] = x if x < y else y
+            if q != p and q != s:
+                x, y = tree[2 * q], tree[2 * q + 1]
+                tree[q] = x if x < y else y
+            x, y = tree[2 * s], tree[2 * s + 1]
+            tree[s] = x if x < y else y
+            p, q, s = p >> 1, q >> 1, s >> 1
+        while p:
+            x, y = tree[2 * p], tree[2 * p + 1]
+            if tree[p] == (x := x if x < y else y):
+                break
+            tree[p] = x
+            p >>= 1
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : after[i]]])
