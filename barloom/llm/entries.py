@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, mixing, neardup, oracles, pages, quality, secrets, sharding, spans, spelling, vectors
+from barloom.llm import bpe, chat, divergence, mixing, neardup, oracles, pages, quality, secrets, sharding, spans, spelling, vectors
 from barloom.session import ship_package
 
 
@@ -26,6 +26,7 @@ def queries():
         "op8_mixing": mixing.op8_mixing,
         "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
         "op10_html_extraction": pages.op10_html_extraction,
+        "op11_source_divergence": divergence.op11_source_divergence,
         "op13_spelling_variants": spelling.op13_spelling_variants,
     }
     return {name: _shipped(f) for name, f in found.items()}

@@ -37,6 +37,8 @@ DAMAGE = 97
 LETTERS, TIMES, FACTOR = 5, 3, 2
 #: Words and letters of a shard, and words of a wave: the bound of what is broadcast and of the tries a worker holds.
 SHARD_WORDS, SHARD_LETTERS, WAVE_WORDS = 1 << 16, 1 << 20, 1 << 18
+#: Words that a task walks through the tries of a wave.
+TASK_WORDS = 1 << 14
 #: Longest word in a trie.
 LONG = 255
 #: Different words that a task counts before it sends them on.
@@ -84,26 +86,30 @@ def count_words(docs: DataFrame, key: str = "doc_id", text: str = "text", letter
     return rows.mapInArrow(_count(letters), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= times)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(most: int):
     """Shards of sorted words: their letters and counts."""
-    words: list[bytes] = []
-    counts: list[int] = []
-    letters = 0
-
-    def shard() -> pa.RecordBatch:
-        row = [[b"\n".join(words)], [np.array(counts, np.int64).tobytes()], [len(words)]]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.binary(), pa.binary(), pa.int64()))], names=["letters", "counts", "size"])
-
-    for batch in batches:
-        for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if len(words) >= SHARD_WORDS or letters >= SHARD_LETTERS:
-                yield shard()
-                words, counts, letters = [], [], 0
-            words.append(word.encode("latin-1"))
-            counts.append(n)
-            letters += len(word)
-    if words:
-        yield shard()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: list[bytes] = []
+        counts: list[int] = []
+        letters = 0
+
+        def shard() -> pa.RecordBatch:
+            row = [[b"\n".join(words)], [np.array(counts, np.int64).tobytes()], [len(words)]]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.binary(), pa.binary(), pa.int64()))], names=["letters", "counts", "size"])
+
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if len(words) >= most or letters >= SHARD_LETTERS:
+                    yield shard()
+                    words, counts, letters = [], [], 0
+                words.append(word.encode("latin-1"))
+                counts.append(n)
+                letters += len(word)
+        if words:
+            yield shard()
+
+    return run
 
 
 #: A node of a trie: its letters, the count of the word that ends there or 0, and the nodes below by their first letter.
@@ -231,17 +237,20 @@ def _in_tries(words: DataFrame, factor: int) -> list[DataFrame]:
     """What each wave finds, written."""
     spark = words.sparkSession
     short = words.where(F.length("word") <= LONG)
-    shards = cut(short.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(_pack, "letters binary, counts binary, size bigint"), "shards")
+    shards = cut(short.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(_pack(SHARD_WORDS), "letters binary, counts binary, size bigint"), "shards")
     # of the shards only sizes and names come here; a wave's content is bounded by WAVE_WORDS and SHARD_LETTERS
     name = F.xxhash64("letters")
     waves: list[list[int]] = []
-    held = WAVE_WORDS
+    held, total = WAVE_WORDS, 0
     for k, size in shards.select(name, "size").toLocalIterator():
         if held + size > WAVE_WORDS or len(waves[-1]) >= WAVE_WORDS // SHARD_WORDS * 4:
             waves.append([])
             held = 0
         waves[-1].append(k)
         held += size
+        total += size
+    # a walk takes far longer than the row's bytes tell, so tasks are not left to the size of the table
+    short = short.repartition(math.ceil(total / TASK_WORDS) or 1, "word")
     out = []
     for k, names in enumerate(waves):
         wave = spark.sparkContext.broadcast([(bytes(r.letters), bytes(r.counts)) for r in shards.where(name.isin(names)).collect()])
