@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barloom.llm import bpe, chat, divergence, mixing, neardup, oracles, pages, quality, secrets, sharding, spans, spelling, vectors
+from barloom.llm import bpe, chat, divergence, language, mixing, neardup, oracles, pages, quality, secrets, sharding, spans, spelling, vectors
 from barloom.session import ship_package
 
 
@@ -27,6 +27,7 @@ def queries():
         "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
         "op10_html_extraction": pages.op10_html_extraction,
         "op11_source_divergence": divergence.op11_source_divergence,
+        "op12_language_id": language.op12_language_id,
         "op13_spelling_variants": spelling.op13_spelling_variants,
     }
     return {name: _shipped(f) for name, f in found.items()}
