@@ -7,7 +7,9 @@ each other in the element tree are joined by smoothness edges, the stronger the
 blocks, so a short paragraph follows the article it stands in, and a stray sentence the menu around it.
 
 No evidence outweighs all others but hidden elements: the text can speak against an element's name, and an element
-that wraps the page's heading and most of its words says nothing against them, whatever it is called.
+that wraps the page's heading and most of its words says nothing against them, whatever it is called. What stands in
+an article is held by it, however short or often repeated: there the text's statistics alone cannot turn a block, only
+its links, or elements inside the article that speak against it.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ FIT_PAGES, FIT_BLOCKS = 2000, 200
 SEED = 6
 #: Evidence of elements that hold content, boilerplate or nothing to be seen; bound of the classifier's part.
 CONTENT, BOILERPLATE, HIDDEN, CLASSIFIER = 2.0, -6.0, -12.0, 3.5
+#: The classifier's part against a block that an article holds, and the share of links from which it holds no more.
+AGAINST_HELD, LINKS = 1.25, 0.5
 #: Capacities between neighbours in page order and, falling with the distance, between blocks near in the tree.
 ADJACENT, NEAR = 0.6, 0.9
 #: Share of a capacity that is left between blocks whose elements say opposite things.
@@ -77,6 +81,7 @@ class Block:
     path: tuple[int, ...]
     kind: tuple[str, str]
     evidence: float = 0.0
+    held: bool = False
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -188,7 +193,10 @@ def blocks(page: str) -> list[Block]:
 
 
 def _weigh(found: list[Block], elements: list[Element]) -> None:
-    """Gives each block the evidence of the elements around it: what speaks against it first, then what speaks for it."""
+    """Gives each block the evidence of the elements around it: what speaks against it first, then what speaks for it.
+
+    The page's articles hold their blocks; where there is none, its main elements do.
+    """
     total = 0
     for b in found:
         words = b.text.count(" ") + 1
@@ -198,6 +206,8 @@ def _weigh(found: list[Block], elements: list[Element]) -> None:
     for e in reversed(elements):  # parents stand before their children
         if e.parent >= 0 and (e.headed or e.tag in HEADINGS and e.evidence >= 0):
             elements[e.parent].headed = True
+    good = {t: {k for k, e in enumerate(elements) if e.tag == t and e.evidence > 0} for t in GOOD_TAGS}
+    holders = good["article"] or good["main"]
     for b in found:
         said = [b.evidence]
         for k in b.path:
@@ -205,6 +215,7 @@ def _weigh(found: list[Block], elements: list[Element]) -> None:
             if e.evidence != BOILERPLATE or not (e.headed and e.words >= WRAPPER * total):
                 said.append(e.evidence)
         b.evidence = low if (low := min(said)) < 0 else max(said)
+        b.held = b.evidence > 0 and b.linked < LINKS * len(b.text) and any(k in holders for k in b.path)
 
 
 FEATURES = 8
@@ -337,7 +348,8 @@ def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
 
 
 def costs(found: list[Block], weights: np.ndarray) -> np.ndarray:
-    return np.array([b.evidence for b in found]) + np.clip(features(found) @ weights[:-1] + weights[-1], -CLASSIFIER, CLASSIFIER)
+    low = np.array([-AGAINST_HELD if b.held else -CLASSIFIER for b in found])
+    return np.array([b.evidence for b in found]) + np.clip(features(found) @ weights[:-1] + weights[-1], low, CLASSIFIER)
 
 
 def smoothness(found: list[Block]) -> dict[tuple[int, int], float]:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from barloom.llm import pages
 
@@ -68,14 +69,33 @@ def test_query_against_hand_labelled_pages(spark, tmp_path):
     assert out == [(1, "u", one, len(one)), (1, "u", one, len(one)), (2, "", "", 0), (3, "v", "", 0), (4, "w", long, len(long))]
 
 
-def test_query_against_the_articles_of_the_small_table(spark):
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_query_against_the_articles_of_whole_tables(spark, sf):
     want = {}
-    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+    d = f"/root/testdata/{sf}"
+    for r in spark.read.parquet(f"{d}/pages.parquet").collect():
         inner = re.search("<article>(.*)</article>", r.html, re.DOTALL)[1]
         said = [" ".join(html.unescape(re.sub("<br>", " ", re.sub("</?b>", "", x))).split()) for x in re.split("</?(?:h1|p)>", inner)]
         want[r.page_id] = "\n".join(x for x in said if x)
-    got = {r.page_id: r.text for r in pages.op10_html_extraction(spark, SF).collect()}
-    assert got == want
+    got = {r.page_id: r.text for r in pages.op10_html_extraction(spark, d).collect()}
+    assert [k for k in want if got[k] != want[k]] == [] and len(got) == len(want)
+
+
+@pytest.mark.parametrize("weights", [pages.PLAIN, np.array([1.3, -5, 2.8, -0.8, 0.8, -5.8, 14.4, 1.0, -9.0])])
+def test_many_short_equal_paragraphs_of_an_article_stay(weights):
+    short = ["In it."] * 150 + ["Rech."] * 40 + ["1", "In it.", "-"]
+    nav = "<nav><ul>" + "".join(f"<li><a href=/{k}>In it.</a></li>" for k in range(30)) + "</ul></nav>"
+    body = "".join(f"<p>{x}</p>" for x in short)
+    for tag in ("article", "main"):
+        page = f"{nav}<div class=ad>In it.</div><{tag}><h1>Head</h1>{body}<div class=ad>In it.</div><ul class=share><li>Rech.</li></ul></{tag}><footer><p>Rech.</p></footer>"
+        assert pages.main_text(page, weights)[0].split("\n") == ["Head", *short]
+
+
+def test_an_article_does_not_hold_links():
+    said = "A long enough sentence of the article, with a comma, stands here."
+    links = "".join(f"<li><a href=/{k}>More about it</a></li>" for k in range(12))
+    page = f"<article><h1>Head</h1><p>{said}</p><p>{said} See <a href=/x>this</a>.</p><div class=x1><div class=x2><ul>{links}</ul></div></div></article>"
+    assert text_of(page) == f"Head\n{said}\n{said} See this."
 
 
 def test_extraction_replaces_columns_of_its_names(spark):
