@@ -31,8 +31,10 @@ from barloom.session import cut, discard
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 #: Documents of its language that a term needs; what shares are scaled to; terms reported of a group.
 DOCUMENTS, SCALE, TOP = 3, 1_000_000_000, 200
-#: Different terms that a task counts before it sends them on.
-HELD = 1 << 18
+#: Different terms of groups that a task counts before it sends them on.
+HELD = 1 << 19
+#: Pairs of postings that are measured at a time.
+PAIRS = 1 << 18
 #: Groups of a block: what a task holds for two of them is (2 * BLOCK)^2 sums.
 BLOCK = 256
 #: Most groups that are broadcast; with more of them the joins shuffle.
@@ -134,14 +136,30 @@ def _joint(block: int):
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "value"])
 
         for batch in batches:
-            for lang, lo, hi, members in zip(*(batch.column(c) for c in ("lang", "lo", "hi", "members"))):
-                if (now := (lang.as_py(), lo.as_py(), hi.as_py())) != key:
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "lo", "hi"))))
+            members = batch.column("members")
+            length = members.value_lengths().to_numpy()
+            begin = np.concatenate([[0], np.cumsum(length)])
+            of = members.flatten()
+            every = [of.field(c).to_numpy(zero_copy_only=False) for c in ("at", "p", "zero")]
+            i = 0
+            while i < len(rows):
+                if rows[i] != key:
                     yield from out()
-                    key, total = now, np.zeros((block, block) if now[1] == now[2] else (2 * block, 2 * block), np.int64)
-                at, p, z = (members.values.field(c).to_numpy(zero_copy_only=False) for c in ("at", "p", "zero"))
-                at = np.where(at // block == now[1], at - now[1] * block, at - now[2] * block + block)
-                g = (p[:, None] - p) ** 2 // p - (p[:, None] - z) ** 2 // z - (z[:, None] - p) ** 2 // p + (z[:, None] - z) ** 2 // z
-                total[np.ix_(at, at)] += g
+                    key, total = rows[i], np.zeros((block, block) if rows[i][1] == rows[i][2] else (2 * block, 2 * block), np.int64)
+                j, pairs = i, 0
+                while j < len(rows) and rows[j] == key and (j == i or pairs + length[j] ** 2 <= PAIRS):
+                    pairs += length[j] ** 2
+                    j += 1
+                at, p, z = (x[begin[i] : begin[j]] for x in every)
+                at = np.where(at // block == key[1], at - key[1] * block, at - key[2] * block + block)
+                k = np.repeat(length[i:j], length[i:j])
+                a = np.repeat(np.arange(len(at)), k)
+                b = np.arange(pairs) + np.repeat(np.repeat(begin[i:j] - begin[i], length[i:j]) - (np.cumsum(k) - k), k)
+                pl, pr, zl, zr = p[a], p[b], z[a], z[b]
+                g = (pl - pr) ** 2 // pr - (pl - zr) ** 2 // zr - (zl - pr) ** 2 // pr + (zl - zr) ** 2 // zr
+                np.add.at(total, (at[a], at[b]), g)
+                i = j
         yield from out()
 
     return run
