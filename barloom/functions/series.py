@@ -1,16 +1,11 @@
-"""Column expressions over ordered series: bounded frames, exponential means, limited fills, runs."""
+"""Column expressions over ordered series: bounded frames, limited fills, runs."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Most that a weight of an exponential mean may grow inside a block, as a power of e: far from a double's limit.
-EWM_GROWTH = 300
-
 
 def series(*keys: str, ts: str = "ts") -> WindowSpec:
     return W.partitionBy(*keys).orderBy(ts)
@@ -26,34 +21,6 @@ def rolling(agg, x: Column, w: WindowSpec, n: int, least: int) -> Column:
     return F.when(F.count(x).over(frame) >= least, agg(x).over(frame))
 
 
-def ewm(df: DataFrame, x: Column, out: str, alpha: float, keys: tuple[str, ...] = ("ticker",), ts: str = "ts") -> DataFrame:
-    """``df`` with ``out``: y = y * (1 - alpha) + x * alpha from the first value of ``keys`` on; nulls are left out.
-
-    The values are numbered and cut into blocks in which the weights stay inside a double's range. Inside a block the
-    recurrence is a prefix sum of weighted values; the last sums of the blocks before are folded into what they carry
-    over. So all values count, however long the series and the span.
-    """
-    q = 1 - alpha
-    if q <= 0:
-        return df.withColumn(out, F.last(x, ignorenulls=True).over(series(*keys, ts=ts).rowsBetween(W.unboundedPreceding, 0)))
-    rows = max(1, math.floor(EWM_GROWTH / -math.log(q)))
-    so_far = series(*keys, ts=ts).rowsBetween(W.unboundedPreceding, 0)
-    df = df.withColumn("__x", x.cast("double")).withColumn("__i", F.count("__x").over(so_far) - 1)
-    df = df.withColumn("__block", F.floor(F.greatest("__i", F.lit(0)) / rows)).withColumn("__at", F.greatest("__i", F.lit(0)) % rows)
-    weighted = F.col("__x") * F.when(F.col("__i") == 0, 1.0).otherwise(alpha) * F.pow(F.lit(q), -F.col("__at"))
-    in_block = series(*keys, "__block", ts=ts).rowsBetween(W.unboundedPreceding, 0)
-    df = df.withColumn("__y", F.sum(weighted).over(in_block) * F.pow(F.lit(q), F.col("__at")))
-    ends = F.collect_list(F.when((F.col("__at") == rows - 1) & F.col("__x").isNotNull(), F.col("__y"))).over(so_far)
-    df = df.withColumn("__ends", ends)
-    carried = F.aggregate(F.slice("__ends", F.lit(1), F.col("__block").cast("int")), F.lit(0.0), lambda y, e: y * q**rows + e)
-    y = F.col("__y") + F.when(F.col("__block") > 0, carried * F.pow(F.lit(q), F.col("__at") + 1)).otherwise(0.0)
-    return df.withColumn(out, F.when(F.col("__i") >= 0, y)).drop("__x", "__i", "__block", "__at", "__y", "__ends")
-
-
-def span(n: int) -> float:
-    return 2.0 / (n + 1)
-
-
 def forward_fill(x: Column, w: WindowSpec, limit: int) -> Column:
     return F.last(x, ignorenulls=True).over(w.rowsBetween(-limit, 0))
 

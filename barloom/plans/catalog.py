@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from barloom.functions.ranges import by_range
 from barloom.functions.series import longest_runs, positive_log, ratio, rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
 from barloom.plans import files, minute, spectra, sql, steps
 from barloom.plans.registry import ORACLES, QUERIES, Query, register, simple
+from barloom.session import cut
 from barloom.sources import tables
 from barloom.sources.tables import PRICES, build_bars
 
@@ -17,7 +19,7 @@ from barloom.sources.tables import PRICES, build_bars
 def minute_grid(spark: SparkSession, d: str) -> DataFrame:
     """Minute bars of the prints on the whole session's grid."""
     bars = build_bars(tables.prints(spark, d), "minute")
-    return merge.merged(indicators.bollinger(indicators.atr(bars)), ["atr_14", "bb_bw_20"], "minute")
+    return merge.merged(indicators.grid_indicators(cut(bars, "bars")), ["atr_14", "bb_bw_20"], "minute")
 
 
 OHLC = ["open", "high", "low", "close", "volume", "vwap"]
@@ -28,8 +30,13 @@ def hour_bars(spark: SparkSession, d: str) -> DataFrame:
     return build_bars(tables.ticks(spark, d), "hour")
 
 
+def written_bars(spark: SparkSession, d: str) -> DataFrame:
+    """Hour bars, written once for those that read them more than once."""
+    return cut(hour_bars(spark, d), "bars")
+
+
 def merged(spark: SparkSession, d: str) -> DataFrame:
-    return merge.merged(indicators.bollinger(indicators.atr(hour_bars(spark, d))), ["atr_14", "bb_bw_20"])
+    return merge.merged(indicators.grid_indicators(written_bars(spark, d)), ["atr_14", "bb_bw_20"])
 
 
 # ---- bars, hours, clocks
@@ -119,8 +126,13 @@ simple(
 # ---- indicators on hour bars
 I = {  # noqa: E741
     "pct_change": (indicators.pct_change, ["ret"], ["changes"], {}),
-    "sma": (lambda b: indicators.sma(indicators.sma(b, 20), 50), ["sma_20", "sma_50"], ["hour_bars"], {f"sma_{n}": sql.rolling("avg", "close", n, 1) for n in (20, 50)}),
-    "ema": (lambda b: indicators.ema(indicators.ema(b, 12), 26), ["ema_12", "ema_26"], ["slow"], {"ema_12": "e12", "ema_26": "e26"}),
+    "sma": (
+        lambda b: by_range(b, lambda x, w: indicators.sma(indicators.sma(x, 20, w=w), 50, w=w), 49),
+        ["sma_20", "sma_50"],
+        ["hour_bars"],
+        {f"sma_{n}": sql.rolling("avg", "close", n, 1) for n in (20, 50)},
+    ),
+    "ema": (lambda b: indicators.ema(b, 12, 26), ["ema_12", "ema_26"], ["slow"], {"ema_12": "e12", "ema_26": "e26"}),
     "rsi": (indicators.rsi, ["rsi_14"], ["losses"], {"rsi_14": "100 - 100 / (1 + g / nullif(l, 0))"}),
     "volatility": (indicators.volatility, ["volatility_20"], ["changes"], {"volatility_20": sql.rolling("stddev_samp", "ret", 20, 2)}),
     "true_range": (indicators.true_range, ["tr"], ["ranges"], {}),
@@ -130,12 +142,12 @@ I = {  # noqa: E741
     "obv": (indicators.obv, ["obv"], ["changes"], {"obv": f"sum(coalesce(sign(d) * volume, 0)) OVER ({sql.K} ROWS UNBOUNDED PRECEDING)"}),
 }
 for name, (build, columns, uses, exprs) in I.items():
-    simple(name, lambda s, d, b=build: b(hour_bars(s, d)), [*KEY, *columns], uses, uses[-1], columns, exprs=exprs)
+    simple(name, lambda s, d, b=build: b(written_bars(s, d)), [*KEY, *columns], uses, uses[-1], columns, exprs=exprs)
 _lo, _hi = sql.rolling("min", "low", 14, 14), sql.rolling("max", "high", 14, 14)
 _stoch = f"(SELECT *, 100 * (close - lo) / nullif(hi - lo, 0) AS stoch_k_14 FROM (SELECT *, {_lo} AS lo, {_hi} AS hi FROM hour_bars))"
 simple(
     "stochastic",
-    lambda s, d: indicators.stochastic(hour_bars(s, d)),
+    lambda s, d: indicators.stochastic(written_bars(s, d)),
     [*KEY, "stoch_k_14", "stoch_d_14"],
     ["hour_bars"],
     _stoch,
@@ -705,7 +717,7 @@ files.register_all()
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(indicators.custom_indicators(indicators.indicators(hour_bars(spark, d))))
+    return rounded(indicators.custom_indicators(indicators.indicators(written_bars(spark, d))))
 
 
 def queries() -> dict[str, Query]:

@@ -9,6 +9,7 @@ from barloom.functions.series import rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
 from barloom.plans import spectra, sql
 from barloom.plans.registry import register, simple
+from barloom.session import cut
 from barloom.sources import tables
 from barloom.sources.tables import PRICES, build_bars
 
@@ -24,7 +25,7 @@ def half_hour_bars(spark: SparkSession, d: str) -> DataFrame:
 
 
 def day_grid(spark: SparkSession, d: str) -> DataFrame:
-    return merge.merged_days(indicators.atr(build_bars(tables.trades(spark, d), "day")), ["atr_14"])
+    return merge.merged_days(indicators.atr(cut(build_bars(tables.trades(spark, d), "day"), "bars")), ["atr_14"])
 
 
 def register_all() -> None:
@@ -109,7 +110,7 @@ def register_all() -> None:
         )
     simple(
         "merged_half_hour",
-        lambda s, d: merge.merged(indicators.bollinger(indicators.atr(half_hour_bars(s, d))), ["atr_14", "bb_bw_20"]),
+        lambda s, d: merge.merged(indicators.grid_indicators(cut(half_hour_bars(s, d), "bars")), ["atr_14", "bb_bw_20"]),
         [*KEY, "is_gap", "close", "minutes_since_open", *m],
         ["h_merged"],
         "h_merged",

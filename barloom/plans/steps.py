@@ -73,7 +73,7 @@ class State:
 
 
 def _load(s: State, c: Config) -> None:
-    s.tables["bars"] = indicators.bollinger(indicators.atr(build_bars(s.ticks, c.sampling)))
+    s.tables["bars"] = indicators.grid_indicators(cut(build_bars(s.ticks, c.sampling), "bars"))
 
 
 def _merge(s: State, c: Config) -> None:

@@ -107,24 +107,6 @@ def test_streamed_bars_match_batch_bars(spark, tmp_path):
     assert got and all(want[k] == v for k, v in got.items())
 
 
-@pytest.mark.parametrize("growth", [300, 3, 0.01])
-def test_exponential_means_count_every_value(spark, monkeypatch, growth):
-    from barloom.functions import series
-
-    monkeypatch.setattr(series, "EWM_GROWTH", growth)
-    x = [None, None, *[1e6] * 3, None, *[float(k % 7) for k in range(1200)], None]
-    df = spark.createDataFrame([("a", k, v) for k, v in enumerate(x)] + [("b", 0, 5.0), ("c", 0, None)], "ticker string, ts int, x double")
-    for n in (1, 3, 200):
-        alpha, y, want = series.span(n), None, []
-        for v in x:
-            y = y if v is None else v if y is None else y * (1 - alpha) + v * alpha
-            want.append(y)
-        got = {(r.ticker, r.ts): r.y for r in series.ewm(df, F.col("x"), "y", alpha).collect()}
-        have = [got["a", k] for k in range(len(x))]
-        assert have[:2] == want[:2] == [None, None] and have[2:] == pytest.approx(want[2:], rel=1e-9, abs=1e-9)
-        assert got["b", 0] == 5.0 and got["c", 0] is None
-
-
 def test_quoted_news_against_the_csv_module(spark, tmp_path):
     import csv
 
