@@ -1,4 +1,4 @@
-"""Column expressions over ordered series: bounded frames, limited fills, runs."""
+"""Column expressions over ordered series: bounded frames, limited fills."""
 
 from __future__ import annotations
 
@@ -53,23 +53,6 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a, F.nullif(b, F.lit(0.0)))
 
 
-def run_lengths(df: DataFrame, keys: list[str], state: Column, name: str, ts: str = "ts") -> DataFrame:
-    """``df`` with ``name``: how many rows of the same non-null ``state`` end here, 0 where it is null.
-
-    All windows share the partitioning on ``keys``, so an aggregate by them needs no further shuffle.
-    """
-    w = series(*keys, ts=ts)
-    df = df.withColumn("__s", state).withColumn("__new", (~F.col("__s").eqNullSafe(F.lag("__s").over(w))).cast("int"))
-    df = df.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    length = F.count("__s").over(series(*keys, "__run", ts=ts).rowsBetween(W.unboundedPreceding, 0))
-    return df.withColumn(name, length).drop("__s", "__new", "__run")
-
-
-def longest_runs(df: DataFrame, keys: list[str], state: Column, name: str, ts: str = "ts") -> DataFrame:
-    """By keys, the longest run of rows with one non-null ``state``; nulls break runs; none: 0."""
-    return run_lengths(df, keys, state, "__length", ts).groupBy(*keys).agg(F.max("__length").cast("bigint").alias(name))
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Double columns at ``digits`` places, without negative zeros."""
     return df.select(*[(F.round(c, digits) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])

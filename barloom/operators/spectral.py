@@ -7,7 +7,7 @@ tasks. For windows of one segment ``dft_single`` gives the same features with jo
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.series import number, positive_log, ratio, series
 from barloom.operators import calendar
-from barloom.operators.features import low_confidence, window_qualities
+from barloom.operators.features import judged, low_confidence
 
 BANDS = {"lo": (1e-12, 1 / 60), "mid": (1 / 60, 1 / 15), "hi": (1 / 15, 0.5)}
 FFT_NAMES = [
@@ -47,6 +47,8 @@ LEGACY_CWT_NAMES = [
     "cover_ratio",
 ]
 PERIODS = np.geomspace(5, 120, 36)
+#: Samples that are transformed at a time; shorter series are transformed whole.
+BLOCK = 1 << 14
 CENTRE = 13 / 16  # of the Morlet wavelet, in cycles per unit of scale
 
 
@@ -116,14 +118,37 @@ def _integrated_morlet() -> tuple[np.ndarray, float]:
     return np.cumsum(np.exp(-t * t / 2) * np.cos(5 * t)) * (t[1] - t[0]), float(t[1] - t[0])
 
 
+@lru_cache(maxsize=16)
+def _kernels(scales: tuple[float, ...]) -> list[np.ndarray]:
+    psi, step = _integrated_morlet()
+    found = [np.floor(np.arange(16 * s + 1) / (s * step)).astype(int) for s in scales]
+    return [psi[at[at < len(psi)]][::-1] for at in found]
+
+
+@lru_cache(maxsize=4)
+def _spectra(scales: tuple[float, ...], size: int) -> np.ndarray:
+    """The transforms of all kernels at a size: made once in each worker for windows of like lengths."""
+    return np.stack([np.fft.rfft(k, size) for k in _kernels(scales)])
+
+
+def convolved(x: np.ndarray, scales: np.ndarray) -> np.ndarray:
+    """Full convolutions of ``x`` with every scale's kernel, block by block through transforms (overlap-add)."""
+    key = tuple(float(s) for s in scales)
+    longest = max(map(len, _kernels(key)))
+    size = 1 << (min(len(x), max(BLOCK, longest)) + longest - 2).bit_length()
+    step = size - longest + 1
+    out = np.zeros((len(scales), len(x) + longest - 1 + size))
+    for k in range(0, len(x), step):
+        out[:, k : k + size] += np.fft.irfft(np.fft.rfft(x[k : k + step], size) * _spectra(key, size), size, axis=1)
+    return out[:, : len(x) + longest - 1]
+
+
 def scalogram(x: np.ndarray, scales: np.ndarray) -> np.ndarray:
     """Squared Morlet coefficients, scales by time."""
-    psi, step = _integrated_morlet()
     out = np.empty((len(scales), len(x)))
-    for i, s in enumerate(scales):
-        at = np.floor(np.arange(16 * s + 1) / (s * step)).astype(int)
-        kernel = psi[at[at < len(psi)]][::-1]
-        c = -np.sqrt(s) * np.diff(np.convolve(x, kernel))
+    lengths = [len(k) for k in _kernels(tuple(float(s) for s in scales))]
+    for i, (s, full) in enumerate(zip(scales, convolved(x, scales))):
+        c = -np.sqrt(s) * np.diff(full[: len(x) + lengths[i] - 1])
         cut = (len(c) - len(x)) / 2
         out[i] = c[int(np.floor(cut)) : len(c) - int(np.ceil(cut))] ** 2 if cut > 0 else c[: len(x)] ** 2
     return out
@@ -196,43 +221,54 @@ def legacy_cwt_features(x: np.ndarray, periods: np.ndarray = PERIODS) -> list[fl
     ]
 
 
-def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str], f: Callable[[np.ndarray], list[float]] | dict[str, Callable[[np.ndarray], list[float]]]) -> DataFrame:
-    """Long rows (ticker, win_end, series, names...): ``f`` (or the column's own) of each column's samples in time order.
+def longest_gap(x: np.ndarray) -> int:
+    """The longest run of samples that are missing."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], np.isnan(x), [False]])))
+    return int((edges[1::2] - edges[::2]).max(initial=0))
+
+
+def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str], f: Callable[[np.ndarray], list[float]] | dict[str, Callable[[np.ndarray], list[float]]], quality: bool = False) -> DataFrame:
+    """Long rows (ticker, win_end, series, names..., error): ``f`` (or the column's own) of each column's samples in time order.
 
-    A window whose features fail has the message in ``error`` and null features; the others go on.
+    A window whose features fail has the message in ``error`` and null features; the others go on. With ``quality``
+    that of its samples (win_start, days, n_valid, max_gap_run) comes from the same call, so the bars are read once.
     """
     rows = df.withColumn("win_end", calendar.window_end(F.col("ts"), cadence)).select("ticker", "win_end", "ts", *columns)
-    schema = "ticker string, win_end timestamp_ntz, series string, " + ", ".join(f"{n} double" for n in names) + ", error string"
+    more = ["win_start", "days", "n_valid", "max_gap_run"]
+    schema = "ticker string, win_end timestamp_ntz, series string, " + ", ".join(f"{n} double" for n in names) + ", error string, win_start timestamp_ntz, " + ", ".join(f"{n} bigint" for n in more[1:])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
+        days = pdf["ts"].dt.normalize().nunique()
         out = []
         for c in columns:
             error = None
+            x = pdf[c].to_numpy(float)
             try:
-                made = (f[c] if isinstance(f, dict) else f)(pdf[c].to_numpy(float))
+                made = (f[c] if isinstance(f, dict) else f)(x)
             except (ValueError, FloatingPointError, IndexError) as e:
                 made, error = [np.nan] * len(names), str(e)
-            out.append([pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], c, *(None if not np.isfinite(v) else v for v in made), error])
-        return pd.DataFrame(out, columns=["ticker", "win_end", "series", *names, "error"])
+            features = (None if not np.isfinite(v) else v for v in made)
+            out.append([pdf["ticker"].iloc[0], pdf["win_end"].iloc[0], c, *features, error, pdf["ts"].iloc[0], days, int((~np.isnan(x)).sum()), longest_gap(x)])
+        return pd.DataFrame(out, columns=["ticker", "win_end", "series", *names, "error", *more])
 
-    return rows.groupBy("ticker", "win_end").applyInPandas(run, schema)
+    made = rows.groupBy("ticker", "win_end").applyInPandas(run, schema)
+    return made if quality else made.drop(*more)
 
 
 def fft_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", nperseg: int = 256, noverlap: int = 128, gap: float = 0.10, run: int = 30, share: float = 0.75) -> DataFrame:
     """Welch features with their quality columns; null where the quality fails."""
-    made = per_window(df, columns, cadence, FFT_NAMES, lambda x: welch_features(x, nperseg, noverlap))
-    return _with_quality(df, made, columns, cadence, sampling, FFT_NAMES, gap, run, share, 4)
+    made = per_window(df, columns, cadence, FFT_NAMES, lambda x: welch_features(x, nperseg, noverlap), quality=True)
+    return _gated(made, sampling, FFT_NAMES, gap, run, share, 4)
 
 
 def cwt_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", gap: float = 0.20, run: int = 30, share: float = 0.75) -> DataFrame:
-    made = per_window(df, columns, cadence, CWT_NAMES, cwt_features)
-    return _with_quality(df, made, columns, cadence, sampling, CWT_NAMES, gap, run, share, 16)
+    made = per_window(df, columns, cadence, CWT_NAMES, cwt_features, quality=True)
+    return _gated(made, sampling, CWT_NAMES, gap, run, share, 16)
 
 
-def _with_quality(df: DataFrame, made: DataFrame, columns: list[str], cadence: str, sampling: str, names: list[str], gap: float, run: int, share: float, least: int) -> DataFrame:
-    quality = window_qualities(df, columns, cadence, sampling, gap, run, share, least)
-    out = quality.join(made, ["ticker", "win_end", "series"], "left")
+def _gated(made: DataFrame, sampling: str, names: list[str], gap: float, run: int, share: float, least: int) -> DataFrame:
+    out = judged(made, sampling, gap, run, share, least)
     return out.withColumns({n: F.when(F.col("passed"), F.col(n)) for n in names})
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from barloom.functions.ranges import by_range
-from barloom.functions.series import longest_runs, positive_log, ratio, rounded
+from barloom.functions.runs import longest_runs
+from barloom.functions.series import positive_log, ratio, rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
 from barloom.plans import files, minute, spectra, sql, steps
 from barloom.plans.registry import ORACLES, QUERIES, Query, register, simple
