@@ -1,15 +1,18 @@
-"""Near-duplicates by a set similarity join over trees of minwise tokens.
+"""Near-duplicates by a chosen-path set similarity join: trees that branch by minwise tokens.
 
 A document's set has its distinct word shingles. Documents with equal sets are one record. In each of several
-independent trees a record goes to the nodes named by a few of its minwise tokens: one token always and another in
-some trees, so that similar records meet. The records of a small node are compared exhaustively, first by sketches, then on full sets. A large
-node is split into blocks that share a few leaders, which joins most groups cheaply; if its records are still in
-several components after that, all pairs of records from different components are compared, block by block. Nodes
-whose records are all in one component hold no news and go.
-
-A pair at the threshold meets in a tree with the chance ``similarity``; the number of trees follows from the recall
-wanted, and so does the agreement of sketches that is asked for. So a pair is missed with at most twice the chance
-1 - recall, as far as minwise tokens behave like independent ones; the size of a node does not matter.
+independent trees a record goes to the nodes named by its minwise tokens at the places that the tree selects. The
+records of a small node are compared exhaustively, first by sketches, then on full sets. A large node that holds
+several components branches: it selects BRANCHES places by its own seed, and each record goes to the children named by
+its tokens there; children branch again, MAX_DEPTH levels deep. Before it branches, a large node is compared in blocks
+that share a few leaders, which joins groups of many copies cheaply; nodes whose records are all in one component hold
+no news and go. What is still large and in several components at the end, because its tokens do not separate it, is
+compared whole: all pairs of records from different components, block by block.
+
+A pair of similarity s shares a node of a tree with the chance s, and a child with the chance 1 - (1 - s)^BRANCHES a
+level. The number of trees follows from that chance over all levels and the recall wanted, and so does the agreement
+of sketches that is asked for. So a pair is missed with at most twice the chance 1 - recall, as far as minwise tokens
+behave like independent ones. Texts of any length are read whole; a long one has one set like all others.
 """
 
 from __future__ import annotations
@@ -36,10 +39,10 @@ STAGE_PERCENT = 80
 RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch.
 SKETCH = 64
-#: Records and shingles of a block; leaders that the blocks of a node share.
-BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 4096, 1 << 21, 4
-#: Most rounds in which large nodes are compared block by block: one tree in each, the last takes all other trees.
-MAX_DEPTH = 2
+#: Records and shingles of a node or block that is compared exhaustively; leaders that the blocks of a node share.
+BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 1024, 1 << 21, 4
+#: Places that a large node selects for its children, and how many levels branch below the first.
+BRANCHES, MAX_DEPTH = 3, 3
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 1 << 13
@@ -47,8 +50,13 @@ CHUNK = 1 << 13
 REMEMBERED = 100_000
 
 
+def meeting(similarity: float) -> float:
+    """The least chance that a pair meets in a tree, whatever the depth at which its nodes are small."""
+    return similarity * (1 - (1 - similarity) ** BRANCHES) ** MAX_DEPTH
+
+
 def trees_for(recall: float, similarity: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
+    return math.ceil(math.log(1 - recall) / math.log(1 - meeting(similarity)))
 
 
 def agreement_for(recall: float, similarity: float) -> int:
@@ -280,6 +288,19 @@ class _Join:
         blocks = blocks.groupBy(F.xxhash64("node", "part").alias("block"), "set_id").agg(F.min("round").alias("round"))
         return self.promising(blocks), members.where("parts > 1").select("node", "set_id", "n", "round")
 
+    def children(self, split: DataFrame) -> DataFrame:
+        """The next level of nodes that still hold several components: a record follows its tokens at the node's places.
+
+        A node's first place is random, the others stand apart from it, so the places differ.
+        """
+        rows = self.labelled(split)
+        open_ = rows.groupBy("node").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a != b").select("node")
+        rows = rows.join(open_, "node").join(self.records.select("set_id", "sketch"), "set_id")
+        place = F.pmod(F.xxhash64(F.lit(7), "node"), F.lit(SKETCH)).cast("int")
+        token = lambda k: F.substring(F.col("sketch"), (place + k * (SKETCH // BRANCHES)) % SKETCH + 1, F.lit(1))
+        made = F.explode(F.array(*(F.xxhash64("node", F.lit(k), token(k)) for k in range(BRANCHES))))
+        return rows.select(made.alias("node"), "set_id", "n", "round")
+
     def pairs(self, split: DataFrame) -> DataFrame | None:
         """The promising records of all pairs of blocks of ``split`` that may hold news; None where no node does.
 
@@ -361,7 +382,7 @@ def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[D
     # the second tokens stand after those of all trees, in every sixth one
     tree = F.when(F.col("__place") < trees, F.col("__place")).otherwise((F.col("__place") - trees) * 6 + 5)
     nodes = records.select("set_id", "n", F.posexplode("nodes").alias("__place", "node"))
-    found, split = join.blocks(nodes.select("node", "set_id", "n", F.least(tree, F.lit(MAX_DEPTH - 1)).alias("round")))
+    found, split = join.blocks(nodes.select("node", "set_id", "n", F.least(tree, F.lit(1)).alias("round")))
     join.fetch(found, split)
     # the first tree joins most groups, so that the others find most of their blocks settled
     join.confirm(found.where("round = 0"))
@@ -369,7 +390,14 @@ def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[D
     discard(found)
     join.confirm(rest)
     discard(rest)
-    for k in range(MAX_DEPTH):
+    for _ in range(MAX_DEPTH):
+        if split.isEmpty():
+            break
+        found, split = join.blocks(join.children(split))
+        join.confirm(found)
+        discard(found)
+    # what no token separates; one tree first, so that the others find most of it settled
+    for k in (0, 1):
         if (found := join.pairs(split.where(F.col("round") == k))) is not None:
             join.confirm(found)
             discard(found)

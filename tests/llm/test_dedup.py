@@ -51,7 +51,7 @@ def corpus(n, seed):
     return rows + [(n, None, "x"), (n + 1, "", "x"), (n + 2, " \t\n", "x"), (n + 3, "Word WORD " * 4000, "x"), (n + 4, "word word " * 4000, "x")]
 
 
-@pytest.mark.parametrize("records,depth", [(4096, 8), (6, 3)])
+@pytest.mark.parametrize("records,depth", [(4096, 3), (6, 3), (6, 1), (2, 2)])
 def test_near_duplicates_against_brute_force(spark, monkeypatch, records, depth):
     monkeypatch.setattr(neardup, "BLOCK_RECORDS", records)
     monkeypatch.setattr(neardup, "MAX_DEPTH", depth)
@@ -61,6 +61,42 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, records, depth)
     assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found} == {(i, len(sets[i]), of[i], of[i] == i) for i in sets}
 
 
+def test_large_nodes_branch_until_they_are_small(spark, monkeypatch):
+    """Records that share a line meet in large nodes; children are small, hold no strangers, and lose no pair."""
+    monkeypatch.setattr(neardup, "BLOCK_RECORDS", 8)
+    rnd = random.Random(3)
+    line = [f"c{k}" for k in range(20)]
+    rows = []
+    for i in range(0, 240, 2):
+        own = [f"d{i}w{k}" for k in range(80)]
+        rows += [(i, " ".join([*line, *own]), "x"), (i + 1, " ".join([*line, *own[: rnd.choice([74, 78, 80])], "end"]), "x")]
+    levels, pairs = [], []
+    children, late = neardup._Join.children, neardup._Join.pairs
+
+    def counted(self, split):
+        out = children(self, split)
+        levels.append(sorted(r["count"] for r in out.groupBy("node").count().collect()))
+        return out
+
+    def last(self, split):
+        pairs.append(split.count())
+        return late(self, split)
+
+    monkeypatch.setattr(neardup._Join, "children", counted)
+    monkeypatch.setattr(neardup._Join, "pairs", last)
+    found = neardup.near_duplicates(spark.createDataFrame(rows, DOC).repartition(3)).collect()
+    assert {r.doc_id: r.component_id for r in found} == near_expected(rows)[1]
+    assert levels and levels[0][-1] > 8  # the first level was split and its children were not all small
+    assert len(levels) > 1 and sum(levels[-1]) < sum(levels[0])
+
+
+def test_recall_of_the_trees():
+    for similarity in (0.8, 0.85, 0.95):
+        t = neardup.trees_for(neardup.RECALL, similarity)
+        assert (1 - neardup.meeting(similarity)) ** t <= 1 - neardup.RECALL < (1 - neardup.meeting(similarity)) ** (t - 1)
+        assert t + t // 6 <= neardup.SKETCH
+
+
 def test_copies_of_one_original_in_groups_over_the_block_size(spark, monkeypatch):
     # a copy has two words changed: 150 / 170 shingles in common with the original, 140 / 180 with most other copies
     monkeypatch.setattr(neardup, "BLOCK_RECORDS", 6)
