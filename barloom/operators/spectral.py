@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from barloom.functions.series import number, positive_log, ratio, series
 from barloom.operators import calendar
 from barloom.operators.features import judged, low_confidence
+from barloom.operators.quarantine import strict
 
 BANDS = {"lo": (1e-12, 1 / 60), "mid": (1 / 60, 1 / 15), "hi": (1 / 15, 0.5)}
 FFT_NAMES = [
@@ -256,14 +257,14 @@ def per_window(df: DataFrame, columns: list[str], cadence: str, names: list[str]
     return made if quality else made.drop(*more)
 
 
-def fft_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", nperseg: int = 256, noverlap: int = 128, gap: float = 0.10, run: int = 30, share: float = 0.75) -> DataFrame:
-    """Welch features with their quality columns; null where the quality fails."""
-    made = per_window(df, columns, cadence, FFT_NAMES, lambda x: welch_features(x, nperseg, noverlap), quality=True)
+def fft_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", nperseg: int = 256, noverlap: int = 128, gap: float = 0.10, run: int = 30, share: float = 0.75, least: int = 0) -> DataFrame:
+    """Welch features with their quality columns; null where the quality fails. Below ``least`` samples a window fails."""
+    made = per_window(df, columns, cadence, FFT_NAMES, strict(lambda x: welch_features(x, nperseg, noverlap), least), quality=True)
     return _gated(made, sampling, FFT_NAMES, gap, run, share, 4)
 
 
-def cwt_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", gap: float = 0.20, run: int = 30, share: float = 0.75) -> DataFrame:
-    made = per_window(df, columns, cadence, CWT_NAMES, cwt_features, quality=True)
+def cwt_windows(df: DataFrame, columns: list[str], cadence: str, sampling: str = "hour", gap: float = 0.20, run: int = 30, share: float = 0.75, least: int = 0) -> DataFrame:
+    made = per_window(df, columns, cadence, CWT_NAMES, strict(cwt_features, least), quality=True)
     return _gated(made, sampling, CWT_NAMES, gap, run, share, 16)
 
 

@@ -1,4 +1,8 @@
-"""Steps in sequence: named builders over one state of DataFrames, with checks between them."""
+"""Steps in sequence: named builders over one state of DataFrames, with checks between them.
+
+Every table is written once in the shared folder and counted while it is written. Tickers and windows that a step
+cannot use go to the table ``quarantine``; a ticker that is in it takes no part in later steps.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +14,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators import calendar, features, indicators, merge, spectral
+from barloom.operators import calendar, features, indicators, merge, quarantine, spectral
 from barloom.operators.calendar import CADENCES
-from barloom.session import cut
+from barloom.session import counted_cut, cut
 from barloom.sources.tables import build_bars
 
 ORDER = ("load", "merge", "agg", "fft", "cwt")
@@ -32,6 +36,8 @@ class Config:
     nperseg: int = 256
     noverlap: int = 128
     checks: bool = True
+    #: Samples below which a spectral window fails.
+    least_samples: int = 0
 
     def __post_init__(self):
         if self.sampling not in ("minute", "hour", "day"):
@@ -70,48 +76,71 @@ def cadence_path(template: str, cadence: str) -> str:
 class State:
     ticks: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    #: Rows of every table.
+    rows: dict[str, int] = field(default_factory=dict)
+    bad: DataFrame | None = None
+
+    def put(self, name: str, df: DataFrame) -> None:
+        self.tables[name], self.rows[name] = counted_cut(df, name)
+
+    def reject(self, bad: DataFrame) -> None:
+        """Rows of barloom.operators.quarantine; what is in ``tables`` already stays as it is."""
+        bad, n = counted_cut(bad, "quarantine")
+        self.rows["quarantine"] = self.rows.get("quarantine", 0) + n
+        self.bad = bad if self.bad is None else self.bad.unionByName(bad)
+
+    def good(self, name: str) -> DataFrame:
+        return self.tables[name] if self.bad is None else quarantine.without(self.tables[name], self.bad)
 
 
 def _load(s: State, c: Config) -> None:
-    s.tables["bars"] = indicators.grid_indicators(cut(build_bars(s.ticks, c.sampling), "bars"))
+    bars = cut(build_bars(s.ticks, c.sampling), "bars")
+    s.reject(quarantine.faults(bars, "load", {"no price": F.count("close") == 0, "price not positive": F.min("low") <= 0}))
+    s.put("bars", indicators.grid_indicators(quarantine.without(bars, s.bad)))
 
 
 def _merge(s: State, c: Config) -> None:
-    bars = s.tables["bars"]
+    bars = s.good("bars")
     made = merge.merged_days(bars, list(c.extra)) if c.sampling == "day" else merge.merged(bars, list(c.extra), c.sampling, c.half_bar, c.fill, c.fill_extra)
-    s.tables["merged"] = cut(made, "merged")
+    s.put("merged", made)
+    s.reject(quarantine.lost(bars, s.tables["merged"], "merge", "no bars in the session"))
 
 
 def _agg(s: State, c: Config) -> None:
-    s.tables["agg_day"] = features.daily(s.tables["merged"])
+    merged = s.good("merged")
+    s.put("agg_day", features.daily(merged))
     for cadence in c.cadences:
         if cadence == "hour":
-            hours = s.tables["merged"].withColumn("win_end", calendar.window_end(F.col("ts"), "hour"))
-            s.tables["agg_hour"] = features.daily(hours, ["ticker", "win_end"])
+            s.put("agg_hour", features.daily(merged.withColumn("win_end", calendar.window_end(F.col("ts"), "hour")), ["ticker", "win_end"]))
         elif cadence != "day":
-            s.tables[f"agg_{cadence}"] = features.reduce_windows(s.tables["agg_day"], cadence, c.reducer, c.sampling)
+            s.put(f"agg_{cadence}", features.reduce_windows(s.tables["agg_day"], cadence, c.reducer, c.sampling))
 
 
-def _fft(s: State, c: Config) -> None:
+def _windows(s: State, step: str, columns: tuple[str, ...], c: Config, made) -> None:
+    """Spectral tables of every cadence; windows that fail go to the quarantine, and their tickers after this step."""
+    df, found = spectral.with_series(s.good("merged"), list(columns))
+    bad = []
     for cadence in c.cadences:
-        df, found = spectral.with_series(s.tables["merged"], list(c.fft_series))
-        s.tables[f"fft_{cadence}"] = spectral.fft_windows(df, found, cadence, c.sampling, c.nperseg, c.noverlap)
+        whole = cut(made(df, found, cadence), step)
+        s.put(f"{step}_{cadence}", whole.where("error is null"))
+        bad.append(quarantine.failed_windows(whole, step))
+    for x in bad:
+        s.reject(x)
+
+
+def _fft(s: State, c: Config) -> None:
+    _windows(s, "fft", c.fft_series, c, lambda df, found, cadence: spectral.fft_windows(df, found, cadence, c.sampling, c.nperseg, c.noverlap, least=c.least_samples))
 
 
 def _cwt(s: State, c: Config) -> None:
-    for cadence in c.cadences:
-        df, found = spectral.with_series(s.tables["merged"], list(c.cwt_series))
-        s.tables[f"cwt_{cadence}"] = spectral.cwt_windows(df, found, cadence, c.sampling)
+    _windows(s, "cwt", c.cwt_series, c, lambda df, found, cadence: spectral.cwt_windows(df, found, cadence, c.sampling, least=c.least_samples))
 
 
 STEPS: dict[str, Callable[[State, Config], None]] = {"load": _load, "merge": _merge, "agg": _agg, "fft": _fft, "cwt": _cwt}
 
 
-def run_steps(ticks: DataFrame, steps: tuple[str, ...] = ORDER, config: Config | None = None) -> dict[str, DataFrame]:
-    """The tables of the steps, in the order given; with ``checks`` a step that leaves an empty table raises.
-
-    The merged grid, which three steps read, is written once in the shared folder.
-    """
+def run_state(ticks: DataFrame, steps: tuple[str, ...] = ORDER, config: Config | None = None) -> State:
+    """The state after the steps, in the order given; with ``checks`` a step that leaves an empty table raises."""
     config = config or Config()
     if unknown := [x for x in steps if x not in STEPS]:
         raise ValueError(f"unknown steps: {unknown}")
@@ -119,7 +148,13 @@ def run_steps(ticks: DataFrame, steps: tuple[str, ...] = ORDER, config: Config |
     for name in steps:
         before = set(state.tables)
         STEPS[name](state, config)
-        for made in set(state.tables) - before if config.checks else ():
-            if state.tables[made].isEmpty():
+        for made in sorted(set(state.tables) - before) if config.checks else ():
+            if not state.rows[made]:
                 raise ValueError(f"step {name} left {made} empty")
-    return state.tables
+    return state
+
+
+def run_steps(ticks: DataFrame, steps: tuple[str, ...] = ORDER, config: Config | None = None) -> dict[str, DataFrame]:
+    """The tables of the steps, and ``quarantine`` where a step has looked for faults."""
+    state = run_state(ticks, steps, config)
+    return state.tables | ({} if state.bad is None else {"quarantine": state.bad})

@@ -9,7 +9,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parent.parent
 #: Rows and bytes of an Arrow batch between Spark and Python: what a task holds of whole texts on either side.
@@ -51,6 +52,13 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return out
 
 
+def counted_cut(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``cut`` and the number of rows, observed while they are written: no job beside the write."""
+    seen = Observation(name)
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a ``cut`` that nothing reads any more, as those of a round once the next one is written."""
     jvm = df.sparkSession._jvm
