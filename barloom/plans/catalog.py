@@ -50,6 +50,33 @@ for unit in ("minute", "hour"):
         f"{unit}_bars",
         OHLC,
     )
+MULTIPLES = {
+    # name: unit, multiplier, origin, at the open, and the same start in SQL
+    "bars_2_weeks": ("week", 2, "2024-01-03", False, "DATE '2024-01-01' + CAST(14 * floor((CAST(ts AS DATE) - DATE '2024-01-01') / 14.0) AS INTEGER)"),
+    "bars_2_months": (
+        "month", 2, "1992-02-10", False,
+        "DATE '1992-02-01' + to_months(CAST(2 * floor(((year(ts) - 1992) * 12 + month(ts) - 2) / 2.0) AS INTEGER))",
+    ),
+    "bars_2_quarters": (
+        "quarter", 2, "1992-05-01", False,
+        "DATE '1992-04-01' + to_months(CAST(6 * floor(((year(ts) - 1992) * 12 + month(ts) - 4) / 6.0) AS INTEGER))",
+    ),
+    "bars_3_years": ("year", 3, "1993-06-30", False, "make_date(CAST(1993 + 3 * floor((year(ts) - 1993) / 3.0) AS INTEGER), 1, 1)"),
+    "bars_45_minutes_at_open": (
+        "minute", 45, "1970-01-01", True,
+        f"date_trunc('day', ts) + to_minutes(CAST(570 + 45 * floor(({sql.MINUTE} - 570) / 45.0) AS BIGINT))",
+    ),
+}
+for _name, (_unit, _k, _origin, _open, _start) in MULTIPLES.items():
+    _source = "ticks" if _open or _unit == "week" else "trades"
+    simple(
+        _name,
+        lambda s, d, x=(_unit, _k, _origin, _open), t=getattr(tables, _source): build_bars(t(s, d), *x),
+        [*KEY, *OHLC, "transactions"],
+        [_source],
+        f"({sql.bars(_source, 'day').replace(sql.start('day'), f'({_start})::TIMESTAMP')})",
+        OHLC,
+    )
 simple("bars_day", lambda s, d: build_bars(tables.trades(s, d), "day"), [*KEY, *OHLC, "transactions"], ["day_bars"], "day_bars", OHLC)
 simple(
     "rth_filter",

@@ -115,10 +115,10 @@ def register_all() -> None:
     register("number_or_null", f"SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, CASE WHEN isfinite(TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE)) THEN TRY_CAST({dirty.format('VARCHAR')} AS DOUBLE) END AS x FROM lineitem")(
         lambda s, d: tables.table(s, d, "lineitem").select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), "l_linenumber", number(F.expr(dirty.format("STRING"))).alias("x"))
     )
-    parts = "trim(concat_ws(' ', nullif(source, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END, ''), nullif(trim(left(text, 40), ' '), '')), ' ')"
+    parts = "trim(concat_ws(' ', nullif(source, ''), nullif(CASE WHEN doc_id % 2 = 0 THEN '' ELSE lang END, ''), nullif(trim(text, ' '), '')), ' ')"
     register("news_between", sql.query(["news"], f"SELECT CAST(doc_id AS BIGINT) AS doc_id, {parts} AS said FROM documents WHERE doc_id IN (SELECT doc_id FROM news WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-03')"))(
         lambda s, d: calendar.between_days(catalog.news(s, d), "2024-01-01", "2024-01-02").join(tables.table(s, d, "documents").select("doc_id", "source", "lang"), "doc_id")
-        .select("doc_id", documents.news_text(F.col("source"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang")), F.trim(F.left(F.col("text"), F.lit(40)))).alias("said"))
+        .select("doc_id", documents.news_text(F.col("source"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang")), F.trim(F.col("text"))).alias("said"))
     )
     one = "SELECT event_type AS ticker, max(ts) AS ts, arg_max(value, (ts, event_id)) AS price FROM events WHERE event_type IN ('click', 'view') GROUP BY 1"
     register("snapshot_list", f"SELECT ticker, ts, round(price, 6) + 0.0 AS price FROM ({one})")(
@@ -190,6 +190,16 @@ def register_all() -> None:
         "SELECT source, lang, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER "
         "BY (text LIKE '% %') DESC, n_chars DESC, doc_id % 7 DESC, doc_id) AS rn FROM documents) WHERE rn = 1"
     )
+    def consolidated(s: SparkSession, d: str) -> DataFrame:
+        """Documents in three rounds, the third with those of the first again; each round keeps what is better."""
+        root = folder(s, "better")
+        docs = tables.table(s, d, "documents")
+        rank = [F.contains("text", F.lit(" ")).desc(), F.desc("n_chars"), (F.col("doc_id") % 7).desc(), "doc_id"]
+        for part in (F.col("doc_id") % 3 == 0, F.col("doc_id") % 3 == 1, F.col("doc_id") % 3 != 1):
+            tables.write_if_better(docs.where(part), root, "source", ["source", "lang"], *rank)
+        return s.read.parquet(root).select("source", "lang", F.col("doc_id").cast("bigint").alias("doc_id"))
+
+    register("write_if_better", best)(consolidated)
     winners = lambda s, d: documents.best_of(tables.table(s, d, "documents"), ["source", "lang"], F.contains("text", F.lit(" ")), F.col("n_chars"), F.col("doc_id") % 7, F.col("doc_id"))
     register("write_winners", best)(
         round_trip(
@@ -233,6 +243,51 @@ def register_all() -> None:
     register("write_mirrored", sql.query(["merged", "news"], f"SELECT * FROM ({flat}) WHERE key NOT IN ('inter.close', 'inter.r_close')", ["value"]))(
         mirrored,
     )
+
+    def named(s: SparkSession, d: str) -> DataFrame:
+        """Documents under their names, read, without some features under the same names again, and read."""
+        a, b = folder(s, "documents"), folder(s, "mirrored")
+        tables.write_documents_named(catalog.assembled(s, d), a)
+        tables.write_mirrored_named(documents.drop_empty(documents.drop_features(tables.read_documents(s, a))), b)
+        made = tables.read_documents(s, b).withColumn("file", F.regexp_extract("file", "([^/]*/[^/]*)$", 1))
+        cells = made.select("file", "ticker", "date", F.size("news").cast("bigint").alias("news"), F.explode("per_hour_data").alias("hour", "m"))
+        cells = cells.select("file", "ticker", "date", "news", F.explode("m").alias("key", "value")).where("value is not null")
+        return rounded(cells.groupBy("file", "ticker", "date", "news").agg(F.count(F.lit(1)).alias("cells"), F.sum("value").alias("total")))
+
+    register(
+        "write_documents_named",
+        sql.query(
+            ["merged", "news"],
+            (
+                "SELECT ticker || '/' || date || '_' || ticker || '.json' AS file, ticker, date::VARCHAR AS date, n AS news, count(*)::BIGINT AS cells, "
+                f"sum(value) AS total FROM ({flat}) WHERE key NOT IN ('inter.close', 'inter.r_close') GROUP BY ALL"
+            ),
+            ["total"],
+        ),
+    )(named)
+
+    def unreadable(s: SparkSession, d: str) -> DataFrame:
+        """A document of each source and language, some cut off, some with a byte that is no UTF-8, some without a ticker."""
+        root = folder(s, "broken")
+        item = F.struct(F.lit("t").alias("timestamp_et"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("string").alias("url"))
+        of = tables.table(s, d, "documents").groupBy("source", "lang").agg(F.sort_array(F.collect_list(item)).alias("news"))
+        ticker = F.when(~F.col("source").endswith("5"), F.col("source"))
+        body = F.to_json(F.struct(ticker.alias("ticker"), F.col("lang").alias("date"), "news")).cast("binary")
+        cut_off = F.substring(body, F.lit(1), F.octet_length(body) - 3)
+        value = F.when(F.col("source").endswith("3"), cut_off).when(F.col("source").endswith("7"), F.concat(body, F.lit(b"\xff"))).otherwise(body)
+        name = F.concat("source", F.lit("/"), "lang", F.lit(".json"))
+        tables.write_named(of.select(name.alias("path"), value.alias("value")), root)
+        made = tables.read_documents_checked(s, root)
+        return made.select(F.regexp_extract("file", "([^/]*/[^/]*)$", 1).alias("file"), "ticker", F.col("date").alias("lang"), F.size("news").cast("bigint").alias("n"), "reason")
+
+    register(
+        "unreadable_documents",
+        (
+            "SELECT source || '/' || lang || '.json' AS file, CASE WHEN reason IS NULL THEN source END AS ticker, CASE WHEN reason IS NULL THEN lang END AS lang, "
+            "CASE WHEN reason IS NULL THEN n END AS n, reason FROM (SELECT source, lang, count(*)::BIGINT AS n, CASE WHEN source LIKE '%3' THEN 'not a JSON document' "
+            "WHEN source LIKE '%7' THEN 'not UTF-8' WHEN source LIKE '%5' THEN 'no ticker' END AS reason FROM documents GROUP BY 1, 2)"
+        ),
+    )(unreadable)
     twice = lambda s, d: catalog.merged(s, d).withColumn("end_ts", F.col("ts"))
 
     def last_rows(s: SparkSession, d: str) -> DataFrame:

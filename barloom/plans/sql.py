@@ -17,9 +17,13 @@ MINUTE = "(hour(ts) * 60 + minute(ts))"
 PRICES = ("open", "high", "low", "close", "vwap", "volume", "transactions")
 
 
+def start(unit: str) -> str:
+    return f"date_trunc('{unit}', ts)::TIMESTAMP"
+
+
 def bars(source: str, unit: str) -> str:
     return (
-        f"SELECT ticker, date_trunc('{unit}', ts)::TIMESTAMP AS ts, first(price ORDER BY ts, seq) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, seq) AS close, "
+        f"SELECT ticker, {start(unit)} AS ts, first(price ORDER BY ts, seq) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, seq) AS close, "
         f"sum(size) AS volume, CASE WHEN sum(size) <> 0 THEN sum(price * size) / sum(size) END AS vwap, count(*)::BIGINT AS transactions FROM {source} GROUP BY 1, 2"
     )
 

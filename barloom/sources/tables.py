@@ -2,19 +2,40 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from barloom.session import counted_cut
+
 BAR = "timestamp timestamp_ntz, open double, high double, low double, close double, volume double, vwap double, transactions bigint"
 DOCUMENT = "ticker string, date string, news array<struct<timestamp_et:string,text:string,url:string>>, per_hour_data map<string,map<string,double>>"
+#: Folder of files that are being written.
+ASIDE = "_aside"
 PRICES = ["open", "high", "low", "close", "vwap", "volume", "transactions"]
-#: Accepted names of the granularities.
-GRANULARITIES = {"minute": "minute min m", "hour": "hour hourly hr h", "day": "day daily d", "week": "week weekly w", "month": "month monthly mo", "quarter": "quarter quarterly q", "year": "year yearly annual annually y"}
+# fixed values: accepted names of the granularities
+GRANULARITIES = {
+    "minute": ("minute", "min", "m"),
+    "hour": ("hour", "hourly", "hr", "h"),
+    "day": ("day", "daily", "d"),
+    "week": ("week", "weekly", "w"),
+    "month": ("month", "monthly", "mo"),
+    "quarter": ("quarter", "quarterly", "q"),
+    "year": ("year", "yearly", "annual", "annually", "y"),
+}
+#: Seconds of the units of fixed length, months of the others.
+SECONDS = {"minute": 60, "hour": 3600, "day": 86_400, "week": 7 * 86_400}
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
 def granularity(name: str) -> str:
     for unit, names in GRANULARITIES.items():
-        if name.strip().lower() in names.split():
+        if name.strip().lower() in names:
             return unit
     raise ValueError(f"unknown granularity {name!r}")
 
@@ -47,13 +68,34 @@ def prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ticker"), ts.alias("ts"), seq.alias("seq"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").alias("size"))
 
 
-def build_bars(ticks: DataFrame, unit: str, multiplier: int = 1) -> DataFrame:
-    """OHLCV bars: one partial aggregate and one shuffle on (ticker, bucket)."""
+def bucket(ts: Column, unit: str, multiplier: int = 1, origin: str = "1970-01-01", at_open: bool = False) -> Column:
+    """The start of the bar of ``multiplier`` units that ``ts`` falls in.
+
+    Bars of several units are counted from ``origin``: weeks from the Monday of its week, months, quarters and years
+    from the start of its month, quarter or year. With ``at_open`` minutes and hours are counted from 09:30 of each
+    day, so that the first bar starts with the session; what comes before falls into bars that end there.
+    """
     unit = granularity(unit)
-    start = F.date_trunc(unit, F.col("ts")).cast("timestamp_ntz")
-    if multiplier > 1:
-        step = {"minute": 60, "hour": 3600, "day": 86400}[unit] * multiplier
-        start = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / step) * step).cast("timestamp_ntz")
+    start = F.lit(origin).cast("timestamp_ntz")
+    if unit in MONTHS:
+        first = F.date_trunc(unit, start).cast("timestamp_ntz")
+        whole = (F.year(ts) - F.year(first)) * 12 + F.month(ts) - F.month(first)
+        step = MONTHS[unit] * multiplier
+        return first + F.make_ym_interval(months=(F.floor(whole / step) * step).cast("int"))
+    if unit in ("minute", "hour") and at_open:
+        start = F.to_date(ts).cast("timestamp_ntz") + F.expr("interval 570 minutes")
+    elif unit == "week":
+        start = F.date_trunc("week", start).cast("timestamp_ntz")
+    elif multiplier == 1:
+        return F.date_trunc(unit, ts).cast("timestamp_ntz")
+    step = SECONDS[unit] * multiplier
+    seconds = F.timestamp_diff("SECOND", start, F.date_trunc("second", ts).cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", F.floor(seconds / step) * step, start).cast("timestamp_ntz")
+
+
+def build_bars(ticks: DataFrame, unit: str, multiplier: int = 1, origin: str = "1970-01-01", at_open: bool = False) -> DataFrame:
+    """OHLCV bars: one partial aggregate and one shuffle on (ticker, bucket)."""
+    start = bucket(F.col("ts"), unit, multiplier, origin, at_open)
     at = F.struct("ts", "seq")
     sold = F.sum("size")
     return ticks.groupBy("ticker", start.alias("ts")).agg(
@@ -139,6 +181,24 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("mtime"))
 
 
+def read_documents_checked(spark: SparkSession, path: str) -> DataFrame:
+    """read_documents for input that may be broken: every file is a row, and ``reason`` says why it cannot be used.
+
+    A file that is not UTF-8, is no JSON document, or has no ticker has its reason and null fields; the others have
+    a null reason. Both stand in one scan, so whoever writes the good rows can write and count the others beside them.
+    """
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,txt}").load(path)
+    text = F.col("content").cast("string")
+    valid = F.is_valid_utf8(text)
+    told = F.from_json(F.when(valid, text), DOCUMENT + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+    rows = rows.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), valid.alias("valid"), told.alias("d"))
+    no_document = F.col("d").isNull() | F.col("d._corrupt").isNotNull()
+    reason = F.when(~F.col("valid"), "not UTF-8").when(no_document, "not a JSON document").when(F.col("d.ticker").isNull(), "no ticker")
+    rows = rows.withColumn("reason", reason)
+    fields = [F.when(F.col("reason").isNull(), F.col(f"d.{c}")).alias(c) for c in ("ticker", "date", "news", "per_hour_data")]
+    return rows.select(*fields, "file", "size", "mtime", "reason")
+
+
 def write_series(df: DataFrame, path: str, *parts: str) -> None:
     """Parquet by ``parts`` (ticker first), in time order."""
     order = [c for c in ("win_end", "day_id", "ts") if c in df.columns][:1]
@@ -202,6 +262,72 @@ def write_mirrored(df: DataFrame, path: str) -> None:
     df.select(level(1).alias("folder"), level(2).alias("day"), body.alias("value")).write.mode("overwrite").partitionBy("folder", "day").text(path)
 
 
+def write_named(df: DataFrame, root: str) -> int:
+    """Writes each row (path, value as bytes) to the file ``path`` under ``root``, from the tasks; how many there are.
+
+    A task writes a file aside and moves it to its name, so a retried task or a second attempt leaves whole files and
+    the same ones. Paths must be distinct. The file system must be one that pyarrow reaches from the executors.
+    """
+    root = root.rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pyarrow.fs.FileSystem.from_uri(root)
+        fs.create_dir(f"{base}/{ASIDE}", recursive=True)
+        made: set[str] = set()
+        for batch in batches:
+            for path, value in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+                target, aside = f"{base}/{path}", f"{base}/{ASIDE}/{uuid.uuid4().hex}"
+                if (folder := target.rpartition("/")[0]) not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with fs.open_output_stream(aside) as f:
+                    f.write(value)
+                fs.move(aside, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    n = df.select("path", F.col("value").cast("binary").alias("value")).mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+    spark = df.sparkSession
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{ASIDE}")
+    aside.getFileSystem(spark._jsc.hadoopConfiguration()).delete(aside, True)
+    return n
+
+
+def write_documents_named(df: DataFrame, root: str) -> int:
+    """<root>/<ticker>/<date>_<ticker>.json for each document, indented."""
+    body = F.to_json(F.struct("ticker", "date", "news", "per_hour_data"), {"pretty": "true"})
+    name = F.concat(safe_name(F.col("ticker")), F.lit("/"), F.col("date").cast("string"), F.lit("_"), safe_path(F.col("ticker")), F.lit(".json"))
+    return write_named(df.select(name.alias("path"), body.alias("value")), root)
+
+
+def write_mirrored_named(df: DataFrame, root: str) -> int:
+    """Documents of read_documents under ``root``, with the folder and the name that their ``file`` has."""
+    body = F.to_json(F.struct("ticker", "date", "news", "per_hour_data"), {"pretty": "true"})
+    return write_named(df.select(F.regexp_extract("file", "([^/]*/[^/]*)$", 1).alias("path"), body.alias("value")), root)
+
+
+def write_if_better(df: DataFrame, root: str, part: str, keys: list[str], *rank: Column) -> int:
+    """Merges ``df`` into the table under ``root``: a row replaces that of its key only where it ranks before it.
+
+    ``rank`` orders the rows of a key, best first; what stands there wins ties. Only partitions (by ``part``) with a
+    new row are written, each swapped as a whole when all are written. How many rows are new or replaced comes back;
+    with none, no file changes.
+    """
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    rows = df.withColumn("__new", F.lit(1))
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        there = spark.read.schema(df.schema).option("basePath", root).parquet(root)
+        rows = rows.unionByName(there.withColumn("__new", F.lit(0)))
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(*rank, "__new"))
+    best, _ = counted_cut(rows.withColumn("__place", place).where("__place = 1").drop("__place"), "best")
+    changed = best.where("__new = 1").groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    if not (n := changed.agg(F.sum("n")).first()[0]):
+        return 0
+    best = best.join(changed.select(part), part, "left_semi").drop("__new")
+    best.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(root)
+    return n
+
+
 def with_missing(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("double") for c in columns if c not in df.columns})
 
