@@ -17,10 +17,10 @@ def planted(spark: SparkSession, d: str) -> DataFrame:
     """The ticks with a fault in four of five tickers.
 
     ``error`` has some negative prices, ``signup`` none at all, ``purchase`` trades before the session only, and
-    ``view`` stops after the first week but for one day.
+    ``view`` stops after the first week of the windows but for one day.
     """
     price = F.when((F.col("ticker") == "error") & (F.col("seq") % 50 == 0), -F.col("price")).when(F.col("ticker") != "signup", F.col("price"))
-    stays = F.when(F.col("ticker") == "purchase", F.hour("ts") < 9).when(F.col("ticker") == "view", (F.col("ts") < "2024-01-08") | (F.to_date("ts") == "2024-01-10"))
+    stays = F.when(F.col("ticker") == "purchase", F.hour("ts") < 9).when(F.col("ticker") == "view", (F.col("ts") < "2024-01-06") | (F.to_date("ts") == "2024-01-10"))
     return tables.ticks(spark, d).where(F.coalesce(stays, F.lit(True))).withColumn("price", price)
 
 
@@ -28,7 +28,7 @@ sql.STEPS["planted"] = (
     ["ticks"],
     (
         "SELECT ticker, ts, seq, CASE WHEN ticker = 'error' AND seq % 50 = 0 THEN -price WHEN ticker <> 'signup' THEN price END AS price, size FROM ticks "
-        "WHERE CASE WHEN ticker = 'purchase' THEN hour(ts) < 9 WHEN ticker = 'view' THEN ts < TIMESTAMP '2024-01-08' OR CAST(ts AS DATE) = DATE '2024-01-10' ELSE true END"
+        "WHERE CASE WHEN ticker = 'purchase' THEN hour(ts) < 9 WHEN ticker = 'view' THEN ts < TIMESTAMP '2024-01-06' OR CAST(ts AS DATE) = DATE '2024-01-10' ELSE true END"
     ),
 )
 sql.STEPS["planted_bars"] = (["planted"], sql.bars("planted", "hour"))

@@ -185,7 +185,8 @@ def read_documents_checked(spark: SparkSession, path: str) -> DataFrame:
     """read_documents for input that may be broken: every file is a row, and ``reason`` says why it cannot be used.
 
     A file that is not UTF-8, is no JSON document, or has no ticker has its reason and null fields; the others have
-    a null reason. Both stand in one scan, so whoever writes the good rows can write and count the others beside them.
+    a null reason. Files without a byte are left out by the scan itself. Both kinds stand in one scan, so whoever
+    writes the good rows can write and count the others beside them.
     """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,txt}").load(path)
     text = F.col("content").cast("string")
