@@ -2,12 +2,13 @@
 
 A document's set has its distinct word shingles. Documents with equal sets are one record. In each of several
 independent trees a record goes to the nodes named by its minwise tokens at the places that the tree selects. The
-records of a small node are compared exhaustively, first by sketches, then on full sets. A large node that holds
-several components branches: it selects BRANCHES places by its own seed, and each record goes to the children named by
-its tokens there; children branch again, MAX_DEPTH levels deep. Before it branches, a large node is compared in blocks
-that share a few leaders, which joins groups of many copies cheaply; nodes whose records are all in one component hold
-no news and go. What is still large and in several components at the end, because its tokens do not separate it, is
-compared whole: all pairs of records from different components, block by block.
+records of a small node are compared exhaustively, first by sketches, then on full sets. A large node is first
+compared in blocks that share a few leaders, which joins groups of many copies cheaply; nodes whose records are then
+all in one component hold no news and go. Where few records are left beside a node's largest component, so that pairs
+of records from different components are no more than WORK, the node counts as small as well and these pairs are
+compared. Any other large node branches: it selects BRANCHES places by its own seed, and each record goes to the
+children named by its tokens there; children branch again, MAX_DEPTH levels deep. What is still large at the end,
+because its tokens do not separate it, is compared whole like those with few pairs, block by block.
 
 A pair of similarity s shares a node of a tree with the chance s, and a child with the chance 1 - (1 - s)^BRANCHES a
 level. The number of trees follows from that chance over all levels and the recall wanted, and so does the agreement
@@ -40,7 +41,9 @@ RECALL = 1 - 1e-6
 #: Minwise tokens of a sketch.
 SKETCH = 64
 #: Records and shingles of a node or block that is compared exhaustively; leaders that the blocks of a node share.
-BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 1024, 1 << 21, 4
+BLOCK_RECORDS, BLOCK_SHINGLES, LEADERS = 2048, 1 << 21, 4
+#: Pairs of records of different components up to which a node is compared without branching.
+WORK = 1 << 24
 #: Places that a large node selects for its children, and how many levels branch below the first.
 BRANCHES, MAX_DEPTH = 3, 3
 _MULTIPLIERS = np.random.default_rng(20_231).integers(1 << 62, 1 << 63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -288,28 +291,40 @@ class _Join:
         blocks = blocks.groupBy(F.xxhash64("node", "part").alias("block"), "set_id").agg(F.min("round").alias("round"))
         return self.promising(blocks), members.where("parts > 1").select("node", "set_id", "n", "round")
 
-    def children(self, split: DataFrame) -> DataFrame:
-        """The next level of nodes that still hold several components: a record follows its tokens at the node's places.
+    def sizes(self, rows: DataFrame) -> DataFrame:
+        """Of labelled nodes that hold several components: the largest one, what all hold, and the pairs between components."""
+        sizes = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+        stats = sizes.groupBy("node").agg(F.max(F.struct("size", "weight", "comp")).alias("m"), F.sum("size").alias("size"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("comps"))
+        return stats.where("comps > 1").withColumn("work", (F.col("size") - F.col("m.size")) * F.col("size"))
+
+    def children(self, split: DataFrame) -> DataFrame | None:
+        """The next level of the nodes with more than WORK pairs: a record follows its tokens at the node's places.
 
-        A node's first place is random, the others stand apart from it, so the places differ.
+        A node's first place is random, the others stand apart from it, so the places differ. None where no node
+        has as many pairs.
         """
         rows = self.labelled(split)
-        open_ = rows.groupBy("node").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a != b").select("node")
-        rows = rows.join(open_, "node").join(self.records.select("set_id", "sketch"), "set_id")
+        large = cut(self.sizes(rows).where(F.col("work") > WORK).select("node"), "large")
+        if large.isEmpty():
+            return None
+        rows = rows.join(large, "node").join(self.records.select("set_id", "sketch"), "set_id")
         place = F.pmod(F.xxhash64(F.lit(7), "node"), F.lit(SKETCH)).cast("int")
         token = lambda k: F.substring(F.col("sketch"), (place + k * (SKETCH // BRANCHES)) % SKETCH + 1, F.lit(1))
         made = F.explode(F.array(*(F.xxhash64("node", F.lit(k), token(k)) for k in range(BRANCHES))))
         return rows.select(made.alias("node"), "set_id", "n", "round")
 
-    def pairs(self, split: DataFrame) -> DataFrame | None:
+    def pairs(self, split: DataFrame, whole: bool) -> DataFrame | None:
         """The promising records of all pairs of blocks of ``split`` that may hold news; None where no node does.
 
+        Unless ``whole``, only nodes of at most WORK pairs count.
+
         The largest component of a node needs no comparison inside itself: each of its parts meets each part of the
         other records once, and only those parts meet each other, too.
         """
         rows = self.labelled(split)
-        sizes = rows.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
-        stats = sizes.groupBy("node").agg(F.max(F.struct("size", "weight", "comp")).alias("m"), F.sum("size").alias("size"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        stats = self.sizes(rows)
+        if not whole:
+            stats = stats.where(F.col("work") <= WORK)
         # half as much in a block, as two meet
         limits = BLOCK_RECORDS // 2, BLOCK_SHINGLES // 2
         others = _parts(F.col("size") - F.col("m.size"), F.col("weight") - F.col("m.weight"), *limits)
@@ -390,17 +405,17 @@ def _groups(docs: DataFrame, words: int, percent: int, recall: float) -> tuple[D
     discard(found)
     join.confirm(rest)
     discard(rest)
-    for _ in range(MAX_DEPTH):
-        if split.isEmpty():
+    for level in range(MAX_DEPTH + 1):
+        # one tree first, so that the others find most of it settled
+        for k in (0, 1):
+            if (found := join.pairs(split.where(F.col("round") == k), level == MAX_DEPTH)) is not None:
+                join.confirm(found)
+                discard(found)
+        if level == MAX_DEPTH or (nodes := join.children(split)) is None:
             break
-        found, split = join.blocks(join.children(split))
+        found, split = join.blocks(nodes)
         join.confirm(found)
         discard(found)
-    # what no token separates; one tree first, so that the others find most of it settled
-    for k in (0, 1):
-        if (found := join.pairs(split.where(F.col("round") == k))) is not None:
-            join.confirm(found)
-            discard(found)
     label = join.labelled(records.select("set_id", "rep")).select("set_id", "rep", "comp")
     least = label.groupBy("comp").agg(F.min("rep").alias("component_id"))
     return described.select("doc_id", "row", "n_shingles", "set_id"), label.join(least, "comp").select("set_id", "comp", "component_id")

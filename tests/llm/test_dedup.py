@@ -55,6 +55,7 @@ def corpus(n, seed):
 def test_near_duplicates_against_brute_force(spark, monkeypatch, records, depth):
     monkeypatch.setattr(neardup, "BLOCK_RECORDS", records)
     monkeypatch.setattr(neardup, "MAX_DEPTH", depth)
+    monkeypatch.setattr(neardup, "WORK", records * 4)
     rows = corpus(160, 7)
     sets, of = near_expected(rows)
     found = neardup.near_duplicates(spark.createDataFrame(rows, DOC).repartition(3)).collect()
@@ -64,6 +65,7 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, records, depth)
 def test_large_nodes_branch_until_they_are_small(spark, monkeypatch):
     """Records that share a line meet in large nodes; children are small, hold no strangers, and lose no pair."""
     monkeypatch.setattr(neardup, "BLOCK_RECORDS", 8)
+    monkeypatch.setattr(neardup, "WORK", 64)
     rnd = random.Random(3)
     line = [f"c{k}" for k in range(20)]
     rows = []
@@ -74,13 +76,14 @@ def test_large_nodes_branch_until_they_are_small(spark, monkeypatch):
     children, late = neardup._Join.children, neardup._Join.pairs
 
     def counted(self, split):
-        out = children(self, split)
+        if (out := children(self, split)) is None:
+            return None
         levels.append(sorted(r["count"] for r in out.groupBy("node").count().collect()))
         return out
 
-    def last(self, split):
-        pairs.append(split.count())
-        return late(self, split)
+    def last(self, split, whole):
+        pairs.append((whole, split.count()))
+        return late(self, split, whole)
 
     monkeypatch.setattr(neardup._Join, "children", counted)
     monkeypatch.setattr(neardup._Join, "pairs", last)
