@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -192,20 +193,44 @@ def commentary_prompt(ticker: Column, date: Column, hours: Column) -> Column:
     )
 
 
-def run_model(df: DataFrame, prompt: str, out: str, model: Callable[[list[str]], list[str]], batch: int = 1000) -> DataFrame:
-    """``df`` with ``out``: what ``model`` answers to batches of prompts. The model loads once for each task's batches."""
+Model = Callable[[list[str]], list[str]]
+_MODELS: dict[str, Model] = {}
+
+
+def _model(key: str, make: Callable[[], Model]) -> Model:
+    """The model of ``key``, made once in each worker; that of another key goes."""
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = make()
+    return _MODELS[key]
+
+
+def _asked(model: Model, prompts: list[str]) -> pd.Series:
+    said = model(prompts)
+    if len(said) != len(prompts):
+        raise ValueError("a model must answer every prompt")
+    return pd.Series(said, dtype=object)
+
+
+def run_model(df: DataFrame, prompt: str, out: str, make: Callable[[], Model], batch: int = 1000) -> DataFrame:
+    """``df`` with ``out``: what the model that ``make`` makes answers to batches of prompts.
+
+    The model is made on the executors, once in each Python worker. Batches are full ones whatever the Arrow batches
+    are; only a task's last one may be smaller.
+    """
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = _model(key, make)
+        waiting: list[str] = []
         for prompts in batches:
-            said: list[str] = []
-            for k in range(0, len(prompts), batch):
-                part = prompts.iloc[k : k + batch].tolist()
-                got = model(part)
-                if len(got) != len(part):
-                    raise ValueError("a model must answer every prompt")
-                said += got
-            yield pd.Series(said)
+            waiting += prompts.tolist()
+            while len(waiting) >= batch:
+                yield _asked(model, waiting[:batch])
+                waiting = waiting[batch:]
+        if waiting:
+            yield _asked(model, waiting)
 
     return df.withColumn(out, answer(F.col(prompt)))
 

@@ -11,7 +11,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.series import number, positive_log, ratio, series
@@ -338,6 +338,20 @@ def with_series(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFr
     return df.withColumn("r_close", F.when(F.row_number().over(w) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(w))), ["r_close"]
 
 
+def cover_ratio(n: Column, periods: np.ndarray = PERIODS) -> Column:
+    """The share of a scalogram of ``n`` samples that ``influence`` leaves."""
+    reach = [int(np.ceil(np.sqrt(2) * s)) for s in CENTRE * periods]
+    left = F.aggregate(F.array(*map(F.lit, reach)), F.lit(0).cast("bigint"), lambda a, h: a + n - 2 * F.least(h.cast("bigint"), F.floor(n / 2)))
+    return ratio(left.cast("double"), n * float(len(reach)))
+
+
+def cwt_confidence(df: DataFrame, column: str, cadence: str, cover: float = 0.70, gap: float = 0.10, run: int = 8, least: int = 300) -> DataFrame:
+    """The flag of low confidence of scalograms: a small share outside the edges' influence counts as well."""
+    flag = low_confidence(df, column, cadence, gap, run, least)
+    flag = flag.withColumn("cover_ratio", F.coalesce(cover_ratio(F.col("n")), F.lit(0.0)))
+    return flag.withColumn("low_conf", F.greatest("low_conf", (F.col("cover_ratio") < cover).cast("int")))
+
+
 def legacy_windows(df: DataFrame, columns: list[str], cadence: str) -> DataFrame:
     """The older spectral features of each series with the flag of low confidence.
 

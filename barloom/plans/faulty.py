@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.plans import sql, steps
+from barloom.functions.series import rounded
+from barloom.operators import quarantine, spectral
+from barloom.plans import spectra, sql, steps
 from barloom.plans.registry import register
 from barloom.sources import tables
 
@@ -68,5 +70,16 @@ def quarantined(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def gated(spark: SparkSession, d: str) -> DataFrame:
+    """Scalogram features by week of the tickers that have a session: one week of ``view`` is too short and gaped."""
+    made = steps.run_steps(planted(spark, d), ("load", "merge"))
+    merged = quarantine.without(made["merged"], made["quarantine"])
+    return rounded(spectral.cwt_windows(merged, ["r_close"], "week", share=0.9, gap=0.1, run=3))
+
+
 def register_all() -> None:
+    grids, _ = spectra.cwt_windows("q_merged", ["r_close"], "week", 6)
+    quality = spectra.quality("q_merged", "r_close", "week", 6, 0.1, 3, 0.9, 16)
+    body = spectra.with_quality(quality, spectra.cwt_features("SELECT * FROM grid_r_close"), spectral.CWT_NAMES, "r_close")
+    register("cwt_gates", spectra.over_grids(grids, body, "q_merged", ["gap_ratio", *spectral.CWT_NAMES]))(gated)
     register("quarantine", sql.query(["q_load", "q_bars", "q_merged", "q_weeks"], QUARANTINE))(quarantined)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from barloom.operators import calendar, documents, features, merge, spectral
 from barloom.plans import spectra, sql
 from barloom.plans.registry import register, simple
 from barloom.session import shared_dir
-from barloom.sources import tables
+from barloom.sources import scans, tables
 
 KEY = ["ticker", "ts"]
 OHLC = ["open", "high", "low", "close", "volume", "vwap"]
@@ -340,7 +341,7 @@ def register_all() -> None:
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.concat(F.lit("P"), "doc_id").alias("prompt"),
         )
-        said = documents.run_model(rows, "prompt", "answer", lambda prompts: [f"{p}  says {len(p)} " if len(p) % 2 else f" only {p} " for p in prompts])
+        said = documents.run_model(rows, "prompt", "answer", lambda: lambda prompts: [f"{p}  says {len(p)} " if len(p) % 2 else f" only {p} " for p in prompts])
         return said.select("doc_id", documents.commentary(F.col("answer"), F.col("prompt")).alias("said"))
 
     register(
@@ -352,6 +353,43 @@ def register_all() -> None:
     )(
         answers,
     )
+
+    def classified(s: SparkSession, d: str) -> DataFrame:
+        """News that a model finds meaningful: prompts in batches, answers parsed, the others left out."""
+        rows = tables.table(s, d, "documents").select(
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            "source",
+            documents.classify_prompt(F.coalesce("text", F.lit("")), 'Is this news item meaningful? "{text}" Answer 0 or 1:').alias("prompt"),
+        )
+        said = documents.run_model(rows, "prompt", "answer", lambda: lambda prompts: [f" {len(p) % 2}, by its length" for p in prompts], 256)
+        return said.where(documents.parse_label(F.col("answer")) == 1).select("doc_id", "source")
+
+    register(
+        "classified_news",
+        (
+            "SELECT CAST(doc_id AS BIGINT) AS doc_id, source FROM documents WHERE length('Is this news item meaningful? \"' || "
+            "replace(trim(coalesce(text, ''), ' '), '\"', '\\\"') || '\" Answer 0 or 1:') % 2 = 1"
+        ),
+    )(classified)
+
+    def scanned(s: SparkSession, d: str) -> DataFrame:
+        """Features of two cadences as CSV files, found and typed by a configuration file."""
+        root = folder(s, "features")
+        merged = catalog.merged(s, d)
+        for cadence in ("week", "month"):
+            made = spectral.wide(spectral.fft_windows(merged, names[:2], cadence, "hour", 32, 16), names[:2], [*suffixes[:2], "centroid_freq_cpb"])
+            tables.write_csv_by_name(made.withColumnRenamed("win_end", "timestamp"), f"{root}/fft_{cadence}", order="timestamp")
+        config = {"template": f"{root}/fft_{{cad}}", "cadences": ["week", "month"], "series": names[:2], "suffixes": suffixes[:2]}
+        s.createDataFrame([(json.dumps(config),)], "value string").coalesce(1).write.text(f"{root}/config")
+        return rounded(scans.scan_all(s, scans.load(s, f"{root}/config")))
+
+    two = " UNION ALL ".join(
+        f"SELECT ticker, '{c}' AS cadence, win_end AS ts, {', '.join(columns)} FROM ("
+        + spectra.wide(spectra.fft_windows("merged", names[:2], c, 6, 32, 16), names[:2], suffixes[:2])
+        + ")"
+        for c in ("week", "month")
+    )
+    register("config_scan", sql.query(["merged"], two, columns))(scanned)
     offset = "ts - timezone('UTC', timezone('America/New_York', ts))"
     at = "TIMESTAMP '2024-03-01' + to_minutes(CAST(doc_id * 97 AS BIGINT))"
     register("summer_time", f"SELECT CAST(doc_id AS BIGINT) AS doc_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {offset} = INTERVAL (-4) HOUR THEN '-04:00' ELSE '-05:00' END AS at FROM (SELECT doc_id, {at} AS ts FROM documents)")(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,11 +84,28 @@ def register_all() -> None:
     register("low_confidence", sql.query(["m_merged"], low, ["gap_ratio"]))(
         lambda s, d: rounded(features.low_confidence(grid(s, d), "r_close", "day")),
     )
+    half = "least(CAST(ceil(sqrt(2.0::DOUBLE) * 13.0::DOUBLE / 16 * 5 * power(24.0::DOUBLE, j / 35.0::DOUBLE)) AS BIGINT), n // 2)"
+    cover = f"(SELECT avg((n - 2 * {half})::DOUBLE / n) FROM range(0, 36) r(j))"
+    for cadence in ("day", "hour"):
+        of = low.replace("max_gap_run > 30", "max_gap_run > 8")
+        if cadence == "hour":
+            of = of.replace(spectra.in_windows("m_merged", "day"), spectra.in_windows("m_merged", "hour"))
+        of = f"SELECT * REPLACE (greatest(low_conf, CAST(cover_ratio < 0.7 AS INTEGER)) AS low_conf) FROM (SELECT *, {cover} AS cover_ratio FROM ({of}))"
+        register(f"cwt_confidence_{cadence}", sql.query(["m_merged"], of, ["gap_ratio", "cover_ratio"]))(
+            lambda s, d, c=cadence: rounded(spectral.cwt_confidence(grid(s, d), "r_close", c)),
+        )
     flagged = spectral.LEGACY_FFT_NAMES
     older = " UNION ALL ".join(f"({spectra.legacy_fft('m_merged', c, 'day')})" for c in ("r_close", "spread_vwap_norm"))
     cells = ", ".join(f"CASE WHEN NOT (series = 'r_close' AND degenerate) THEN o.{n} END AS {n}" for n in flagged)
     body = f"SELECT o.ticker, o.win_end, series, {cells}, error, gap_ratio, max_gap_run, degenerate, low_conf FROM ({older}) o JOIN ({low}) f ON o.ticker = f.ticker AND o.win_end = f.win_end"
     register("fft_legacy_flags", sql.query(["m_merged"], body, ["gap_ratio", *flagged]))(lambda s, d: rounded(spectral.legacy_windows(grid(s, d), ["r_close", "spread_vwap_norm"], "day")))
+    # every third day of one ticker stands still
+    still = "ticker = 'N' AND day(day_id) % 3 = 0"
+    sql.STEPS["m_still"] = (["m_merged"], f"SELECT * REPLACE (CASE WHEN {still} THEN 0.0 ELSE r_close END AS r_close) FROM m_merged")
+    stands = lambda s, d: (lambda m: m.withColumn("r_close", F.when(F.expr(still), 0.0).otherwise(F.col("r_close"))))(grid(s, d))
+    register("fft_legacy_still", sql.query(["m_still"], re.sub(r"\bm_merged\b", "m_still", body), ["gap_ratio", *flagged]))(
+        lambda s, d: rounded(spectral.legacy_windows(stands(s, d), ["r_close", "spread_vwap_norm"], "day")),
+    )
     derived = (
         "SELECT ticker, ts, CASE WHEN row_number() OVER (PARTITION BY ticker ORDER BY ts) = 1 THEN 0 ELSE ln(close) - lag(ln(close)) "
         "OVER (PARTITION BY ticker ORDER BY ts) END AS r_close FROM hour_bars"
@@ -95,6 +114,11 @@ def register_all() -> None:
         lambda s, d: rounded(spectral.with_series(catalog.hour_bars(s, d))[0].select(*KEY, "r_close")),
     )
 
+    # a year of days: windows of over 300 bars; SQL takes too long over them
+    register("cwt_legacy_year")(
+        lambda s, d: rounded(spectral.per_window(spectral.with_series(build_bars(tables.trades(s, d), "day"))[0], ["r_close"], "year", spectral.LEGACY_CWT_NAMES, spectral.legacy_cwt_features)),
+    )
+
     quarter = sql.bars("ticks", "minute").replace("date_trunc('minute', ts)::TIMESTAMP", "time_bucket(INTERVAL 15 MINUTE, ts)")
     simple("bars_15_minutes", lambda s, d: build_bars(tables.ticks(s, d), "min", 15), [*KEY, *OHLC, "transactions"], ["ticks"], f"({quarter})", OHLC)
     inside = lambda s, d: calendar.rth(half_hour_bars(s, d))

@@ -73,7 +73,7 @@ def test_steps_reject_what_they_do_not_know(spark):
 
 def test_model_answers_in_batches(spark):
     df = spark.createDataFrame([(i, f"p{i}") for i in range(25)], "i int, prompt string")
-    out = documents.run_model(df, "prompt", "said", lambda ps: [f" {p[-1]}x" for p in ps], 7).withColumn("label", documents.parse_label(F.col("said")))
+    out = documents.run_model(df, "prompt", "said", lambda: lambda ps: [f" {p[-1]}x" for p in ps], 7).withColumn("label", documents.parse_label(F.col("said")))
     assert {r.i for r in out.where("label = 1").collect()} == {1, 11, 21}
 
 
