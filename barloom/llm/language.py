@@ -26,7 +26,7 @@ SEED = 12
 #: Bytes of a chunk.
 CHUNK = 512
 #: A lead below this share of the smallest size is looked at again with the finer search.
-CLOSE = 0.1
+CLOSE = 0.03
 #: A lead below this share, or of a byte at most, is rejected.
 NARROW = 0.01
 #: Of documents, one in so many is held out.
