@@ -12,7 +12,7 @@ from barloom.functions.series import number, rounded
 from barloom.operators import calendar, documents, features, merge, spectral
 from barloom.plans import spectra, sql
 from barloom.plans.registry import register, simple
-from barloom.session import shared_dir
+from barloom.session import cut, shared_dir
 from barloom.sources import scans, tables
 
 KEY = ["ticker", "ts"]
@@ -155,6 +155,49 @@ def register_all() -> None:
             lambda s, root: tables.read_listing(s, root, tables.DIVIDENDS, 1000).select("id", "ticker"),
         )
     )
+    split = (
+        "SELECT CAST(o_orderdate AS DATE) AS execution_date, 'S' || o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS split_from, "
+        "CASE WHEN o_orderkey % 3 = 0 THEN 1.0::DOUBLE ELSE (2 + o_custkey % 4)::DOUBLE END AS split_to, 'T' || o_custkey % 20 AS ticker FROM orders"
+    )
+    divided = [
+        "CAST(o_orderdate AS DATE) AS execution_date",
+        "concat('S', o_orderkey) AS id",
+        "IF(o_orderkey % 3 = 0, 2.0, 1.0) AS split_from",
+        "IF(o_orderkey % 3 = 0, 1, 2 + o_custkey % 4) AS split_to",
+        "concat('T', o_custkey % 20) AS ticker",
+    ]
+    register("splits", split)(
+        round_trip(
+            lambda s, d, root: tables.table(s, d, "orders").selectExpr(*divided).write.csv(root, header=True),
+            lambda s, root: tables.read_listing(s, root, tables.SPLITS),
+        )
+    )
+
+    def named_features(s: SparkSession, d: str) -> DataFrame:
+        """The fixed files of the spectral summaries: features of a week and ridges of a month, each one CSV."""
+        root = folder(s, "summaries")
+        merged = cut(catalog.merged(s, d), "merged")
+        made = spectral.wide(spectral.fft_windows(merged, ["r_close"], "week"), ["r_close"], ["pct_hi", "dom_period_bars"])
+        tables.write_csv_named(rounded(made), root, "fft_daily", "win_end")
+        made = spectral.wide(spectral.cwt_windows(merged, ["r_close"], "month"), ["r_close"], ["power_hi", "peak_ratio"])
+        tables.write_csv_named(rounded(made), root, "cwt_daily", "win_end")
+        tables.write_csv_named(rounded(spectra.ridges(merged)), root, "cwt_ridges", "win_end")
+        out = None
+        for name, columns in (("fft_daily", ["r_close_pct_hi", "r_close_dom_period_bars"]), ("cwt_daily", ["r_close_power_hi", "r_close_peak_ratio"]), ("cwt_ridges", ["avg_period", "max_power"])):
+            rows = s.read.csv(f"{root}/{name}.csv", header=True).select("ticker", F.col("win_end").cast("timestamp_ntz").alias("win_end"), *(F.col(c).cast("double").alias(x) for c, x in zip(columns, "ab")))
+            rows = rows.withColumn("file", F.lit(name))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    week = spectra.wide(spectra.fft_windows("merged", ["r_close"], "week", 6), ["r_close"], ["pct_hi", "dom_period_bars"])
+    grids, month = spectra.cwt_windows("merged", ["r_close"], "month", 6)
+    month = spectra.wide(month, ["r_close"], ["power_hi", "peak_ratio"])
+    three = (
+        f"SELECT ticker, win_end, r_close_pct_hi AS a, r_close_dom_period_bars AS b, 'fft_daily' AS file FROM ({week}) "
+        f"UNION ALL SELECT ticker, win_end, r_close_power_hi, r_close_peak_ratio, 'cwt_daily' FROM ({month}) "
+        f"UNION ALL SELECT ticker, win_end, avg_period, max_power, 'cwt_ridges' FROM ({spectra.ridge_table('SELECT * FROM grid_r_close')})"
+    )
+    register("write_named_features", spectra.over_grids(grids, three, "merged", ["a", "b"]))(named_features)
     register("market_status", "SELECT false AS after_hours, true AS early_hours, 'extended-hours' AS market, '2025-10-17 08:00:00' AS at")(
         lambda s, d: tables.market_status(s, "extended-hours", "2025-10-17T04:00:00-04:00", early_hours=True).select("after_hours", "early_hours", "market", F.date_format("server_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
     )
