@@ -4,16 +4,19 @@ All matches of a pattern get a mark on both sides (one ``regexp_replace``); spli
 matches in turn, whose summed lengths are the spans in code points.
 
 Further candidates are long runs of token characters. The narrowest alphabet that holds a candidate is its
-inferred encoding. The battery: a chi-squared statistic of the symbol counts against a uniform alphabet, a runs
-test about the middle of the alphabet, and the lag-1 serial correlation. Ordinary words put a known surplus per
-character on the chi-squared statistic, so its lower tail under that law is the chance that words look this
-uniform; it falls with length. Within each class of lengths, false discoveries are controlled over all candidates
-of the corpus (Benjamini-Hochberg on a histogram of p-values); the other two tests must not speak against
-randomness.
+inferred encoding. The battery: a chi-squared statistic of the symbol counts against a uniform alphabet, runs
+tests about the mean symbol and of letters and digits, and the lag-1 serial correlation. Ordinary words put a known
+surplus per character on the chi-squared statistic, so its lower tail under that law is the chance that words look
+this uniform; it falls with length. In encodings of letters and digits, names keep both in few runs; Chernoff's bound
+on as many changes as there are is a second chance, and Fisher's method combines the two. Within each class of
+lengths, false discoveries are controlled over all candidates of the corpus (Benjamini-Hochberg on a histogram of
+p-values); the runs about the mean and the serial correlation must not speak against randomness.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +45,12 @@ ENCODINGS = (
 #: Share of false finds among the tokens called secret; largest deviation that the runs and serial tests allow.
 FDR, MAX_Z = 0.01, 3.0
 BINS = 60
+#: Chance that names change between letters and digits from one character to the next: once in eight characters.
+CHANGES = 0.125
+#: Encodings of letters and digits, which names may hold in a few runs.
+MIXED = ("hex", "base32", "base36")
+#: What a text with an assignment holds, in lower case.
+ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MARK, INSTEAD = "\u0001", "\u0002"
 
 
@@ -55,7 +64,7 @@ def matches(text: Column, pattern: str, keep=lambda m: F.lit(True)) -> Column:
 
     Gaps and matches are folded FOLD at a time, because a fold copies what it has gathered with each match.
     """
-    parts = F.split(F.regexp_replace(F.translate(text, MARK, INSTEAD), pattern, f"{MARK}$0{MARK}"), MARK)
+    parts = F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(INSTEAD)), pattern, f"{MARK}$0{MARK}"), MARK)
     empty = F.array().cast(SPANS)
 
     def step(acc: Column, part: Column) -> Column:
@@ -95,65 +104,101 @@ def _lower_tail(z: Column) -> Column:
     return F.when(z < 0, upper).otherwise(1 - upper)
 
 
+def once(value: Column, then) -> Column:
+    """``then`` of a value that is made once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _few_changes(changes: Column, steps: Column) -> Column:
+    """Logarithm of a bound on the chance that names change between letters and digits that often (Chernoff)."""
+    share = changes / steps
+    more = share * F.ln(share / CHANGES) + F.coalesce((1 - share) * F.ln((1 - share) / (1 - CHANGES)), F.lit(0.0))
+    return F.when(share > CHANGES, -steps * more).otherwise(0.0)
+
+
 def battery(token: Column) -> Column:
     """struct(len_class int, bin int): the class of lengths and the decimal exponent (quartered) of the p-value.
 
     Bin 0 also takes what the runs or serial test rejects, and decimal numbers.
     """
     body = F.regexp_replace(token, "[=]+$", "")
-    size, surplus = F.lit(64), F.lit(64 * COINCIDENCE - 1)
-    for _, pattern, k, extra in reversed(ENCODINGS):
-        size, surplus = F.when(body.rlike(pattern), k).otherwise(size), F.when(body.rlike(pattern), F.lit(extra).cast("double")).otherwise(surplus)
-    made = F.struct(F.upper(body).alias("up"), body.alias("body"), size.alias("k"), surplus.alias("lam"))
-
-    def tests(m: Column) -> Column:
+    law = lambda k, extra, mixed: F.struct(F.lit(float(k)).alias("k"), F.lit(extra).cast("double").alias("lam"), F.lit(mixed).alias("mixed"))
+    of = law(64, 64 * COINCIDENCE - 1, False)
+    for name, pattern, k, extra in reversed(ENCODINGS):
+        of = F.when(body.rlike(pattern), law(k, extra, name in MIXED)).otherwise(of)
+    made = F.struct(F.upper(body).alias("up"), body.alias("body"), of.alias("law"))
+
+    def symbols(m: Column) -> Column:
+        """The places of the characters in the alphabet, from 1; digits are the first ten."""
         places = F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-        small, big = F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_"), m["k"] == 64
+        small, big = F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_"), m["law"]["k"] == 64
         chars = F.filter(F.split(F.when(big, m["body"]).otherwise(m["up"]), ""), lambda c: c != "")
         at = F.transform(chars, lambda c: F.instr(F.when(big, small).otherwise(places), c).cast("double"))
-        return F.struct(at.alias("x"), m["k"].cast("double").alias("k"), m["lam"].alias("lam"))
+        return F.struct(at.alias("x"), m["law"].alias("law"))
+
+    def sums(m: Column) -> Column:
+        """Two folds: over the symbols in order, and over the sorted ones, whose runs give the sum of squared counts."""
+        first = F.element_at(m["x"], 1)
+        names = ("sum", "squares", "products", "changes", "last")
+        start = F.struct(*(c.alias(n) for c, n in zip((F.lit(0.0), F.lit(0.0), -first * first, F.lit(0.0), first), names)))
+        in_order = F.aggregate(m["x"], start, lambda s, v: F.struct(
+            (s["sum"] + v).alias("sum"),
+            (s["squares"] + v * v).alias("squares"),
+            (s["products"] + s["last"] * v).alias("products"),
+            (s["changes"] + ((s["last"] <= 10) != (v <= 10)).cast("double")).alias("changes"),
+            v.alias("last"),
+        ))
+
+        def count(s: Column, v: Column) -> Column:
+            run = F.when(s["last"] == v, s["run"] + 1).otherwise(1.0)
+            return F.struct((s["total"] + 2 * run - 1).alias("total"), run.alias("run"), v.alias("last"))
+
+        start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("run"), F.lit(0.0).alias("last"))
+        counts = F.aggregate(F.sort_array(m["x"]), start, count, lambda s: s["total"])
+        return F.struct(m["x"].alias("x"), m["law"].alias("law"), in_order.alias("of"), counts.alias("counts"))
+
+    def about_mean(m: Column) -> Column:
+        """How many symbols are above the mean, and the runs of those above and below."""
+        mean = m["of"]["sum"] / F.size(m["x"])
+        start = F.struct(F.lit(0.0).alias("ups"), F.lit(1.0).alias("runs"), (F.element_at(m["x"], 1) > mean).alias("high"))
+        runs = F.aggregate(m["x"], start, lambda s, v: F.struct(
+            (s["ups"] + (v > mean).cast("double")).alias("ups"),
+            (s["runs"] + (s["high"] != (v > mean)).cast("double")).alias("runs"),
+            (v > mean).alias("high"),
+        ))
+        return F.struct(*(m[c].alias(c) for c in ("x", "law", "of", "counts")), runs.alias("mean"))
 
     def statistics(m: Column) -> Column:
-        x, k, n = m["x"], m["k"], F.size(m["x"]).cast("double")
-        squares = F.aggregate(F.array_distinct(x), F.lit(0.0), lambda s, v: s + F.pow(F.size(F.filter(x, lambda y: y == v)).cast("double"), 2))
-        chi = k / n * squares - n
-        mean = F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / n
-        high = F.transform(x, lambda v: v > mean)
-        ups = F.size(F.filter(high, lambda b: b)).cast("double")
-        changes = F.aggregate(
-            F.zip_with(F.slice(high, 1, F.size(x) - 1), F.slice(high, 2, F.size(x) - 1), lambda a, b: (a != b).cast("double")),
-            F.lit(1.0),
-            lambda s, v: s + v,
-        )
+        x, k, lam, of, n = m["x"], m["law"]["k"], m["law"]["lam"], m["of"], F.size(m["x"]).cast("double")
+        mean, ups = of["sum"] / n, m["mean"]["ups"]
         spread = 2 * ups * (n - ups)
-        runs_z = F.try_divide(changes - spread / n - 1, F.sqrt(F.greatest(F.lit(0.0), spread * (spread - n) / (n * n * (n - 1)))))
-        var = F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean))
-        lag = F.aggregate(
-            F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - mean) * (b - mean)),
-            F.lit(0.0),
-            lambda s, v: s + v,
-        )
-        serial_z = (F.try_divide(lag, var) + 1 / n) * F.sqrt(n)
-        word = m["lam"] * n
-        p = _lower_tail((chi - word - (k - 1)) / F.sqrt(2 * (k - 1) + 4 * word))
+        runs_z = F.try_divide(m["mean"]["runs"] - spread / n - 1, F.sqrt(F.greatest(F.lit(0.0), spread * (spread - n) / (n * n * (n - 1)))))
+        lag = of["products"] - mean * (2 * of["sum"] - F.element_at(x, 1) - of["last"]) + (n - 1) * mean * mean
+        serial_z = (F.try_divide(lag, of["squares"] - of["sum"] * mean) + 1 / n) * F.sqrt(n)
+        word = lam * n
+        p = F.greatest(_lower_tail((k / n * m["counts"] - n - word - (k - 1)) / F.sqrt(2 * (k - 1) + 4 * word)), F.lit(1e-30))
+        both = F.ln(p) + _few_changes(of["changes"], n - 1)
+        p = F.greatest(F.when(m["law"]["mixed"], F.exp(both) * (1 - both)).otherwise(p), F.lit(1e-30))
         fits = (F.abs(F.coalesce(runs_z, F.lit(99.0))) <= MAX_Z) & (F.abs(F.coalesce(serial_z, F.lit(99.0))) <= MAX_Z)
-        place = F.least(F.lit(BINS), F.floor(-4 * F.log10(F.greatest(p, F.lit(1e-30)))).cast("int"))
-        return F.struct(F.floor(F.log2(n)).cast("int").alias("len_class"), F.when(fits & m["lam"].isNotNull(), place).otherwise(0).alias("bin"))
+        place = F.least(F.lit(BINS), F.floor(-4 * F.log10(p)).cast("int"))
+        return F.struct(F.floor(F.log2(n)).cast("int").alias("len_class"), F.when(fits & lam.isNotNull(), place).otherwise(0).alias("bin"))
 
-    once = lambda c, f: F.element_at(F.transform(F.array(c), f), 1)  # noqa: E731  a name for what is used many times
-    return once(once(made, tests), statistics)
+    return once(once(once(once(made, symbols), sums), about_mean), statistics)
 
 
 def with_candidates(df: DataFrame, text: Column) -> DataFrame:
     """``df`` with ``__base`` (spans of the base kinds) and ``__tokens`` (candidates that touch no base span)."""
     text = F.coalesce(text, F.lit(""))
     spans = lambda kind, found: F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+    # what the base patterns need is looked for first: a word of an assignment, and a token, as long as each hit is one
+    assigned = once(F.lower(text), lambda low: reduce(Column.__or__, (F.contains(low, F.lit(w)) for w in ASSIGNED)))
+    none, some = F.array().cast(SPANS), F.size("__tokens") > 0
     base = F.concat(
-        spans(0, matches(text, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6)),
-        spans(1, F.when(F.contains(text, F.lit("AKIA")), matches(text, "AKIA[A-Z0-9]+", lambda m: F.length(m) >= 20)).otherwise(F.array().cast(SPANS))),
-        spans(2, matches(text, "(?<![0-9a-f])[0-9a-f]{24,}")),
+        spans(0, F.when(assigned, matches(text, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6)).otherwise(none)),
+        spans(1, F.when(some & F.contains(text, F.lit("AKIA")), matches(text, "AKIA[A-Z0-9]+", lambda m: F.length(m) >= 20)).otherwise(none)),
+        spans(2, F.when(some, matches(text, "(?<![0-9a-f])[0-9a-f]{24,}")).otherwise(none)),
     )
-    df = df.withColumn("__base", F.array_sort(base)).withColumn("__tokens", matches(text, TOKEN))
+    df = df.withColumn("__tokens", matches(text, TOKEN)).withColumn("__base", F.array_sort(base))
     apart = F.filter("__tokens", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
     return df.withColumn(
         "__tokens",

@@ -129,7 +129,10 @@ ALPHABETS = {
     "upper hex": "0123456789ABCDEF",
 }
 #: Found of planted keys, at least, by encoding and length: what the battery can tell falls with length.
-RECALL = {("base64", 24): 0.85, ("base64", 40): 0.95, ("base64", 64): 0.95, ("base36", 40): 0.6, ("base36", 64): 0.95, ("base32", 64): 0.95, ("upper hex", 64): 0.7}
+RECALL = {
+    ("base64", 24): 0.85, ("base64", 40): 0.95, ("base64", 64): 0.95, ("base36", 32): 0.8, ("base36", 40): 0.9, ("base36", 64): 0.95,
+    ("base32", 40): 0.65, ("base32", 64): 0.95, ("upper hex", 32): 0.8, ("upper hex", 40): 0.88, ("upper hex", 64): 0.95,
+}
 
 
 def planted(spark, per_kind=200):
