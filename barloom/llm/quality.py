@@ -120,7 +120,8 @@ def covers(rule: Rule, x: pd.DataFrame) -> np.ndarray:
     return reduce(np.logical_and, (c.mask(x) for c in rule), np.ones(len(x), bool))
 
 
-def _grow(x: pd.DataFrame, bad: np.ndarray) -> Rule:
+def _grow(x: pd.DataFrame, bad: np.ndarray, barred: set[tuple[str, bool]]) -> Rule:
+    """Conditions, each of the most information, until no good row is left; ``barred`` ones do not come first."""
     rule: list[Condition] = []
     live = np.ones(len(x), bool)
     while len(rule) < MAX_CONDITIONS and bad[live].any() and (~bad[live]).any():
@@ -129,8 +130,9 @@ def _grow(x: pd.DataFrame, bad: np.ndarray) -> Rule:
         for name in FEATURES:
             values = x[name].to_numpy()
             inside = values[live]
-            for t in np.unique(np.quantile(inside, np.linspace(0, 1, THRESHOLDS))):
-                for above in (True, False):
+            sides = [a for a in (True, False) if rule or (name, a) not in barred]
+            for t in np.unique(np.quantile(inside, np.linspace(0, 1, THRESHOLDS))) if sides else ():
+                for above in sides:
                     hit = inside >= t if above else inside <= t
                     p = (hit & bad[live]).sum()
                     if p and (g := p * (np.log2(p / hit.sum()) - np.log2(p0 / n0))) > gain:
@@ -153,18 +155,26 @@ def _prune(rule: Rule, x: pd.DataFrame, bad: np.ndarray) -> Rule:
 
 
 def learn(x: pd.DataFrame, bad: np.ndarray) -> list[Rule]:
-    """Ordered rules, each a conjunction; a row that any covers is bad. Without rows of both kinds: none."""
+    """Ordered rules, each a conjunction; a row that any covers is bad. Without rows of both kinds: none.
+
+    A rule that is not pure enough on all rows, or finds nothing on those held out, is dropped, and the next one
+    starts from another feature or side; there are a few of these, so the search ends.
+    """
     rules: list[Rule] = []
+    barred: set[tuple[str, bool]] = set()
     x, bad = x.reset_index(drop=True), np.asarray(bad, bool)
     while len(rules) < MAX_RULES and bad.any() and not bad.all():
         held = np.arange(len(x)) % 3 == 2
-        if not (rule := _grow(x[~held], bad[~held])):
+        if not (rule := _grow(x[~held], bad[~held], barred)):
             break
         rule = _prune(rule, x[held], bad[held])
         hit = covers(rule, x)
-        if bad[hit].sum() < LEAST_COVER or (~bad[hit]).sum() > MAX_IMPURITY * hit.sum():
-            break
+        pure = all((~bad[h]).sum() <= MAX_IMPURITY * h.sum() for h in (hit, hit & held))
+        if bad[hit].sum() < LEAST_COVER or not bad[hit & held].any() or not pure:
+            barred.add((rule[0].feature, rule[0].above))
+            continue
         rules.append(rule)
+        barred = set()
         x, bad = x[~hit].reset_index(drop=True), bad[~hit]
     return rules
 

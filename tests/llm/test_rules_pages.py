@@ -37,6 +37,17 @@ def test_rules_find_a_planted_conjunction_and_leave_the_rest():
     assert quality.learn(x, np.zeros(3000, bool)) == []
 
 
+def test_rules_go_on_after_one_that_is_not_pure():
+    rng = np.random.default_rng(2)
+    x = pd.DataFrame({f: rng.uniform(size=6000) for f in quality.FEATURES})
+    mixed, clear = (x["word_length"] > 0.7).to_numpy(), (x["digit_ratio"] > 0.9).to_numpy() & (x["word_length"] <= 0.7).to_numpy()
+    bad = (mixed & (rng.uniform(size=6000) < 0.5)) | clear
+    first = quality._grow(x, bad, set())
+    assert first[0].feature == "word_length" and (~bad[quality.covers(first, x)]).mean() > quality.MAX_IMPURITY
+    found = np.any([quality.covers(r, x) for r in quality.learn(x, bad)], axis=0)
+    assert (found & clear).sum() > 0.9 * clear.sum() and (found & ~bad).sum() <= 0.02 * found.sum()
+
+
 def test_quality_filter_keeps_columns_and_clean_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumnRenamed("lang", "n_words")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
