@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = 570, 960
+#: Trading outside the session starts and ends here.
+EARLY, LATE = 240, 1200
 EXPECTED = {"minute": 390, "hour": 6, "day": 1}
 CADENCES = ("hour", "day", "week", "month", "quarter", "year")
 
@@ -131,3 +133,16 @@ def between_days(df: DataFrame, first: str, last: str, ts: str = "ts") -> DataFr
     """The rows from the start of ``first`` to the end of ``last``, on UTC wall-clock times."""
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (day_bounds(first)[0][:-1], day_bounds(last)[1][:-1]))
     return df.where((F.col(ts) >= low) & (F.col(ts) < high))
+
+
+def market_status(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Whether the market is open at the last time of ``df``, or at that of each of ``keys``: one row, or one for each.
+
+    ``market`` is open in the session of a weekday, extended-hours before or after it, else closed. Rows without a
+    time do not count; without any there is one row of nulls, or none where there are keys.
+    """
+    last = df.where(F.col("ts").isNotNull()).groupBy(*keys or []).agg(F.max("ts").alias("server_time"))
+    minute, works = minute_of_day(F.col("server_time")), F.weekday("server_time") < 5
+    early, late = works & minute.between(EARLY, OPEN - 1), works & minute.between(CLOSE, LATE - 1)
+    market = F.when(early | late, "extended-hours").when(works & minute.between(OPEN, CLOSE - 1), "open").when(F.col("server_time").isNotNull(), "closed")
+    return last.select(*keys or [], late.alias("after_hours"), early.alias("early_hours"), market.alias("market"), "server_time")

@@ -10,7 +10,7 @@ from barloom.functions.ranges import by_range
 from barloom.functions.runs import longest_runs
 from barloom.functions.series import positive_log, ratio, rounded
 from barloom.operators import calendar, documents, features, indicators, merge, spectral
-from barloom.plans import faulty, files, minute, spectra, sql, steps
+from barloom.plans import faulty, files, inputs, minute, spectra, sql, steps
 from barloom.plans.registry import ORACLES, QUERIES, Query, register, simple
 from barloom.session import cut
 from barloom.sources import tables
@@ -743,6 +743,7 @@ def steps_week(spark: SparkSession, d: str) -> DataFrame:
 minute.register_all()
 files.register_all()
 faulty.register_all()
+inputs.register_all()
 
 
 def entry(spark: SparkSession, d: str) -> DataFrame:

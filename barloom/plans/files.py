@@ -198,9 +198,6 @@ def register_all() -> None:
         f"UNION ALL SELECT ticker, win_end, avg_period, max_power, 'cwt_ridges' FROM ({spectra.ridge_table('SELECT * FROM grid_r_close')})"
     )
     register("write_named_features", spectra.over_grids(grids, three, "merged", ["a", "b"]))(named_features)
-    register("market_status", "SELECT false AS after_hours, true AS early_hours, 'extended-hours' AS market, '2025-10-17 08:00:00' AS at")(
-        lambda s, d: tables.market_status(s, "extended-hours", "2025-10-17T04:00:00-04:00", early_hours=True).select("after_hours", "early_hours", "market", F.date_format("server_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
-    )
     simple("end_times", end_times, ["ticker", "kind", "first", "last", "n"], ["hour_bars"], (
         "(SELECT ticker, kind, min(ts + to_hours(more)) AS first, max(ts + to_hours(more)) AS last, count(*)::BIGINT AS n FROM hour_bars, (VALUES ('hour_end_ts', 0), ('win_end', 0), ('end_ts', 0), ('feature_ts', 0), "
         "('timestamp', 0), ('time', 0), ('ts', 0), ('win_start', 1), ('hour_start_ts', 1), ('day_and_label', 1)) k(kind, more) GROUP BY 1, 2)"

@@ -130,6 +130,19 @@ def locate(spark: SparkSession, root: str, ticker: str) -> str:
     return first.path
 
 
+def locate_all(tickers: DataFrame, root: str) -> DataFrame:
+    """(ticker, path): the file of every ticker as ``locate`` finds it, null where there is none.
+
+    Names meet tickers by equality with each of their beginnings, so one listing and one join serve all tickers.
+    """
+    found = tickers.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
+    stem = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
+    starts = F.transform(F.sequence(F.lit(1), F.length("stem")), lambda n: F.substring("stem", F.lit(1), n))
+    rows = found.withColumn("stem", stem).where("stem <> ''").select("path", "stem", F.explode(starts).alias("start"))
+    best = rows.groupBy("start").agg(F.min_by("path", F.struct(F.col("start") != F.col("stem"), F.col("path"))).alias("path"))
+    return tickers.select("ticker").distinct().join(best, safe_path(F.col("ticker")) == F.col("start"), "left").select("ticker", "path")
+
+
 #: One field of a line: quoted, with doubled quotes inside, or plain. Unrolled, so that long fields need no deep stack.
 _FIELD = r'(?:"[^"]*(?:""[^"]*)*"[^,\n]*|[^,\n]*)'
 
@@ -162,12 +175,6 @@ def read_listing(spark: SparkSession, path: str, schema: str, limit: int | None
     return rows.orderBy("id").limit(limit) if limit else rows
 
 
-def market_status(spark: SparkSession, market: str, server_time: str, after_hours: bool = False, early_hours: bool = False) -> DataFrame:
-    """The one row that says whether the market is open."""
-    row = spark.createDataFrame([(after_hours, early_hours, market, server_time)], "after_hours boolean, early_hours boolean, market string, server_time string")
-    return row.withColumn("server_time", F.to_timestamp("server_time"))
-
-
 def latest_of(df: DataFrame, key: str, order: list[str], keys: list[str] | None = None) -> DataFrame:
     """The last row of each key by ``order``, of a list of keys where one is given."""
     rows = df.where(F.col(key).isin(keys)) if keys else df

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import quarantine, spectral
+from barloom.operators import calendar, quarantine, spectral
 from barloom.plans import faulty, steps
 from barloom.sources import tables
 
@@ -134,3 +134,24 @@ def test_calendar_buckets(spark):
     assert starts("minute", 45) == ["2024-02-29 09:00", "2024-01-07 23:15", "1969-12-31 09:45", "None"]
     with pytest.raises(ValueError):
         tables.bucket(F.col("t"), "fortnight")
+
+
+def test_the_market_at_each_kind_of_time(spark):
+    # a Friday, a Saturday
+    times = ["2024-03-08 03:59", "2024-03-08 04:00", "2024-03-08 09:30", "2024-03-08 15:59", "2024-03-08 16:00", "2024-03-08 20:00", "2024-03-09 12:00", None]
+    df = spark.createDataFrame(list(enumerate(times)), "k int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = {r.k: (r.market, r.early_hours, r.after_hours) for r in calendar.market_status(df, ["k"]).collect()}
+    no = ("closed", False, False)
+    extended = {1: ("extended-hours", True, False), 4: ("extended-hours", False, True)}
+    assert out == {0: no, 2: ("open", False, False), 3: ("open", False, False), 5: no, 6: no} | extended
+    assert [r.market for r in calendar.market_status(df).collect()] == ["closed"]
+    assert [r.market for r in calendar.market_status(df.limit(0)).collect()] == [None]
+
+
+def test_files_found_by_the_start_of_their_name(spark, tmp_path):
+    for name in ("AB.csv", "AB_1.csv", "AC_2.csv", "AC_1.csv", "B.txt"):
+        (tmp_path / name).write_text("timestamp\n")
+    tickers = spark.createDataFrame([("AB",), ("AC",), ("A",), ("B",), ("AB",), (None,)], "ticker string")
+    found = {r.ticker: r.path and r.path.rsplit("/", 1)[1] for r in tables.locate_all(tickers, str(tmp_path)).collect()}
+    assert found == {"AB": "AB.csv", "AC": "AC_1.csv", "A": "AB.csv", "B": None, None: None}
+    assert all(tables.locate(spark, str(tmp_path), k).endswith(found[k]) for k in ("AB", "AC", "A"))
