@@ -39,6 +39,11 @@ def positive_log(x: Column) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
+def open_log(x: Column) -> Column:
+    """Minus infinity at zero, as numpy and SQL have it; missing below."""
+    return F.when(x > 0, F.ln(x)).when(x == 0, F.lit(float("-inf")))
+
+
 def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 

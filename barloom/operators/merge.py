@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.functions.series import backward_fill, forward_fill, positive_log, ratio, series, two_sided_fill
+from barloom.functions.series import backward_fill, forward_fill, open_log, positive_log, ratio, series, two_sided_fill
 from barloom.operators import calendar
 from barloom.sources.tables import PRICES, with_missing
 
@@ -54,9 +54,9 @@ def fill_forward_backward(df: DataFrame, column: str, limit: int, out: str) -> D
     return df.withColumn(out, forward_fill(F.col(column), in_day(), limit)).withColumn(out, backward_fill(F.col(out), in_day(), limit))
 
 
-def log_return(df: DataFrame, close: str = "close", out: str = "r") -> DataFrame:
-    """The first bar of a day is 0; prices that are not positive count as missing."""
-    p = positive_log(F.col(close))
+def log_return(df: DataFrame, close: str = "close", out: str = "r", zeros: bool = False) -> DataFrame:
+    """The first bar of a day is 0; prices that are not positive count as missing, or with ``zeros`` those below zero."""
+    p = (open_log if zeros else positive_log)(F.col(close))
     return df.withColumn(out, F.when(F.row_number().over(in_day()) == 1, F.lit(0.0)).otherwise(p - F.lag(p).over(in_day())))
 
 
