@@ -61,8 +61,13 @@ def per_hour(features: DataFrame) -> DataFrame:
 
 
 def iso_with_offset(ts: Column, zone: str = "America/New_York") -> Column:
-    """yyyy-MM-ddTHH:mm:ss with the zone's offset at that wall-clock time."""
-    offset = F.timestamp_diff("MINUTE", F.convert_timezone(F.lit(zone), F.lit("UTC"), ts), ts)
+    """yyyy-MM-ddTHH:mm:ss with the zone's offset at that wall-clock time; where an hour comes twice, that of the second."""
+    to_utc = lambda t: F.convert_timezone(F.lit(zone), F.lit("UTC"), t)
+    tomorrow = ts + F.expr("interval 1 day")
+    # a time that the next day's offset gives too comes twice, or has that offset anyway
+    second = ts + (to_utc(tomorrow) - tomorrow)
+    comes = F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == ts
+    offset = F.timestamp_diff("MINUTE", F.when(comes, second).otherwise(to_utc(ts)), ts)
     hours = F.format_string("%s%02d:%02d", F.when(offset < 0, "-").otherwise("+"), F.floor(F.abs(offset) / 60).cast("int"), (F.abs(offset) % 60).cast("int"))
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), hours)
 
