@@ -77,14 +77,14 @@ def news_text(*parts: Column) -> Column:
     return F.trim(F.concat_ws(" ", *[F.nullif(p, F.lit("")) for p in parts]))
 
 
-def news_per_day(news: DataFrame) -> DataFrame:
-    """(ticker, date, news): items in time order. A day's items of one ticker are one row by definition."""
+def news_per_day(news: DataFrame, zone: str = "America/New_York") -> DataFrame:
+    """(ticker, date, news): items in time order, with the offsets of ``zone``. A day's items of one ticker are one row by definition."""
     item = F.struct(F.col("ts"), F.col("url"), F.col("text"))
     days = news.where("ts is not null").groupBy("ticker", F.to_date("ts").alias("date")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     return days.select(
         "ticker",
         "date",
-        F.transform("items", lambda x: F.struct(iso_with_offset(x["ts"]).alias("timestamp_et"), x["text"].alias("text"), x["url"].alias("url"))).alias(
+        F.transform("items", lambda x: F.struct(iso_with_offset(x["ts"], zone).alias("timestamp_et"), x["text"].alias("text"), x["url"].alias("url"))).alias(
             "news",
         ),
     )
