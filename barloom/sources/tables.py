@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barloom.session import counted_cut
+from barloom.session import counted_cut, cut
 
 BAR = "timestamp timestamp_ntz, open double, high double, low double, close double, volume double, vwap double, transactions bigint"
 DOCUMENT = "ticker string, date string, news array<struct<timestamp_et:string,text:string,url:string>>, per_hour_data map<string,map<string,double>>"
@@ -143,21 +143,101 @@ def locate_all(tickers: DataFrame, root: str) -> DataFrame:
     return tickers.select("ticker").distinct().join(best, safe_path(F.col("ticker")) == F.col("start"), "left").select("ticker", "path")
 
 
-#: One field of a line: quoted, with doubled quotes inside, or plain. Unrolled, so that long fields need no deep stack.
-_FIELD = r'(?:"[^"]*(?:""[^"]*)*"[^,\n]*|[^,\n]*)'
+#: The inside of a quoted field up to its closing quote; doubled quotes belong to it. Possessive, so long ones need no deep stack.
+_INSIDE = r'[^"]*+(?:""[^"]*+)*+'
+
+
+def _unmarked() -> Column:
+    return F.regexp_replace("value", "^\ufeff", "")
+
+
+def _left_open(line: Column) -> Column:
+    """Whether a quoted field is open at the end of ``line``, whose fields all start with a comma."""
+    return F.regexp_replace(line, rf'\G,(?:"{_INSIDE}"[^,]*+|[^",][^,]*+|(?=,|\z))', "") != ""
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """(ticker, line): the lines (ticker, file, block, value) of a scan joined to records wherever a line feed is quoted.
+
+    A line ends inside a quoted field or not, depending on how it starts: it keeps that, turns it over or fixes it. So
+    blocks of a file are summed up alone, how each starts follows from the summaries before it, and no row or task
+    holds a file. Lines are written once, so that what is numbered stays in place; only their states are sorted. A
+    quote that is never closed runs to the end of its file, as in Python's csv module.
+    """
+    closing = rf'\A{_INSIDE}"[^,]*+'
+
+    def states(value: Column) -> Column:
+        """Whether a quoted field is open at the end of the line, if none is (a) or one is (b) at its start."""
+        inside = ~value.rlike(closing) | _left_open(F.regexp_replace(value, closing, ""))
+        return F.struct(_left_open(F.concat(F.lit(","), value)).alias("a"), inside.alias("b"))
+
+    marked = F.col("value").startswith("\ufeff")
+    lines = lines.withColumns({"at": F.monotonically_increasing_id(), "as_is": states(F.col("value")), "unmarked": F.when(marked, states(_unmarked()))})
+    whole = cut(lines, "lines")
+    w = W.partitionBy("file", "block").orderBy("at")
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    lines = whole.select("file", "block", "at", "as_is", "unmarked", F.row_number().over(w).alias("n"))
+    first = (F.col("block") == 0) & (F.col("n") == 1)
+    lines = lines.withColumn("s", F.when(first & F.col("unmarked").isNotNull(), F.col("unmarked")).otherwise(F.col("as_is")))
+    lines = lines.select("file", "block", "at", "n", "s.a", "s.b")
+    turns = F.coalesce(F.sum((F.col("a") & ~F.col("b")).cast("int")).over(before), F.lit(0)) % 2
+    lines = lines.withColumn("turns", turns)
+    # what the last line that fixes the state would have been at the start of the block, for the turns since
+    fixed = F.when(F.col("a") == F.col("b"), F.col("a").cast("int").bitwiseXOR(F.col("turns")))
+    lines = lines.withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
+
+    def start(state: Column) -> Column:
+        return F.coalesce("fixed", state).bitwiseXOR(F.col("turns"))
+
+    def end(state: int) -> Column:
+        return F.when(start(F.lit(state)) == 1, F.col("b")).otherwise(F.col("a")).cast("int")
+
+    def last_start(state: int) -> Column:
+        return F.max(F.when(start(F.lit(state)) == 0, F.col("n")))
+
+    ends = [F.max_by(end(k), "n").alias(f"end{k}") for k in (0, 1)]
+    blocks = lines.groupBy("file", "block").agg(*ends, *(last_start(k).alias(f"last{k}") for k in (0, 1)))
+    in_file = W.partitionBy("file").orderBy("block")
+    ahead = in_file.rowsBetween(W.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum((F.col("end0") > F.col("end1")).cast("int")).over(ahead), F.lit(0)) % 2
+    blocks = blocks.withColumn("turns", turns)
+    fixed = F.when(F.col("end0") == F.col("end1"), F.col("end0").bitwiseXOR(F.col("turns")))
+    state = F.coalesce(F.last(fixed, ignorenulls=True).over(ahead), F.lit(0)).bitwiseXOR(F.col("turns"))
+    blocks = blocks.withColumn("state", state)
+    last = F.when(F.col("state") == 0, F.col("last0")).otherwise(F.col("last1"))
+    open_record = F.last(F.when(last.isNotNull(), F.struct("block", last.alias("n"))), ignorenulls=True).over(ahead)
+    blocks = blocks.select("file", "block", "state", open_record.alias("open"))
+
+    lines = lines.join(blocks, ["file", "block"])
+    here = F.when(start(F.col("state")) == 0, F.struct("block", "n"))
+    record = F.coalesce(F.last(here, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.col("open"))
+    rows = whole.select("ticker", "file", "block", "at", "value").join(lines.select("file", "block", "at", "n", record.alias("record")), ["file", "block", "at"])
+    value = F.when((F.col("block") == 0) & (F.col("n") == 1), _unmarked()).otherwise(F.col("value"))
+    rows = rows.select("ticker", "file", "record", F.struct("block", "n", value.alias("value")).alias("part"))
+    parts = F.transform(F.sort_array(F.collect_list("part")), lambda x: x["value"])
+    return rows.groupBy("ticker", "file", "record").agg(F.array_join(parts, "\n").alias("line"))
 
 
 def read_news(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """timestamp, url, text of comma-separated files; commas after the second belong to the text.
 
-    Quoted fields may hold commas and doubled quotes, with ``multiline`` also line feeds (each file is then one row of
-    the scan). A leading mark of byte order, blank lines and header lines go; bytes that are no UTF-8 are replaced.
+    Quoted fields may hold commas and doubled quotes, with ``multiline`` also line feeds. A leading mark of byte order,
+    blank lines and header lines go; bytes that are no UTF-8 are replaced.
     """
-    content = F.regexp_replace("value", "^\ufeff", "")
-    record = F.regexp_extract_all(content, F.lit(rf"(?:^|\n)({_FIELD}(?:,{_FIELD})*)"), F.lit(1)) if multiline else F.array(content)
-    rows = spark.read.text(path, wholetext=multiline).select(file_stem().alias("ticker"), F.explode(record).alias("line"))
-    plain = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"([^"]*(?:""[^"]*)*)"([^,\n]*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(c)
-    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(f",({_FIELD})"), F.lit(1)), plain)
+    if multiline:
+        place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+        rows = _records(spark.read.text(path, lineSep="\n").select(file_stem().alias("ticker"), *place, "value"))
+    else:
+        rows = spark.read.text(path).select(file_stem().alias("ticker"), _unmarked().alias("line"))
+    # a quote that is never closed: only in whole records is that known
+    end = r"|\z" if multiline else ""
+    field = rf'(?:"{_INSIDE}(?:"[^,]*+{end})|[^,]*+)'
+
+    def plain(c: Column) -> Column:
+        inside, after = (F.regexp_extract(c, rf'\A"({_INSIDE})(?:"([^,]*+){end})\z', k) for k in (1, 2))
+        return F.when(c.rlike(rf'\A"{_INSIDE}(?:"{end})'), F.concat(F.replace(inside, F.lit('""'), F.lit('"')), after)).otherwise(c)
+
+    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(f",({field})"), F.lit(1)), plain)
     rows = rows.where(F.trim("line") != "").select("ticker", cells.alias("c"))
     rest = F.array_join(F.slice("c", 3, F.greatest(F.size("c"), F.lit(1))), ",")
     rows = rows.select("ticker", F.trim(F.get("c", F.lit(0))).alias("timestamp"), F.trim(F.coalesce(F.get("c", F.lit(1)), F.lit(""))).alias("url"), F.trim(rest).alias("text"))
