@@ -40,6 +40,8 @@ class Config:
     least_samples: int = 0
     #: A price of zero sets its ticker aside, as one below zero always does; else its return is missing.
     no_zeros: bool = False
+    #: No price sets a ticker aside: returns are missing where prices are not positive or not there.
+    any_price: bool = False
 
     def __post_init__(self):
         if self.sampling not in ("minute", "hour", "day"):
@@ -50,6 +52,8 @@ class Config:
             raise ValueError("the extra fill is below the fill")
         if not self.fft_series or not self.cwt_series:
             raise ValueError("a series list is empty")
+        if self.no_zeros and self.any_price:
+            raise ValueError("no_zeros beside any_price")
         if self.reducer not in ("median", "mean", "weighted_mean"):
             raise ValueError(f"reducer {self.reducer!r}")
 
@@ -97,9 +101,11 @@ class State:
 
 def _load(s: State, c: Config) -> None:
     bars = cut(build_bars(s.ticks, c.sampling), "bars")
-    low = F.min("low")
-    s.reject(quarantine.faults(bars, "load", {"no price": F.count("close") == 0, "price not positive": low <= 0 if c.no_zeros else low < 0}))
-    s.put("bars", indicators.grid_indicators(quarantine.without(bars, s.bad)))
+    if not c.any_price:
+        low = F.min("low")
+        s.reject(quarantine.faults(bars, "load", {"no price": F.count("close") == 0, "price not positive": low <= 0 if c.no_zeros else low < 0}))
+        bars = quarantine.without(bars, s.bad)
+    s.put("bars", indicators.grid_indicators(bars))
 
 
 def _merge(s: State, c: Config) -> None:
