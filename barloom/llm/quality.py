@@ -199,7 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, key: str = "do
     picked = sorted(tuple(r) for r in known.where(h <= int(share * (1 << 53))).select(h.alias("h"), "__id", "__quality").collect())[:rows]
     if not picked:
         return []
-    sample = spark.createDataFrame([(i, q) for _, i, q in picked], known.schema)
+    # from Arrow, as rows would go through Python workers of their own kind, which executors then keep
+    sample = spark.createDataFrame(pa.table({"__id": [i for _, i, _ in picked], "__quality": [q for _, _, q in picked]}), known.schema)
     found = with_counts(docs.join(F.broadcast(sample), F.col(key) == F.col("__id")), ["__id", "__quality"], text).where(~base_failed())
     one = found.groupBy("__id", "__quality").agg(F.min(F.struct(*(feature(f).alias(f) for f in FEATURES))).alias("f"))
     table = one.select("__id", "__quality", "f.*").toPandas().sort_values("__id", ignore_index=True)

@@ -60,8 +60,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vocabulary = public_tokenizers.path(bpe.VOCABULARY)
     tokens = bpe.encode(docs.select("doc_id", "source", "text", F.sha2("text", 256).alias("sha256")), vocabulary, public_tokenizers.PATTERN)
-    # the mix's text ends here: its digest stands for it beside the decoded bytes
-    whole = bpe.decode(tokens.select("doc_id", "source", "sha256", "ids"), vocabulary)
+    # the mix's text ends here: its digest stands for it beside the decoded bytes; written, as a task that encodes and
+    # decodes needs two Python workers, and executors keep twice as many with all that they remember
+    tokens = cut(tokens.select("doc_id", "source", "sha256", "ids"), "tokens")
+    whole = bpe.decode(tokens, vocabulary)
     same = F.sha2("decoded", 256) == F.coalesce("sha256", F.sha2(F.lit(""), 256))
     return whole.select("doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("decodes_to_text"))
 

@@ -304,3 +304,9 @@ def test_stages_with_nulls_repeats_clashes_and_no_rows(spark, tmp_path, name, st
     n = {"quality_rules": 2, "minhash_near_dedup": 4, "secret_scans": 5, "byte_bpe": 5}
     assert out.count() == n[name] if name in n else out.count() >= 4
     assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_no_task_of_the_last_stage_has_two_python_workers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = corpus_pipeline.byte_bpe(spark, docs, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
