@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.arrow import matrix, runs
 from barloom.llm.graph import components
-from barloom.session import cut, discard
+from barloom.session import counted_cut, cut, discard
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -212,7 +212,10 @@ class _Sets:
 
 
 def _confirm(agree: int, percent: int, words: int):
-    """Links of each block on full sets; records that links have joined already are not compared again."""
+    """(u, v): of each block, every component that links on full sets join to a lesser one, and the least it is joined to.
+
+    Records that links have joined already are not compared again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -228,7 +231,14 @@ def _confirm(agree: int, percent: int, words: int):
             keys = sorted(records)
             if len(keys) < 2:
                 continue
-            links += ((keys[a], keys[b]) for a, b in _joined(_codes([records[k][0] for k in keys]), [records[k][1] for k in keys], agree, percent))
+            comp = [records[k][0] for k in keys]
+            code = _codes(comp)
+            for _ in _joined(code, [records[k][1] for k in keys], agree, percent):
+                pass
+            least: dict[int, bytes] = {}
+            for c, name in zip(code.tolist(), comp):
+                least[c] = min(name, least.get(c, name))
+            links += sorted({(name, least[c]) for c, name in zip(code.tolist(), comp) if name != least[c]})
             if len(links) > 50_000:
                 yield _link_batch(links)
                 links = []
@@ -242,6 +252,7 @@ def _joined(code: np.ndarray, sets: list[np.ndarray], agree: int, percent: int)
     """Of the links between records of different components, those that join two components not joined before.
 
     A record is compared with a few others at a time, because each link found spares the rest of what it joins.
+    ``code`` has the components after the links at the end.
     """
     sketch = np.stack([sketch_of(minwise(s)) for s in sets])
     held = _Sets(sets)
@@ -342,8 +353,10 @@ class _Join:
         return self.promising(rows.select(F.explode(block).alias("block"), "set_id", "round"))
 
     def promising(self, blocks: DataFrame) -> DataFrame:
-        """Of each block (block, set_id, round), the records with a candidate in another component."""
-        rows = blocks.select("block", "set_id", "round").join(self.records.select("set_id", "n", "sketch", "row"), "set_id")
+        """Of each block (block, set_id, round; n, sketch, row, too, or none), the records with a candidate in another component."""
+        rows = blocks
+        if "sketch" not in blocks.columns:
+            rows = blocks.select("block", "set_id", "round").join(self.records.select("set_id", "n", "sketch", "row"), "set_id")
         rows = self.labelled(rows).select("block", "round", "set_id", "n", "sketch", "row", "comp")
         rows = rows.repartition("block").sortWithinPartitions("block", "set_id")
         return cut(rows.mapInArrow(_promising(self.agree, self.percent), rows.schema), "promising")
@@ -355,13 +368,21 @@ class _Join:
         self.texts = cut(self.docs.hint("merge").join(need, "row").select("set_id", "text").dropDuplicates(["set_id"]), "texts")
 
     def confirm(self, found: DataFrame) -> None:
-        """Adds the links of ``found`` (block, set_id, comp) to the components."""
+        """Adds the links of ``found`` (block, set_id, comp) to the components, whose names are those of now.
+
+        Only the components that links join go through rounds, and the new names then reach their members in one join.
+        """
         rows = found.select("block", "set_id", "comp").join(self.texts, "set_id").repartition("block").sortWithinPartitions("block", "set_id")
-        links = cut(rows.mapInArrow(_confirm(self.agree, self.percent, self.words), "u binary, v binary"), "found")
-        before, self.comp = self.comp, components(links if self.comp is None else links.unionByName(self.comp))
-        for done in (links, before):
-            if done is not None:
-                discard(done)
+        links, n = counted_cut(rows.mapInArrow(_confirm(self.agree, self.percent, self.words), "u binary, v binary"), "found")
+        if n:
+            joined, before = components(links), self.comp
+            self.comp = joined
+            if before is not None:
+                moved = before.join(joined.toDF("__was", "__now"), F.col("v") == F.col("__was"), "left")
+                self.comp = cut(moved.select("u", F.coalesce("__now", "v").alias("v")).unionByName(joined), "comp")
+                discard(before)
+                discard(joined)
+        discard(links)
 
 
 def _parts(size: Column, weight: Column, records: int, shingles: int) -> Column:
